@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import unicodedata
+from functools import cache
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -41,14 +42,20 @@ def _ascii_part(ch: str) -> str:
     return unicodedata.normalize("NFKD", ch).encode("ascii", "ignore").decode("ascii")
 
 
+@cache
+def _single_letters() -> tuple[str, str]:
+    """All characters with a one-letter ASCII form, and those letters."""
+    single = [ch for ch in map(chr, range(0x80, 0x10000)) if len(_ascii_part(ch)) == 1]
+    return "".join(single), "".join(map(_ascii_part, single))
+
+
 def to_ascii(c: Column) -> Column:
     """Compatibility decomposition, then only ASCII kept (``broché`` to ``broche``).
 
     Letters with one ASCII base go through one ``translate``; what is left
     outside ASCII is dropped.
     """
-    single = [ch for ch in map(chr, range(0x80, 0x10000)) if len(_ascii_part(ch)) == 1]
-    text = F.translate(c, "".join(single), "".join(map(_ascii_part, single)))
+    text = F.translate(c, *_single_letters())
     for ligature in LIGATURES:
         text = F.replace(text, F.lit(ligature), F.lit(_ascii_part(ligature)))
     return F.regexp_replace(text, r"[^\x00-\x7F]", "")

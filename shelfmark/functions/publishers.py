@@ -6,7 +6,7 @@ import re
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from shelfmark.functions.text import WS, empty_to_null, first_match, squeeze, strip
+from shelfmark.functions.text import WS, empty_to_null, first_match, has_any, squeeze, strip
 
 LATIN_ONLY = r"(?U)\A[a-zA-Z0-9\s\x1c-\x1f&.',/-]*\z"
 
@@ -105,19 +105,6 @@ def folded_houses(houses=None) -> list[tuple[str, list[str]]]:
     return folded
 
 
-def marked(c: Column, marks: list[str]) -> Column:
-    """Literal marks by substring search, the rest in one regex."""
-    literal = [m for m in marks if re.fullmatch(r"[a-z ]+", m)]
-    pattern = [m for m in marks if m not in literal]
-    tests = [c.contains(m) for m in literal]
-    if pattern:
-        tests.append(c.rlike("|".join(pattern)))
-    found = tests[0]
-    for test in tests[1:]:
-        found = found | test
-    return found
-
-
 def publisher_text(c: Column) -> Column:
     """Lower-cased name without countries, company forms and stray punctuation."""
     text = F.lower(strip(F.coalesce(c, F.lit(""))))
@@ -130,7 +117,7 @@ def publisher_house(text: Column) -> Column:
     """Canonical house of a tidied name, or the name; empty for a placeholder."""
     return first_match(
         [(text.rlike(JUNK), F.lit("")), (text.rlike(SELF_PUBLISHED), F.lit("self-published"))]
-        + [(marked(text, marks), F.lit(house)) for house, marks in folded_houses()],
+        + [(has_any(text, marks), F.lit(house)) for house, marks in folded_houses()],
         otherwise=text)
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from itertools import chain
+import json
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -78,6 +78,9 @@ ROLE_SUBSTRINGS = [
     (("intro",), "introduction"),
 ]
 
+CANONICAL_ROLES = json.dumps(
+    {spelling: canonical for canonical, listed in ROLE_SPELLINGS.items() for spelling in listed})
+
 ROLE_IN_PARENS = r"\(([^)]+)\)$"
 
 
@@ -87,10 +90,7 @@ def role_text(role: Column) -> Column:
 
 def canonical_role(text: Column) -> Column:
     """Canonical role of a trimmed lower-case text; ``unknown`` outside ASCII."""
-    spellings = F.create_map(*chain.from_iterable(
-        (F.lit(spelling), F.lit(canonical))
-        for canonical, listed in ROLE_SPELLINGS.items() for spelling in listed))
-    known = F.try_element_at(spellings, text)
+    known = F.try_element_at(F.from_json(F.lit(CANONICAL_ROLES), "map<string,string>"), text)
     return first_match(
         [(~is_ascii(text), F.lit("unknown")), (known.isNotNull(), known)]
         + [(has_any(text, needles), F.lit(canonical)) for needles, canonical in ROLE_SUBSTRINGS],

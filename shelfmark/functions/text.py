@@ -43,12 +43,8 @@ def is_ascii(c: Column) -> Column:
 
 
 def has_any(c: Column, needles) -> Column:
-    """True where the text holds at least one of the literal needles."""
-    first, *rest = needles
-    found = c.contains(first)
-    for needle in rest:
-        found = found | c.contains(needle)
-    return found
+    """True where the text holds at least one of the needles (words or patterns)."""
+    return c.rlike("|".join(needles))
 
 
 def first_match(cases, otherwise: Column) -> Column:

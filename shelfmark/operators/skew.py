@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, functions as F
 
+from shelfmark.operators.settle import settle
+
 HOT_ROWS = 1_000_000
 BROADCAST_ROWS = 100_000
 NULL_KEY_WAYS = 1_000_000
@@ -45,3 +49,18 @@ def lookup_join(rows: DataFrame, lookup: DataFrame, on: str, spread: str, how: s
         "_n", F.coalesce("_n", F.lit(0)))
     joined = salted_lookup(rows, counted, on, rows_per_key="_n", spread=spread)
     return (joined.filter(F.col("_n").isNotNull()) if how == "inner" else joined).drop("_n")
+
+
+def map_values(rows: DataFrame, values_from: DataFrame, source: str, targets: list[str],
+               normalise: Callable[[DataFrame], DataFrame], max_values: int = BROADCAST_ROWS) -> DataFrame:
+    """Add ``targets`` worked out once per distinct ``source`` value, not per row.
+
+    ``values_from`` is a table with all source values, read for that column
+    only. The values are broadcast with their targets if there are at most
+    ``max_values``; with more of them the rows are worked out in place.
+    """
+    values = settle(values_from.select(source).distinct().limit(max_values + 1), "values")
+    if values.count() > max_values:
+        return normalise(rows)
+    mapped = normalise(values).select(F.col(source).alias("_value"), *targets)
+    return rows.join(F.broadcast(mapped), F.col(source).eqNullSafe(F.col("_value")), "left").drop("_value")

@@ -56,4 +56,5 @@ def write_staging(df: DataFrame, path: str, csv_path: str | None = None) -> None
     df.write.mode("errorifexists").parquet(path)
     if csv_path is not None:
         written = df.sparkSession.read.schema(df.schema).parquet(path)
-        as_text(written).write.mode("errorifexists").option("header", True).option("escape", '"').csv(csv_path)
+        options = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+        as_text(written).write.mode("errorifexists").options(**options).csv(csv_path)
