@@ -2,7 +2,7 @@
 
 import importlib
 
-MODULES = ["cleaning", "relational"]
+MODULES = ["cleaning", "relational", "normalised", "star"]
 
 
 def load_all() -> None:

@@ -41,14 +41,6 @@ def _(t):
         F.count("*").alias("n"), F.sum("o_orderkey").alias("key_sum"))
 
 
-@query("s8_column_names", """
-SELECT column_name, CASE data_type WHEN 'BIGINT' THEN 'bigint' WHEN 'VARCHAR' THEN 'string' WHEN 'DOUBLE' THEN 'double'
-WHEN 'INTEGER' THEN 'int' WHEN 'TIMESTAMP' THEN 'timestamp' END AS data_type, true AS is_nullable
-FROM (DESCRIBE SELECT * FROM orders) AS d(column_name, data_type)""")
-def _(t):
-    return tables.column_names(t.orders)
-
-
 @query("f7_like", "SELECT p_partkey, p_name FROM part WHERE p_name LIKE '%red%'")
 def _(t):
     return t.part.filter(F.col("p_name").like("%red%")).select("p_partkey", "p_name")

@@ -104,3 +104,113 @@ FROM {{orders}} JOIN {{part}} ON p_partkey = o_custkey
 
 def raw_books(inputs: Inputs):
     return inputs.sql(RAW_BOOKS)
+
+
+# A staging table, one row per order, with ISBNs of either kind, up to five
+# contributors, roles, genres and star counts.
+STAGING = f"""
+SELECT o_orderkey AS _src_pos,
+  CASE WHEN o_orderkey % 3 = 0 THEN lpad(concat('', o_orderkey), 10, '0') END AS isbn10,
+  CASE WHEN o_orderkey % 3 <> 0 THEN concat('978', lpad(concat('', o_orderkey), 10, '0')) END AS isbn13,
+  o_custkey + 1 AS book_uid,
+  concat(p_name, ' ', o_custkey % 50) AS title_norm,
+  CASE WHEN o_orderkey % 19 = 0 THEN NULL ELSE concat(p_name, ' ', p_type, ' ', o_custkey % 20) END AS primary_author_name,
+  CASE WHEN o_orderkey % 2 = 0 THEN concat(p_name, ' jr') END AS author_2,
+  CASE WHEN o_orderkey % 4 = 0 THEN concat(p_name, ' ', p_type, ' ', o_custkey % 20) END AS author_3,
+  CASE WHEN o_orderkey % 8 = 0 THEN 'unknown' END AS author_4,
+  CASE WHEN o_orderkey % 16 = 0 THEN '' END AS author_5,
+  {picked("o_orderkey", quoted([None, "editor", None, "poet", None]))} AS author_1_role,
+  {picked("o_orderkey", quoted(["illustrator", None, " "]))} AS author_2_role,
+  {picked("o_orderkey", quoted([None, "editor", "translator", None]))} AS author_3_role,
+  CAST(NULL AS STRING) AS author_4_role, CAST(NULL AS STRING) AS author_5_role,
+  {picked("o_orderkey", quoted(["English", "English", "English", None]))} AS language,
+  {picked("o_custkey", ["'unknown'", "concat(p_brand, ' press')", "''", "'self-published'", "CAST(NULL AS STRING)"])} AS publisher_norm,
+  {picked("o_orderkey", quoted(["First Edition", None, " ", "Other"]))} AS edition_norm,
+  {picked("o_orderkey", quoted(["hardcover", "ebook", "unknown", "paperback", "audio"]))} AS `bookFormat_norm`,
+  {picked("o_custkey", ["concat(p_brand, ' saga')", "''", "CAST(NULL AS STRING)", "concat(p_name, ' cycle')"])} AS series_name_norm,
+  CAST(o_orderkey % 9 AS DECIMAL(10,2)) AS series_num,
+  CAST(CASE WHEN o_orderkey % 6 = 0 THEN 1 ELSE 0 END AS INT) AS is_boxset,
+  CASE WHEN o_orderkey % 10 = 0 THEN NULL ELSE CAST(o_orderdate AS DATE) END AS `publishDate_norm`,
+  CASE WHEN o_custkey % 10 = 0 THEN NULL ELSE CAST(o_orderdate AS DATE) END AS `firstPublishDate_norm`,
+  CAST(CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE 100 + o_custkey END AS INT) AS pages_norm,
+  'a description' AS description_norm,
+  split({picked("o_orderkey", ["concat(p_name, '|', p_type)", "concat('children''s|', p_name)", "'a|b, c|d|e|f|g|h|i|j|k|l'",
+    "'uncategorized'", "concat(p_type, '|', p_type, 's|', p_name)"])}, '[|]') AS genres_norm,
+  CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE o_custkey END AS `5_star`,
+  CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE o_orderkey % 100 END AS `4_star`,
+  CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE o_orderkey % 50 END AS `3_star`,
+  CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE o_orderkey % 10 END AS `2_star`,
+  CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE o_orderkey % 5 END AS `1_star`
+FROM {{orders}} JOIN {{part}} ON p_partkey = o_custkey
+"""
+
+
+def staging(inputs: Inputs):
+    return inputs.sql(STAGING)
+
+
+def for_duckdb(text: str) -> str:
+    """The two spellings that differ: quoted names, and the split pattern."""
+    return text.replace("`", '"').replace("'[|]'", "'|'")
+
+
+# Normalised tables straight from the driver tables: parts are ISBNs, suppliers
+# are authors, order lines give the bridges, the star counts and the sales.
+BOOKS = {
+    "author": """SELECT s_suppkey + 1 AS author_id, concat('author ', s_suppkey % 70) AS full_name,
+        CASE WHEN s_suppkey % 5 = 0 THEN TIMESTAMP '2026-01-10 00:00:00' ELSE TIMESTAMP '2025-06-01 00:00:00' END AS updated_at
+        FROM {supplier}""",
+    "publisher": """SELECT DISTINCT CAST(substring(p_brand, 7) AS BIGINT) AS publisher_id, concat('house ', lower(p_brand)) AS publisher
+        FROM {part}""",
+    "format": """SELECT DISTINCT CAST(p_size % 7 AS BIGINT) AS format_id, CASE p_size % 7 WHEN 0 THEN 'hardcover' WHEN 1 THEN 'ebook'
+        WHEN 2 THEN 'audio' WHEN 3 THEN 'board_book' WHEN 4 THEN 'paperback' WHEN 5 THEN 'comic' ELSE 'unknown' END AS format
+        FROM {part}""",
+    "language": "SELECT CAST(r_regionkey AS BIGINT) AS language_id, concat('language ', r_regionkey) AS language FROM {region}",
+    "series": "SELECT CAST(n_nationkey AS BIGINT) AS series_id, concat('series ', n_name) AS series_name FROM {nation}",
+    "book": "SELECT p_partkey AS book_id, concat(p_name, ' ', p_partkey % 40) AS title FROM {part}",
+    "book_isbn": """SELECT p_partkey + 1 AS book_isbn_id,
+        CASE WHEN p_partkey % 11 = 0 THEN lpad(concat('', p_partkey), 10, '0') END AS isbn10,
+        CASE WHEN p_partkey % 11 = 0 THEN NULL ELSE concat('978', lpad(concat('', p_partkey), 10, '0')) END AS isbn13,
+        p_partkey - p_partkey % 2 AS book_id, CASE WHEN p_partkey % 9 = 0 THEN NULL ELSE CAST(p_size % 7 AS BIGINT) END AS format_id,
+        CAST(NULL AS BIGINT) AS edition_id,
+        CASE WHEN p_partkey % 8 = 0 THEN NULL ELSE CAST(substring(p_brand, 7) AS BIGINT) END AS publisher_id,
+        p_partkey % 5 AS language_id, p_partkey % 10 = 0 AS is_boxset,
+        CASE WHEN p_partkey % 4 = 0 THEN NULL ELSE p_partkey % 25 END AS series_id,
+        CAST(p_size AS DECIMAL(10,2)) AS series_num,
+        CASE WHEN p_partkey % 6 = 0 THEN TIMESTAMP '2026-01-10 00:00:00' ELSE TIMESTAMP '2025-06-01 00:00:00' END AS updated_at
+        FROM {part}""",
+    "author_isbn": """SELECT DISTINCT (l_partkey + 1) * 100000 + l_suppkey AS author_isbn_id, l_partkey + 1 AS book_isbn_id,
+        l_suppkey + 1 AS author_id, CASE WHEN l_suppkey % 3 = 0 THEN CAST(NULL AS BIGINT) ELSE l_suppkey % 4 END AS role_id
+        FROM {lineitem} WHERE l_partkey % 13 <> 0""",
+    "role": "SELECT CAST(r_regionkey AS BIGINT) AS role_id, concat('role ', r_regionkey) AS role FROM {region}",
+    "isbn_rating": """SELECT (l_partkey + 1) * 10 + l_linenumber % 5 AS isbn_rating_id, l_partkey + 1 AS book_isbn_id,
+        CAST(1 + l_linenumber % 5 AS BIGINT) AS review_type_id, CAST(sum(CAST(l_quantity AS INT)) AS INT) AS count
+        FROM {lineitem} GROUP BY l_partkey, l_linenumber % 5""",
+    "genre": "SELECT CAST(n_nationkey AS BIGINT) AS genre_id, concat('genre ', n_nationkey) AS genre FROM {nation}",
+    "book_isbn_genre": """SELECT DISTINCT (l_partkey + 1) * 100 + l_linenumber AS book_isbn_genre_id, l_partkey + 1 AS book_isbn_id,
+        CAST(l_linenumber AS BIGINT) AS genre_id FROM {lineitem}""",
+}
+
+MONTH_ABBR = MONTH_NAME.replace("o_orderdate", "d")
+
+# Raw monthly sales as text: one row per part and month of its order lines,
+# some of ISBNs nobody knows.
+RAW_SALES = f"""
+SELECT CASE WHEN k % 17 = 0 THEN concat('999', lpad(concat('', k), 10, '0')) ELSE concat('978', lpad(concat('', k), 10, '0')) END AS isbn13,
+  concat(' ', substring({MONTH_ABBR}, 1, 3), ' ') AS month, concat('', year(d)) AS year,
+  concat('', q) AS in_person_sales, concat('', n) AS online_sales, concat('', 2 * n) AS wholesale_sales,
+  concat('', q + 3 * n) AS total_sales, concat(' $', n, '.50') AS average_price,
+  concat('$', 1 + n, ',', lpad(concat('', q % 1000), 3, '0'), '.25') AS total_revenue,
+  concat('', n % 3) AS count_returns, concat('', q + 3 * n - n % 3) AS net_sales
+FROM (SELECT l_partkey AS k, CAST(min(l_shipdate) AS DATE) AS d, CAST(sum(l_quantity) AS BIGINT) AS q, count(*) AS n
+      FROM {{lineitem}} GROUP BY l_partkey, year(l_shipdate), month(l_shipdate)) AS per_month
+"""
+
+
+def books(inputs: Inputs) -> dict:
+    """The normalised tables, as stand-ins."""
+    return {name: inputs.sql(text) for name, text in BOOKS.items()}
+
+
+def raw_sales(inputs: Inputs):
+    return inputs.sql(RAW_SALES)

@@ -49,6 +49,9 @@ class TableStore:
                    if name == table and (parts is None or part in parts)]
         return self.spark.read.parquet(*current)
 
+    def read_all(self) -> dict[str, DataFrame]:
+        return {name: self.read(name) for name in {name for name, _ in self.paths()}}
+
     def write(self, table: str, df: DataFrame, partition_by: list[str] | None = None) -> str:
         """Write rows to a new path nobody reads yet."""
         path = f"{self.root}/{table}/{uuid.uuid4().hex}"
