@@ -11,6 +11,7 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+STORED: dict[tuple[str, str, str], object] = {}
 
 
 class Inputs:
@@ -23,7 +24,16 @@ class Inputs:
     def __getattr__(self, table: str) -> DataFrame:
         if table not in TABLES:
             raise AttributeError(table)
-        return self.spark.read.parquet(f"{self.sf_dir}/{table}.parquet")
+        df = self.spark.read.parquet(f"{self.sf_dir}/{table}.parquet")
+        setattr(self, table, df)
+        return df
+
+    def stored(self, name: str, make: Callable[[Inputs], object]):
+        """Tables several queries start from, made once per session and folder."""
+        key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
+        if key not in STORED:
+            STORED[key] = make(self)
+        return STORED[key]
 
     def sql(self, text: str) -> DataFrame:
         """SQL both engines read alike; driver tables in braces."""

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from shelfmark.operators import keys
 from shelfmark.operators.aggregates import distinct_tuples, high_water_mark
 from shelfmark.plans import warehouse
-from shelfmark.sources.tables import WHOLE, TableStore
+from shelfmark.schemas import ETL_LOG
+from shelfmark.sources.tables import TableStore
 
 LOG, SALES, FACT, UNMATCHED = "etl_log", "synthetic_insert", "sales_fact", "synthetic_unmatched"
 
@@ -39,24 +40,29 @@ def add_sales(store: TableStore, incoming: DataFrame) -> None:
     store_sales(store, warehouse.append_sales(existing, incoming))
 
 
-def log_count(sales: DataFrame, col) -> int:
-    return sales.filter(~F.col("loaded_to_warehouse")).agg(col.alias("n")).first()["n"]
+def unloaded_counts(sales: DataFrame, distinct: Column) -> tuple[int, int]:
+    """Rows not loaded yet, and the distinct values among them."""
+    row = warehouse.not_loaded(sales).agg(F.count("*").alias("n"), distinct.alias("values")).first()
+    return row["n"], row["values"]
 
 
 class MonthlyRun:
-    """One run: each step publishes its table and logs its counts.
+    """One run: each step publishes its table; the log rows go out together.
 
     Every step may be run again after a crash: dimensions add only what is
     missing, and the fact, the unmatched rows and the loaded flags of a month
-    become current in one switch.
+    become current in one switch. A step without new input rewrites nothing.
     """
 
     def __init__(self, store: TableStore, run_ts: dt.datetime):
         self.store, self.run_ts, self.spark = store, run_ts, store.spark
+        self.rows: list[tuple] = []
 
     def log(self, source: str, details: str, read: int = 0, inserted: int = 0, failed: int = 0) -> None:
-        row = warehouse.etl_log_row(self.spark, self.run_ts, source, details, read, inserted, 0, failed)
-        self.store.append(LOG, row)
+        self.rows.append((self.run_ts, source, details, read, inserted, 0, failed))
+
+    def write_log(self) -> None:
+        self.store.append(LOG, self.spark.createDataFrame(self.rows, ETL_LOG).coalesce(1))
 
     def last_run(self, job: str, first_load: str) -> dt.datetime | None:
         """Latest run of the job, else of the first load, else none."""
@@ -65,40 +71,46 @@ class MonthlyRun:
         log = self.store.read(LOG)
         return high_water_mark(log, "oltp", [job]) or high_water_mark(log, "oltp", [first_load])
 
-    def update(self, table: str, source: str, details: str, read: int, updated: DataFrame,
-               inserted: int | None = None) -> None:
-        """Publish a dimension and log how many rows it gained."""
+    def replace(self, table: str, updated: DataFrame) -> int:
+        """Publish a dimension; how many rows it gained."""
         before = self.store.read(table).count()
         self.store.publish({table: updated})
-        gained = self.store.read(table).count() - before
-        self.log(source, details, read, gained if inserted is None else inserted)
+        return self.store.read(table).count() - before
 
     def month_year_dim(self) -> None:
-        sales, dim = self.store.read(SALES), self.store.read("month_year_dim")
-        read = log_count(sales, distinct_tuples(["month", "year"]))
-        self.update("month_year_dim", "synthetic", "update_month_year_dim", read,
-                    warehouse.update_month_year_dim(dim, sales))
+        sales, inserted = self.store.read(SALES), 0
+        rows, read = unloaded_counts(sales, distinct_tuples(["month", "year"]))
+        if rows:
+            dim = self.store.read("month_year_dim")
+            inserted = self.replace("month_year_dim", warehouse.update_month_year_dim(dim, sales))
+        self.log("synthetic", "update_month_year_dim", read, inserted)
 
     def nyt_bestseller_dim(self) -> None:
-        sales, dim = self.store.read(SALES), self.store.read("nyt_bestseller_dim")
-        read = log_count(sales, F.count_distinct("nyt_best_selling_category"))
-        self.update("nyt_bestseller_dim", "synthetic", "update_nyt_bestseller_dim", read,
-                    warehouse.update_nyt_dim(dim, sales))
+        sales, inserted = self.store.read(SALES), 0
+        rows, read = unloaded_counts(sales, F.count_distinct("nyt_best_selling_category"))
+        if rows:
+            dim = self.store.read("nyt_bestseller_dim")
+            inserted = self.replace("nyt_bestseller_dim", warehouse.update_nyt_dim(dim, sales))
+        self.log("synthetic", "update_nyt_bestseller_dim", read, inserted)
 
     def author_dim(self) -> None:
         """The log counts overwritten names as inserted, like added ones."""
         last = self.last_run("update_author_dim", "load_author_dim")
-        author, dim = self.store.read("author"), self.store.read("author_dim")
+        author = self.store.read("author")
         read = warehouse.changed_since(author, last).count()
-        self.update("author_dim", "oltp", "update_author_dim", read,
-                    warehouse.update_author_dim(dim, author, last), inserted=read)
+        if read:
+            dim = self.store.read("author_dim")
+            self.store.publish({"author_dim": warehouse.update_author_dim(dim, author, last)})
+        self.log("oltp", "update_author_dim", read, read)
 
     def book_dim(self) -> None:
         last = self.last_run("update_book_dim", "load_book_dim")
-        oltp, dim = self.store_tables("book_isbn", "book", "publisher", "format", "language"), self.store.read("book_dim")
+        oltp, inserted = self.store_tables("book_isbn", "book", "publisher", "format", "language"), 0
         read = warehouse.changed_since(oltp["book_isbn"], last).count()
-        self.update("book_dim", "oltp", "update_book_dim", read,
-                    warehouse.update_book_dim(dim, oltp, self.run_ts.date(), last))
+        if read:
+            dim = self.store.read("book_dim")
+            inserted = self.replace("book_dim", warehouse.update_book_dim(dim, oltp, self.run_ts.date(), last))
+        self.log("oltp", "update_book_dim", read, inserted)
 
     def store_tables(self, *names: str) -> dict[str, DataFrame]:
         return {name: self.store.read(name) for name in names}
@@ -146,8 +158,10 @@ def process_monthly_sales(store: TableStore, month: int, year: int, run_ts: dt.d
         except Exception:
             run.log(source, details, failed=1)
             run.log("synthetic", "insert_monthly_sales", failed=1)
+            run.write_log()
             raise
     run.log("synthetic", "insert_monthly_sales")
+    run.write_log()
 
 
 def first_load(store: TableStore, oltp: dict[str, DataFrame], raw_sales: DataFrame, run_ts: dt.datetime) -> None:
@@ -175,6 +189,3 @@ def load_status(store: TableStore, month: int, year: int) -> int:
     loaded = F.col("loaded_to_warehouse") & (F.col("month") == month) & (F.col("year") == year)
     return store.read(SALES).filter(loaded).count()
 
-
-__all__ = ["MonthlyRun", "TableStore", "WHOLE", "add_sales", "first_load", "load_status", "month_part",
-           "process_monthly_sales", "store_sales"]

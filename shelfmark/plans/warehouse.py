@@ -59,6 +59,15 @@ def duplicate_sales(existing: DataFrame | None, incoming: DataFrame) -> DataFram
     return repeated.union(keyed.join(existing.select(SALES_KEY), SALES_KEY, "left_semi")).distinct()
 
 
+def not_loaded(sales: DataFrame) -> DataFrame:
+    """Rows the warehouse does not have yet.
+
+    An equality reaches the Parquet scan, which skips row groups that are
+    loaded throughout by their statistics.
+    """
+    return sales.filter(F.col("loaded_to_warehouse") == F.lit(False))
+
+
 def append_sales(existing: DataFrame | None, incoming: DataFrame) -> DataFrame:
     """Existing rows plus incoming ones marked as not loaded; a repeated key is an error."""
     clash = duplicate_sales(existing, incoming).first()
@@ -99,7 +108,7 @@ def init_month_year_dim(sales: DataFrame) -> DataFrame:
 
 def update_month_year_dim(dim: DataFrame, sales: DataFrame) -> DataFrame:
     """Add the months of all rows not loaded yet, whatever month is being loaded."""
-    months = sales.filter(~F.col("loaded_to_warehouse")).select("month", "year").distinct()
+    months = not_loaded(sales).select("month", "year").distinct()
     fresh = joins.missing_rows(months, dim, ["month", "year"]).withColumn("_order", month_order())
     numbered = keys.assign_ids(fresh, "month_year_dim_id", ["_order"], keys.max_id(dim, "month_year_dim_id"))
     return dim.unionByName(numbered.select(dim.columns))
@@ -136,8 +145,7 @@ def init_nyt_dim(sales: DataFrame) -> DataFrame:
 
 def update_nyt_dim(dim: DataFrame, sales: DataFrame) -> DataFrame:
     """Add categories of rows not loaded yet; a row without a category is an error."""
-    listed = (sales.filter(~F.col("loaded_to_warehouse"))
-              .select(F.col("nyt_best_selling_category").alias("listed_as_desc")).distinct())
+    listed = not_loaded(sales).select(F.col("nyt_best_selling_category").alias("listed_as_desc")).distinct()
     valid, _ = check_not_null(listed, ["listed_as_desc"], strict=True)
     fresh = joins.missing_rows(valid, dim, ["listed_as_desc"])
     numbered = keys.assign_ids_sorted(fresh, "nyt_bestseller_dim_id", ["listed_as_desc"],
@@ -263,7 +271,7 @@ def fill_avg_rating(fact: DataFrame, book_dim: DataFrame, isbn_rating: DataFrame
 
 
 def unloaded(sales: DataFrame, month: int, year: int) -> DataFrame:
-    return sales.filter((F.col("month") == month) & (F.col("year") == year) & ~F.col("loaded_to_warehouse"))
+    return not_loaded(sales).filter((F.col("month") == month) & (F.col("year") == year))
 
 
 def only_sold(oltp: dict[str, DataFrame], sales: DataFrame) -> dict[str, DataFrame]:

@@ -17,7 +17,8 @@ class TableStore:
     several tables. So a job writes new paths first and then switches all of
     them with one manifest file; one that dies earlier has changed nothing.
     A table may be kept in parts, such as months, so that a load rewrites or
-    adds one part and leaves the others alone.
+    adds one part and leaves the others alone. One job writes at a time; the
+    manifest is read once and kept up to date by the job's own switches.
     """
 
     MANIFEST = "version bigint, table string, part string, paths array<string>"
@@ -25,20 +26,27 @@ class TableStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self._current: dict[tuple[str, str], list[str]] | None = None
+        self._version = 0
 
-    def _manifest(self) -> DataFrame | None:
+    def _load(self) -> None:
+        """One manifest row per table and part is current, the one of the last version."""
+        self._current = {}
         try:
-            return self.spark.read.schema(self.MANIFEST).json(f"{self.root}/_manifest")
+            manifest = self.spark.read.schema(self.MANIFEST).json(f"{self.root}/_manifest")
         except AnalysisException:
-            return None
+            return
+        latest = manifest.groupBy("table", "part").agg(
+            F.max_by("paths", "version").alias("paths"), F.max("version").alias("version"))
+        for row in latest.collect():
+            self._current[row["table"], row["part"]] = list(row["paths"])
+            self._version = max(self._version, row["version"])
 
     def paths(self) -> dict[tuple[str, str], list[str]]:
-        """Current paths by (table, part): one manifest row per table and part."""
-        manifest = self._manifest()
-        if manifest is None:
-            return {}
-        latest = manifest.groupBy("table", "part").agg(F.max_by("paths", "version").alias("paths"))
-        return {(row["table"], row["part"]): list(row["paths"]) for row in latest.collect()}
+        """Current paths by (table, part)."""
+        if self._current is None:
+            self._load()
+        return dict(self._current)
 
     def __contains__(self, table: str) -> bool:
         return any(name == table for name, _ in self.paths())
@@ -61,11 +69,12 @@ class TableStore:
 
     def switch(self, parts: dict[tuple[str, str], list[str]]) -> None:
         """Make the given paths current, all at once."""
-        manifest = self._manifest()
-        last = 0 if manifest is None else manifest.agg(F.max("version").alias("v")).first()["v"] or 0
-        rows = [(last + 1, table, part, paths) for (table, part), paths in parts.items()]
+        self.paths()
+        rows = [(self._version + 1, table, part, paths) for (table, part), paths in parts.items()]
         (self.spark.createDataFrame(rows, self.MANIFEST).coalesce(1)
          .write.mode("append").json(f"{self.root}/_manifest"))
+        self._version += 1
+        self._current.update(parts)
 
     def publish(self, tables: dict[str, DataFrame]) -> None:
         """Replace whole tables."""
