@@ -11,6 +11,7 @@ from queries.registry import query, with_tables
 from queries.standins import BOOKS, STAGING, books, for_duckdb, staging
 from shelfmark.functions import genres
 from shelfmark.operators import changes, checks
+from shelfmark.operators.settle import settle
 from shelfmark.plans import normalise
 
 RUN_TS = dt.datetime(2026, 1, 15, 12, 0)
@@ -127,7 +128,12 @@ def _(t):
     return normalise.build_book(clean_staging(t))
 
 
-def lookups(s):
+def lookups(t):
+    return t.stored("lookups", lambda t: {name: settle(table, name) for name, table in build_lookups(t).items()})
+
+
+def build_lookups(t):
+    s = clean_staging(t)
     return {
         "format": normalise.build_lookup(s, "bookFormat_norm", "format", "format_id"),
         "edition": normalise.build_lookup(s, "edition_norm", "edition", "edition_id"),
@@ -139,19 +145,21 @@ def lookups(s):
 
 @query("n6_n7_book_isbn", over("book_isbn"))
 def _(t):
-    s = clean_staging(t)
-    return normalise.build_book_isbn(s, lookups(s))
+    return normalise.build_book_isbn(clean_staging(t), lookups(t))
+
+
+def book_isbn(t):
+    return t.stored("book_isbn_made", lambda t: settle(normalise.build_book_isbn(clean_staging(t), lookups(t)), "isbns"))
 
 
 def linked(t):
-    from shelfmark.operators.settle import settle
     s = clean_staging(t)
-    return s, settle(normalise.link_isbn(s, normalise.build_book_isbn(s, lookups(s))), "link")
+    return s, t.stored("link", lambda t: settle(normalise.link_isbn(s, book_isbn(t)), "link"))
 
 
 @query("j4_link_by_isbn", over("link"))
 def _(t):
-    return linked(t)[1]
+    return normalise.link_isbn(clean_staging(t), book_isbn(t))
 
 
 @query("n8_author_isbn", with_tables(tables_sql("link"), f"""
@@ -164,7 +172,8 @@ SELECT row_number() OVER (ORDER BY slot, book_isbn_id, author_id, role_id) AS au
     .replace(", p AS", ", p AS", 1)).replace("\n, p AS", ",\np AS", 1))
 def _(t):
     s, link = linked(t)
-    return normalise.build_author_isbn(s, link, normalise.build_author(s), normalise.build_role(s))
+    author = t.stored("author_made", lambda t: settle(normalise.build_author(s), "author"))
+    return normalise.build_author_isbn(s, link, author, settle(normalise.build_role(s), "role"))
 
 
 @query("n9_review_type", with_tables({"r": BOOKS["isbn_rating"]}, """
@@ -190,7 +199,7 @@ SELECT row_number() OVER (ORDER BY slot, book_isbn_id) AS book_isbn_genre_id, bo
  GROUP BY 1, 2)"""))
 def _(t):
     s, link = linked(t)
-    return normalise.build_book_isbn_genre(s, link, normalise.build_genre(s))
+    return normalise.build_book_isbn_genre(s, link, settle(normalise.build_genre(s), "genre"))
 
 
 @query("n12_normalise_row_counts", with_tables(tables_sql("link"), f"""

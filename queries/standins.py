@@ -8,6 +8,7 @@ rules know; the same SQL text runs in both engines.
 from __future__ import annotations
 
 from queries.registry import Inputs
+from shelfmark.operators.settle import settle
 
 MONTH_NAME = ("CASE month(o_orderdate) WHEN 1 THEN 'January' WHEN 2 THEN 'February' WHEN 3 THEN 'March'"
               " WHEN 4 THEN 'April' WHEN 5 THEN 'May' WHEN 6 THEN 'June' WHEN 7 THEN 'July' WHEN 8 THEN 'August'"
@@ -102,8 +103,16 @@ FROM {{orders}} JOIN {{part}} ON p_partkey = o_custkey
 """
 
 
+def stored_standin(inputs: Inputs, name: str, text: str, key: str):
+    """A stand-in as a table in several files, which is what a job would read."""
+    def write(t: Inputs):
+        files = t.spark.sparkContext.defaultParallelism
+        return settle(t.sql(text).repartition(files, key), name)
+    return inputs.stored(name, write)
+
+
 def raw_books(inputs: Inputs):
-    return inputs.sql(RAW_BOOKS)
+    return stored_standin(inputs, "raw_books", RAW_BOOKS, "_src_pos")
 
 
 # A staging table, one row per order, with ISBNs of either kind, up to five
@@ -146,7 +155,7 @@ FROM {{orders}} JOIN {{part}} ON p_partkey = o_custkey
 
 
 def staging(inputs: Inputs):
-    return inputs.sql(STAGING)
+    return stored_standin(inputs, "staging", STAGING, "_src_pos")
 
 
 def for_duckdb(text: str) -> str:
@@ -209,8 +218,8 @@ FROM (SELECT l_partkey AS k, CAST(min(l_shipdate) AS DATE) AS d, CAST(sum(l_quan
 
 def books(inputs: Inputs) -> dict:
     """The normalised tables, as stand-ins."""
-    return {name: inputs.sql(text) for name, text in BOOKS.items()}
+    return {name: stored_standin(inputs, name, text, f"{name}_id") for name, text in BOOKS.items()}
 
 
 def raw_sales(inputs: Inputs):
-    return inputs.sql(RAW_SALES)
+    return stored_standin(inputs, "raw_sales", RAW_SALES, "isbn13")

@@ -7,16 +7,17 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from shelfmark.operators.settle import settle
 from shelfmark.operators.skew import salted_lookup
 
-BUCKET_BITS = 20
+BUCKET_BITS = 16
 
 
 def assign_ids(df: DataFrame, id_col: str, order_by: list[str], start_after: int = 0) -> DataFrame:
     """Dense ids after ``start_after`` in ``order_by`` order.
 
     The first order column must be a whole number few rows share, such as a
-    position or an id. Its high bits cut the rows into buckets of at most 2^20
+    position or an id. Its high bits cut the rows into buckets of at most 2^16
     values; ids are the rank inside the bucket plus the rows of the buckets
     before it. Only the bucket sizes, one row per bucket, meet in one task.
+    The rows are read twice, so settle them first if they are dear to make.
     """
     bucketed = df.withColumn("_bucket", F.shiftright(F.col(order_by[0]).cast("bigint"), BUCKET_BITS))
     earlier = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)

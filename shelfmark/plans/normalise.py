@@ -92,9 +92,10 @@ def build_book_isbn(staging: DataFrame, lookups: dict[str, DataFrame], pos: str
         F.col("series_name_norm").alias("series_name"),
         F.when(F.col("series_name_norm").isNotNull(), F.col("series_num").cast("decimal(10,2)")).alias("series_num"),
         F.col("pages_norm").alias("pages"))
+    rows = keys.assign_ids(rows, "book_isbn_id", [pos])
     for value, lookup in lookups.items():
         rows = lookup_join(rows, lookup, value, spread=pos)
-    return keys.assign_ids(rows, "book_isbn_id", [pos]).select(
+    return rows.select(
         "book_isbn_id", "isbn10", "isbn13", "book_id", "format_id", "edition_id", "publisher_id", "language_id",
         F.coalesce("is_boxset", F.lit(False)).alias("is_boxset"), "publish_date", "original_publish_date",
         "series_id", "series_num", "pages")
@@ -128,7 +129,8 @@ def build_author_isbn(staging: DataFrame, link: DataFrame, author: DataFrame, ro
     unique = in_slot.withColumn("_null_role", F.when(F.col("role_id").isNull(), F.col("_slot"))).groupBy(
         "book_isbn_id", "author_id", "role_id", "_null_role").agg(F.min("_slot").alias("_slot")).drop("_null_role")
     order = F.shiftleft(F.col("_slot").cast("bigint"), 56) + F.col("book_isbn_id")
-    return keys.assign_ids(unique.withColumn("_order", order), "author_isbn_id", ["_order", "author_id", "role_id"]).select(
+    unique = settle(unique.withColumn("_order", order), "contributors")
+    return keys.assign_ids(unique, "author_isbn_id", ["_order", "author_id", "role_id"]).select(
         "author_isbn_id", "book_isbn_id", "author_id", "role_id")
 
 
@@ -138,7 +140,8 @@ def build_isbn_rating(staging: DataFrame, link: DataFrame, pos: str = "_src_pos"
     long = joins.unpivot(linked(staging, link, pos), ["book_isbn_id"], types, "review_type_id", "count")
     long = long.groupBy("book_isbn_id", "review_type_id").agg(F.max("count").cast("int").alias("count"))
     order = F.shiftleft(F.col("review_type_id"), 56) + F.col("book_isbn_id")
-    return keys.assign_ids(long.withColumn("_order", order), "isbn_rating_id", ["_order"]).select(
+    long = settle(long.withColumn("_order", order), "ratings")
+    return keys.assign_ids(long, "isbn_rating_id", ["_order"]).select(
         "isbn_rating_id", "book_isbn_id", "review_type_id", "count")
 
 
@@ -149,7 +152,8 @@ def build_book_isbn_genre(staging: DataFrame, link: DataFrame, genre: DataFrame,
     pairs = (lookup_join(long, genre.select("genre", "genre_id"), "genre", "book_isbn_id", how="inner")
              .groupBy("book_isbn_id", "genre_id").agg(F.min("_slot").alias("_slot")))
     order = F.shiftleft(F.col("_slot").cast("bigint"), 56) + F.col("book_isbn_id")
-    return keys.assign_ids(pairs.withColumn("_order", order), "book_isbn_genre_id", ["_order", "genre_id"]).select(
+    pairs = settle(pairs.withColumn("_order", order), "genres")
+    return keys.assign_ids(pairs, "book_isbn_genre_id", ["_order", "genre_id"]).select(
         "book_isbn_genre_id", "book_isbn_id", "genre_id")
 
 

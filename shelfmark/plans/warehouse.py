@@ -11,6 +11,7 @@ from shelfmark.functions.formats import bestseller_category
 from shelfmark.functions.numbers import strip_currency
 from shelfmark.operators import joins, keys
 from shelfmark.operators.checks import RejectedRows, check_not_null
+from shelfmark.operators.settle import settle
 from shelfmark.operators.skew import lookup_join
 from shelfmark.schemas import AUTHOR_SLOTS, BOOK_DIM, COUNT_MEASURES, ETL_LOG, MEASURES, MONEY_MEASURES, SALES_STAGING
 
@@ -260,7 +261,8 @@ def init_sales_fact(sales: DataFrame, star: dict[str, DataFrame], oltp: dict[str
             .join(star["month_year_dim"], ["month", "year"]))
     rows = with_category(rows, star["nyt_bestseller_dim"], "inner")
     order = F.shiftleft(F.col("month_year_dim_id").cast("bigint"), 40) + F.col("book_dim_id")
-    return keys.assign_ids(rows.withColumn("_order", order), "sales_fact_id", ["_order"]).select(
+    rows = settle(rows.withColumn("_order", order), "fact")
+    return keys.assign_ids(rows, "sales_fact_id", ["_order"]).select(
         "sales_fact_id", "month_year_dim_id", *AUTHOR_SLOTS, "book_dim_id", "nyt_bestseller_dim_id", *MEASURES)
 
 
@@ -304,7 +306,7 @@ def monthly_fact(sales: DataFrame, star: dict[str, DataFrame], oltp: dict[str, D
     rows = (monthly.join(matched_books(star, sold), "isbn13")
             .join(F.broadcast(this_month), ["month", "year"])
             .join(ratings, "isbn13", "left"))
-    rows = with_category(rows, star["nyt_bestseller_dim"], "left")
+    rows = settle(with_category(rows, star["nyt_bestseller_dim"], "left"), "fact")
     return keys.assign_ids(rows, "sales_fact_id", ["book_dim_id", "isbn13"], start_after).select(
         "sales_fact_id", "month_year_dim_id", *AUTHOR_SLOTS, "book_dim_id", "nyt_bestseller_dim_id", *MEASURES,
         "avg_rating")
