@@ -218,7 +218,7 @@ def publish_date(x: str, as_of_year: int) -> str:
             f"WHEN {yy} + {century} < {as_of_year - 50} THEN {yy} + {century + 100} ELSE {yy} + {century} END")
     formats = "['%m/%d/%Y', '%B %d %Y', '%d %b %Y', '%Y-%m-%d', '%B %Y']"
     found = case([
-        (hit("d0", short), f"CAST(concat(lpad(concat('', {year}), 4, '0'), '-', {group('d0', short, 1)}, '-', "
+        (hit("d0", short), f"TRY_CAST(concat(lpad(concat('', {year}), 4, '0'), '-', {group('d0', short, 1)}, '-', "
                            f"{group('d0', short, 2)}) AS DATE)"),
         (hit("d0", r"^\d{3,4}$"), r"CASE WHEN regexp_matches(d0, '^\d{4}$') THEN CAST(concat(d0, '-01-01') AS DATE) END"),
     ], f"coalesce(CAST(try_strptime(d0, {formats}) AS DATE), "

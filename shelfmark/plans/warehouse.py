@@ -63,10 +63,10 @@ def duplicate_sales(existing: DataFrame | None, incoming: DataFrame) -> DataFram
 def not_loaded(sales: DataFrame) -> DataFrame:
     """Rows the warehouse does not have yet.
 
-    An equality reaches the Parquet scan, which skips row groups that are
-    loaded throughout by their statistics.
+    The test reaches the Parquet scan, which skips row groups that are loaded
+    throughout by their statistics.
     """
-    return sales.filter(F.col("loaded_to_warehouse") == F.lit(False))
+    return sales.filter(~F.col("loaded_to_warehouse"))
 
 
 def append_sales(existing: DataFrame | None, incoming: DataFrame) -> DataFrame:
