@@ -403,6 +403,10 @@ def staging_view(staging):
     return shown.withColumnsRenamed(renamed).select(STAGING_COLUMNS)
 
 
+def cleaned_books(t):
+    return t.stored("cleaned", lambda t: settle(cleaning.run_cleaning(raw_books(t), AS_OF_YEAR), "staging"))
+
+
 @query("run_cleaning", with_tables(
     cleaned_ctes(), "SELECT " + ", ".join(f'"{c}"' for c in STAGING_COLUMNS) + " FROM staging"))
 def _(t):
@@ -441,7 +445,7 @@ SELECT publisher_norm, count(*) AS n, sum(pages_norm) AS pages, count(DISTINCT b
 def _(t):
     import uuid
     path = f"{shared_folder(t.spark)}/staging-{uuid.uuid4().hex}"
-    files.write_staging(cleaning.run_cleaning(raw_books(t), AS_OF_YEAR), path)
+    files.write_staging(cleaned_books(t), path)
     return t.spark.read.parquet(path).groupBy("publisher_norm").agg(
         F.count("*").alias("n"), F.sum("pages_norm").alias("pages"), F.count_distinct("book_uid").alias("books"))
 
@@ -449,30 +453,26 @@ def _(t):
 @query("r22_cleaning_shapes", with_tables(cleaned_ctes(), """
 SELECT 'before' AS stage, count(*) AS rows FROM raw UNION ALL SELECT 'after', count(*) FROM staging"""))
 def _(t):
-    raw = raw_books(t)
-    return reports.cleaning_report(raw, cleaning.run_cleaning(raw, AS_OF_YEAR))["shapes"]
+    return reports.cleaning_report(raw_books(t), cleaned_books(t))["shapes"]
 
 
 @query("r22_several_editions", with_tables(cleaned_ctes(), """
 SELECT book_uid, count(*) AS n FROM staging GROUP BY 1 HAVING count(*) > 1"""))
 def _(t):
-    raw = raw_books(t)
-    return reports.cleaning_report(raw, cleaning.run_cleaning(raw, AS_OF_YEAR))["repeated_books"]
+    return reports.cleaning_report(raw_books(t), cleaned_books(t))["repeated_books"]
 
 
 @query("r22_box_sets", with_tables(cleaned_ctes(), """
 SELECT title_norm, series_name_norm, author_norm, is_boxset FROM staging WHERE is_boxset = 1"""))
 def _(t):
-    raw = raw_books(t)
-    return reports.cleaning_report(raw, cleaning.run_cleaning(raw, AS_OF_YEAR))["box_sets"].select(
+    return reports.cleaning_report(raw_books(t), cleaned_books(t))["box_sets"].select(
         "title_norm", "series_name_norm", "author_norm", "is_boxset")
 
 
 @query("r22_series", with_tables(cleaned_ctes(), """
 SELECT title_norm, series_name_norm, series_num, is_series FROM staging WHERE is_series"""))
 def _(t):
-    raw = raw_books(t)
-    return reports.cleaning_report(raw, cleaning.run_cleaning(raw, AS_OF_YEAR))["series"].select(
+    return reports.cleaning_report(raw_books(t), cleaned_books(t))["series"].select(
         "title_norm", "series_name_norm", "series_num", "is_series")
 
 
@@ -480,7 +480,7 @@ def _(t):
 SELECT publish_date AS "publishDate_norm", first_publish_date AS "firstPublishDate_norm", count(*) AS count FROM staging
 GROUP BY 1, 2 ORDER BY 1 NULLS LAST, 2 NULLS LAST LIMIT 50"""))
 def _(t):
-    return reports.publish_date_pairs(cleaning.run_cleaning(raw_books(t), AS_OF_YEAR))
+    return reports.publish_date_pairs(cleaned_books(t))
 
 
 @query("r23_odd_date_texts", with_tables(RAW, """

@@ -493,6 +493,14 @@ def _(t):
     return reports.fact_of_month(star(t), MONTH, YEAR).select("sales_fact_id", "book_dim_id", "total_sales", "month", "year")
 
 
+@query("r19_etl_log_of_day", over(f"""
+SELECT 'load_sales_to_warehouse' AS details, count(*) AS rows_from_raw_data FROM sales WHERE month = {MONTH} AND year = {YEAR}"""))
+def _(t):
+    log = reports.etl_log_since(t.stored("mart", loaded_store).read("etl_log"), RUN_DATE)
+    return (log.filter((F.col("details") == "load_sales_to_warehouse") & (F.col("run_date") == F.lit(RUN_TS)))
+            .select("details", "rows_from_raw_data"))
+
+
 @query("r19_loaded_count", over(f"SELECT count(*) AS n FROM sales WHERE month = {MONTH} AND year = {YEAR - 1}"))
 def _(t):
     return reports.loaded_count(staged(t), MONTH, YEAR - 1)

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from shelfmark.functions.numbers import weighted_rating
+from shelfmark.operators.dedup import first_per_key
 from shelfmark.operators.skew import is_small
 
 
@@ -85,8 +86,7 @@ def update_from(target: DataFrame, source: DataFrame, key: str, columns: list[st
 
     The source is first cut to one row per key, the lowest ``pick_by``.
     """
-    chosen = source.groupBy(key).agg(
-        F.min_by(F.struct(*columns), pick_by).alias("_new"))
+    chosen = first_per_key(source, [key], [pick_by]).select(key, F.struct(*columns).alias("_new"))
     kept = [F.when(F.col("_new").isNotNull(), F.col("_new")[c]).otherwise(F.col(c)).alias(c)
             if c in columns else F.col(c) for c in target.columns]
     return target.join(chosen, key, "left").select(*kept)

@@ -116,7 +116,10 @@ class MonthlyRun:
         return {name: self.store.read(name) for name in names}
 
     def sales(self, month: int, year: int) -> None:
-        """Add the month's fact part and unmatched rows, and mark its sales as loaded."""
+        """Add the month's fact part and unmatched rows, and mark its sales as loaded.
+
+        Fact ids grow with every load, so the last load holds the highest one.
+        """
         part, paths = month_part(month, year), self.store.paths()
         star = self.store_tables("book_dim", "author_dim", "month_year_dim", "nyt_bestseller_dim")
         oltp = self.store_tables("book_isbn", "author_isbn", "isbn_rating")
@@ -125,16 +128,15 @@ class MonthlyRun:
             sales = self.store.read(SALES, [part])
             read = warehouse.unloaded(sales, month, year).count()
         if read:
-            top = keys.max_id(self.store.read(FACT), "sales_fact_id") if FACT in self.store else 0
+            top = keys.max_id(self.store.read_newest(FACT), "sales_fact_id") if FACT in self.store else 0
             fact = self.store.write(FACT, warehouse.monthly_fact(sales, star, oltp, month, year, top))
             lost = self.store.write(UNMATCHED, warehouse.unmatched_sales(sales, star, oltp, month, year, self.run_ts))
             flagged = self.store.write(SALES, warehouse.mark_loaded(sales, month, year))
-            self.store.switch({
-                (FACT, part): [*paths.get((FACT, part), []), fact],
-                (UNMATCHED, part): [*paths.get((UNMATCHED, part), []), lost],
-                (SALES, part): [flagged],
-            })
             inserted = self.spark.read.parquet(fact).count()
+            parts = {(UNMATCHED, part): [*paths.get((UNMATCHED, part), []), lost], (SALES, part): [flagged]}
+            if inserted:
+                parts[FACT, part] = [*paths.get((FACT, part), []), fact]
+            self.store.switch(parts)
         self.log("synthetic", "load_sales_to_warehouse", read, inserted)
 
 

@@ -11,6 +11,7 @@ from shelfmark.functions.formats import bestseller_category
 from shelfmark.functions.numbers import strip_currency
 from shelfmark.operators import joins, keys
 from shelfmark.operators.checks import RejectedRows, check_not_null
+from shelfmark.operators.dedup import first_per_key
 from shelfmark.operators.settle import settle
 from shelfmark.operators.skew import lookup_join
 from shelfmark.schemas import AUTHOR_SLOTS, BOOK_DIM, COUNT_MEASURES, ETL_LOG, MEASURES, MONEY_MEASURES, SALES_STAGING
@@ -86,10 +87,8 @@ def backfill_sales(star: dict[str, DataFrame], existing: DataFrame | None = None
             .join(star["nyt_bestseller_dim"], "nyt_bestseller_dim_id", "left")
             .withColumn("nyt_best_selling_category", F.col("listed_as_desc"))
             .withColumn("loaded_to_warehouse", F.lit(True)))
-    first = rows.groupBy(SALES_KEY).agg(
-        F.min_by(F.struct(*[c for c in SALES_STAGING if c not in SALES_KEY]), "sales_fact_id").alias("_row"))
     keyless = rows.filter(F.col("isbn13").isNull()).select(SALES_STAGING)
-    one_each = first.filter(F.col("isbn13").isNotNull()).select(*SALES_KEY, "_row.*").select(SALES_STAGING)
+    one_each = first_per_key(rows.filter(F.col("isbn13").isNotNull()), SALES_KEY, ["sales_fact_id"]).select(SALES_STAGING)
     if existing is not None:
         one_each = joins.missing_rows(one_each, existing, SALES_KEY).select(SALES_STAGING)
     return one_each.unionByName(keyless)

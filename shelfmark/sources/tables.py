@@ -27,6 +27,7 @@ class TableStore:
         self.spark = spark
         self.root = root.rstrip("/")
         self._current: dict[tuple[str, str], list[str]] | None = None
+        self._since: dict[tuple[str, str], int] = {}
         self._version = 0
 
     def _load(self) -> None:
@@ -40,6 +41,7 @@ class TableStore:
             F.max_by("paths", "version").alias("paths"), F.max("version").alias("version"))
         for row in latest.collect():
             self._current[row["table"], row["part"]] = list(row["paths"])
+            self._since[row["table"], row["part"]] = row["version"]
             self._version = max(self._version, row["version"])
 
     def paths(self) -> dict[tuple[str, str], list[str]]:
@@ -57,6 +59,11 @@ class TableStore:
                    if name == table and (parts is None or part in parts)]
         return self.spark.read.parquet(*current)
 
+    def read_newest(self, table: str) -> DataFrame:
+        """The rows added last to a table that only grows."""
+        parts = [key for key in self.paths() if key[0] == table]
+        return self.spark.read.parquet(self.paths()[max(parts, key=self._since.get)][-1])
+
     def read_all(self) -> dict[str, DataFrame]:
         return {name: self.read(name) for name in {name for name, _ in self.paths()}}
 
@@ -75,6 +82,7 @@ class TableStore:
          .write.mode("append").json(f"{self.root}/_manifest"))
         self._version += 1
         self._current.update(parts)
+        self._since.update(dict.fromkeys(parts, self._version))
 
     def publish(self, tables: dict[str, DataFrame]) -> None:
         """Replace whole tables."""
