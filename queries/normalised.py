@@ -329,8 +329,8 @@ def _(t):
 
 OLD_NEW = {
     "old": "SELECT c_custkey AS id, c_name AS name, c_mktsegment AS seg, TIMESTAMP '2025-01-01 00:00:00' AS updated_at FROM {customer}",
-    "new": """SELECT c_custkey AS id, CASE WHEN c_custkey % 7 = 0 THEN concat(c_name, ' jr') ELSE c_name END AS name,
-        c_mktsegment AS seg, TIMESTAMP '2025-02-02 00:00:00' AS updated_at FROM {customer} WHERE c_custkey % 11 <> 0
+    "new": """SELECT c_custkey AS id, CASE WHEN c_mktsegment = 'MACHINERY' THEN concat(c_name, ' jr') ELSE c_name END AS name,
+        c_mktsegment AS seg, TIMESTAMP '2025-02-02 00:00:00' AS updated_at FROM {customer} WHERE c_mktsegment <> 'BUILDING'
         UNION ALL SELECT s_suppkey + 100000000, s_name, 'NEW', TIMESTAMP '2025-02-02 00:00:00' FROM {supplier}""",
 }
 
@@ -372,8 +372,8 @@ def _(t):
 RATING_CHANGES = {
     "old": BOOKS["isbn_rating"],
     "new": """SELECT isbn_rating_id, book_isbn_id, review_type_id,
-        CAST(CASE WHEN isbn_rating_id % 5 = 0 THEN count + 1 ELSE count END AS INT) AS count FROM ("""
-           + BOOKS["isbn_rating"] + """) r WHERE book_isbn_id % 7 <> 0
+        CAST(CASE WHEN review_type_id = 1 THEN count + 1 ELSE count END AS INT) AS count FROM ("""
+           + BOOKS["isbn_rating"] + """) r WHERE NOT (review_type_id = 3 AND count < 150)
         UNION ALL SELECT 1000000000 + s_suppkey, s_suppkey, CAST(1 + s_suppkey % 6 AS BIGINT), 9 FROM {supplier}""",
 }
 
