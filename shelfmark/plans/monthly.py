@@ -26,6 +26,8 @@ def store_sales(store: TableStore, sales: DataFrame) -> None:
     folders leave the columns in the files.
     """
     months = [(r["month"], r["year"]) for r in sales.select("month", "year").distinct().collect()]
+    if not months:
+        return
     foldered = sales.withColumns({"part_year": F.col("year"), "part_month": F.col("month")})
     root = store.write(SALES, foldered, ["part_year", "part_month"])
     store.switch({(SALES, month_part(month, year)): [f"{root}/part_year={year}/part_month={month}"]
