@@ -14,7 +14,7 @@ from shelfmark.operators.checks import RejectedRows, check_not_null
 from shelfmark.operators.dedup import first_per_key
 from shelfmark.operators.settle import settle
 from shelfmark.operators.skew import lookup_join
-from shelfmark.schemas import AUTHOR_SLOTS, BOOK_DIM, COUNT_MEASURES, ETL_LOG, MEASURES, MONEY_MEASURES, SALES_STAGING
+from shelfmark.schemas import AUTHOR_SLOTS, BOOK_DIM, COUNT_MEASURES, ETL_LOG, MEASURES, MONEY_MEASURES, SALES_STAGING, SALES_TYPES
 
 SALES_KEY = ["isbn13", "month", "year"]
 
@@ -75,7 +75,8 @@ def append_sales(existing: DataFrame | None, incoming: DataFrame) -> DataFrame:
     clash = duplicate_sales(existing, incoming).first()
     if clash is not None:
         raise RejectedRows(f"duplicate key ({', '.join(SALES_KEY)}): {tuple(clash)}")
-    fresh = incoming.drop("loaded_to_warehouse").withColumn("loaded_to_warehouse", F.lit(False)).select(SALES_STAGING)
+    fresh = incoming.drop("loaded_to_warehouse").withColumn("loaded_to_warehouse", F.lit(False)).select(
+        [F.col(c).cast(kind).alias(c) for c, kind in SALES_TYPES.items()])
     return fresh if existing is None else existing.select(SALES_STAGING).unionByName(fresh)
 
 

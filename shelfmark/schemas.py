@@ -26,7 +26,11 @@ REVIEW_TYPES = [(1, "5_star"), (2, "4_star"), (3, "3_star"), (4, "2_star"), (5,
 
 AUTHOR_SLOTS = [f"author_dim_id_{i}" for i in range(1, 6)]
 
-SALES_STAGING = ["isbn13", "month", "year", *MEASURES, "nyt_best_selling_category", "loaded_to_warehouse"]
+SALES_TYPES = (
+    {"isbn13": "string", "month": "int", "year": "int"}
+    | {c: "decimal(10,2)" if c in MONEY_MEASURES else "int" for c in MEASURES}
+    | {"nyt_best_selling_category": "string", "loaded_to_warehouse": "boolean"})
+SALES_STAGING = list(SALES_TYPES)
 
 BOOK_DIM = ["book_isbn_id", "book_title", "isbn_13", "publisher", "format", "language",
             "effective_date", "expire_date", "current_flag"]
