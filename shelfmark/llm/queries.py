@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shelfmark.llm import neardup, substring
+from shelfmark.llm import bpe, fingerprints, mixing, neardup, records, sharding, substring, topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -30,6 +31,21 @@ WORDS_SQL = r"""words AS (
   FROM documents)"""
 
 
+@query("op1_bpe_transducer")
+def op1(spark, sf_dir):
+    return bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query("op2_simhash_fingerprints")
+def op2(spark, sf_dir):
+    return fingerprints.compare(table(spark, sf_dir, "documents"))
+
+
+@query("op3_binary_records")
+def op3(spark, sf_dir):
+    return records.through_files(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 @query("op6_substring_dedup", f"""
 WITH {WORDS_SQL},
 starts AS (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS s FROM words WHERE len(w) >= 20),
@@ -45,6 +61,30 @@ def op6(spark, sf_dir):
     return substring.remove_repeats(table(spark, sf_dir, "documents")).drop("kept_text")
 
 
+@query("op7_pivotal_mixing")
+def op7(spark, sf_dir):
+    return mixing.copies(table(spark, sf_dir, "documents"))
+
+
+@query("op8_pivot_distance_top_k", """
+WITH whole AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(CAST(q.v AS DOUBLE[]), CAST(c.v AS DOUBLE[])) AS BIGINT) AS score
+  FROM whole q JOIN whole c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 10""")
+def op8(spark, sf_dir):
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+@query("op9_minimax_shards")
+def op9(spark, sf_dir):
+    return sharding.shards_by_bytes(table(spark, sf_dir, "documents"))
+
+
 @query("op10_simhash_near_dedup")
 def op10(spark, sf_dir):
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
