@@ -18,13 +18,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from shelfmark.llm.common import NULL_ID, Windows, columns, id_or_last, slices, split_words, whole_runs, word_hashes
+from shelfmark.llm.common import NULL_ID, Windows, id_or_last, slices, split_words, word_hashes
 
 #: Perfect difference sets, by period.
 COVERS = {1: (0,), 3: (0, 1), 7: (1, 2, 4), 13: (0, 1, 3, 9), 21: (3, 6, 7, 12, 14), 31: (1, 5, 11, 24, 25, 27)}
 WINDOW = 20
-#: Rows of one anchor held at once; a longer run needs no holding, all of it is repeated.
-RUN_ROWS = 4096
+#: Buckets of hashes for each shuffle partition; a task sorts one bucket at a time.
+BUCKETS = 4
 WORDS = re.compile(rb"[^\x20\x09-\x0D]+")
 
 
@@ -33,12 +33,64 @@ def period_for(window: int) -> int:
     return max(p for p in COVERS if window - p + 1 >= max(1, window // 3))
 
 
-def _anchors(batches: Iterable[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
-    """Anchors of each document: (key, id, position, known, packed).
+def narrow(numbers: np.ndarray) -> bytes:
+    """Whole numbers from 0 on in the fewest bytes that hold the largest, after a byte that tells how many."""
+    top = int(numbers.max()) if len(numbers) else 0
+    width = next(w for w in (1, 2, 4, 8) if top < 1 << (8 * w))
+    return bytes([width]) + numbers.astype(f"<u{width}").tobytes()
 
-    Equal anchors of one piece are known to be repeated: their positions leave
-    packed, one row per document, and one anchor stands for them all, so that
-    a passage of very many copies stays a few rows for each task.
+
+def wide(packed: bytes) -> np.ndarray:
+    return np.frombuffer(packed, f"<u{packed[0]}", offset=1).astype(np.int64)
+
+
+#: A pack holds rows of one bucket: the first id, hashes, steps between ids, positions, and whether
+#: the row's repeats are settled. Rows without ``marks`` hold settled positions of one document.
+PACK = "bucket int, id long, positions binary, marks binary, checks binary, steps binary, known binary"
+PACK_NAMES = [c.split()[0] for c in PACK.split(", ")]
+PACK_TYPES = [pa.int32(), pa.int64(), *[pa.binary()] * 5]
+PACKED_TYPES = "id long, packed binary"
+
+
+def _packs(hashes: np.ndarray, checks: np.ndarray | None, ids: np.ndarray, position: np.ndarray, known: np.ndarray,
+           buckets: int) -> list[tuple]:
+    """The rows as one pack for each bucket. Within a bucket 32 bits of an anchor's hash do, since its match is checked."""
+    bucket = ((hashes >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
+    order = np.lexsort((ids, bucket))
+    cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
+    out = []
+    for b in np.flatnonzero(np.diff(cuts)).tolist():
+        at = order[cuts[b]:cuts[b + 1]]
+        marks = hashes[at].astype("<u4") if checks is None else hashes[at]
+        out.append((b, int(ids[at[0]]), narrow(position[at]), marks.tobytes(),
+                    None if checks is None else checks[at].astype("<u2").tobytes(),
+                    narrow(np.diff(ids[at], prepend=ids[at[0]])), np.packbits(known[at]).tobytes()))
+    return out
+
+
+def _by_document(ids: np.ndarray, position: np.ndarray) -> list[tuple[int, bytes]]:
+    """(id, packed positions), for rows in any order."""
+    order = np.lexsort((position, ids))
+    ids, small = ids[order], position[order].astype("<i4")
+    cuts = np.flatnonzero(np.concatenate(([True], ids[1:] != ids[:-1]))) if len(ids) else []
+    return [(int(ids[a]), small[a:b].tobytes()) for a, b in zip(cuts, [*cuts[1:], len(ids)])]
+
+
+def _settled(ids: np.ndarray, position: np.ndarray, buckets: int) -> list[tuple]:
+    """Positions settled in the map task, one row for each document, spread by document."""
+    return [(hash(i) % buckets, i, packed, None, None, None, None) for i, packed in _by_document(ids, position)]
+
+
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), PACK_TYPES)], PACK_NAMES)
+
+
+def _anchors(batches: Iterable[pa.RecordBatch], window: int, buckets: int) -> Iterator[pa.RecordBatch]:
+    """Anchors of each document, in packs.
+
+    Equal anchors of one piece are known to be repeated: their positions are
+    settled here and one anchor stands for them all, so that a passage of very
+    many copies stays a few rows for each task.
     """
     period = period_for(window)
     cover = np.zeros(period, bool)
@@ -53,86 +105,19 @@ def _anchors(batches: Iterable[pa.RecordBatch], window: int) -> Iterator[pa.Reco
         at = np.flatnonzero(cover[position % period] & (position + length <= room) & (room >= window))
         if not len(at):
             continue
-        row = np.repeat(np.arange(len(counts)), counts)[at]
-        keys = Windows(word_hashes(words)[0][codes]).at(at, length).view(np.int64)
-        order = np.argsort(keys, kind="stable")
-        first = np.concatenate(([True], keys[order][1:] != keys[order][:-1]))
+        ids = np.repeat(ids, counts)[at]
+        hashes = Windows(word_hashes(words)[0][codes]).at(at, length)
+        order = np.argsort(hashes, kind="stable")
+        first = np.concatenate(([True], hashes[order][1:] != hashes[order][:-1]))
         sizes = np.diff(np.append(np.flatnonzero(first), len(order)))
         stands = order[first]
-        again = np.sort(order[np.repeat(sizes > 1, sizes)])
-        yield _rows(keys[stands], ids[row[stands]], position[at[stands]], sizes > 1, None)
-        if len(again):
-            yield _packed(ids, row[again], position[at[again]])
-
-
-def _rows(keys, ids, position, known, packed) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([
-        pa.array(keys, pa.int64()), pa.array(ids, pa.int64()), pa.array(position, pa.int32()), pa.array(known, pa.bool_()),
-        pa.nulls(len(keys), pa.binary()) if packed is None else pa.array(packed, pa.binary())], ANCHOR_NAMES)
-
-
-def _packed(ids, row, position) -> pa.RecordBatch:
-    """One row for each document with all its positions; spread by document."""
-    cuts = np.flatnonzero(np.concatenate(([True], row[1:] != row[:-1])))
-    bounds = np.append(cuts, len(row))
-    small = position.astype("<i4")
-    packed = [small[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:])]
-    spread = ids[row[cuts]].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    n = len(cuts)
-    return _rows(spread.view(np.int64), ids[row[cuts]], np.zeros(n, np.int32), np.ones(n, bool), packed)
-
-
-ANCHOR_NAMES = ["key", "id", "position", "known", "packed"]
-ANCHOR_TYPES = "key long, id long, position int, known boolean, packed binary"
-PACKED_TYPES = "id long, packed binary"
+        again = order[np.repeat(sizes > 1, sizes)]
+        yield _batch(_packs(hashes[stands], None, ids[stands], position[at[stands]], sizes > 1, buckets)
+                     + _settled(ids[again], position[at[again]], buckets))
 
 
-def _out(ids: np.ndarray, packed: pa.Array) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), packed], ["id", "packed"])
-
-
-def _four_bytes(position: np.ndarray) -> pa.Array:
-    raw = pa.py_buffer(position.astype("<i4").tobytes())
-    return pa.Array.from_buffers(pa.binary(4), len(position), [None, raw]).cast(pa.binary())
-
-
-def _passed_on(batches: Iterable[pa.RecordBatch], found: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Takes packed rows out into ``found``; goes on with the others, without their last column."""
-    for batch in batches:
-        packed = batch.column("packed")
-        done = packed.is_valid()
-        if packed.null_count < len(packed):
-            found.append(_out(batch.column("id").filter(done), packed.filter(done)))
-        yield batch.filter(packed.is_null()).select(range(batch.num_columns - 1))
-
-
-def _repeated(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Positions of anchors that stand in more than one row of a key; rows come sorted by key."""
-    found: list[pa.RecordBatch] = []
-    for (key, ids, position, known), whole in whole_runs(_passed_on(batches, found), RUN_ROWS):
-        if whole:
-            same = key[1:] == key[:-1]
-            more = np.concatenate((same, [False])) | np.concatenate(([False], same))
-        else:
-            more = np.ones(len(key), bool)
-        more &= ~known.astype(bool)
-        if more.any():
-            yield _out(ids[more], _four_bytes(position[more]))
-        yield from found
-        found.clear()
-    yield from found
-
-
-WINDOW_NAMES = ["key", "check", "id", "position", "packed"]
-WINDOW_TYPES = "key long, check long, id long, position int, packed binary"
-
-
-def _windows(batches: Iterable[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
-    """Whole windows around repeated anchors: (key, check, id, start, packed).
-
-    A window that starts earlier in the same piece is settled here, and its
-    later starts leave packed.
-    """
+def _windows(batches: Iterable[pa.RecordBatch], window: int, buckets: int) -> Iterator[pa.RecordBatch]:
+    """Whole windows around repeated anchors, in packs; those that start earlier in the same piece are settled here."""
     reach = period_for(window)
     for part in slices(batches):
         starts, codes, words = split_words(part.column(1))
@@ -148,51 +133,86 @@ def _windows(batches: Iterable[pa.RecordBatch], window: int) -> Iterator[pa.Reco
         at = np.flatnonzero((np.cumsum(opens[:-1]) > 0) & (position + window <= np.repeat(counts, counts)))
         if not len(at):
             continue
-        row = np.repeat(np.arange(len(counts)), counts)[at]
+        ids, position = np.repeat(ids, counts)[at], position[at]
         one, two = word_hashes(words)
-        keys = Windows(one[codes]).at(at, window).view(np.int64)
-        checks = Windows(two[codes], 0xC2B2AE3D27D4EB4F).at(at, window).view(np.int64)
-        order = np.lexsort((position[at], ids[row], checks, keys))
-        k, c = keys[order], checks[order]
-        first = np.concatenate(([True], (k[1:] != k[:-1]) | (c[1:] != c[:-1])))
-        stands = order[first]
-        its = stands[np.cumsum(first) - 1]
-        later = np.sort(order[(ids[row[order]] != ids[row[its]]) | (position[at[order]] != position[at[its]])])
-        yield pa.RecordBatch.from_arrays([
-            pa.array(keys[stands]), pa.array(checks[stands]), pa.array(ids[row[stands]], pa.int64()),
-            pa.array(position[at[stands]], pa.int32()), pa.nulls(len(stands), pa.binary())], WINDOW_NAMES)
-        if len(later):
-            packed = _packed(ids, row[later], position[at[later]])
-            yield pa.RecordBatch.from_arrays([
-                packed.column(0), packed.column(0), packed.column(1), packed.column(2), packed.column(4)], WINDOW_NAMES)
+        hashes = Windows(one[codes]).at(at, window)
+        checks = Windows(two[codes], 0xC2B2AE3D27D4EB4F).at(at, window) >> np.uint64(48)
+        first, later = _first_and_later(hashes, checks, ids, position)
+        yield _batch(_packs(hashes[first], checks[first], ids[first], position[first], np.zeros(len(first), bool), buckets)
+                     + _settled(ids[later], position[later], buckets))
+
+
+def _first_and_later(hashes, checks, ids, position) -> tuple[np.ndarray, np.ndarray]:
+    """Of each window the first row, and the rows of later starts."""
+    order = np.lexsort((position, ids, checks, hashes))
+    h, c = hashes[order], checks[order]
+    opens = np.concatenate(([True], (h[1:] != h[:-1]) | (c[1:] != c[:-1]))) if len(h) else np.zeros(0, bool)
+    first = order[opens]
+    its = first[np.cumsum(opens) - 1]
+    return first, order[(ids[order] != ids[its]) | (position[order] != position[its])]
+
+
+def _out(rows: list[tuple[int, bytes]]) -> pa.RecordBatch:
+    ids, packed = zip(*rows) if rows else ((), ())
+    return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(packed, pa.binary())], ["id", "packed"])
+
+
+def _buckets(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[list[tuple], pa.RecordBatch | None]]:
+    """(the packs of one whole bucket, None), and (no packs, settled rows); rows come sorted by bucket."""
+    held: list[tuple] = []
+    for batch in batches:
+        settled = batch.filter(batch.column("marks").is_null())
+        if settled.num_rows:
+            yield [], pa.RecordBatch.from_arrays([settled.column("id"), settled.column("positions")], ["id", "packed"])
+        packs = batch.filter(batch.column("marks").is_valid())
+        for row in zip(*(c.to_pylist() for c in packs.columns)):
+            if held and held[0][0] != row[0]:
+                yield held, None
+                held = []
+            held.append(row)
+    if held:
+        yield held, None
+
+
+def _rows(packs: list[tuple]) -> tuple[np.ndarray, ...]:
+    """(hashes, checks, ids, positions, known) of a bucket's packs."""
+    _, first, position, marks, checks, steps, known = zip(*packs)
+    position = [wide(p) for p in position]
+    kind = "<u4" if checks[0] is None else "<u8"
+    return (np.concatenate([np.frombuffer(m, kind) for m in marks]),
+            np.concatenate([np.frombuffer(c or b"", "<u2") for c in checks]),
+            np.concatenate([np.cumsum(wide(s)) + i for s, i in zip(steps, first)]), np.concatenate(position),
+            np.concatenate([np.unpackbits(np.frombuffer(k, np.uint8), count=len(p)) for k, p in zip(known, position)]).astype(bool))
+
+
+def _repeated(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Positions of anchors that occur more than once."""
+    for packs, settled in _buckets(batches):
+        if settled is not None:
+            yield settled
+            continue
+        hashes, _, ids, position, known = _rows(packs)
+        order = np.argsort(hashes, kind="stable")
+        same = hashes[order][1:] == hashes[order][:-1]
+        again = order[(np.concatenate((same, [False])) | np.concatenate(([False], same))) & ~known[order]]
+        yield _out(_by_document(ids[again], position[again]))
 
 
 def _later(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of each (key, check) after its first (id, start); rows come sorted by key, check, id, start."""
-    found: list[pa.RecordBatch] = []
-    first = None
-    for batch in _passed_on(batches, found):
-        yield from found
-        found.clear()
-        if not batch.num_rows:
+    """Starts of windows that also start earlier."""
+    for packs, settled in _buckets(batches):
+        if settled is not None:
+            yield settled
             continue
-        rows = columns(batch)
-        if first is not None:
-            rows = [np.concatenate(([f], c)) for f, c in zip(first, rows)]
-        key, check, ids, position = rows
-        opens = np.concatenate(([True], (key[1:] != key[:-1]) | (check[1:] != check[:-1])))
-        its = np.flatnonzero(opens)[np.cumsum(opens) - 1]
-        later = (ids != ids[its]) | (position != position[its])
-        first = [c[its[-1]] for c in rows]
-        if later.any():
-            yield _out(ids[later], _four_bytes(position[later]))
-    yield from found
+        hashes, checks, ids, position, _ = _rows(packs)
+        _, later = _first_and_later(hashes, checks, ids, position)
+        yield _out(_by_document(ids[later], position[later]))
 
 
 def _cut(batches: Iterable[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         out: list[tuple] = []
-        for row, text, later in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+        for text, later in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
             raw = (text or "").encode()
             words = raw.split()
             n, kept_text, runs = len(words), text, 0
@@ -212,44 +232,55 @@ def _cut(batches: Iterable[pa.RecordBatch], window: int) -> Iterator[pa.RecordBa
                 heads = keep[np.concatenate(([0], breaks + 1))].tolist() if len(keep) else []
                 tails = keep[np.concatenate((breaks, [len(keep) - 1]))].tolist() if len(keep) else []
                 kept_text = b" ".join(raw[spans[a][0]:spans[b][1]] for a, b in zip(heads, tails)).decode()
-            out.append((row, kept_text, n, runs, hashlib.sha256(b" ".join(words)).hexdigest()))
+            out.append((kept_text, n, runs, hashlib.sha256(b" ".join(words)).hexdigest()))
+        made = [pa.array(c, t) for c, t in zip(list(zip(*out)) or [[]] * 4, (pa.string(), pa.int64(), pa.int64(), pa.string()))]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(c, t) for c, t in zip(list(zip(*out)) or [[]] * 5, (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string()))],
-            ["id", "kept_text", "n_words", "n_removed", "kept_sha256"])
+            [batch.column(0), *batch.columns[3:], *made],
+            ["id", *batch.schema.names[3:], "kept_text", "n_words", "n_removed", "kept_sha256"])
 
 
-def repeated_starts(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                    window: int = WINDOW) -> tuple[DataFrame, DataFrame]:
+def repeated_starts(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW,
+                    keep: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
     """(texts by id, starts of windows that occur earlier, packed as 4-byte integers by id)."""
-    texts = documents.select(id_or_last(id_col).alias("id"), F.col(text_col).alias("text"))
-    anchors = texts.filter(F.col("text").isNotNull()).mapInArrow(lambda b: _anchors(b, window), ANCHOR_TYPES)
-    repeated = (anchors.repartition("key").sortWithinPartitions("key").mapInArrow(_repeated, PACKED_TYPES)
+    parts = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    buckets = parts * BUCKETS
+
+    def by_bucket(packs: DataFrame) -> DataFrame:
+        return packs.repartitionById(parts, F.col("bucket") % parts).sortWithinPartitions("bucket")
+    texts = documents.select(id_or_last(id_col).alias("id"), F.col(text_col).alias("text"), *keep)
+    anchors = (texts.filter(F.col("text").isNotNull()).select("id", "text")
+               .mapInArrow(lambda b: _anchors(b, window, buckets), PACK))
+    repeated = (by_bucket(anchors).mapInArrow(_repeated, PACKED_TYPES)
                 .groupBy("id").agg(F.collect_list("packed").alias("packed")))
-    windows = texts.join(repeated, "id").mapInArrow(lambda b: _windows(b, window), WINDOW_TYPES)
-    later = (windows.repartition("key").sortWithinPartitions("key", "check", "id", "position").mapInArrow(_later, PACKED_TYPES)
+    windows = (texts.join(repeated, "id").select("id", "text", "packed")
+               .mapInArrow(lambda b: _windows(b, window, buckets), PACK))
+    later = (by_bucket(windows).mapInArrow(_later, PACKED_TYPES)
              .groupBy("id").agg(F.collect_list("packed").alias("packed")))
     return texts, later
 
 
-def remove_repeats(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                   window: int = WINDOW) -> DataFrame:
+def remove_repeats(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW,
+                   keep: tuple[str, ...] = ()) -> DataFrame:
     """Each document without the words of windows that also start earlier.
 
-    Returns ``id_col``, ``kept_text``, ``n_words``, ``n_removed`` and
-    ``kept_sha256`` (digest of the kept words joined by one space). What is
-    left of a changed text keeps its white space, except where words went.
+    Returns ``id_col``, the columns ``keep``, ``kept_text``, ``n_words``,
+    ``n_removed`` and ``kept_sha256`` (digest of the kept words joined by one
+    space). What is left of a changed text keeps its white space, except where
+    words went.
 
     A null text has no words and stays null; texts of fewer than ``window``
     words are never changed; an empty table gives an empty result. A null id
     stands after all others. Rows that share an id are read as one document:
-    a word position that goes in one of them goes in each. Other columns are
-    not read, whatever their names.
+    a word position that goes in one of them goes in each. Columns not in
+    ``keep`` are not read, whatever their names.
     """
-    texts, later = repeated_starts(documents, id_col, text_col, window)
-    id_type = documents.schema[id_col].dataType
-    cut = (texts.join(later, "id", "left")
-           .select("id", "text", "packed")
+    names = [f"kept_column_{i}" for i in range(len(keep))]
+    plain = documents.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), *[F.col(c).alias(n) for c, n in zip(keep, names)])
+    texts, later = repeated_starts(plain, "id", "text", window, tuple(names))
+    kinds = "".join(f"{n} {plain.schema[n].dataType.simpleString()}, " for n in names)
+    cut = (texts.join(later, "id", "left").select("id", "text", "packed", *names)
            .mapInArrow(lambda b: _cut(b, window),
-                       "id long, kept_text string, n_words long, n_removed long, kept_sha256 string"))
-    own_id = F.when(F.col("id") != NULL_ID, F.col("id")).cast(id_type)
-    return cut.select(own_id.alias(id_col), "kept_text", "n_words", "n_removed", "kept_sha256")
+                       f"id long, {kinds}kept_text string, n_words long, n_removed long, kept_sha256 string"))
+    own_id = F.when(F.col("id") != NULL_ID, F.col("id")).cast(documents.schema[id_col].dataType)
+    return cut.select(own_id.alias(id_col), *[F.col(n).alias(c) for c, n in zip(keep, names)],
+                      "kept_text", "n_words", "n_removed", "kept_sha256")

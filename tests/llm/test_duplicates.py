@@ -54,8 +54,7 @@ def test_repeats_match_brute_force(spark, window):
     assert got == brute_substring(rows, window)
 
 
-def test_many_copies_of_a_passage_in_small_pieces(spark, monkeypatch):
-    monkeypatch.setattr(substring, "RUN_ROWS", 3)
+def test_many_copies_of_a_passage(spark):
     passage = " ".join(f"w{i}" for i in range(25))
     rows = [(i, f"{passage} own{i}") for i in range(40)]
     df = documents(spark, rows).repartition(12)
@@ -67,7 +66,7 @@ def test_many_copies_of_a_passage_in_small_pieces(spark, monkeypatch):
 def test_kept_text_keeps_its_white_space(spark):
     passage = " ".join(f"w{i}" for i in range(20))
     rows = [(1, f"head\n\n{passage}"), (2, f"an  other\nline {passage}\ttail \n end")]
-    kept = {r.doc_id: r.kept_text for r in substring.remove_repeats(documents(spark, rows)).collect()}
+    kept = {r.doc_id: r.kept_text for r in substring.remove_repeats(documents(spark, rows), keep=("mark", "KEY")).collect()}
     assert kept == {1: f"head\n\n{passage}", 2: "an  other\nline tail \n end"}
 
 
