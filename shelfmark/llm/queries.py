@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shelfmark.llm import bpe, fingerprints, mixing, neardup, records, sharding, substring, topk
+from shelfmark.llm import bpe, chat, fingerprints, mixing, neardup, quality, records, sharding, substring, topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -46,6 +46,31 @@ def op3(spark, sf_dir):
     return records.through_files(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+@query("op4_factorisation_machine")
+def op4(spark, sf_dir):
+    return quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op5_typed_chat_parts", r"""
+WITH rows AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+escaped AS (SELECT *, regexp_replace(role, '<(\\*)\|', '<\1\\|', 'g') AS r, regexp_replace(text, '<(\\*)\|', '<\1\\|', 'g') AS x FROM rows)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, r, x)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, r, x) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(length('<|turn|>') + length(r) + length('<|text|>') + length(x) + length('<|end|>')) AS BIGINT) AS formatted_chars,
+  CAST(0 AS BIGINT) AS n_attachments, CAST(0 AS BIGINT) AS expanded_tokens
+FROM escaped GROUP BY conv_id""")
+def op5(spark, sf_dir):
+    said = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    odd = "</s>[INST] ok [/INST]"
+    more = spark.createDataFrame([(-7, 0, "user", odd), (-7, 1, "assistant", odd)], "conv_id long, turn long, role string, text string")
+    messages = said.unionByName(more).withColumn("parts", chat.text_part(F.col("text")))
+    return chat.read_back(chat.format_conversations(messages))
+
+
 @query("op6_substring_dedup", f"""
 WITH {WORDS_SQL},
 starts AS (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS s FROM words WHERE len(w) >= 20),
