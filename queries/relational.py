@@ -11,7 +11,7 @@ from queries.registry import query
 from shelfmark.functions import dates, formats, names, numbers
 from shelfmark.functions.text import first_match
 from shelfmark.operators import aggregates, dedup, joins, keys, sets
-from shelfmark.operators.skew import lookup_join, salted_lookup
+from shelfmark.operators.skew import salted_lookup
 from shelfmark.sources import tables
 
 MONEY = "decimal(12,2)"
@@ -213,8 +213,8 @@ LEFT JOIN region ON r_regionkey = n_regionkey""")
 def _(t):
     nations = t.nation.withColumnRenamed("n_nationkey", "c_nationkey")
     regions = t.region.withColumnRenamed("r_regionkey", "n_regionkey")
-    rows = lookup_join(t.customer.select("c_custkey", "c_nationkey"), nations, "c_nationkey", "c_custkey")
-    return lookup_join(rows, regions, "n_regionkey", "c_custkey").select("c_custkey", "n_name", "r_name")
+    rows = t.customer.select("c_custkey", "c_nationkey").join(nations, "c_nationkey", "left")
+    return rows.join(regions, "n_regionkey", "left").select("c_custkey", "n_name", "r_name")
 
 
 @query("j2_salted_lookup", """

@@ -97,9 +97,30 @@ NOT_A_GENRE = ("century", "grade", "own", "mine", "unfinished", "did not finish"
 MAX_GENRES = 10
 
 
+# A quoted text, and what a list text may hold: texts, and numbers or names.
+QUOTED = r"""(?:'[^'\\]*+(?:\\.[^'\\]*+)*+'|"[^"\\]*+(?:\\.[^"\\]*+)*+")"""
+ITEM = rf"(?:{QUOTED}|[\w.+-]++)"
+ITEMS = rf"(?s)^\s*+(?:{ITEM}?+\s*+,\s*+)*+{ITEM}?+\s*+$"
+LIST = r"(?s)^\s*\[(.*)\]\s*$"
+TEXT_OR_LIST = rf"(?s)({QUOTED})|\[(?:{QUOTED}|[^\[\]'\"]++)*+\]"
+MOST_NESTED = 3
+
+
+def list_texts(c: Column) -> Column:
+    """The texts of a list text, at its top level, escapes decoded; null unless it is a list."""
+    items = F.regexp_extract(c, LIST, 1)
+    for _ in range(MOST_NESTED):  # innermost lists first; a list in the list is no text
+        items = F.regexp_replace(items, F.lit(TEXT_OR_LIST), F.lit("$1"))
+    texts = F.concat(F.lit("["), F.array_join(F.regexp_extract_all(items, F.lit(f"(?s){QUOTED}"), F.lit(0)), ","), F.lit("]"))
+    # JSON has no two-digit escapes.
+    texts = F.regexp_replace(texts, F.lit(r"(?<!\\)((?:\\\\)*+)\\x([0-9a-fA-F]{2})"), F.lit(r"$1\\u00$2"))
+    listed = F.from_json(texts, "array<string>", {"allowBackslashEscapingAnyCharacter": "true"})
+    return F.when(c.rlike(LIST) & items.rlike(ITEMS), listed)
+
+
 def parse_genres(c: Column) -> Column:
     """Array of trimmed lower-case texts from list text; anything else is empty."""
-    listed = F.from_json(c, "array<string>", {"allowBackslashEscapingAnyCharacter": "true"})
+    listed = list_texts(c)
     return F.coalesce(
         F.transform(F.filter(listed, lambda g: g.isNotNull()), lambda g: F.lower(strip(g))),
         F.array().cast("array<string>"))

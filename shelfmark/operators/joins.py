@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from shelfmark.functions.numbers import weighted_rating
 from shelfmark.operators.dedup import first_per_key
-from shelfmark.operators.skew import is_small
 
 
 def either_key_join(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
@@ -41,14 +40,9 @@ def slots_lookup(fact: DataFrame, key: str, slots: dict[str, str], dim: DataFram
                  value: str) -> DataFrame:
     """The same lookup for several columns: ``slots`` maps id column to new column.
 
-    A small dimension is joined per slot by broadcast, without a shuffle. A
-    large one is joined once on the exploded ids and folded back by ``key``.
+    The dimension is joined once, on the exploded ids, and its values are
+    folded back by ``key``, however many slots there are.
     """
-    if is_small(dim):
-        for slot, name in slots.items():
-            side = F.broadcast(dim.select(F.col(id_col).alias(slot), F.col(value).alias(name)))
-            fact = fact.join(side, slot, "left")
-        return fact
     pairs = F.array(*[F.struct(F.lit(name).alias("slot"), F.col(slot).alias(id_col))
                       for slot, name in slots.items()])
     long = fact.select(key, F.inline(pairs)).filter(F.col(id_col).isNotNull())

@@ -1,66 +1,31 @@
-"""Joins to a one-row-per-key side that survive a hot key on the other side."""
+"""A join to a one-row-per-key side whose row counts are at hand.
 
-from __future__ import annotations
+All other lookups are plain joins without hints: adaptive execution broadcasts
+a side that turns out small in bytes and splits the partition of a hot key.
+"""
 
-from collections.abc import Callable
+from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from shelfmark.operators.settle import settle
-
 HOT_ROWS = 1_000_000
-BROADCAST_ROWS = 100_000
 NULL_KEY_WAYS = 1_000_000
 
 
-def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """True if the table has at most ``max_rows`` rows; reads no more than needed."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
 def salted_lookup(rows: DataFrame, lookup: DataFrame, on: str, rows_per_key: str, spread: str,
                   hot_rows: int = HOT_ROWS) -> DataFrame:
     """Left join to ``lookup``, which has one row per key and its row count.
 
     A key with more than ``hot_rows`` rows is spread over several tasks and its
-    lookup row copied to each. At most rows / ``hot_rows`` keys can be hot,
-    which bounds the broadcast; the copies add the same number of rows. Rows
-    with a null key match nothing and are spread as well.
+    lookup row copied to each. At most rows / ``hot_rows`` keys can be hot, and
+    the copies add as many rows; whether their list is broadcast is left to
+    Spark, by its size. Rows with a null key match nothing and are spread too.
     """
     salts = F.ceil(F.col(rows_per_key) / hot_rows).cast("int")
     hot = lookup.filter(F.col(rows_per_key) > hot_rows).select(on, salts.alias("_salts"))
     ways = F.when(F.col(on).isNull(), F.lit(NULL_KEY_WAYS)).otherwise(F.coalesce("_salts", F.lit(1)))
-    salted_rows = (rows.join(F.broadcast(hot), on, "left")
+    salted_rows = (rows.join(hot, on, "left")
                    .withColumn("_salt", F.pmod(F.xxhash64(spread), ways).cast("int"))
                    .drop("_salts"))
     copies = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.greatest(salts, F.lit(1)) - 1)))
     return salted_rows.join(copies, [on, "_salt"], "left").drop("_salt")
-
-
-def lookup_join(rows: DataFrame, lookup: DataFrame, on: str, spread: str, how: str = "left") -> DataFrame:
-    """Join to a table with one row per key: broadcast if small, else salted.
-
-    The size is checked, not assumed. Beyond it the rows per key are counted
-    first, so that hot keys are known.
-    """
-    if is_small(lookup):
-        return rows.join(F.broadcast(lookup), on, how)
-    counted = lookup.join(rows.groupBy(on).agg(F.count("*").alias("_n")), on, "left").withColumn(
-        "_n", F.coalesce("_n", F.lit(0)))
-    joined = salted_lookup(rows, counted, on, rows_per_key="_n", spread=spread)
-    return (joined.filter(F.col("_n").isNotNull()) if how == "inner" else joined).drop("_n")
-
-
-def map_values(rows: DataFrame, values_from: DataFrame, source: str, targets: list[str],
-               normalise: Callable[[DataFrame], DataFrame], max_values: int = BROADCAST_ROWS) -> DataFrame:
-    """Add ``targets`` worked out once per distinct ``source`` value, not per row.
-
-    ``values_from`` is a table with all source values, read for that column
-    only. The values are broadcast with their targets if there are at most
-    ``max_values``; with more of them the rows are worked out in place.
-    """
-    values = settle(values_from.select(source).distinct().limit(max_values + 1), "values")
-    if values.count() > max_values:
-        return normalise(rows)
-    mapped = normalise(values).select(F.col(source).alias("_value"), *targets)
-    return rows.join(F.broadcast(mapped), F.col(source).eqNullSafe(F.col("_value")), "left").drop("_value")

@@ -7,7 +7,6 @@ from pyspark.sql import DataFrame, functions as F
 from shelfmark.functions import dates, editions, formats, genres, isbn, names, numbers, publishers, roles, series, text
 from shelfmark.operators import dedup, filters, keys
 from shelfmark.operators.settle import settle
-from shelfmark.operators.skew import is_small, map_values
 
 # Rows with an ISBN-10 come before all others in the book order.
 ISBN13_ROWS_LAST = 1 << 56
@@ -57,28 +56,11 @@ FIRST_PUBLISH_DATE = ["firstPublishDate_norm", "first_publish_year", "first_publ
                       "first_publish_quality"]
 
 
-# Up to this many rows, running the rules in place costs less than the extra jobs.
-IN_PLACE_ROWS = 2_000_000
-
-
-def clean_publication(df: DataFrame, as_of_year: int, values_from: DataFrame | None) -> DataFrame:
-    """Columns whose rules are long and whose raw values repeat.
-
-    The rules run once per distinct value in ``values_from``, or once per row
-    without it.
-    """
-    def date(source: str, targets: list[str]):
-        return lambda values: dates.normalize_publish_date(values, source, *targets, as_of_year=as_of_year)
-
-    for source, targets, normalise in [
-        ("publisher", ["publisher_norm"], publishers.normalize_publisher),
-        ("bookFormat", ["bookFormat_norm"], formats.normalize_book_format),
-        ("edition", ["edition_norm"], editions.normalize_edition),
-        ("publishDate", PUBLISH_DATE, date("publishDate", PUBLISH_DATE)),
-        ("firstPublishDate", FIRST_PUBLISH_DATE, date("firstPublishDate", FIRST_PUBLISH_DATE)),
-    ]:
-        df = normalise(df) if values_from is None else map_values(df, values_from, source, targets, normalise)
-    return df
+def clean_publication(df: DataFrame, as_of_year: int) -> DataFrame:
+    return (df.transform(publishers.normalize_publisher).transform(formats.normalize_book_format)
+            .transform(editions.normalize_edition)
+            .transform(dates.normalize_publish_date, "publishDate", *PUBLISH_DATE, as_of_year=as_of_year)
+            .transform(dates.normalize_publish_date, "firstPublishDate", *FIRST_PUBLISH_DATE, as_of_year=as_of_year))
 
 
 def clean_measures(df: DataFrame) -> DataFrame:
@@ -91,11 +73,10 @@ def clean_measures(df: DataFrame) -> DataFrame:
     )
 
 
-def clean_columns(rows: DataFrame, as_of_year: int, values_from: DataFrame | None = None,
-                  paren_aware: bool = False) -> DataFrame:
+def clean_columns(rows: DataFrame, as_of_year: int, paren_aware: bool = False) -> DataFrame:
     """Every cleaned column; no shuffle of the rows."""
     return (rows.transform(clean_authors, paren_aware).transform(clean_titles)
-            .transform(clean_publication, as_of_year, values_from).transform(clean_measures))
+            .transform(clean_publication, as_of_year).transform(clean_measures))
 
 
 def run_cleaning(raw: DataFrame, as_of_year: int, paren_aware: bool = False) -> DataFrame:
@@ -104,6 +85,5 @@ def run_cleaning(raw: DataFrame, as_of_year: int, paren_aware: bool = False) ->
     Two shuffles choose the rows. The cleaned rows are written once; the
     identifiers then read only their key columns from that table.
     """
-    values_from = None if is_small(raw, IN_PLACE_ROWS) else raw
-    cleaned = settle(clean_columns(choose_rows(raw), as_of_year, values_from, paren_aware), "cleaned")
+    cleaned = settle(clean_columns(choose_rows(raw), as_of_year, paren_aware), "cleaned")
     return cleaned.transform(keys.book_identifier).transform(keys.series_identifier)

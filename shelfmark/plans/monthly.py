@@ -8,34 +8,45 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from shelfmark.operators import keys
 from shelfmark.operators.aggregates import distinct_tuples, high_water_mark
+from shelfmark.operators.checks import check_not_null
 from shelfmark.plans import warehouse
 from shelfmark.schemas import ETL_LOG
-from shelfmark.sources.tables import TableStore
+from shelfmark.sources.tables import WHOLE, StagedTables, TableStore
 
 LOG, SALES, FACT, UNMATCHED = "etl_log", "synthetic_insert", "sales_fact", "synthetic_unmatched"
+# Paths of month parts without rows to load begin so.
+CLOSED = "closed-"
 
 
 def month_part(month: int, year: int) -> str:
     return f"{year:04d}-{month:02d}"
 
 
-def store_sales(store: TableStore, sales: DataFrame) -> None:
+def store_sales(store: TableStore, sales: DataFrame, closed: bool = False) -> None:
     """Write sales rows in month parts; the months touched are replaced.
 
     One write for all months. The copies of year and month that name the
-    folders leave the columns in the files.
+    folders leave the columns in the files. ``closed`` tells that all rows are
+    loaded already, so that no run opens these months again.
     """
     months = [(r["month"], r["year"]) for r in sales.select("month", "year").distinct().collect()]
     if not months:
         return
     foldered = sales.withColumns({"part_year": F.col("year"), "part_month": F.col("month")})
-    root = store.write(SALES, foldered, ["part_year", "part_month"])
+    root = store.write(SALES, foldered, ["part_year", "part_month"], CLOSED if closed else "")
     store.switch({(SALES, month_part(month, year)): [f"{root}/part_year={year}/part_month={month}"]
                   for month, year in months})
 
 
+def open_months(store: TableStore) -> list[str]:
+    """Month parts that may hold rows not loaded yet, as the manifest tells."""
+    return sorted({part for (table, part), paths in store.paths().items()
+                   if table == SALES and not all(f"/{SALES}/{CLOSED}" in path for path in paths)})
+
+
 def add_sales(store: TableStore, incoming: DataFrame) -> None:
-    """Append sales rows, reading only the months they belong to."""
+    """Append sales rows, reading only the months they belong to; a row without month or year is an error."""
+    check_not_null(incoming, ["month", "year"], strict=True)
     wanted = {month_part(r["month"], r["year"]) for r in incoming.select("month", "year").distinct().collect()}
     there = [part for table, part in store.paths() if table == SALES and part in wanted]
     existing = store.read(SALES, there) if there else None
@@ -49,22 +60,23 @@ def unloaded_counts(sales: DataFrame, distinct: Column) -> tuple[int, int]:
 
 
 class MonthlyRun:
-    """One run: each step publishes its table; the log rows go out together.
+    """One run over staged tables: nothing is current before the run's end.
 
-    Every step may be run again after a crash: dimensions add only what is
-    missing, and the fact, the unmatched rows and the loaded flags of a month
-    become current in one switch. A step without new input rewrites nothing.
+    Dimensions get only the rows that are missing, as files of their own.
+    ``read`` is the number of source rows the step at work has counted.
     """
 
     def __init__(self, store: TableStore, run_ts: dt.datetime):
-        self.store, self.run_ts, self.spark = store, run_ts, store.spark
+        self.store, self.run_ts, self.spark = StagedTables(store), run_ts, store.spark
         self.rows: list[tuple] = []
+        self.read = 0
 
-    def log(self, source: str, details: str, read: int = 0, inserted: int = 0, failed: int = 0) -> None:
-        self.rows.append((self.run_ts, source, details, read, inserted, 0, failed))
+    def log(self, source: str, details: str, inserted: int = 0, failed: int = 0) -> None:
+        self.rows.append((self.run_ts, source, details, self.read, inserted, 0, failed))
+        self.read = 0
 
-    def write_log(self) -> None:
-        self.store.append(LOG, self.spark.createDataFrame(self.rows, ETL_LOG).coalesce(1))
+    def log_rows(self) -> DataFrame:
+        return self.spark.createDataFrame(self.rows, ETL_LOG).coalesce(1)
 
     def last_run(self, job: str, first_load: str) -> dt.datetime | None:
         """Latest run of the job, else of the first load, else none."""
@@ -73,80 +85,84 @@ class MonthlyRun:
         log = self.store.read(LOG)
         return high_water_mark(log, "oltp", [job]) or high_water_mark(log, "oltp", [first_load])
 
-    def replace(self, table: str, updated: DataFrame) -> int:
-        """Publish a dimension; how many rows it gained."""
-        before = self.store.read(table).count()
-        self.store.publish({table: updated})
-        return self.store.read(table).count() - before
-
-    def month_year_dim(self) -> None:
-        sales, inserted = self.store.read(SALES), 0
-        rows, read = unloaded_counts(sales, distinct_tuples(["month", "year"]))
-        if rows:
-            dim = self.store.read("month_year_dim")
-            inserted = self.replace("month_year_dim", warehouse.update_month_year_dim(dim, sales))
-        self.log("synthetic", "update_month_year_dim", read, inserted)
-
-    def nyt_bestseller_dim(self) -> None:
-        sales, inserted = self.store.read(SALES), 0
-        rows, read = unloaded_counts(sales, F.count_distinct("nyt_best_selling_category"))
-        if rows:
-            dim = self.store.read("nyt_bestseller_dim")
-            inserted = self.replace("nyt_bestseller_dim", warehouse.update_nyt_dim(dim, sales))
-        self.log("synthetic", "update_nyt_bestseller_dim", read, inserted)
-
-    def author_dim(self) -> None:
+    def add_rows(self, table: str, fresh: DataFrame) -> int:
+        """Write new rows beside a table's files; how many there are."""
+        path = self.store.write(table, fresh)
+        added = self.spark.read.parquet(path).count()
+        if added:
+            self.store.switch({(table, WHOLE): [*self.store.paths()[table, WHOLE], path]})
+        return added
+
+    def month_year_dim(self) -> int:
+        months = open_months(self.store)
+        if not months:
+            return 0
+        sales = self.store.read(SALES, months)
+        rows, self.read = unloaded_counts(sales, distinct_tuples(["month", "year"]))
+        return self.add_rows("month_year_dim", warehouse.new_months(self.store.read("month_year_dim"), sales)) if rows else 0
+
+    def nyt_bestseller_dim(self) -> int:
+        months = open_months(self.store)
+        if not months:
+            return 0
+        sales = self.store.read(SALES, months)
+        rows, self.read = unloaded_counts(sales, F.count_distinct("nyt_best_selling_category"))
+        dim = self.store.read("nyt_bestseller_dim")
+        return self.add_rows("nyt_bestseller_dim", warehouse.new_categories(dim, sales)) if rows else 0
+
+    def author_dim(self) -> int:
         """The log counts overwritten names as inserted, like added ones."""
         last = self.last_run("update_author_dim", "load_author_dim")
         author = self.store.read("author")
-        read = warehouse.changed_since(author, last).count()
-        if read:
+        self.read = warehouse.changed_since(author, last).count()
+        if self.read:
             dim = self.store.read("author_dim")
             self.store.publish({"author_dim": warehouse.update_author_dim(dim, author, last)})
-        self.log("oltp", "update_author_dim", read, read)
+        return self.read
 
-    def book_dim(self) -> None:
+    def book_dim(self) -> int:
         last = self.last_run("update_book_dim", "load_book_dim")
-        oltp, inserted = self.store_tables("book_isbn", "book", "publisher", "format", "language"), 0
-        read = warehouse.changed_since(oltp["book_isbn"], last).count()
-        if read:
-            dim = self.store.read("book_dim")
-            inserted = self.replace("book_dim", warehouse.update_book_dim(dim, oltp, self.run_ts.date(), last))
-        self.log("oltp", "update_book_dim", read, inserted)
+        oltp = self.store_tables("book_isbn", "book", "publisher", "format", "language")
+        self.read = warehouse.changed_since(oltp["book_isbn"], last).count()
+        if not self.read:
+            return 0
+        return self.add_rows("book_dim", warehouse.new_books(self.store.read("book_dim"), oltp, self.run_ts.date(), last))
 
     def store_tables(self, *names: str) -> dict[str, DataFrame]:
         return {name: self.store.read(name) for name in names}
 
-    def sales(self, month: int, year: int) -> None:
+    def sales(self, month: int, year: int) -> int:
         """Add the month's fact part and unmatched rows, and mark its sales as loaded.
 
         Fact ids grow with every load, so the last load holds the highest one.
         """
         part, paths = month_part(month, year), self.store.paths()
+        if part not in open_months(self.store):
+            return 0
         star = self.store_tables("book_dim", "author_dim", "month_year_dim", "nyt_bestseller_dim")
         oltp = self.store_tables("book_isbn", "author_isbn", "isbn_rating")
-        read = inserted = 0
-        if (SALES, part) in paths:
-            sales = self.store.read(SALES, [part])
-            read = warehouse.unloaded(sales, month, year).count()
-        if read:
-            top = keys.max_id(self.store.read_newest(FACT), "sales_fact_id") if FACT in self.store else 0
-            fact = self.store.write(FACT, warehouse.monthly_fact(sales, star, oltp, month, year, top))
-            lost = self.store.write(UNMATCHED, warehouse.unmatched_sales(sales, star, oltp, month, year, self.run_ts))
-            flagged = self.store.write(SALES, warehouse.mark_loaded(sales, month, year))
-            inserted = self.spark.read.parquet(fact).count()
-            parts = {(UNMATCHED, part): [*paths.get((UNMATCHED, part), []), lost], (SALES, part): [flagged]}
-            if inserted:
-                parts[FACT, part] = [*paths.get((FACT, part), []), fact]
-            self.store.switch(parts)
-        self.log("synthetic", "load_sales_to_warehouse", read, inserted)
+        sales = self.store.read(SALES, [part])
+        self.read = warehouse.unloaded(sales, month, year).count()
+        if not self.read:
+            return 0
+        top = keys.max_id(self.store.read_newest(FACT), "sales_fact_id") if FACT in self.store else 0
+        fact = self.store.write(FACT, warehouse.monthly_fact(sales, star, oltp, month, year, top))
+        lost = self.store.write(UNMATCHED, warehouse.unmatched_sales(sales, star, oltp, month, year, self.run_ts))
+        flagged = self.store.write(SALES, warehouse.mark_loaded(sales, month, year), label=CLOSED)
+        inserted = self.spark.read.parquet(fact).count()
+        parts = {(UNMATCHED, part): [*paths.get((UNMATCHED, part), []), lost], (SALES, part): [flagged]}
+        if inserted:
+            parts[FACT, part] = [*paths.get((FACT, part), []), fact]
+        self.store.switch(parts)
+        return inserted
 
 
 def process_monthly_sales(store: TableStore, month: int, year: int, run_ts: dt.datetime) -> None:
-    """Dimensions, then the month's sales, then the master log row.
+    """Dimensions, then the month's sales, then the master log row; all of it becomes current in one switch.
 
-    A failing step leaves a failure row for itself and for the run; the error
-    goes on to the caller.
+    A failing step leaves every table as it was, but for two rows of the log:
+    one for the step, with the source rows it had counted, and one for the run.
+    The error goes on to the caller.
     """
     run = MonthlyRun(store, run_ts)
     steps = [
@@ -158,14 +174,16 @@ def process_monthly_sales(store: TableStore, month: int, year: int, run_ts: dt.d
     ]
     for source, details, step in steps:
         try:
-            step()
+            run.log(source, details, inserted=step())
         except Exception:
+            run.rows.clear()
             run.log(source, details, failed=1)
             run.log("synthetic", "insert_monthly_sales", failed=1)
-            run.write_log()
+            store.append(LOG, run.log_rows())
             raise
     run.log("synthetic", "insert_monthly_sales")
-    run.write_log()
+    run.store.append(LOG, run.log_rows())
+    run.store.commit()
 
 
 def first_load(store: TableStore, oltp: dict[str, DataFrame], raw_sales: DataFrame, run_ts: dt.datetime) -> None:
@@ -184,7 +202,7 @@ def first_load(store: TableStore, oltp: dict[str, DataFrame], raw_sales: DataFra
     fact = warehouse.init_sales_fact(sales, star, oltp)
     store.publish({FACT: warehouse.fill_avg_rating(fact, star["book_dim"], oltp["isbn_rating"])})
     star[FACT] = store.read(FACT)
-    store_sales(store, warehouse.backfill_sales(star))
+    store_sales(store, warehouse.backfill_sales(star), closed=True)
     store.append(LOG, warehouse.seed_etl_log(star, run_ts))
 
 

@@ -11,7 +11,6 @@ from shelfmark.functions.numbers import STARS
 from shelfmark.functions.text import blank_to_null
 from shelfmark.operators import dedup, joins, keys, sets
 from shelfmark.operators.settle import settle
-from shelfmark.operators.skew import lookup_join
 from shelfmark.schemas import REVIEW_TYPES
 
 AUTHOR_COLUMNS = ["primary_author_name", "author_2", "author_3", "author_4", "author_5"]
@@ -92,10 +91,10 @@ def build_book_isbn(staging: DataFrame, lookups: dict[str, DataFrame], pos: str
         F.col("series_name_norm").alias("series_name"),
         F.when(F.col("series_name_norm").isNotNull(), F.col("series_num").cast("decimal(10,2)")).alias("series_num"),
         F.col("pages_norm").alias("pages"))
-    rows = keys.assign_ids(rows, "book_isbn_id", [pos])
     for value, lookup in lookups.items():
-        rows = lookup_join(rows, lookup, value, spread=pos)
-    return rows.select(
+        rows = rows.join(lookup, value, "left")
+    # Numbering reads its rows twice, so the joins are written first.
+    return keys.assign_ids(settle(rows, "isbn-rows"), "book_isbn_id", [pos]).select(
         "book_isbn_id", "isbn10", "isbn13", "book_id", "format_id", "edition_id", "publisher_id", "language_id",
         F.coalesce("is_boxset", F.lit(False)).alias("is_boxset"), "publish_date", "original_publish_date",
         "series_id", "series_num", "pages")
@@ -123,8 +122,8 @@ def build_author_isbn(staging: DataFrame, link: DataFrame, author: DataFrame, ro
                        for slot, (name, role_col) in enumerate(zip(AUTHOR_COLUMNS, ROLE_COLUMNS), 1)])
     long = (linked(staging, link, pos).select("book_isbn_id", F.inline(people))
             .filter(F.col("full_name").isNotNull()))
-    long = lookup_join(long, author.select("full_name", "author_id"), "full_name", "book_isbn_id", how="inner")
-    long = lookup_join(long, role.select("role", "role_id"), "role", "book_isbn_id")
+    long = (long.join(author.select("full_name", "author_id"), "full_name")
+            .join(role.select("role", "role_id"), "role", "left"))
     in_slot = long.select("book_isbn_id", "author_id", "role_id", "_slot").distinct()
     unique = in_slot.withColumn("_null_role", F.when(F.col("role_id").isNull(), F.col("_slot"))).groupBy(
         "book_isbn_id", "author_id", "role_id", "_null_role").agg(F.min("_slot").alias("_slot")).drop("_null_role")
@@ -149,7 +148,7 @@ def build_book_isbn_genre(staging: DataFrame, link: DataFrame, genre: DataFrame,
     """Distinct (ISBN, genre) pairs; ids ascend by the genre's place in the list."""
     long = (linked(staging, link, pos).select("book_isbn_id", F.posexplode(first_genres()).alias("_slot", "genre"))
             .filter(F.col("genre").isNotNull()))
-    pairs = (lookup_join(long, genre.select("genre", "genre_id"), "genre", "book_isbn_id", how="inner")
+    pairs = (long.join(genre.select("genre", "genre_id"), "genre")
              .groupBy("book_isbn_id", "genre_id").agg(F.min("_slot").alias("_slot")))
     order = F.shiftleft(F.col("_slot").cast("bigint"), 56) + F.col("book_isbn_id")
     pairs = settle(pairs.withColumn("_order", order), "genres")

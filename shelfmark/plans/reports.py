@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from shelfmark.functions.names import all_authors
 from shelfmark.operators import aggregates, dedup, joins
 from shelfmark.operators.filters import holds
-from shelfmark.operators.skew import lookup_join
 from shelfmark.schemas import AUTHOR_SLOTS
 
 Tables = dict[str, DataFrame]
@@ -110,8 +109,8 @@ def box_sets(t: Tables) -> DataFrame:
 def books_across(t: Tables) -> DataFrame:
     """One row per ISBN with up to five authors side by side."""
     order = Window.partitionBy("book_isbn_id").orderBy("author_isbn_id")
-    known = lookup_join(t["author_isbn"].select("book_isbn_id", "author_isbn_id", "author_id"),
-                        t["author"].select("author_id", "full_name"), "author_id", "author_isbn_id", how="inner")
+    known = (t["author_isbn"].select("book_isbn_id", "author_isbn_id", "author_id")
+             .join(t["author"].select("author_id", "full_name"), "author_id"))
     ranked = known.withColumn("_rank", F.row_number().over(order)).filter("_rank <= 5")
     names = joins.pivot_ranks(ranked, ["book_isbn_id"], "_rank", "full_name", [f"author_{i}" for i in range(1, 6)])
     return (t["book_isbn"].join(t["book"].select("book_id", "title"), "book_id")
@@ -176,8 +175,7 @@ def top_authors(t: Tables, n: int = 20, more_than: int = 1000) -> DataFrame:
         t["sales_fact"].select("book_dim_id", "total_sales", "avg_rating", *AUTHOR_SLOTS), AUTHOR_SLOTS, "author_dim_id")
     per_book = slots.groupBy("author_dim_id", "book_dim_id").agg(
         F.sum("total_sales").alias("_units"), F.count("total_sales").alias("_sales_n"), *rating_sums())
-    named = lookup_join(per_book, t["author_dim"].select("author_dim_id", "author_name"), "author_dim_id",
-                        spread="book_dim_id", how="inner")
+    named = per_book.join(t["author_dim"].select("author_dim_id", "author_name"), "author_dim_id")
     books = named.groupBy("author_name", "book_dim_id").agg(
         *[F.sum(c).alias(c) for c in ("_units", "_sales_n", "_rating_sum", "_rating_n")])
     return (books.groupBy("author_name")

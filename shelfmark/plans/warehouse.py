@@ -13,7 +13,6 @@ from shelfmark.operators import joins, keys
 from shelfmark.operators.checks import RejectedRows, check_not_null
 from shelfmark.operators.dedup import first_per_key
 from shelfmark.operators.settle import settle
-from shelfmark.operators.skew import lookup_join
 from shelfmark.schemas import AUTHOR_SLOTS, BOOK_DIM, COUNT_MEASURES, ETL_LOG, MEASURES, MONEY_MEASURES, SALES_STAGING, SALES_TYPES
 
 SALES_KEY = ["isbn13", "month", "year"]
@@ -32,9 +31,9 @@ def sales_details(sales: DataFrame, oltp: dict[str, DataFrame]) -> DataFrame:
                     .agg(F.min_by("author_id", "author_isbn_id").alias("author_id")))
     titled = (isbns.join(oltp["book"].select("book_id", "title"), "book_id", "left")
               .join(first_author, "book_isbn_id", "left"))
-    named = lookup_join(titled, oltp["author"].select("author_id", "full_name"), "author_id", spread="isbn13")
-    return lookup_join(named, oltp["format"].select("format_id", "format"), "format_id", spread="isbn13").select(
-        "isbn13", "title", "full_name", "format")
+    return (titled.join(oltp["author"].select("author_id", "full_name"), "author_id", "left")
+            .join(oltp["format"].select("format_id", "format"), "format_id", "left")
+            .select("isbn13", "title", "full_name", "format"))
 
 
 def clean_sales(raw: DataFrame, oltp: dict[str, DataFrame]) -> DataFrame:
@@ -72,6 +71,7 @@ def not_loaded(sales: DataFrame) -> DataFrame:
 
 def append_sales(existing: DataFrame | None, incoming: DataFrame) -> DataFrame:
     """Existing rows plus incoming ones marked as not loaded; a repeated key is an error."""
+    check_not_null(incoming, ["month", "year"], strict=True)
     clash = duplicate_sales(existing, incoming).first()
     if clash is not None:
         raise RejectedRows(f"duplicate key ({', '.join(SALES_KEY)}): {tuple(clash)}")
@@ -107,12 +107,16 @@ def init_month_year_dim(sales: DataFrame) -> DataFrame:
         "month_year_dim_id", "month", "year")
 
 
-def update_month_year_dim(dim: DataFrame, sales: DataFrame) -> DataFrame:
-    """Add the months of all rows not loaded yet, whatever month is being loaded."""
+def new_months(dim: DataFrame, sales: DataFrame) -> DataFrame:
+    """Rows for the months of all sales not loaded yet, whatever month is being loaded."""
     months = not_loaded(sales).select("month", "year").distinct()
     fresh = joins.missing_rows(months, dim, ["month", "year"]).withColumn("_order", month_order())
     numbered = keys.assign_ids(fresh, "month_year_dim_id", ["_order"], keys.max_id(dim, "month_year_dim_id"))
-    return dim.unionByName(numbered.select(dim.columns))
+    return numbered.select(dim.columns)
+
+
+def update_month_year_dim(dim: DataFrame, sales: DataFrame) -> DataFrame:
+    return dim.unionByName(new_months(dim, sales))
 
 
 def init_author_dim(author: DataFrame) -> DataFrame:
@@ -144,21 +148,25 @@ def init_nyt_dim(sales: DataFrame) -> DataFrame:
         "nyt_bestseller_dim_id", "listed_as_desc")
 
 
-def update_nyt_dim(dim: DataFrame, sales: DataFrame) -> DataFrame:
-    """Add categories of rows not loaded yet; a row without a category is an error."""
+def new_categories(dim: DataFrame, sales: DataFrame) -> DataFrame:
+    """Rows for categories of sales not loaded yet; a row without a category is an error."""
     listed = not_loaded(sales).select(F.col("nyt_best_selling_category").alias("listed_as_desc")).distinct()
     valid, _ = check_not_null(listed, ["listed_as_desc"], strict=True)
     fresh = joins.missing_rows(valid, dim, ["listed_as_desc"])
     numbered = keys.assign_ids_sorted(fresh, "nyt_bestseller_dim_id", ["listed_as_desc"],
                                       keys.max_id(dim, "nyt_bestseller_dim_id"))
-    return dim.unionByName(numbered.select(dim.columns))
+    return numbered.select(dim.columns)
+
+
+def update_nyt_dim(dim: DataFrame, sales: DataFrame) -> DataFrame:
+    return dim.unionByName(new_categories(dim, sales))
 
 
 def book_versions(book_isbn: DataFrame, oltp: dict[str, DataFrame], run_date: dt.date) -> DataFrame:
     """Open versions of the given ISBN rows, effective from the run date."""
     rows = book_isbn.join(oltp["book"].select("book_id", F.col("title").alias("book_title")), "book_id")
     for value in ("publisher", "format", "language"):
-        rows = lookup_join(rows, oltp[value].select(f"{value}_id", value), f"{value}_id", spread="book_isbn_id")
+        rows = rows.join(oltp[value].select(f"{value}_id", value), f"{value}_id", "left")
     return (rows.withColumn("isbn_13", F.col("isbn13"))
             .withColumns({"effective_date": F.lit(run_date), "expire_date": F.lit(None).cast("date"),
                           "current_flag": F.lit(True)})
@@ -166,10 +174,21 @@ def book_versions(book_isbn: DataFrame, oltp: dict[str, DataFrame], run_date: dt
 
 
 def init_book_dim(oltp: dict[str, DataFrame], run_date: dt.date) -> DataFrame:
-    versions = book_versions(oltp["book_isbn"], oltp, run_date)
+    versions = settle(book_versions(oltp["book_isbn"], oltp, run_date), "book-versions")
     return keys.assign_ids(versions, "book_dim_id", ["book_isbn_id"]).select("book_dim_id", *BOOK_DIM)
 
 
+def new_books(dim: DataFrame, oltp: dict[str, DataFrame], run_date: dt.date, last_run: dt.datetime | None) -> DataFrame:
+    """Versions of ISBNs changed since the last run that have none yet."""
+    changed = changed_since(oltp["book_isbn"], last_run)
+    return numbered_versions(dim, book_versions(joins.missing_rows(changed, dim, ["book_isbn_id"]), oltp, run_date))
+
+
+def numbered_versions(dim: DataFrame, versions: DataFrame) -> DataFrame:
+    written = settle(versions, "book-versions")
+    return keys.assign_ids(written, "book_dim_id", ["book_isbn_id"], keys.max_id(dim, "book_dim_id")).select(dim.columns)
+
+
 def update_book_dim(dim: DataFrame, oltp: dict[str, DataFrame], run_date: dt.date,
                     last_run: dt.datetime | None, refresh: bool = False) -> DataFrame:
     """Add ISBNs changed since the last run that have no version yet.
@@ -177,19 +196,15 @@ def update_book_dim(dim: DataFrame, oltp: dict[str, DataFrame], run_date: dt.dat
     By default a known ISBN is never refreshed. ``refresh`` expires its current
     version and opens a new one where any described value differs.
     """
-    changed = changed_since(oltp["book_isbn"], last_run)
     if not refresh:
-        added = book_versions(joins.missing_rows(changed, dim, ["book_isbn_id"]), oltp, run_date)
-        kept = dim
-    else:
-        described = ["book_title", "isbn_13", "publisher", "format", "language"]
-        now = book_versions(changed, oltp, run_date)
-        current = dim.filter("current_flag").select("book_isbn_id", F.struct(*described).alias("_old"))
-        differs = F.col("_old").isNull() | ~F.col("_old").eqNullSafe(F.struct(*described))
-        added = now.join(current, "book_isbn_id", "left").filter(differs).select(BOOK_DIM)
-        kept = expire(dim, added.select("book_isbn_id", F.lit(True).alias("_expired")), "book_isbn_id", run_date)
-    numbered = keys.assign_ids(added, "book_dim_id", ["book_isbn_id"], keys.max_id(dim, "book_dim_id"))
-    return kept.unionByName(numbered.select(dim.columns))
+        return dim.unionByName(new_books(dim, oltp, run_date, last_run))
+    described = ["book_title", "isbn_13", "publisher", "format", "language"]
+    now = book_versions(changed_since(oltp["book_isbn"], last_run), oltp, run_date)
+    current = dim.filter("current_flag").select("book_isbn_id", F.struct(*described).alias("_old"))
+    differs = F.col("_old").isNull() | ~F.col("_old").eqNullSafe(F.struct(*described))
+    added = settle(now.join(current, "book_isbn_id", "left").filter(differs).select(BOOK_DIM), "book-versions")
+    kept = expire(dim, added.select("book_isbn_id", F.lit(True).alias("_expired")), "book_isbn_id", run_date)
+    return kept.unionByName(numbered_versions(dim, added))
 
 
 def expire(dim: DataFrame, marks: DataFrame, key: str, run_date: dt.date) -> DataFrame:
@@ -239,14 +254,14 @@ def author_slots(book_isbn: DataFrame, author_isbn: DataFrame, author_dim: DataF
     order = Window.partitionBy("book_isbn_id").orderBy("author_isbn_id")
     ranked = (author_isbn.select("book_isbn_id", "author_isbn_id", "author_id")
               .withColumn("_rank", F.row_number().over(order)).filter("_rank <= 5"))
-    known = lookup_join(ranked, author_dim.select("author_id", "author_dim_id"), "author_id", spread="author_isbn_id")
+    known = ranked.join(author_dim.select("author_id", "author_dim_id"), "author_id", "left")
     pivoted = joins.pivot_ranks(known, ["book_isbn_id"], "_rank", "author_dim_id", AUTHOR_SLOTS)
     return pivoted.join(book_isbn.select("book_isbn_id", "isbn13"), "book_isbn_id")
 
 
 def with_category(rows: DataFrame, nyt_dim: DataFrame, how: str) -> DataFrame:
     categories = nyt_dim.select("nyt_bestseller_dim_id", F.col("listed_as_desc").alias("nyt_best_selling_category"))
-    return lookup_join(rows, categories, "nyt_best_selling_category", spread="isbn13", how=how)
+    return rows.join(categories, "nyt_best_selling_category", how)
 
 
 def init_sales_fact(sales: DataFrame, star: dict[str, DataFrame], oltp: dict[str, DataFrame]) -> DataFrame:

@@ -2,42 +2,55 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
+from shelfmark.operators.settle import settle
 from shelfmark.schemas import DROPPED_CATALOGUE_COLUMNS, SALES_COLUMNS
 
 # Cells that stand for a missing value.
 MISSING = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>",
            "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null"]
 
+# Low bits of a row position: the row within its file.
+FILE_ROW_BITS = 36
 
-def read_text_csv(spark: SparkSession, path: str) -> DataFrame:
-    """CSV with header, quoted line breaks, every column text.
+
+def read_text_csv(spark: SparkSession, path: str, line_breaks: bool = False) -> DataFrame:
+    """CSV with header, every column text.
 
     Only the header line is looked at before the scan; no type is inferred.
+    With quoted line breaks a file can't be split: it is one task's work.
     """
-    options = {"header": True, "multiLine": True, "quote": '"', "escape": '"', "encoding": "UTF-8"}
+    options = {"header": True, "multiLine": line_breaks, "quote": '"', "escape": '"', "encoding": "UTF-8"}
     return spark.read.options(**options).csv(path, inferSchema=False)
 
 
 def load_catalogue(spark: SparkSession, path: str) -> DataFrame:
     """Raw catalogue without the seven unused columns, and the row position.
 
-    ``_src_pos`` follows the file order. Write the result before using it:
-    the position depends on how the files are split over tasks.
+    ``_src_pos`` follows the files by name, then the rows of each. The rows
+    are written once, with the order each task has read them in; a file's
+    number, from one row for each file, goes before it. Cells may hold line
+    breaks, so a large catalogue should come in many files.
     """
-    raw = read_text_csv(spark, path)
+    raw = read_text_csv(spark, path, line_breaks=True)
     absent = [c for c in DROPPED_CATALOGUE_COLUMNS if c not in raw.columns]
     if absent:
         raise ValueError(f"catalogue lacks the columns {absent}")
     kept = raw.drop(*DROPPED_CATALOGUE_COLUMNS)
     cells = {c: F.when(~F.col(c).isin(*MISSING), F.col(c)) for c in kept.columns}
-    return kept.withColumns(cells).withColumn("_src_pos", F.monotonically_increasing_id())
+    read = kept.withColumns(cells).select("*", F.col("_metadata.file_path").alias("_file"),
+                                          F.monotonically_increasing_id().alias("_row"))
+    rows = settle(read, "catalogue")
+    files = rows.groupBy("_file").agg(F.min("_row").alias("_first"))
+    files = files.withColumn("_number", F.row_number().over(Window.orderBy("_file")) - 1)
+    place = F.shiftleft(F.col("_number").cast("bigint"), FILE_ROW_BITS) + F.col("_row") - F.col("_first")
+    return rows.join(files, "_file").withColumn("_src_pos", place).select(*cells, "_src_pos")
 
 
 def load_sales(spark: SparkSession, path: str) -> DataFrame:
     """Raw monthly sales as text under snake-case names."""
-    return rename_sales(read_text_csv(spark, path))
+    return rename_sales(read_text_csv(spark, path))  # no quoted line breaks, so files are split
 
 
 def rename_sales(raw: DataFrame) -> DataFrame:

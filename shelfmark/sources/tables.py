@@ -67,9 +67,9 @@ class TableStore:
     def read_all(self) -> dict[str, DataFrame]:
         return {name: self.read(name) for name in {name for name, _ in self.paths()}}
 
-    def write(self, table: str, df: DataFrame, partition_by: list[str] | None = None) -> str:
-        """Write rows to a new path nobody reads yet."""
-        path = f"{self.root}/{table}/{uuid.uuid4().hex}"
+    def write(self, table: str, df: DataFrame, partition_by: list[str] | None = None, label: str = "") -> str:
+        """Write rows to a new path nobody reads yet; a ``label`` begins its name."""
+        path = f"{self.root}/{table}/{label}{uuid.uuid4().hex}"
         writer = df.write.mode("errorifexists")
         (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
         return path
@@ -94,6 +94,25 @@ class TableStore:
         self.switch({(table, WHOLE): [*kept, self.write(table, df)]})
 
 
+class StagedTables(TableStore):
+    """A store's tables with changes that only this job sees until ``commit`` makes all of them current at once."""
+
+    def __init__(self, store: TableStore):
+        super().__init__(store.spark, store.root)
+        self._store, self._changes = store, {}
+        self._current, self._since, self._version = store.paths(), dict(store._since), store._version
+
+    def switch(self, parts: dict[tuple[str, str], list[str]]) -> None:
+        self._changes.update(parts)
+        self._current.update(parts)
+        self._since.update(dict.fromkeys(parts, self._version + 1))
+
+    def commit(self) -> None:
+        if self._changes:
+            self._store.switch(self._changes)
+            self._changes = {}
+
+
 def preview(df: DataFrame, order_by: list[Column], n: int) -> DataFrame:
     """First ``n`` rows in a stated order."""
     return df.orderBy(*order_by).limit(n)

@@ -96,6 +96,15 @@ def test_split_isbn(spark):
     assert apply(spark, values, isbn13) == [None, None, "9780439023481", None, None]
 
 
+@pytest.mark.parametrize("value,want", [
+    ("['Fantasy', 1]", ["fantasy"]), ("['Fantasy', None]", ["fantasy"]), ("['Fantasy', ['Horror', ['x']], 'Art']", ["fantasy", "art"]),
+    (r"['caf\xe9', 'na\u00efve', 'it\'s']", ["café", "naïve", "it's"]), ("[\"Children's\", 'a \"b\"']", ["children's", 'a "b"']),
+    (r"['back\\x41']", [r"back\x41"]), ("[]", []), ("['a',]", ["a"]), ("Fantasy", []), ("['open", []), (None, []), ("['a] [b', 'c,d']", ["a] [b", "c,d"])])
+def test_genre_lists(spark, value, want):
+    df = spark.createDataFrame([(value,)], "c string")
+    assert df.select(genres.parse_genres(F.col("c"))).first()[0] == want
+
+
 def test_genres(spark):
     values = ["['Young Adult', 'Fantasy', 'Fiction', '21st Century']", "['Alternate History']", "['Time Travel']",
               "['Martial Arts']", "['own', 'unfinished']", "[]", None, "[\"Women's Fiction\", 'Novels', 'Fiction']",

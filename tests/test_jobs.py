@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from shelfmark.functions import text
 from shelfmark.operators import changes, checks, dedup, joins, keys, skew
-from shelfmark.operators.settle import shared_folder
+from shelfmark.operators.settle import settle, shared_folder
 from shelfmark.plans import cleaning, monthly, normalise, reports, warehouse
 from shelfmark.schemas import CATALOGUE_COLUMNS, DROPPED_CATALOGUE_COLUMNS, MEASURES
 from shelfmark.sources import files
@@ -57,14 +57,28 @@ def test_publisher_filter_follows_duplicate_removal(spark):
     assert cleaning.choose_rows(raw).count() == 0
 
 
-def test_values_once_equal_values_in_place(spark):
-    raw = catalogue(spark, *[book(i, isbn=f"978043902{i:04d}", publisher=p, bookFormat=f, edition=e, publishDate=d)
-                             for i, (p, f, e, d) in enumerate([
-                                 ("Viking", "Paper", "1st ed.", "2008"), (None, None, None, None),
-                                 ("Viking", "Foo", "box", "May 2009"), ("Acme Inc.", "nook", None, "09/14/08")])])
-    cols = ["_src_pos", "publisher_norm", "bookFormat_norm", "edition_norm", "publishDate_norm", "publish_date_quality"]
-    in_place = collect(cleaning.clean_publication(raw, 2026, None), *cols)
-    assert collect(cleaning.clean_publication(raw, 2026, raw), *cols) == in_place
+def test_catalogue_in_files_of_different_sizes(spark):
+    """Spark reads large files first; positions follow the names."""
+    folder = f"{shared_folder(spark)}/csv-{uuid.uuid4().hex}"
+    whole = catalogue(spark, *[book(i, description="long " * (500 if i > 2 else 1)) for i in range(9)])
+    whole = whole.withColumns({c: F.lit("x") for c in DROPPED_CATALOGUE_COLUMNS})
+    for name, part in (("a", whole.filter("_src_pos < 2")), ("b", whole.filter("_src_pos BETWEEN 2 AND 3")), ("c", whole.filter("_src_pos > 3"))):
+        part.drop("_src_pos").coalesce(1).write.option("header", True).csv(f"{folder}/{name}")
+    rows = files.load_catalogue(spark, f"{folder}/*").orderBy("_src_pos").collect()
+    want = [r["bookId"] for r in whole.orderBy("_src_pos").collect()]
+    assert [r["bookId"] for r in rows] == want
+
+
+def test_lookups_chain_without_repeated_scans(spark):
+    """Five lookups read staging once; joins grow the plan by one each."""
+    staging = spark.range(10).select(F.col("id").alias("_src_pos"), *[F.lit("x").alias(c) for c in (
+        "isbn10", "isbn13", "bookFormat_norm", "edition_norm", "publisher_norm", "language", "series_name_norm", "pages_norm")], F.lit("1").alias("series_num"),
+        F.col("id").alias("book_uid"), F.lit(1).alias("is_boxset"), F.current_date().alias("publishDate_norm"), F.current_date().alias("firstPublishDate_norm"))
+    staging = settle(staging, "staging")
+    lookups = {v: settle(spark.createDataFrame([(1, "x")], f"{i}_id long, {v} string"), v)
+               for v, i in (("format", "format"), ("edition", "edition"), ("publisher", "publisher"), ("language", "language"), ("series_name", "series"))}
+    plan = normalise.build_book_isbn(staging, lookups)._jdf.queryExecution().toString()
+    assert plan.split("== Optimized")[0].count("Relation") <= 6  # the written joins, read twice, in up to three plans
 
 
 def test_catalogue_file(spark):
@@ -206,6 +220,30 @@ def test_failed_run_leaves_failure_rows(spark, store):
     assert monthly.load_status(store, 1, 2026) == 0
 
 
+def test_failure_in_the_fact_step_changes_nothing_but_the_log(spark, store, monkeypatch):
+    monthly.add_sales(store, incoming(spark, "9780000000001", "9780000000002"))
+    before = store.paths()
+
+    def broken(*args):
+        raise ArithmeticError
+    with monkeypatch.context() as patch:
+        patch.setattr(monthly.warehouse, "monthly_fact", broken)
+        with pytest.raises(ArithmeticError):
+            monthly.process_monthly_sales(store, 1, 2026, RUN_TS)
+    after = TableStore(spark, store.root).paths()
+    assert {k for k in after if after[k] != before.get(k)} == {("etl_log", "")}
+    failed = store.read("etl_log").filter("rows_failed = 1")
+    assert collect(failed, "details", "rows_from_raw_data") == [("insert_monthly_sales", 0), ("load_sales_to_warehouse", 2)]
+    monthly.process_monthly_sales(store, 1, 2026, RUN_TS + dt.timedelta(days=1))
+    assert monthly.load_status(store, 1, 2026) == 2
+    assert monthly.open_months(store) == []
+
+
+def test_sales_without_a_month_are_rejected(spark, store):
+    with pytest.raises(checks.RejectedRows, match="month"):
+        monthly.add_sales(store, incoming(spark, "9780000000001").withColumn("month", F.lit(None).cast("int")))
+
+
 def test_publisher_rename(spark, store):
     t = oltp(spark)
     publisher, dim, log = warehouse.rename_publisher(
