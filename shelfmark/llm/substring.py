@@ -152,9 +152,12 @@ def _first_and_later(hashes, checks, ids, position) -> tuple[np.ndarray, np.ndar
     return first, order[(ids[order] != ids[its]) | (position[order] != position[its])]
 
 
-def _out(rows: list[tuple[int, bytes]]) -> pa.RecordBatch:
-    ids, packed = zip(*rows) if rows else ((), ())
-    return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(packed, pa.binary())], ["id", "packed"])
+def _singles(ids: np.ndarray, position: np.ndarray) -> pa.RecordBatch:
+    """One row for each position. Packs by document would be one for each bucket too: more than the input grows."""
+    order = np.argsort(ids, kind="stable")
+    raw = pa.py_buffer(position[order].astype("<i4").tobytes())
+    packed = pa.Array.from_buffers(pa.binary(4), len(order), [None, raw]).cast(pa.binary())
+    return pa.RecordBatch.from_arrays([pa.array(ids[order], pa.int64()), packed], ["id", "packed"])
 
 
 def _buckets(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[list[tuple], pa.RecordBatch | None]]:
@@ -195,7 +198,7 @@ def _repeated(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         order = np.argsort(hashes, kind="stable")
         same = hashes[order][1:] == hashes[order][:-1]
         again = order[(np.concatenate((same, [False])) | np.concatenate(([False], same))) & ~known[order]]
-        yield _out(_by_document(ids[again], position[again]))
+        yield _singles(ids[again], position[again])
 
 
 def _later(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -206,7 +209,7 @@ def _later(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             continue
         hashes, checks, ids, position, _ = _rows(packs)
         _, later = _first_and_later(hashes, checks, ids, position)
-        yield _out(_by_document(ids[later], position[later]))
+        yield _singles(ids[later], position[later])
 
 
 def _cut(batches: Iterable[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
