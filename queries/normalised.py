@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import functions as F
 
@@ -11,8 +12,9 @@ from queries.registry import query, with_tables
 from queries.standins import BOOKS, STAGING, books, for_duckdb, staging
 from shelfmark.functions import genres
 from shelfmark.operators import changes, checks
-from shelfmark.operators.settle import settle
-from shelfmark.plans import normalise
+from shelfmark.operators.settle import settle, shared_folder
+from shelfmark.plans import constraints, normalise, snapshot
+from shelfmark.sources.tables import TableStore
 
 RUN_TS = dt.datetime(2026, 1, 15, 12, 0)
 BLANKS = ["isbn10", "isbn13", "title_norm", *[f"author_{i}_role" for i in range(1, 6)], "language", "series_name_norm",
@@ -392,9 +394,91 @@ def _(t):
     return changes.rating_log(diff, normalise.build_review_type(t.spark), RUN_TS)
 
 
+def snapshot_store(t, tables: dict) -> TableStore:
+    store = TableStore(t.spark, f"{shared_folder(t.spark)}/oltp-{uuid.uuid4().hex}")
+    store.publish(tables)
+    return store
+
+
+def stored_book_logs(t) -> TableStore:
+    old, new = snapshots(t, "book_id", "title")
+    store = snapshot_store(t, {"book": old})
+    snapshot.publish_snapshot(store, {"book": new}, RUN_TS)
+    return store
+
+
+@query("a2_book_logs_stored", entity_log_sql("book_id", "title", "New Book Added = ", "Book Deleted = ", "Book Updated from "))
+def _(t):
+    return stored_book_logs(t).read("book_logs")
+
+
+@query("a1_book_snapshot_stored", with_tables(OLD_NEW, """
+SELECT n.id AS book_id, n.name AS title, n.seg, CASE WHEN o.id IS NULL THEN n.updated_at
+ WHEN o.name = n.name THEN o.updated_at ELSE TIMESTAMP '2026-01-15 12:00:00' END AS updated_at
+FROM new n LEFT JOIN old o ON o.id = n.id"""))
+def _(t):
+    return stored_book_logs(t).read("book")
+
+
+# Ratings of all parts against changed ones that break no rule.
+VALID_RATINGS = {
+    "old": "SELECT r.* FROM (" + BOOKS["isbn_rating"] + ") r WHERE book_isbn_id % 5 <> 0",
+    "new": """SELECT isbn_rating_id, book_isbn_id, review_type_id,
+        CAST(CASE WHEN review_type_id = 1 THEN count + 1 ELSE count END AS INT) AS count FROM ("""
+           + BOOKS["isbn_rating"] + """) r WHERE NOT (review_type_id = 3 AND count < 150)""",
+}
+
+
+@query("a4_rating_logs_stored", with_tables(VALID_RATINGS, """
+, v AS (SELECT * FROM (VALUES (1, '5_star'), (2, '4_star'), (3, '3_star'), (4, '2_star'), (5, '1_star')) AS x(id, name))
+SELECT coalesce(n.isbn_rating_id, o.isbn_rating_id) AS isbn_rating_id, coalesce(n.book_isbn_id, o.book_isbn_id) AS book_isbn_id,
+ id AS review_type_id, name AS review_type_name,
+ CASE WHEN o.isbn_rating_id IS NULL THEN 'INSERT' WHEN n.isbn_rating_id IS NULL THEN 'DELETE' ELSE 'UPDATE' END AS operation_type,
+ coalesce(o.count, n.count) AS old_count, CASE WHEN n.isbn_rating_id IS NULL THEN 0 ELSE n.count END AS new_count,
+ TIMESTAMP '2026-01-15 12:00:00' AS log_date
+FROM new n FULL JOIN old o ON o.isbn_rating_id = n.isbn_rating_id JOIN v ON id = coalesce(n.review_type_id, o.review_type_id)
+WHERE o.count IS DISTINCT FROM n.count""").replace("\n, v AS", ",\nv AS", 1))
+def _(t):
+    store = snapshot_store(t, {"isbn_rating": t.sql(VALID_RATINGS["old"]), "review_type": normalise.build_review_type(t.spark),
+                               "book_isbn": books(t)["book_isbn"].drop("isbn10", "isbn13").withColumn("series_id", F.lit(None).cast("bigint"))})
+    snapshot.publish_snapshot(store, {"isbn_rating": t.sql(VALID_RATINGS["new"])}, RUN_TS)
+    return store.read("isbn_rating_logs")
+
+
+CHECKED = ("book_isbn", "author_isbn", "isbn_rating", "book", "author", "role", "genre", "book_isbn_genre", "publisher", "format", "language")
+
+
+@query("v_constraint_catalogue", with_tables({**BOOKS, "rating": RATING_CHANGES["new"]}, """
+SELECT 'isbn_rating' AS table_name, 'foreign book_isbn_id' AS rule, count(*) AS n FROM rating
+ WHERE book_isbn_id NOT IN (SELECT book_isbn_id FROM book_isbn) HAVING count(*) > 0
+UNION ALL SELECT 'isbn_rating', 'foreign review_type_id', count(*) FROM rating WHERE review_type_id NOT BETWEEN 1 AND 5 HAVING count(*) > 0
+UNION ALL SELECT 'isbn_rating', 'unique book_isbn_id, review_type_id', count(*) FROM (
+ SELECT count(*) OVER (PARTITION BY book_isbn_id, review_type_id) AS c FROM rating) WHERE c > 1 HAVING count(*) > 0
+UNION ALL SELECT 'book_isbn', 'foreign format_id', count(*) FROM book_isbn WHERE format_id NOT IN (SELECT format_id FROM format) HAVING count(*) > 0
+UNION ALL SELECT 'book_isbn', 'foreign publisher_id', count(*) FROM book_isbn WHERE publisher_id NOT IN (SELECT publisher_id FROM publisher) HAVING count(*) > 0
+UNION ALL SELECT 'book_isbn', 'foreign language_id', count(*) FROM book_isbn WHERE language_id NOT IN (SELECT language_id FROM language) HAVING count(*) > 0
+UNION ALL SELECT 'book_isbn', 'foreign book_id', count(*) FROM book_isbn WHERE book_id NOT IN (SELECT book_id FROM book) HAVING count(*) > 0
+UNION ALL SELECT 'author_isbn', 'foreign role_id', count(*) FROM author_isbn WHERE role_id NOT IN (SELECT role_id FROM role) HAVING count(*) > 0
+UNION ALL SELECT 'author_isbn', 'foreign author_id', count(*) FROM author_isbn WHERE author_id NOT IN (SELECT author_id FROM author) HAVING count(*) > 0
+UNION ALL SELECT 'author_isbn', 'foreign book_isbn_id', count(*) FROM author_isbn WHERE book_isbn_id NOT IN (SELECT book_isbn_id FROM book_isbn) HAVING count(*) > 0
+UNION ALL SELECT 'author_isbn', 'unique author_isbn_id', count(*) FROM (
+ SELECT count(*) OVER (PARTITION BY author_isbn_id) AS c FROM author_isbn) WHERE c > 1 HAVING count(*) > 0
+UNION ALL SELECT 'book_isbn_genre', 'foreign book_isbn_id', count(*) FROM book_isbn_genre
+ WHERE book_isbn_id NOT IN (SELECT book_isbn_id FROM book_isbn) HAVING count(*) > 0
+UNION ALL SELECT 'book_isbn_genre', 'unique book_isbn_genre_id', count(*) FROM (
+ SELECT count(*) OVER (PARTITION BY book_isbn_genre_id) AS c FROM book_isbn_genre) WHERE c > 1 HAVING count(*) > 0
+UNION ALL SELECT 'author_isbn', 'unique book_isbn_id, author_id, role_id', count(*) FROM (
+ SELECT count(*) OVER (PARTITION BY book_isbn_id, author_id, role_id) AS c FROM author_isbn WHERE role_id IS NOT NULL) WHERE c > 1 HAVING count(*) > 0"""))
+def _(t):
+    made = books(t)
+    tables = {name: made[name] for name in CHECKED} | {
+        "isbn_rating": t.sql(RATING_CHANGES["new"]), "review_type": normalise.build_review_type(t.spark)}
+    rejected = constraints.check_tables(tables, RUN_TS.date())
+    return rejected.groupBy("table_name", "rule").agg(F.count("*").alias("n"))
+
+
 @query("r20_latest_log_rows", entity_log_sql("book_id", "title", "New Book Added = ", "Book Deleted = ", "Book Updated from ")
        + " ORDER BY book_id LIMIT 10")
 def _(t):
     from shelfmark.plans.reports import latest_log_rows
-    old, new = snapshots(t, "book_id", "title")
-    return latest_log_rows(changes.book_log(changes.diff(old, new, "book_id"), RUN_TS), 10, "book_id")
+    return latest_log_rows(stored_book_logs(t).read("book_logs"), 10, "book_id")

@@ -13,7 +13,7 @@ from queries.registry import query, with_tables
 from queries.standins import BOOKS, RAW_SALES, books, raw_sales
 from shelfmark.operators import changes
 from shelfmark.operators.settle import settle, shared_folder
-from shelfmark.plans import monthly, normalise, reports, warehouse
+from shelfmark.plans import monthly, normalise, reports, snapshot, warehouse
 from shelfmark.schemas import AUTHOR_SLOTS, MEASURES
 from shelfmark.sources.tables import TableStore
 
@@ -229,6 +229,19 @@ def _(t):
     return warehouse.scd2_publisher_rename(dim, renames, RUN_DATE)
 
 
+@query("h12_stored_rename", over("""
+, d AS (SELECT * REPLACE (DATE '2025-01-01' AS effective_date) FROM book_dim)
+SELECT d.* REPLACE (CASE WHEN publisher = 'house brand#3' THEN DATE '2026-01-15' END AS expire_date,
+ publisher IS DISTINCT FROM 'house brand#3' AS current_flag) FROM d
+UNION ALL SELECT (SELECT max(book_dim_id) FROM d) + row_number() OVER (ORDER BY book_isbn_id), book_isbn_id, book_title, isbn_13,
+ 'house three', format, language, DATE '2026-01-15', NULL, true FROM d WHERE publisher = 'house brand#3'""").replace("\n\n, d AS", ",\nd AS", 1))
+def _(t):
+    store = TableStore(t.spark, f"{shared_folder(t.spark)}/mart-{uuid.uuid4().hex}")
+    store.publish({"publisher": books(t)["publisher"], "book_dim": warehouse.init_book_dim(books(t), dt.date(2025, 1, 1))})
+    snapshot.store_publisher_rename(store, "house brand#3", "house three", RUN_TS)
+    return TableStore(t.spark, store.root).read("book_dim")
+
+
 # Fact
 
 @query("h6_init_sales_fact", over("SELECT * EXCLUDE (avg_rating) FROM sales_fact"))
@@ -427,10 +440,11 @@ def _(t):
 
 
 @query("r12_publisher_history", over("""
-SELECT 'house brand#3' AS publisher, DATE '2025-01-01' AS effective_date, DATE '2026-01-15' AS expire_date
-UNION ALL SELECT 'house brand#3 publishing', DATE '2026-01-15', NULL"""))
+SELECT DISTINCT publisher, DATE '2025-01-01' AS effective_date,
+ CASE WHEN publisher = 'house brand#3' THEN DATE '2026-01-15' END AS expire_date FROM book_dim WHERE contains(publisher, 'house brand#3')
+UNION ALL SELECT DISTINCT 'house brand#3 publishing', DATE '2026-01-15', NULL FROM book_dim WHERE publisher = 'house brand#3'"""))
 def _(t):
-    dim = settle(warehouse.init_book_dim(books(t), dt.date(2025, 1, 1)).filter("publisher NOT LIKE 'house brand#3_'"))
+    dim = settle(warehouse.init_book_dim(books(t), dt.date(2025, 1, 1)))
     renames = t.spark.createDataFrame([("house brand#3", "house brand#3 publishing")], "publisher string, new_publisher string")
     return reports.publisher_history(warehouse.scd2_publisher_rename(dim, renames, RUN_DATE), "house brand#3")
 

@@ -11,6 +11,7 @@ from shelfmark.functions.numbers import STARS
 from shelfmark.functions.text import blank_to_null
 from shelfmark.operators import dedup, joins, keys, sets
 from shelfmark.operators.settle import settle
+from shelfmark.plans.constraints import check_tables
 from shelfmark.schemas import REVIEW_TYPES
 
 AUTHOR_COLUMNS = ["primary_author_name", "author_2", "author_3", "author_4", "author_5"]
@@ -160,10 +161,11 @@ def add_updated_at(tables: dict[str, DataFrame], run_ts: dt.datetime) -> dict[st
     return {name: df.withColumn("updated_at", F.lit(run_ts)) for name, df in tables.items()}
 
 
-def normalise(staging: DataFrame, run_ts: dt.datetime, pos: str = "_src_pos") -> dict[str, DataFrame]:
+def normalise(staging: DataFrame, run_ts: dt.datetime, pos: str = "_src_pos", strict: bool = False) -> dict[str, DataFrame]:
     """All 14 tables with ``updated_at``, for a first load.
 
-    Tables other tables read are written once; the bridges stay lazy.
+    Tables other tables read are written once; the bridges stay lazy. With
+    ``strict`` all of them are checked, and a row that breaks a rule raises.
     """
     staging = blanks_to_null(staging)
     tables = {
@@ -187,4 +189,6 @@ def normalise(staging: DataFrame, run_ts: dt.datetime, pos: str = "_src_pos") ->
     tables["author_isbn"] = build_author_isbn(staging, link, tables["author"], tables["role"], pos)
     tables["isbn_rating"] = build_isbn_rating(staging, link, pos)
     tables["book_isbn_genre"] = build_book_isbn_genre(staging, link, tables["genre"], pos)
+    if strict:
+        check_tables(tables, run_ts.date(), strict=True)
     return add_updated_at(tables, run_ts)
