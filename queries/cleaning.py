@@ -469,6 +469,35 @@ def _(t):
         "title_norm", "series_name_norm", "author_norm", "is_boxset")
 
 
+# The other sections of the report: name, SQL columns, condition.
+REPORT_SECTIONS = {
+    "titles": ("r.title, s.title_norm", "true"),
+    "authors": ("s.author, s.author_norm, s.primary_author, s.author_2, s.author_3, s.author_4, s.author_5", "true"),
+    "publish_dates": ('r."publishDate", s.publish_date AS "publishDate_norm"', "true"),
+    "several_editions": ("r.title, s.author_norm, r.edition, s.has_multiple_editions", "s.has_multiple_editions = 1"),
+}
+
+
+def report_section(name: str, columns: str, where: str) -> None:
+    @query(f"r22_report_{name}", with_tables(cleaned_ctes(), f"SELECT {columns} FROM staging s JOIN raw r USING (_src_pos) WHERE {where}"))
+    def _(t):
+        return reports.cleaning_report(raw_books(t), cleaned_books(t))[name]
+
+
+for section, (listed, condition) in REPORT_SECTIONS.items():
+    report_section(section, listed, condition)
+
+
+@query("r22_languages_before", with_tables(RAW, "SELECT language, count(*) AS n FROM raw WHERE language IS NOT NULL GROUP BY 1"))
+def _(t):
+    return reports.cleaning_report(raw_books(t), cleaned_books(t))["languages_before"]
+
+
+@query("r22_languages_after", with_tables(cleaned_ctes(), "SELECT r.language, count(*) AS n FROM staging s JOIN raw r USING (_src_pos) GROUP BY 1"))
+def _(t):
+    return reports.cleaning_report(raw_books(t), cleaned_books(t))["languages_after"]
+
+
 @query("r22_series", with_tables(cleaned_ctes(), """
 SELECT title_norm, series_name_norm, series_num, is_series FROM staging WHERE is_series"""))
 def _(t):

@@ -204,17 +204,21 @@ def _(t):
     return normalise.build_book_isbn_genre(s, link, settle(normalise.build_genre(s), "genre"))
 
 
-@query("n12_normalise_row_counts", with_tables(tables_sql("link"), f"""
-SELECT 'author' AS name, count(*) AS n, TIMESTAMP '2026-01-15 12:00:00' AS updated_at FROM author
-UNION ALL SELECT 'book', count(*), TIMESTAMP '2026-01-15 12:00:00' FROM book
-UNION ALL SELECT 'book_isbn', count(*), TIMESTAMP '2026-01-15 12:00:00' FROM book_isbn
-UNION ALL SELECT 'genre', count(*), TIMESTAMP '2026-01-15 12:00:00' FROM genre
-UNION ALL SELECT 'book_isbn_genre', count(DISTINCT (book_isbn_id, genre)), TIMESTAMP '2026-01-15 12:00:00'
- FROM ({GENRE_SLOTS}) g JOIN link USING (_src_pos) WHERE genre IS NOT NULL"""))
+PLAIN_TABLES = ("author", "book", "book_isbn", "genre", "role", "language", "publisher", "edition", "format", "series")
+
+CONTRIBUTORS = " UNION ALL ".join(f"SELECT _src_pos, {c} AS full_name, author_{i}_role AS role, {i} AS slot FROM s" for i, c in enumerate(AUTHORS, 1))
+
+
+@query("n12_normalise_row_counts", with_tables(tables_sql("link"), "SELECT *, TIMESTAMP '2026-01-15 12:00:00' AS updated_at FROM ("
+       + " UNION ALL ".join(f"SELECT '{name}' AS name, count(*) AS n FROM {name}" for name in PLAIN_TABLES) + f"""
+UNION ALL SELECT 'review_type', 5
+UNION ALL SELECT 'isbn_rating', sum({" + ".join(f'CAST("{i}_star" IS NOT NULL AS INT)' for i in range(1, 6))}) FROM s JOIN link USING (_src_pos)
+UNION ALL SELECT 'author_isbn', count(*) FROM (SELECT DISTINCT book_isbn_id, full_name, role, CASE WHEN role IS NULL THEN slot END
+ FROM ({CONTRIBUTORS}) JOIN link USING (_src_pos) WHERE full_name <> '')
+UNION ALL SELECT 'book_isbn_genre', count(DISTINCT (book_isbn_id, genre)) FROM ({GENRE_SLOTS}) g JOIN link USING (_src_pos) WHERE genre IS NOT NULL)"""))
 def _(t):
     made = normalise.normalise(staging(t), RUN_TS)
-    counts = [made[n].groupBy("updated_at").agg(F.lit(n).alias("name"), F.count("*").alias("n"))
-              for n in ("author", "book", "book_isbn", "genre", "book_isbn_genre")]
+    counts = [made[n].groupBy("updated_at").agg(F.lit(n).alias("name"), F.count("*").alias("n")) for n in made]
     rows = counts[0]
     for more in counts[1:]:
         rows = rows.unionByName(more)
