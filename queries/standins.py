@@ -190,7 +190,7 @@ BOOKS = {
         FROM {part}""",
     "author_isbn": """SELECT DISTINCT (l_partkey + 1) * 100000 + l_suppkey AS author_isbn_id, l_partkey + 1 AS book_isbn_id,
         l_suppkey + 1 AS author_id, CASE WHEN l_suppkey % 3 = 0 THEN CAST(NULL AS BIGINT) ELSE l_suppkey % 4 END AS role_id
-        FROM {lineitem} WHERE l_returnflag = 'R' AND l_linenumber >= 6""",
+        FROM {lineitem}""",
     "role": "SELECT CAST(r_regionkey AS BIGINT) AS role_id, concat('role ', r_regionkey) AS role FROM {region}",
     "isbn_rating": """SELECT (l_partkey + 1) * 10 + l_linenumber % 5 AS isbn_rating_id, l_partkey + 1 AS book_isbn_id,
         CAST(1 + l_linenumber % 5 AS BIGINT) AS review_type_id, CAST(sum(CAST(l_quantity AS INT)) AS INT) AS count
