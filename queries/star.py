@@ -252,7 +252,8 @@ def _(t):
 
 @query("h7_fill_avg_rating", over("SELECT * FROM sales_fact"))
 def _(t):
-    return build_star(t)["sales_fact"]
+    made = star(t)
+    return warehouse.fill_avg_rating(made["sales_fact"].drop("avg_rating"), made["book_dim"], books(t)["isbn_rating"])
 
 
 MONTH_FACT = f"""SELECT 500 + row_number() OVER (ORDER BY book_dim_id) AS sales_fact_id, month_year_dim_id, {", ".join(AUTHOR_SLOTS)},
@@ -263,8 +264,7 @@ MONTH_FACT = f"""SELECT 500 + row_number() OVER (ORDER BY book_dim_id) AS sales_
 
 @query("h13_monthly_fact", over(MONTH_FACT))
 def _(t):
-    oltp, sales = books(t), staged(t)
-    return warehouse.monthly_fact(sales, dims(t, oltp, sales), oltp, MONTH, YEAR, start_after=500)
+    return warehouse.monthly_fact(staged(t), star(t), books(t), MONTH, YEAR, start_after=500)
 
 
 @query("h13_mark_loaded", over(f"""
@@ -279,17 +279,18 @@ SELECT isbn13, month, year, {", ".join(MEASURES)}, nyt_best_selling_category,
 FROM sales LEFT JOIN book_dim ON isbn_13 = isbn13 LEFT JOIN slots USING (book_isbn_id)
 WHERE month = {MONTH} AND year = {YEAR} AND slots.book_isbn_id IS NULL"""))
 def _(t):
-    oltp, sales = books(t), staged(t)
-    return warehouse.unmatched_sales(sales, dims(t, oltp, sales), oltp, MONTH, YEAR, RUN_TS)
+    return warehouse.unmatched_sales(staged(t), star(t), books(t), MONTH, YEAR, RUN_TS)
 
 
 @query("h15_seed_etl_log", over("""
-SELECT 'synthetic' AS source, 'load_sales_fact' AS details, (SELECT count(*) FROM sales_fact) AS rows_inserted_to_dw
+SELECT TIMESTAMP '2026-01-15 12:00:00' AS run_date, source, details, n AS rows_from_raw_data, n AS rows_inserted_to_dw,
+ 0 AS rows_updated, 0 AS rows_failed FROM (
+SELECT 'synthetic' AS source, 'load_sales_fact' AS details, (SELECT count(*) FROM sales_fact) AS n
 UNION ALL SELECT 'oltp', 'load_book_dim', (SELECT count(*) FROM book_dim)
 UNION ALL SELECT 'oltp', 'load_author_dim', (SELECT count(*) FROM author_dim)
-UNION ALL SELECT 'synthetic', 'load_month_year_dim', (SELECT count(*) FROM month_year_dim)"""))
+UNION ALL SELECT 'synthetic', 'load_month_year_dim', (SELECT count(*) FROM month_year_dim))"""))
 def _(t):
-    return warehouse.seed_etl_log(star(t), RUN_TS).select("source", "details", "rows_inserted_to_dw")
+    return warehouse.seed_etl_log(star(t), RUN_TS)
 
 
 def loaded_store(t) -> TableStore:
