@@ -21,7 +21,7 @@ from shelfmark.operators.settle import settle
 WEIGHTS = (1, 2, 3)
 MOST_COPIES = 3
 #: Documents of one source settled by one task's call, and groups whose rests meet in the next level.
-GROUP_ROWS = 16_384
+GROUP_ROWS = 2_048
 FAN_IN = 64
 EXACT = 1e-9
 
