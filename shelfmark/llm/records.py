@@ -33,15 +33,27 @@ HEAD = struct.Struct("<QI")
 TAIL = struct.Struct("<I")
 OWN = struct.Struct("<qQQB")
 FRAME = HEAD.size + TAIL.size
-#: Chunks of text whose ids a Python worker remembers, and chunks encoded at once.
+#: Pieces of text whose ids a Python worker remembers from before the last ones, and pieces encoded as one text.
 REMEMBERED = 300_000
-TOGETHER = 20_000
+TOGETHER = 200
 #: Bytes read at once where wanted records are neighbours.
 READ = 8 << 20
 #: Fixed value: Unicode's White_Space.
 SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: A single white space before other characters opens a new token of byte-level BPE, so these pieces are independent.
 PIECES = re.compile(f"[{SPACE}]?[^{SPACE}]+|[{SPACE}]+(?=[{SPACE}][^{SPACE}])|[{SPACE}]+")
+#: ASCII's marks but the apostrophe, which opens tokens such as 's.
+STOPS = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum() and c != "'")
+
+
+def letters_and_stops(piece: str) -> tuple[str, str] | None:
+    """A piece cut where its Latin letters end, if only stops follow: there a new token of byte-level BPE begins."""
+    letters = piece.rstrip(STOPS)
+    if len(letters) == len(piece) or not letters or max(letters) >= "\u0250":
+        return None
+    if letters.isalpha() or letters[1:].isalpha() and letters[0].isspace():
+        return letters, piece[len(letters):]
+    return None
 
 
 def masked(data: bytes) -> int:
@@ -83,9 +95,19 @@ class Encoder:
         self.specials = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.end = np.array([end_id], self.kind).tobytes()
         self.known: dict[str, bytes] = {}
-
-    def _ask(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, self.kind).tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+        self.older: dict[str, bytes] = {}
+
+    def _ask(self, texts: list[str]) -> Iterator[bytes]:
+        """The library's ids of texts without special tokens; many at once, with a special token between them."""
+        if not self.specials:
+            yield from (np.array(e.ids, self.kind).tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False))
+            return
+        width, between = self.kind.itemsize, self.library.token_to_id(self.specials[0])
+        joined = [self.specials[0].join(texts[i:i + TOGETHER]) for i in range(0, len(texts), TOGETHER)]
+        for encoded in self.library.encode_batch_fast(joined, add_special_tokens=False):
+            ids = np.array(encoded.ids, self.kind)
+            cuts, raw = (np.flatnonzero(ids == between) * width).tolist(), ids.tobytes()
+            yield from (raw[a:b] for a, b in zip([0, *(c + width for c in cuts)], [*cuts, len(raw)]))
 
     def _pieces(self, text: str) -> list[str]:
         # White space before a special token is a case of its own; the library gets such a text whole.
@@ -93,17 +115,34 @@ class Encoder:
             return [text]
         return PIECES.findall(text)
 
+    def _recall(self, piece: str) -> bool:
+        """Whether a piece is remembered; what is only in the older half comes into the newer one."""
+        if piece in self.known:
+            return True
+        if piece in self.older:
+            self.known[piece] = self.older[piece]
+            return True
+        return False
+
+    def _learn(self, pieces: Iterable[str]) -> None:
+        """Remembers the ids of all pieces; letters and the stops after them are asked for apart."""
+        if len(self.known) > REMEMBERED:
+            self.older, self.known = self.known, {}
+        fresh = [p for p in pieces if not self._recall(p)]
+        halves = {p: h for p in fresh if (h := letters_and_stops(p))}
+        asked = {h for pair in halves.values() for h in pair} | {p for p in fresh if p not in halves}
+        asked = [p for p in asked if not self._recall(p)]
+        plain = [p for p in asked if not any(s in p for s in self.specials)]
+        self.known.update(zip(plain, self._ask(plain)))
+        for whole in set(asked) - set(plain):
+            self.known[whole] = np.array(self.library.encode(whole, add_special_tokens=False).ids, self.kind).tobytes()
+        self.known.update((p, self.known[a] + self.known[b]) for p, (a, b) in halves.items())
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, with the end id."""
         pieces = [self._pieces(t) for t in texts]
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        known = self.known
-        missing = list({p for own in pieces for p in own if p not in known})
-        for i in range(0, len(missing), TOGETHER):
-            some = missing[i:i + TOGETHER]
-            known.update(zip(some, self._ask(some)))
-        return [b"".join([*map(known.__getitem__, own), self.end]) for own in pieces]
+        self._learn(set().union(*pieces))
+        return [b"".join([*map(self.known.__getitem__, own), self.end]) for own in pieces]
 
 
 _ENCODERS: dict[tuple, Encoder] = {}
