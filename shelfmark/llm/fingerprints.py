@@ -15,11 +15,10 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from shelfmark.llm.common import (
-    NULL_ID, Windows, columns, id_or_last, run_starts, slices, split_words, whole_runs, word_hashes)
+    NULL_ID, Windows, id_or_last, run_starts, slices, split_words, whole_runs, word_hashes)
 from shelfmark.llm.ordering import by_id_ranges, id_bounds
 from shelfmark.operators.settle import settle
 
@@ -29,7 +28,7 @@ RADIUS = 3
 #: Rows of one key held at once; of longer runs only the fingerprints asked for are held.
 RUN_ROWS = 1 << 18
 PAIRS = 1 << 20
-VOTES = 1 << 19
+VOTES = 1 << 16
 
 
 def simhash(texts: pa.Array, shingle: int = SHINGLE) -> np.ndarray:
