@@ -9,7 +9,7 @@ and are checked in full.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from itertools import repeat
 
 import numpy as np
@@ -148,6 +148,15 @@ def link_marks(marks: DataFrame) -> DataFrame:
     return links.distinct()
 
 
+def component_of_marks(rows: DataFrame, marks: DataFrame, links: DataFrame) -> DataFrame:
+    """``rows`` (id, mark) with ``component``, the smallest id that links (a, b) of marks lead to; ``marks`` has each one's first id."""
+    found = components(links)
+    least = (found.join(marks, found.node == marks.mark).groupBy("root").agg(F.min("first").alias("least")))
+    known = found.join(least, "root").select(F.col("node").alias("mark"), "least")
+    classes = marks.join(known, "mark", "left").select("mark", F.coalesce("least", "first").alias("component"))
+    return rows.join(classes, "mark")
+
+
 def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     shingle: int = SHINGLE) -> DataFrame:
     """(``id_col``, fingerprint, component_id) for each row; documents are linked within three bits.
@@ -163,23 +172,21 @@ def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str
     texts = documents.select(id_or_last(id_col).alias("id"), F.col(text_col).alias("text"))
     rows = settle(texts.mapInArrow(lambda b: _fingerprints(b, shingle), "id long, mark long"), "fingerprints")
     marks = settle(rows.groupBy("mark").agg(F.min("id").alias("first")), "marks")
-    found = components(link_marks(marks))
-    least = (found.join(marks, found.node == marks.mark).groupBy("root").agg(F.min("first").alias("least")))
-    known = found.join(least, "root").select(F.col("node").alias("mark"), "least")
-    classes = marks.join(known, "mark", "left").select("mark", F.coalesce("least", "first").alias("component"))
     own = lambda c: F.when(F.col(c) != NULL_ID, F.col(c)).cast(id_type)
-    return (rows.join(classes, "mark")
+    return (component_of_marks(rows, marks, link_marks(marks))
             .select(own("id").alias(id_col), F.lpad(F.lower(F.hex("mark")), 16, "0").alias("fingerprint"),
                     own("component").alias("component_id")))
 
 
-def one_of_each(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def one_of_each(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                components_of: Callable[..., DataFrame] = near_duplicates) -> DataFrame:
     """The documents that are the smallest id of their component, with all their columns.
 
+    ``components_of`` (documents, id_col, text_col) says what is linked.
     Of rows that share an id each stays or goes with it; rows of a null id
     stay only if no other id is in their component.
     """
-    classes = near_duplicates(documents, id_col, text_col)
+    classes = components_of(documents, id_col, text_col)
     name = column_name(documents, "kept")
     kept = classes.filter(F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias(name)).distinct()
     return documents.join(kept, F.col(id_col).eqNullSafe(F.col(name)), "left_semi")
