@@ -29,8 +29,12 @@ from pyspark.sql import DataFrame, functions as F
 from shelfmark.llm.common import slices, split_words
 from shelfmark.operators.settle import settle
 
-#: Words compiled into the lexicon at most: the bound of what the driver holds.
+#: Words compiled into the lexicon at most, and their bytes. An automaton has at most a state for each byte
+#: and one more, so the bytes bound what the driver holds, the file and the state numbers (below 2**24).
 LEXICON_WORDS = 1 << 17
+LEXICON_BYTES = 1 << 21
+#: Longer words, such as whole texts without spaces, are neither counted nor remembered.
+WORD_BYTES = 64
 #: Pieces of unseen words that a Python worker remembers.
 REMEMBERED = 300_000
 #: Words with more symbols are merged with a heap.
@@ -121,9 +125,10 @@ class WordBpe:
         if found is None:
             raw = text.encode()
             found = self.merge([*map(self.inner.__getitem__, raw[:-1]), self.last[raw[-1]]])
-            if len(self.known) >= REMEMBERED:
-                self.known.clear()
-            self.known[text] = found
+            if len(raw) <= WORD_BYTES:
+                if len(self.known) >= REMEMBERED:
+                    self.known.clear()
+                self.known[text] = found
         return found
 
     @staticmethod
@@ -328,23 +333,26 @@ def _encoded(batches: Iterable[pa.RecordBatch], definition, name: str, digests:
 def _counted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for part in slices(batches):
         _, codes, words = split_words(part.column(0))
-        yield pa.RecordBatch.from_arrays([words, pa.array(np.bincount(codes, minlength=len(words)))], ["word", "n"])
+        counted = pa.RecordBatch.from_arrays([words, pa.array(np.bincount(codes, minlength=len(words)))], ["word", "n"])
+        yield counted.filter(pc.less_equal(pc.binary_length(words), WORD_BYTES))
 
 
 def frequent_words(documents: DataFrame, text_col: str, most: int) -> list[str]:
     """The most frequent words over all texts: as many whole classes of equal counts as ``most`` leaves room for.
 
-    Words are counted in the tasks before they move; the driver gets a
-    histogram of counts, then at most ``most`` words.
+    Words of over ``WORD_BYTES`` are left out. Words are counted in the tasks
+    before they move; the driver gets a histogram of counts, then at most
+    ``most`` words of at most ``LEXICON_BYTES`` together.
     """
     counts = (documents.select(text_col).mapInArrow(_counted, "word string, n long")
               .groupBy("word").agg(F.sum("n").alias("n")).filter("n > 1"))
     counts = settle(counts, "word-counts")
-    sizes = counts.groupBy(F.least("n", F.lit(1 << 20)).alias("n")).count().orderBy(F.desc("n")).collect()
-    room, least = most, None
-    for n, words in sizes:
-        room -= words
-        if room < 0:
+    sizes = (counts.groupBy(F.least("n", F.lit(1 << 20)).alias("n"))
+             .agg(F.count("*").alias("words"), F.sum(F.octet_length("word")).alias("bytes")).orderBy(F.desc("n")).collect())
+    room, left, least = most, LEXICON_BYTES, None
+    for n, words, size in sizes:
+        room, left = room - words, left - size
+        if room < 0 or left < 0:
             break
         least = n
     return [] if least is None else [r.word for r in counts.filter(F.col("n") >= least).select("word").collect()]

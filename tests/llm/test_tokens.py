@@ -48,6 +48,20 @@ def test_round_trip_matches_the_library(spark, most):
     assert got == sorted((want(r.doc_id, r.text) for r in df.collect()), key=str)
 
 
+def test_long_unspaced_texts_stay_out_of_the_lexicon(spark, monkeypatch):
+    rng = random.Random(4)
+    long = ["".join(chr(rng.randrange(0x4E00, 0x9000)) for _ in range(20_000)), "".join(rng.choices("abcXYZ019+/", k=60_000))]
+    df = documents(spark, [*long, *long, "some words some words", "", "b" * 64 + " " + "b" * 64 + " " + "c" * 65 + " " + "c" * 65])
+    words = bpe.frequent_words(df, "text", bpe.LEXICON_WORDS)
+    assert {"some", "words", "b" * 64} <= set(words) and max(len(w.encode()) for w in words) <= 64
+    library = Tokenizer.from_file(WORD_FILE)
+    for row in bpe.encode(df, WORD_FILE).collect():
+        if row.doc_id in (0, 1, 2, 3):
+            assert row.ids == library.encode(long[row.doc_id % 2], add_special_tokens=False).ids
+    monkeypatch.setattr(bpe, "LEXICON_BYTES", 12)
+    assert sum(len(w) for w in bpe.frequent_words(df, "text", bpe.LEXICON_WORDS)) <= 12
+
+
 def test_encode_and_decode(spark):
     df = documents(spark, ODD)
     library = Tokenizer.from_file(WORD_FILE)
