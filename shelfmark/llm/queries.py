@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shelfmark.llm import bpe, chat, fingerprints, mixing, neardup, quality, records, sharding, substring, topk
+from shelfmark.llm import bpe, chat, fingerprints, langid, mixing, neardup, quality, records, sharding, spelling, substring, topk, trie
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -113,3 +113,72 @@ def op9(spark, sf_dir):
 @query("op10_simhash_near_dedup")
 def op10(spark, sf_dir):
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+#: CRC-32 in SQL: the table of one byte's remainders, and the unsigned checksum of a list of bytes.
+CRC_TABLE_SQL = """crc_table AS (SELECT list(v ORDER BY i) AS crc_t FROM (SELECT i, list_reduce(range(8), lambda c, x:
+  CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i) AS v FROM range(256) AS r(i)))"""
+
+
+def crc_sql(code_points: str) -> str:
+    """Of a list of ASCII or Latin-1 code points, as UTF-8 bytes; ``crc_t`` must be in scope."""
+    raw = f"flatten(list_transform({code_points}, lambda o: CASE WHEN o < 128 THEN [o] ELSE [192 + (o >> 6), 128 + (o & 63)] END))"
+    return (f"xor(list_reduce({raw}, lambda c, b: xor(c >> 8, crc_t[(xor(c, b) & 255) + 1]), 4294967295), 4294967295)")
+
+
+def points_sql(text: str) -> str:
+    return f"list_transform(string_split({text}, ''), lambda ch: CAST(unicode(ch) AS BIGINT))"
+
+
+@query("op11_byte_gru_language")
+def op11(spark, sf_dir):
+    return langid.judge(table(spark, sf_dir, "documents"))
+
+
+@query("op12_bit_sliced_spelling", f"""
+WITH RECURSIVE {CRC_TABLE_SQL},
+runs AS (SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS n FROM (
+  SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z\u00C0-\u00FF]+')) AS run FROM documents)
+  WHERE length(run) >= 7 GROUP BY ALL),
+checked AS (SELECT run, n, {crc_sql(points_sql("concat(doc_id, ':', run)"))} AS h FROM runs, crc_table),
+spelt AS (SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, CAST(h % length(run) AS BIGINT)) || substr(run, CAST(h % length(run) AS BIGINT) + 2)
+  ELSE run END AS word, n FROM checked),
+words AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM spelt WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+cut AS (SELECT word, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest FROM words, range(1, 100000) AS r(i) WHERE i <= length(word)),
+near AS (SELECT a.word, b.word AS other FROM cut a JOIN cut b ON a.i = b.i AND a.rest = b.rest AND length(a.word) = length(b.word) AND a.word <> b.word
+  UNION SELECT c.word, w.word FROM cut c JOIN words w ON w.word = c.rest
+  UNION SELECT w.word, c.word FROM cut c JOIN words w ON w.word = c.rest),
+best AS (SELECT near.word, count(*) AS n_near, arg_min({{'w': other, 'n': n}}, {{'m': -n, 'w': encode(other)}}) AS b FROM near JOIN words ON words.word = other GROUP BY near.word),
+formed AS (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN b.n >= 10 * w.n THEN b.w END AS form,
+  CASE WHEN b.n >= 10 * w.n THEN b.n END AS form_n FROM words w LEFT JOIN best USING (word)),
+steps AS (SELECT word, word AS place, 0 AS d FROM formed UNION ALL SELECT s.word, f.form, d + 1 FROM steps s JOIN formed f ON f.word = s.place WHERE f.form IS NOT NULL)
+SELECT f.word, f.form, arg_max(place, d) AS root, any_value(n) AS n, any_value(n_near) AS n_near, any_value(form_n) AS form_n
+FROM formed f JOIN steps s ON s.word = f.word GROUP BY f.word, f.form""")
+def op12(spark, sf_dir):
+    return spelling.group_variants(table(spark, sf_dir, "documents"))
+
+
+@query("op13_prefix_trie", f"""
+WITH {CRC_TABLE_SQL},
+said AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text,
+  md5(concat(strlen(coalesce(role, '')), ':', coalesce(role, ''), coalesce(text, ''))) AS m FROM conversations WHERE conv_id IS NOT NULL),
+own AS (SELECT conv_id, list({{'m': m, 'b': strlen(text)}} ORDER BY turn NULLS FIRST, role, m) AS turns FROM said GROUP BY conv_id),
+shares AS (SELECT conv_id, turns, CAST({crc_sql(points_sql("CAST(conv_id AS VARCHAR)"))} % 9 AS BIGINT) AS h FROM own, crc_table),
+made AS (SELECT s.conv_id, list_concat(CASE WHEN h = 0 THEN [] ELSE coalesce(f.turns[1:h], []) END, s.turns[h + 1:]) AS turns
+  FROM shares s LEFT JOIN own f ON f.conv_id = s.conv_id - s.conv_id % 5),
+steps AS (SELECT conv_id, d, md5(array_to_string(list_transform(CASE WHEN d = 0 THEN [] ELSE turns[1:d] END, lambda t: t.m), '')) AS k,
+  CASE WHEN d = 0 THEN 0 ELSE turns[d].b END AS b, d = len(turns) AS is_end
+  FROM (SELECT conv_id, turns, unnest(range(0, len(turns) + 1)) AS d FROM made)),
+nodes AS (SELECT k, d, min(conv_id) AS conv_id, count(*) AS n, any_value(b) AS b,
+  sha256(coalesce(string_agg(conv_id, ',' ORDER BY conv_id) FILTER (is_end), '')) AS ends FROM steps GROUP BY k, d),
+family AS (SELECT n.k, n.d, s.k AS pk, p.conv_id AS pc FROM nodes n JOIN steps s ON s.conv_id = n.conv_id AND s.d = n.d - 1
+  JOIN nodes p ON p.k = s.k AND p.d = s.d),
+kids AS (SELECT pk AS k, d - 1 AS d, count(*) AS c FROM family GROUP BY ALL),
+sums AS (SELECT s.k, s.d, sum((u.n - 1) * u.b) AS saved, count(*) FILTER (kids.c IS NULL) AS leaves
+  FROM nodes u LEFT JOIN kids ON kids.k = u.k AND kids.d = u.d JOIN steps s ON s.conv_id = u.conv_id AND s.d <= u.d GROUP BY s.k, s.d)
+SELECT n.conv_id, n.d AS depth, pc AS parent_conv_id, n AS n_convs, coalesce(c, 0) AS n_children, leaves AS n_leaves,
+  CAST(saved AS BIGINT) AS saved_tokens, ends AS ends_sha256
+FROM nodes n JOIN sums ON sums.k = n.k AND sums.d = n.d LEFT JOIN kids ON kids.k = n.k AND kids.d = n.d
+LEFT JOIN family ON family.k = n.k AND family.d = n.d""")
+def op13(spark, sf_dir):
+    return trie.prefix_trie(table(spark, sf_dir, "conversations"))
