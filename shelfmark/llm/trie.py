@@ -16,11 +16,12 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from shelfmark.llm.common import run_starts
 from shelfmark.llm.ordering import by_id_ranges, id_bounds
@@ -150,8 +151,9 @@ def node_table(steps: DataFrame) -> DataFrame:
     told = ("p1", "p2", "depth", "bytes")
     nodes = steps.groupBy("k1", "k2").agg(
         F.count("*").alias("n"), F.min("conv").alias("conv"), F.min("unit").alias("unit"), *[F.min(c).alias(c) for c in told],
-        F.max(F.struct(*told)).alias("most"), F.min(F.struct(*told)).alias("least"))
-    nodes = settle(nodes.withColumn("clash", F.col("most") != F.col("least")).drop("most", "least"), "nodes")
+        *[F.max(c).alias(f"most_{c}") for c in told])
+    clash = reduce(Column.__or__, [F.col(c) != F.col(f"most_{c}") for c in told])
+    nodes = settle(nodes.withColumn("clash", clash).drop(*[f"most_{c}" for c in told]), "nodes")
     if not nodes.filter("clash").isEmpty():
         raise ValueError("two prefixes share a digest")
     return nodes.drop("clash")
