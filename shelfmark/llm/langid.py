@@ -14,7 +14,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from shelfmark.llm.common import slices
 from shelfmark.llm.quality import held_out
@@ -182,18 +182,24 @@ def train(tagger: Tagger, segments: list[bytes], wanted: np.ndarray, seed: int =
 def labelled_segments(documents: DataFrame, id_col: str, text_col: str, lang_col: str, most: int) -> DataFrame:
     """(lang, segment): at most ``most`` rows that may be learnt from, about equally many of each language.
 
-    Rows are taken by a hash of id and text, the segment by the same hash from
-    anywhere in the text. Rows that stand first in their language come first.
+    A row's place in its language is guessed from a hash of its id and text and
+    the language's number of rows, so that no language meets in one task. The
+    rows of the first places are taken; a language of few rows gives them all.
+    Languages beyond the ``most`` most frequent ones are not learnt. The segment
+    starts anywhere in the text, by the same hash.
     """
     raw = F.col("text").cast("binary")
     rows = documents.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"),
                             held_out(id_col).alias("kept_back"))
-    rows = rows.filter(F.col("lang").isNotNull() & (F.length("text") > 0) & ~F.col("kept_back")).withColumn("mark", F.xxhash64("id", "text"))
+    rows = rows.filter(F.col("lang").isNotNull() & (F.length("text") > 0) & ~F.col("kept_back"))
+    counts = rows.groupBy("lang").agg(F.count("*").alias("count")).orderBy(F.desc("count"), "lang").limit(most)
+    rows = rows.join(F.broadcast(counts), "lang").withColumn("mark", F.xxhash64("id", "text"))
+    place = F.col("count") * (F.shiftrightunsigned("mark", 32) / F.lit(2.0 ** 32))
     room = F.greatest(F.octet_length("text") - SEGMENT, F.lit(0)) + 1
-    rows = rows.select("lang", "mark", F.substring(raw, F.pmod("mark", room).cast("int") + 1, F.lit(SEGMENT)).alias("segment"))
-    first = Window.partitionBy("lang").orderBy("mark", "segment")
-    return (rows.withColumn("n", F.row_number().over(first)).filter(F.col("n") <= most)
-            .orderBy("n", "mark", "lang", "segment").limit(most).select("lang", "segment"))
+    start = F.col("mark").bitwiseAND(F.lit((1 << 31) - 1)) % room
+    return (rows.withColumn("place", place).filter(F.col("place") < most)
+            .select("lang", "place", "mark", F.substring(raw, start.cast("int") + 1, F.lit(SEGMENT)).alias("segment"))
+            .orderBy("place", "mark", "lang", "segment").limit(most).select("lang", "segment"))
 
 
 def fit(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", most: int = SAMPLE_ROWS) -> Tagger:
