@@ -420,34 +420,41 @@ def _(t):
     return cleaning.choose_rows(raw_books(t)).select("_src_pos", "bookId", "isbn10", "isbn13")
 
 
+@query("c9_nested_genres", """
+SELECT p_partkey, CASE WHEN p_size % 12 = 11 THEN '' ELSE lower(trim(p_name)) || '|tea' END AS genre_list FROM part""")
+def _(t):
+    # Lists in the list, up to ten deep; one bracket too many makes it no list.
+    deep = F.concat(F.expr("repeat('[1, ', p_size % 11)"), F.lit("'x', \"]\""), F.expr("repeat(']', p_size % 11)"))
+    whole = F.concat(F.lit("['"), "p_name", F.lit("', "), F.when(F.col("p_size") % 11 > 0, F.concat(deep, F.lit(", "))).otherwise(""),
+                     F.when(F.col("p_size") % 12 == 11, F.lit("], ")).otherwise(""), F.lit("'Tea']"))
+    return t.part.select("p_partkey", F.array_join(genres.parse_genres(whole), "|").alias("genre_list"))
+
+
 def catalogue_file(t) -> str:
-    """The stand-in catalogue as CSV in file form, unused columns included."""
+    """The stand-in catalogue as CSV in file form, unused columns included; files and their rows in order of position."""
     import uuid
     path = f"{shared_folder(t.spark)}/catalogue-{uuid.uuid4().hex}"
-    whole = raw_books(t).withColumns({c: F.lit("x") for c in DROPPED_CATALOGUE_COLUMNS})
+    whole = raw_books(t).repartitionByRange("_src_pos").sortWithinPartitions("_src_pos").withColumns(
+        {c: F.lit("x") for c in DROPPED_CATALOGUE_COLUMNS})
     options = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
     whole.select(*CATALOGUE_COLUMNS, *DROPPED_CATALOGUE_COLUMNS).write.options(**options).csv(path)
     return path
 
 
-@query("s1_load_catalogue", with_tables(RAW, """
-SELECT nullif(trim(title), '') AS title, series, count(*) AS n, count(DISTINCT isbn) AS isbns, count(description) AS described
-FROM (SELECT * REPLACE (nullif(series, '') AS series, CASE WHEN description = '' THEN NULL ELSE description END AS description) FROM raw)
-GROUP BY 1, 2"""))
+# Every row and cell of the loaded file, numbered in the order of its positions.
+@query("s1_load_catalogue", with_tables(RAW, "SELECT row_number() OVER (ORDER BY _src_pos) AS place, " + ", ".join(
+    f"""CASE WHEN "{c}" NOT IN ({', '.join(f"'{m}'" for m in files.MISSING)}) THEN "{c}" END AS "{c}\"""" for c in CATALOGUE_COLUMNS) + " FROM raw"))
 def _(t):
     loaded = files.load_catalogue(t.spark, catalogue_file(t))
-    return loaded.groupBy(F.nullif(F.trim("title"), F.lit("")).alias("title"), "series").agg(
-        F.count("*").alias("n"), F.count_distinct("isbn").alias("isbns"), F.count("description").alias("described"))
+    return keys.assign_ids(settle(loaded, "loaded"), "place", ["_src_pos"]).select("place", *CATALOGUE_COLUMNS)
 
 
-@query("s2_write_staging", with_tables(cleaned_ctes(), """
-SELECT publisher_norm, count(*) AS n, sum(pages_norm) AS pages, count(DISTINCT book_uid) AS books FROM staging GROUP BY 1"""))
+@query("s2_write_staging", with_tables(cleaned_ctes(), "SELECT " + ", ".join(f'"{c}"' for c in STAGING_COLUMNS) + " FROM staging"))
 def _(t):
     import uuid
     path = f"{shared_folder(t.spark)}/staging-{uuid.uuid4().hex}"
     files.write_staging(cleaned_books(t), path)
-    return t.spark.read.parquet(path).groupBy("publisher_norm").agg(
-        F.count("*").alias("n"), F.sum("pages_norm").alias("pages"), F.count_distinct("book_uid").alias("books"))
+    return staging_view(t.spark.read.parquet(path))
 
 
 @query("r22_cleaning_shapes", with_tables(cleaned_ctes(), """

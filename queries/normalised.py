@@ -13,7 +13,7 @@ from queries.standins import BOOKS, STAGING, books, for_duckdb, staging
 from shelfmark.functions import genres
 from shelfmark.operators import changes, checks
 from shelfmark.operators.settle import settle, shared_folder
-from shelfmark.plans import constraints, normalise, snapshot
+from shelfmark.plans import additions, constraints, deletions, normalise, snapshot
 from shelfmark.sources.tables import TableStore
 
 RUN_TS = dt.datetime(2026, 1, 15, 12, 0)
@@ -424,7 +424,70 @@ def _(t):
     return stored_book_logs(t).read("book")
 
 
-# Ratings of all parts against changed ones that break no rule.
+# All 14 tables: ISBNs with editions and dates, some of them wrong.
+EDITION = "SELECT CAST(r_regionkey AS BIGINT) AS edition_id, concat('edition ', r_regionkey) AS edition FROM {region}"
+REVIEW_TYPE = """SELECT CAST(id AS BIGINT) AS review_type_id, name AS review_type
+ FROM (VALUES (1, '5_star'), (2, '4_star'), (3, '3_star'), (4, '2_star'), (5, '1_star')) AS v(id, name)"""
+FULL_ISBN = BOOKS["book_isbn"].replace("CAST(NULL AS BIGINT) AS edition_id", "p_partkey % 7 AS edition_id").replace(
+    "p_partkey % 10 = 0 AS is_boxset", """p_partkey % 10 = 0 AS is_boxset,
+        CASE p_partkey % 3 WHEN 0 THEN DATE '2026-01-14' WHEN 1 THEN DATE '2026-01-15' ELSE DATE '2026-01-16' END AS publish_date,
+        CASE WHEN p_partkey % 10 = 5 THEN DATE '2027-01-01' END AS original_publish_date""")
+FULL = {**BOOKS, "edition": EDITION, "review_type": REVIEW_TYPE, "book_isbn": FULL_ISBN}
+
+
+def orphans(table: str, column: str, parent: str) -> str:
+    return (f"SELECT '{table}' AS table_name, 'foreign {column}' AS rule, count(*) AS n FROM {table} "
+            f"WHERE {column} NOT IN (SELECT {column} FROM {parent}) HAVING count(*) > 0")
+
+
+def repeats(table: str, *columns: str) -> str:
+    known = " AND ".join(f"{c} IS NOT NULL" for c in columns)
+    return (f"SELECT '{table}' AS table_name, 'unique {', '.join(columns)}' AS rule, count(*) AS n FROM ("
+            f"SELECT count(*) OVER (PARTITION BY {', '.join(columns)}) AS c FROM {table} WHERE {known}) WHERE c > 1 HAVING count(*) > 0")
+
+
+def breaches(table: str, rule: str, where: str) -> str:
+    return f"SELECT '{table}' AS table_name, '{rule}' AS rule, count(*) AS n FROM {table} WHERE {where} HAVING count(*) > 0"
+
+
+BREACHES = [
+    *[repeats(t, f"{t}_id") for t in FULL], *[repeats(t, t) for t in ("language", "genre", "role", "publisher", "edition", "format", "review_type")],
+    repeats("series", "series_name"), repeats("book_isbn", "isbn13"), repeats("book_isbn", "isbn10"),
+    repeats("author_isbn", "book_isbn_id", "author_id", "role_id"), repeats("isbn_rating", "book_isbn_id", "review_type_id"),
+    repeats("book_isbn_genre", "book_isbn_id", "genre_id"),
+    *[orphans("book_isbn", f"{p}_id", p) for p in ("book", "format", "edition", "publisher", "language", "series")],
+    *[orphans(t, "book_isbn_id", "book_isbn") for t in ("author_isbn", "isbn_rating", "book_isbn_genre")],
+    orphans("author_isbn", "author_id", "author"), orphans("author_isbn", "role_id", "role"),
+    orphans("isbn_rating", "review_type_id", "review_type"), orphans("book_isbn_genre", "genre_id", "genre"),
+    breaches("book_isbn", "publish_date", "publish_date > DATE '2026-01-15' OR original_publish_date > DATE '2026-01-15'"),
+    breaches("book_isbn", "isbn", "length(isbn13) <> 13 OR length(isbn10) <> 10 OR (isbn10 IS NULL AND isbn13 IS NULL)"),
+    breaches("isbn_rating", "rating", "count < 0"), breaches("book_isbn", "required", "book_isbn_id IS NULL OR book_id IS NULL"),
+    breaches("isbn_rating", "required", "isbn_rating_id IS NULL OR book_isbn_id IS NULL OR review_type_id IS NULL OR count IS NULL")]
+
+
+def full_tables(t) -> dict:
+    return books(t) | {name: t.sql(FULL[name]) for name in ("edition", "review_type", "book_isbn")}
+
+
+@query("v_constraint_catalogue", with_tables({**FULL, "isbn_rating": RATING_CHANGES["new"]}, " UNION ALL ".join(BREACHES)))
+def _(t):
+    rejected = constraints.check_tables(full_tables(t) | {"isbn_rating": t.sql(RATING_CHANGES["new"])}, RUN_TS.date())
+    return rejected.groupBy("table_name", "rule").agg(F.count("*").alias("n"))
+
+
+@query("v_checked_additions", with_tables({**FULL, "isbn_rating": BOOKS["isbn_rating"]}, """
+SELECT 'isbn_rating' AS table_name, 'unique book_isbn_id, review_type_id' AS rule, isbn_rating_id + 1000000000 AS row_id FROM isbn_rating WHERE count >= 150
+UNION ALL SELECT 'isbn_rating', 'unique isbn_rating_id', isbn_rating_id FROM isbn_rating WHERE count < 150
+UNION ALL SELECT 'isbn_rating', 'foreign book_isbn_id', isbn_rating_id FROM isbn_rating WHERE count < 150"""))
+def _(t):
+    made, old = full_tables(t), t.sql(BOOKS["isbn_rating"])
+    again = old.filter("count >= 150").withColumn("isbn_rating_id", F.col("isbn_rating_id") + 1_000_000_000)
+    moved = old.filter("count < 150").withColumn("book_isbn_id", F.col("book_isbn_id") + 1_000_000_000)
+    rejected = constraints.check_additions({"isbn_rating": again.unionByName(moved)}, made | {"isbn_rating": old}, RUN_TS.date())
+    return rejected.select("table_name", "rule", "row_id")
+
+
+# Ratings of all parts against changed ones that break no rule; their ISBNs keep all columns and their parents.
 VALID_RATINGS = {
     "old": "SELECT r.* FROM (" + BOOKS["isbn_rating"] + ") r WHERE book_isbn_id % 5 <> 0",
     "new": """SELECT isbn_rating_id, book_isbn_id, review_type_id,
@@ -443,42 +506,189 @@ SELECT coalesce(n.isbn_rating_id, o.isbn_rating_id) AS isbn_rating_id, coalesce(
 FROM new n FULL JOIN old o ON o.isbn_rating_id = n.isbn_rating_id JOIN v ON id = coalesce(n.review_type_id, o.review_type_id)
 WHERE o.count IS DISTINCT FROM n.count""").replace("\n, v AS", ",\nv AS", 1))
 def _(t):
-    store = snapshot_store(t, {"isbn_rating": t.sql(VALID_RATINGS["old"]), "review_type": normalise.build_review_type(t.spark),
-                               "book_isbn": books(t)["book_isbn"].drop("isbn10", "isbn13").withColumn("series_id", F.lit(None).cast("bigint"))})
+    store = snapshot_store(t, full_tables(t) | {"isbn_rating": t.sql(VALID_RATINGS["old"])})
     snapshot.publish_snapshot(store, {"isbn_rating": t.sql(VALID_RATINGS["new"])}, RUN_TS)
     return store.read("isbn_rating_logs")
 
 
-CHECKED = ("book_isbn", "author_isbn", "isbn_rating", "book", "author", "role", "genre", "book_isbn_genre", "publisher", "format", "language")
-
-
-@query("v_constraint_catalogue", with_tables({**BOOKS, "rating": RATING_CHANGES["new"]}, """
-SELECT 'isbn_rating' AS table_name, 'foreign book_isbn_id' AS rule, count(*) AS n FROM rating
- WHERE book_isbn_id NOT IN (SELECT book_isbn_id FROM book_isbn) HAVING count(*) > 0
-UNION ALL SELECT 'isbn_rating', 'foreign review_type_id', count(*) FROM rating WHERE review_type_id NOT BETWEEN 1 AND 5 HAVING count(*) > 0
-UNION ALL SELECT 'isbn_rating', 'unique book_isbn_id, review_type_id', count(*) FROM (
- SELECT count(*) OVER (PARTITION BY book_isbn_id, review_type_id) AS c FROM rating) WHERE c > 1 HAVING count(*) > 0
-UNION ALL SELECT 'book_isbn', 'foreign format_id', count(*) FROM book_isbn WHERE format_id NOT IN (SELECT format_id FROM format) HAVING count(*) > 0
-UNION ALL SELECT 'book_isbn', 'foreign publisher_id', count(*) FROM book_isbn WHERE publisher_id NOT IN (SELECT publisher_id FROM publisher) HAVING count(*) > 0
-UNION ALL SELECT 'book_isbn', 'foreign language_id', count(*) FROM book_isbn WHERE language_id NOT IN (SELECT language_id FROM language) HAVING count(*) > 0
-UNION ALL SELECT 'book_isbn', 'foreign book_id', count(*) FROM book_isbn WHERE book_id NOT IN (SELECT book_id FROM book) HAVING count(*) > 0
-UNION ALL SELECT 'author_isbn', 'foreign role_id', count(*) FROM author_isbn WHERE role_id NOT IN (SELECT role_id FROM role) HAVING count(*) > 0
-UNION ALL SELECT 'author_isbn', 'foreign author_id', count(*) FROM author_isbn WHERE author_id NOT IN (SELECT author_id FROM author) HAVING count(*) > 0
-UNION ALL SELECT 'author_isbn', 'foreign book_isbn_id', count(*) FROM author_isbn WHERE book_isbn_id NOT IN (SELECT book_isbn_id FROM book_isbn) HAVING count(*) > 0
-UNION ALL SELECT 'author_isbn', 'unique author_isbn_id', count(*) FROM (
- SELECT count(*) OVER (PARTITION BY author_isbn_id) AS c FROM author_isbn) WHERE c > 1 HAVING count(*) > 0
-UNION ALL SELECT 'book_isbn_genre', 'foreign book_isbn_id', count(*) FROM book_isbn_genre
- WHERE book_isbn_id NOT IN (SELECT book_isbn_id FROM book_isbn) HAVING count(*) > 0
-UNION ALL SELECT 'book_isbn_genre', 'unique book_isbn_genre_id', count(*) FROM (
- SELECT count(*) OVER (PARTITION BY book_isbn_genre_id) AS c FROM book_isbn_genre) WHERE c > 1 HAVING count(*) > 0
-UNION ALL SELECT 'author_isbn', 'unique book_isbn_id, author_id, role_id', count(*) FROM (
- SELECT count(*) OVER (PARTITION BY book_isbn_id, author_id, role_id) AS c FROM author_isbn WHERE role_id IS NOT NULL) WHERE c > 1 HAVING count(*) > 0"""))
-def _(t):
-    made = books(t)
-    tables = {name: made[name] for name in CHECKED} | {
-        "isbn_rating": t.sql(RATING_CHANGES["new"]), "review_type": normalise.build_review_type(t.spark)}
-    rejected = constraints.check_tables(tables, RUN_TS.date())
-    return rejected.groupBy("table_name", "rule").agg(F.count("*").alias("n"))
+# Authors of the stored tables renamed, removed and added; none that is removed has an ISBN.
+AUTHOR_CHANGES = {
+    "old": BOOKS["author"].replace("FROM {supplier}", "FROM {supplier} UNION ALL SELECT 100000000 + c_custkey, c_name, TIMESTAMP '2025-06-01 00:00:00' FROM {customer}"),
+    "new": BOOKS["author"].replace("concat('author ', s_suppkey % 70)", "CASE WHEN s_acctbal < 0 THEN concat('author ', s_suppkey % 70, ' jr') ELSE concat('author ', s_suppkey % 70) END")
+           + " UNION ALL SELECT 200000000 + n_nationkey, n_name, TIMESTAMP '2026-01-12 00:00:00' FROM {nation}"
+           + " UNION ALL SELECT 100000000 + c_custkey, c_name, TIMESTAMP '2025-06-01 00:00:00' FROM {customer} WHERE c_acctbal >= 0"}
+
+
+@query("a3_author_logs_stored", with_tables(AUTHOR_CHANGES, """
+SELECT coalesce(n.author_id, o.author_id) AS author_id, coalesce(n.full_name, o.full_name) AS full_name,
+ CASE WHEN o.author_id IS NULL THEN 'New Author Added = ' || n.author_id WHEN n.author_id IS NULL THEN 'Author Deleted = ' || o.author_id
+ ELSE 'Name updated from ' || o.full_name || ' to ' || n.full_name END AS log_message, TIMESTAMP '2026-01-15 12:00:00' AS log_date
+FROM new n FULL JOIN old o ON o.author_id = n.author_id WHERE o.author_id IS NULL OR n.author_id IS NULL OR o.full_name <> n.full_name"""))
+def _(t):
+    store = t.stored("renamed_authors", store_of_renamed_authors)
+    return store.read("author_logs")
+
+
+def store_of_renamed_authors(t) -> TableStore:
+    # Bridges whose id stands once, and roles that are there.
+    bridge = books(t)["author_isbn"].withColumn("role_id", F.lit(None).cast("bigint"))
+    store = snapshot_store(t, full_tables(t) | {"author": t.sql(AUTHOR_CHANGES["old"]), "author_isbn": bridge})
+    snapshot.publish_snapshot(store, {"author": t.sql(AUTHOR_CHANGES["new"])}, RUN_TS)
+    return store
+
+
+@query("a1_author_snapshot_stored", with_tables(AUTHOR_CHANGES, """
+SELECT n.author_id, n.full_name, CASE WHEN o.author_id IS NULL THEN n.updated_at WHEN o.full_name = n.full_name THEN o.updated_at
+ ELSE TIMESTAMP '2026-01-15 12:00:00' END AS updated_at FROM new n LEFT JOIN old o ON o.author_id = n.author_id"""))
+def _(t):
+    return t.stored("renamed_authors", store_of_renamed_authors).read("author")
+
+
+# Deletes in stored tables: the largest books, some publishers, roles and the authors of one balance sign
+
+def row_refs(table: str) -> list[str]:
+    return {"book_isbn": ["book_id", "format_id", "edition_id", "publisher_id", "language_id", "series_id"],
+            "author_isbn": ["book_isbn_id", "author_id", "role_id"], "isbn_rating": ["book_isbn_id", "review_type_id"],
+            "book_isbn_genre": ["book_isbn_id", "genre_id"]}.get(table, [])
+
+
+def refs_sql(table: str, source: str) -> str:
+    cells = ", ".join(f"coalesce(CAST({c} AS VARCHAR), '-')" for c in row_refs(table)) or "''"
+    return f"SELECT '{table}' AS table_name, {table}_id AS row_id, concat_ws('|', {cells}) AS refs FROM {source}"
+
+
+def all_refs(read, names) -> object:
+    rows = None
+    for name in names:
+        cells = [F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in row_refs(name)] or [F.lit("")]
+        part = read(name).select(F.lit(name).alias("table_name"), F.col(f"{name}_id").cast("long").alias("row_id"), F.concat_ws("|", *cells).alias("refs"))
+        rows = part if rows is None else rows.unionByName(part)
+    return rows
+
+
+GONE = {"book": "SELECT p_partkey AS book_id FROM {part} WHERE p_size = 5", "publisher": "SELECT CAST(substring(p_brand, 7) AS BIGINT) AS publisher_id FROM {part} WHERE p_size = 7 AND p_retailprice < 1000",
+        "role": "SELECT CAST(r_regionkey AS BIGINT) AS role_id FROM {region} WHERE r_name = 'ASIA'", "author": "SELECT s_suppkey + 1 AS author_id FROM {supplier} WHERE s_acctbal < 0",
+        "genre": "SELECT CAST(n_nationkey AS BIGINT) AS genre_id FROM {nation} WHERE n_regionkey = 0"}
+LEFT_AFTER = {
+    **{f"gone_{name}": text for name, text in GONE.items()},
+    "left_book_isbn": """SELECT book_isbn_id, book_id, format_id, edition_id, language_id, series_id,
+        CASE WHEN publisher_id IN (SELECT publisher_id FROM gone_publisher) THEN NULL ELSE publisher_id END AS publisher_id
+        FROM book_isbn WHERE book_id NOT IN (SELECT book_id FROM gone_book WHERE book_id IN (SELECT book_id FROM book))""",
+    "gone_isbn": "SELECT book_isbn_id FROM book_isbn WHERE book_isbn_id NOT IN (SELECT book_isbn_id FROM left_book_isbn)",
+    "left_author_isbn": """SELECT author_isbn_id, book_isbn_id, author_id,
+        CASE WHEN role_id IN (SELECT role_id FROM gone_role) THEN NULL ELSE role_id END AS role_id FROM author_isbn
+        WHERE book_isbn_id NOT IN (SELECT book_isbn_id FROM gone_isbn) AND author_id NOT IN (SELECT author_id FROM gone_author)""",
+    "left_isbn_rating": "SELECT * FROM isbn_rating WHERE book_isbn_id NOT IN (SELECT book_isbn_id FROM gone_isbn)",
+    "left_book_isbn_genre": """SELECT * FROM book_isbn_genre WHERE book_isbn_id NOT IN (SELECT book_isbn_id FROM gone_isbn)
+        AND genre_id NOT IN (SELECT genre_id FROM gone_genre)""",
+    **{f"left_{name}": f"SELECT * FROM {name} WHERE {name}_id NOT IN (SELECT {name}_id FROM gone_{name})" for name in GONE}}
+
+
+def store_after_deletes(t) -> TableStore:
+    store = snapshot_store(t, full_tables(t))
+    deletions.delete_rows(store, {name: t.sql(text) for name, text in GONE.items()}, RUN_TS)
+    return store
+
+
+@query("v8_stored_delete", with_tables({**FULL, **LEFT_AFTER}, " UNION ALL ".join(
+    refs_sql(name, f"left_{name}" if f"left_{name}" in LEFT_AFTER else name) for name in FULL)))
+def _(t):
+    return all_refs(t.stored("after_deletes", store_after_deletes).read, FULL)
+
+
+@query("v8_stored_delete_logs", with_tables({**FULL, **LEFT_AFTER}, """
+SELECT 'book' AS name, book_id AS row_id, title AS said, 'Book Deleted = ' || book_id AS message FROM book WHERE book_id IN (SELECT book_id FROM gone_book)
+UNION ALL SELECT 'author', author_id, full_name, 'Author Deleted = ' || author_id FROM author WHERE author_id IN (SELECT author_id FROM gone_author)
+UNION ALL SELECT 'isbn_rating', isbn_rating_id, review_type, 'DELETE ' || count || ' to 0' FROM isbn_rating JOIN review_type USING (review_type_id)
+ WHERE book_isbn_id IN (SELECT book_isbn_id FROM gone_isbn)"""))
+def _(t):
+    store = t.stored("after_deletes", store_after_deletes)
+    return (store.read("book_logs").select(F.lit("book").alias("name"), F.col("book_id").alias("row_id"), F.col("title").alias("said"), F.col("log_message").alias("message"))
+            .unionByName(store.read("author_logs").select(F.lit("author").alias("name"), F.col("author_id").alias("row_id"), F.col("full_name").alias("said"),
+                                                          F.col("log_message").alias("message")))
+            .unionByName(store.read("isbn_rating_logs").select(
+                F.lit("isbn_rating").alias("name"), F.col("isbn_rating_id").alias("row_id"), F.col("review_type_name").alias("said"),
+                F.concat("operation_type", F.lit(" "), "old_count", F.lit(" to "), "new_count").alias("message"))))
+
+
+# A second catalogue that holds the first one: rows up to half the highest position are loaded first, then all, with book numbers of its own.
+
+EARLY = "SELECT *, _src_pos * 2 <= max(_src_pos) OVER () AS early FROM ({s})"
+
+
+def numbered_twice(source: str, value: str, id_col: str, where: str, pos: str) -> str:
+    """Ids by first appearance in the first load, then of what only the second one has."""
+    first = f"min(seen) FILTER ({pos} * 2 <= (SELECT max(_src_pos) FROM staging))"
+    return (f"SELECT row_number() OVER (ORDER BY {first} IS NULL, coalesce({first}, min(seen))) AS {id_col}, {value} FROM ({source}) "
+            f"WHERE {where} GROUP BY {value}")
+
+
+def lookup_twice(col: str, value: str, id_col: str, null_too: bool = False) -> str:
+    where = f"trim({value}) <> ''" + (f" OR {value} IS NULL" if null_too else "")
+    return numbered_twice(f'SELECT "{col}" AS {value}, _src_pos AS seen FROM s', value, id_col, where, "seen")
+
+
+FIRST_NAME = "coalesce(" + ", ".join(f"nullif({c}, '')" for c in AUTHORS) + ")"
+TWICE = {
+    "staging": TABLES["staging"], "s": TABLES["s"] + "", "e": EARLY.format(s="SELECT * FROM s"),
+    "author": numbered_twice(union_slots(AUTHORS, "full_name"), "full_name", "author_id", "full_name <> ''", "(seen // 64)"),
+    "role": numbered_twice(union_slots([f"author_{i}_role" for i in range(1, 6)], "role"), "role", "role_id", "role IS NOT NULL", "(seen // 64)"),
+    "genre": numbered_twice(GENRE_SLOTS, "genre", "genre_id", "genre IS NOT NULL", "(seen // 64)"),
+    "language": lookup_twice("language", "language", "language_id", null_too=True),
+    "publisher": lookup_twice("publisher_norm", "publisher", "publisher_id"),
+    "edition": lookup_twice("edition_norm", "edition", "edition_id"),
+    "format": lookup_twice("bookFormat_norm", "format", "format_id"),
+    "series": lookup_twice("series_name_norm", "series_name", "series_id"),
+    "named": f"""SELECT DISTINCT first_title AS title, {FIRST_NAME} AS name, book_uid AS book_id
+        FROM (SELECT *, first_value(title_norm) OVER (PARTITION BY book_uid ORDER BY _src_pos) AS first_title FROM e WHERE early) WHERE isbn10 IS NOT NULL OR isbn13 IS NOT NULL""",
+    "uids": "SELECT book_uid, bool_or(early) AS there, min(_src_pos) AS first FROM e GROUP BY 1",
+    "by_name": """SELECT u.book_uid, min(n.book_id) AS book_id FROM uids u JOIN e ON e.book_uid = u.book_uid
+        JOIN named n ON n.title IS NOT DISTINCT FROM e.title_norm AND n.name IS NOT DISTINCT FROM nullif(trim(e.primary_author_name), '') WHERE NOT there GROUP BY 1""",
+    "ids": """SELECT book_uid, book_uid AS book_id FROM uids WHERE there UNION ALL SELECT * FROM by_name
+        UNION ALL SELECT book_uid, (SELECT max(book_uid) FROM uids WHERE there) + row_number() OVER (ORDER BY first)
+        FROM uids WHERE NOT there AND book_uid NOT IN (SELECT book_uid FROM by_name)""",
+    "book": """SELECT book_uid AS book_id, arg_min(title_norm, _src_pos) AS title FROM e WHERE early GROUP BY 1
+        UNION ALL SELECT book_id, arg_min(title_norm, _src_pos) FROM e JOIN ids USING (book_uid)
+        WHERE book_id NOT IN (SELECT book_uid FROM uids WHERE there) GROUP BY 1""",
+    "book_isbn": """SELECT row_number() OVER (ORDER BY NOT early, _src_pos) AS book_isbn_id, _src_pos, early, isbn10, isbn13, book_id, format_id, edition_id,
+        publisher_id, language_id, series_id FROM e JOIN ids USING (book_uid) LEFT JOIN format ON format = "bookFormat_norm" LEFT JOIN edition ON edition = edition_norm
+        LEFT JOIN publisher ON publisher = publisher_norm LEFT JOIN language USING (language) LEFT JOIN series ON series_name = series_name_norm
+        WHERE isbn10 IS NOT NULL OR isbn13 IS NOT NULL""",
+    "people": f"""SELECT book_isbn_id, author_id, role_id, min(slot) AS slot, any_value(early) AS early FROM (
+        {" UNION ALL ".join(f"SELECT _src_pos, {c} AS full_name, author_{i}_role AS role, {i} AS slot FROM s" for i, c in enumerate(AUTHORS, 1))})
+        JOIN book_isbn USING (_src_pos) JOIN author USING (full_name) LEFT JOIN role USING (role)
+        GROUP BY book_isbn_id, author_id, role_id, CASE WHEN role_id IS NULL THEN slot END""",
+    "author_isbn": """SELECT row_number() OVER (ORDER BY NOT early, slot, book_isbn_id, author_id, role_id) AS author_isbn_id,
+        book_isbn_id, author_id, role_id FROM people""",
+    "isbn_rating": "SELECT row_number() OVER (ORDER BY NOT early, review_type_id, book_isbn_id) AS isbn_rating_id, book_isbn_id, review_type_id FROM ("
+                   + " UNION ALL ".join(f'SELECT _src_pos, {i} AS review_type_id FROM s WHERE "{6 - i}_star" IS NOT NULL' for i in range(1, 6))
+                   + ") JOIN book_isbn USING (_src_pos)",
+    "book_isbn_genre": f"""SELECT row_number() OVER (ORDER BY NOT early, slot, book_isbn_id, genre_id) AS book_isbn_genre_id, book_isbn_id, genre_id FROM (
+        SELECT book_isbn_id, genre_id, min(slot) AS slot, any_value(early) AS early FROM ({GENRE_SLOTS}) g JOIN book_isbn USING (_src_pos) JOIN genre USING (genre)
+        GROUP BY 1, 2)"""}
+VALUES = {"author": "full_name", "series": "series_name", "book": "title", **{n: n for n in ("role", "genre", "language", "publisher", "edition", "format")}}
+
+
+def store_of_two_loads(t) -> TableStore:
+    rows = staging(t)
+    half = rows.agg(F.max("_src_pos")).first()[0]
+    store = snapshot_store(t, normalise.normalise(rows.filter(F.col("_src_pos") * 2 <= half), RUN_TS))
+    again = rows.withColumn("book_uid", F.lit(10**9) - F.col("book_uid"))
+    additions.add_catalogue(store, again, RUN_TS + dt.timedelta(days=1))
+    return store
+
+
+@query("n_second_load", with_tables({n: v if n == "staging" else v.replace("{", "{{").replace("}", "}}") for n, v in TWICE.items()}, " UNION ALL ".join(
+    [f"SELECT '{name}' AS table_name, {name}_id AS row_id, {value} AS refs FROM {name}" for name, value in VALUES.items()]
+    + [refs_sql(name, name) for name in ("book_isbn", "author_isbn", "isbn_rating", "book_isbn_genre")])))
+def _(t):
+    store = t.stored("two_loads", store_of_two_loads)
+    values = [store.read(name).select(F.lit(name).alias("table_name"), F.col(f"{name}_id").cast("long").alias("row_id"), F.col(value).alias("refs"))
+              for name, value in VALUES.items()]
+    rows = all_refs(store.read, ("book_isbn", "author_isbn", "isbn_rating", "book_isbn_genre"))
+    for part in values:
+        rows = rows.unionByName(part)
+    return rows
 
 
 @query("r20_latest_log_rows", entity_log_sql("book_id", "title", "New Book Added = ", "Book Deleted = ", "Book Updated from ")

@@ -102,15 +102,32 @@ QUOTED = r"""(?:'[^'\\]*+(?:\\.[^'\\]*+)*+'|"[^"\\]*+(?:\\.[^"\\]*+)*+")"""
 ITEM = rf"(?:{QUOTED}|[\w.+-]++)"
 ITEMS = rf"(?s)^\s*+(?:{ITEM}?+\s*+,\s*+)*+{ITEM}?+\s*+$"
 LIST = r"(?s)^\s*\[(.*)\]\s*$"
-TEXT_OR_LIST = rf"(?s)({QUOTED})|\[(?:{QUOTED}|[^\[\]'\"]++)*+\]"
-MOST_NESTED = 3
+TOKEN = rf"(?s){QUOTED}|[\[\]]|[^\[\]'\"]++|['\"]"
+
+
+def top_level(items: Column) -> Column:
+    """List text without the lists in it, however deep; null where brackets don't close.
+
+    A running count over the tokens tells how many lists are open; what is in
+    one is left out, but for a quote that opens nothing.
+    """
+    state = "struct<depth:int,least:int,kept:array<string>>"
+
+    def step(s: Column, token: Column) -> Column:
+        depth = s["depth"] + F.when(token == "[", 1).when(token == "]", -1).otherwise(0)
+        here = ~token.isin("[", "]") & ((s["depth"] == 0) | token.isin("'", '"'))
+        return F.struct(depth.alias("depth"), F.least(s["least"], depth).alias("least"),
+                        F.when(here, F.concat(s["kept"], F.array(token))).otherwise(s["kept"]).alias("kept")).cast(state)
+
+    start = F.struct(F.lit(0).alias("depth"), F.lit(0).alias("least"), F.array().cast("array<string>").alias("kept")).cast(state)
+    whole = F.aggregate(F.regexp_extract_all(items, F.lit(TOKEN), F.lit(0)), start, step,
+                        lambda s: F.when((s["depth"] == 0) & (s["least"] == 0), F.array_join(s["kept"], "")))
+    return F.when(items.rlike(r"[\[\]]"), whole).otherwise(items)
 
 
 def list_texts(c: Column) -> Column:
     """The texts of a list text, at its top level, escapes decoded; null unless it is a list."""
-    items = F.regexp_extract(c, LIST, 1)
-    for _ in range(MOST_NESTED):  # innermost lists first; a list in the list is no text
-        items = F.regexp_replace(items, F.lit(TEXT_OR_LIST), F.lit("$1"))
+    items = top_level(F.regexp_extract(c, LIST, 1))
     texts = F.concat(F.lit("["), F.array_join(F.regexp_extract_all(items, F.lit(f"(?s){QUOTED}"), F.lit(0)), ","), F.lit("]"))
     # JSON has no two-digit escapes.
     texts = F.regexp_replace(texts, F.lit(r"(?<!\\)((?:\\\\)*+)\\x([0-9a-fA-F]{2})"), F.lit(r"$1\\u00$2"))

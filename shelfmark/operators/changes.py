@@ -9,21 +9,44 @@ from pyspark.sql import Column, DataFrame, functions as F
 INSERT, UPDATE, DELETE = "INSERT", "UPDATE", "DELETE"
 
 
-def diff(old: DataFrame, new: DataFrame, key: str, ignore: tuple[str, ...] = ("updated_at",)) -> DataFrame:
-    """One row per key that was added, removed or changed.
+def compare(old: DataFrame, new: DataFrame, key: str, run_ts: dt.datetime | None = None, ignore: tuple[str, ...] = ("updated_at",)) -> DataFrame:
+    """Old and new rows side by side: the key, ``operation`` (null where nothing changed), ``old``, ``new`` and ``stamp``.
 
-    Columns: the key, ``operation``, and the structs ``old`` and ``new``. Rows
-    are compared null-safe over all columns but the ignored ones.
+    One join of two snapshots serves all that asks what changed. Rows are
+    compared null-safe over all columns but the ignored ones. ``stamp`` is the
+    new row's ``updated_at``: the run's for a changed row, the old one for an
+    unchanged row, its own for an added one; null where a table has none.
     """
-    compared = [c for c in new.columns if c not in ignore]
-    before = old.select(F.col(key).alias("_old_key"), F.struct(*compared).alias("old"))
-    after = new.select(F.col(key).alias("_new_key"), F.struct(*compared).alias("new"))
-    operation = (F.when(F.col("_old_key").isNull(), INSERT)
-                 .when(F.col("_new_key").isNull(), DELETE)
+    columns = [c for c in new.columns if c not in ignore]
+
+    def side(df: DataFrame, name: str) -> DataFrame:
+        stamp = F.col("updated_at") if "updated_at" in df.columns else F.lit(None).cast("timestamp")
+        return df.select(F.col(key).alias(f"_{name}_key"), F.struct(*columns).alias(name), stamp.alias(f"_{name}_stamp"))
+
+    operation = (F.when(F.col("old").isNull(), INSERT)
+                 .when(F.col("new").isNull(), DELETE)
                  .when(~F.col("old").eqNullSafe(F.col("new")), UPDATE))
-    return (before.join(after, F.col("_old_key") == F.col("_new_key"), "full")
-            .select(F.coalesce("_new_key", "_old_key").alias(key), operation.alias("operation"), "old", "new")
-            .filter(F.col("operation").isNotNull()))
+    stamp = (F.when(F.col("operation") == UPDATE, F.lit(run_ts).cast("timestamp")).when(F.col("operation").isNull(), F.col("_old_stamp"))
+             .otherwise(F.col("_new_stamp")))
+    return (side(old, "old").join(side(new, "new"), F.col("_old_key") == F.col("_new_key"), "full")
+            .withColumn("operation", operation)
+            .select(F.coalesce("_new_key", "_old_key").alias(key), "operation", "old", "new", stamp.alias("stamp")))
+
+
+def changed(compared: DataFrame, key: str) -> DataFrame:
+    """One row per key that was added, removed or changed: the key, ``operation``, and the structs ``old`` and ``new``."""
+    return compared.filter(F.col("operation").isNotNull()).select(key, "operation", "old", "new")
+
+
+def newest(compared: DataFrame, columns: list[str]) -> DataFrame:
+    """The new snapshot's rows, with their stamps."""
+    there = compared.filter(F.col("operation").isNull() | (F.col("operation") != DELETE))
+    return there.select(*[F.col("stamp").alias(c) if c == "updated_at" else F.col("new")[c].alias(c) for c in columns])
+
+
+def diff(old: DataFrame, new: DataFrame, key: str, ignore: tuple[str, ...] = ("updated_at",)) -> DataFrame:
+    """What ``changed`` says of a comparison."""
+    return changed(compare(old, new, key, ignore=ignore), key)
 
 
 def touch_updated_at(old: DataFrame, new: DataFrame, key: str, run_ts: dt.datetime) -> DataFrame:
@@ -31,14 +54,7 @@ def touch_updated_at(old: DataFrame, new: DataFrame, key: str, run_ts: dt.dateti
 
     Unchanged rows keep their old stamp, added rows the one they came with.
     """
-    compared = [c for c in new.columns if c != "updated_at"]
-    before = old.select(F.col(key).alias("_old_key"), F.struct(*compared).alias("_old"),
-                        F.col("updated_at").alias("_old_stamp"))
-    stamp = (F.when(F.col("_old_key").isNull(), F.col("updated_at"))
-             .when(F.col("_old").eqNullSafe(F.struct(*compared)), F.col("_old_stamp"))
-             .otherwise(F.lit(run_ts)))
-    return (new.join(before, F.col(key) == F.col("_old_key"), "left")
-            .select(*compared, stamp.alias("updated_at")))
+    return newest(compare(old, new, key, run_ts), new.columns)
 
 
 def _entity_log(changes: DataFrame, key: str, name: str, added: str, deleted: str, updated: str,

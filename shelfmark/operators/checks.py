@@ -64,10 +64,12 @@ def check_rating_count(df: DataFrame, strict: bool = False):
     return split_by_reason(df, rating_reason(), strict)
 
 
+def not_null_reason(cols: list[str]) -> Column:
+    return first_match([(F.col(c).isNull(), F.lit(f"{c} must not be null")) for c in cols], otherwise=F.lit(None).cast("string"))
+
+
 def check_not_null(df: DataFrame, cols: list[str], strict: bool = False):
-    return split_by_reason(df, first_match(
-        [(F.col(c).isNull(), F.lit(f"{c} must not be null")) for c in cols],
-        otherwise=F.lit(None).cast("string")), strict)
+    return split_by_reason(df, not_null_reason(cols), strict)
 
 
 def check_unique(df: DataFrame, keys: list[str], strict: bool = False):

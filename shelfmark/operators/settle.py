@@ -8,16 +8,20 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+#: Folders of local sessions that name none, by application.
+_OWN: dict[str, str] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder the cluster names for checkpoints; a local session may get its own."""
+    """The folder the cluster names for checkpoints; a local session without one gets its own."""
     folder = spark.conf.get(CHECKPOINT_DIR, None)
     if folder is None:
-        if not spark.sparkContext.master.startswith("local"):
+        context = spark.sparkContext
+        if not context.master.startswith("local"):
             raise ValueError(f"set {CHECKPOINT_DIR} to a folder all executors share")
-        folder = tempfile.mkdtemp(prefix="shelfmark-")
-        spark.conf.set(CHECKPOINT_DIR, folder)
+        if context.applicationId not in _OWN:
+            _OWN[context.applicationId] = tempfile.mkdtemp(prefix="shelfmark-")
+        folder = _OWN[context.applicationId]
     return folder.rstrip("/")
 
 

@@ -3,25 +3,30 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from shelfmark.operators import checks
 from shelfmark.operators.checks import RejectedRows
+from shelfmark.operators.settle import settle
 
 
 @dataclass(frozen=True)
 class Rules:
-    """One table: its id, further unique column sets, required columns, parents by column, and row checks."""
+    """One table: its id, further unique column sets, required columns, parents by column, and row checks.
+
+    A row goes with its parent where the column is one of ``cascades``; else it loses the reference.
+    """
 
     key: str
     unique: tuple[tuple[str, ...], ...] = ()
     required: tuple[str, ...] = ()
     parents: dict[str, str] = field(default_factory=dict)
     rows: tuple[str, ...] = ()
+    cascades: tuple[str, ...] = ()
 
 
 #: Parents are named by their table; the column has the same name there.
@@ -39,54 +44,116 @@ CONSTRAINTS = {
     "book_isbn": Rules(
         "book_isbn_id", (("isbn13",), ("isbn10",)), ("book_id",),
         {"book_id": "book", "format_id": "format", "edition_id": "edition", "publisher_id": "publisher",
-         "language_id": "language", "series_id": "series"}, ("isbn", "publish_date")),
+         "language_id": "language", "series_id": "series"}, ("isbn", "publish_date"), ("book_id",)),
     "author_isbn": Rules(
         "author_isbn_id", (("book_isbn_id", "author_id", "role_id"),), ("book_isbn_id", "author_id"),
-        {"book_isbn_id": "book_isbn", "author_id": "author", "role_id": "role"}),
+        {"book_isbn_id": "book_isbn", "author_id": "author", "role_id": "role"}, cascades=("book_isbn_id", "author_id")),
     "isbn_rating": Rules(
         "isbn_rating_id", (("book_isbn_id", "review_type_id"),), ("book_isbn_id", "review_type_id", "count"),
-        {"book_isbn_id": "book_isbn", "review_type_id": "review_type"}, ("rating",)),
+        {"book_isbn_id": "book_isbn", "review_type_id": "review_type"}, ("rating",), ("book_isbn_id", "review_type_id")),
     "book_isbn_genre": Rules(
         "book_isbn_genre_id", (("book_isbn_id", "genre_id"),), ("book_isbn_id", "genre_id"),
-        {"book_isbn_id": "book_isbn", "genre_id": "genre"}),
+        {"book_isbn_id": "book_isbn", "genre_id": "genre"}, cascades=("book_isbn_id", "genre_id")),
 }
 
-REJECTED = ["table_name", "rule", "row_id", "reason"]
+#: Columns each row check reads.
+ROW_CHECKS: dict[str, tuple[list[str], Callable[[dt.date], Column]]] = {
+    "isbn": (["isbn10", "isbn13"], lambda run_date: checks.isbn_reason()),
+    "publish_date": (["publish_date", "original_publish_date"], checks.publish_date_reason),
+    "rating": (["count"], lambda run_date: checks.rating_reason())}
+UNIQUE, FOREIGN = "unique ", "foreign "
+
+
+def _unique_keys(rules: Rules) -> list[Column]:
+    """Per unique rule (rule, key, reason); the key is null where one of its columns is, since null never equals null."""
+    return [F.struct(F.lit(UNIQUE + ", ".join(keys)).alias("rule"),
+                     F.when(reduce(Column.__and__, [F.col(c).isNotNull() for c in keys]),
+                            F.concat_ws("\x1f", *[F.col(c).cast("string") for c in keys])).alias("key"),
+                     F.lit(f"duplicate key ({', '.join(keys)})").alias("reason"))
+            for keys in ((rules.key,), *rules.unique)]
+
+
+def _foreign_keys(columns: list[str]) -> list[Column]:
+    return [F.struct(F.lit(FOREIGN + c).alias("rule"), F.col(c).cast("string").alias("key"), F.lit(f"{c} has no parent row").alias("reason"))
+            for c in columns]
+
 
+def _exploded(df: DataFrame, key: str, entries: list[Column]) -> DataFrame:
+    """(row_id, rule, key, reason) of every rule in one pass over the rows."""
+    return df.select(F.col(key).cast("bigint").alias("row_id"), F.inline(F.array(*entries))).filter(F.col("key").isNotNull())
 
-def _row_checks(run_date: dt.date) -> dict[str, Callable[[DataFrame], tuple[DataFrame, DataFrame]]]:
-    return {"isbn": checks.check_isbn, "publish_date": lambda df: checks.check_publish_dates(df, run_date),
-            "rating": checks.check_rating_count}
 
+def broken_keys(name: str, tables: dict[str, DataFrame], stored: dict[str, DataFrame], entries: DataFrame) -> DataFrame:
+    """(rule, key) of the entries' keys that repeat, are stored already, or have no parent in either set of tables.
 
-def check_table(name: str, tables: dict[str, DataFrame], run_date: dt.date) -> DataFrame:
+    Keys are counted first, so a hot key is tested once, and the tables they are
+    looked up in are cut down to these keys before anything else.
+    """
+    rules = CONSTRAINTS[name]
+    counted = settle(entries.groupBy("rule", "key").agg(F.count("*").alias("n")), "keys")
+    asked = counted.select("rule", "key")
+    broken = counted.filter(F.col("rule").startswith(UNIQUE) & (F.col("n") > 1)).select("rule", "key")
+    if name in stored:
+        there = _exploded(stored[name], rules.key, _unique_keys(rules)).select("rule", "key")
+        broken = broken.unionByName(there.join(asked, ["rule", "key"], "left_semi")).distinct()
+    parents = [t[parent].select(F.lit(FOREIGN + c).alias("rule"), F.col(CONSTRAINTS[parent].key).cast("string").alias("key"))
+               for c, parent in rules.parents.items() for t in (tables, stored) if parent in t]
+    if parents:
+        known = reduce(DataFrame.unionByName, parents).join(asked, ["rule", "key"], "left_semi")
+        broken = broken.unionByName(asked.filter(F.col("rule").startswith(FOREIGN)).join(known, ["rule", "key"], "left_anti"))
+    return broken
+
+
+def check_table(name: str, tables: dict[str, DataFrame], run_date: dt.date, stored: dict[str, DataFrame] | None = None) -> DataFrame:
     """(table_name, rule, row_id, reason) for each row of a table and each rule it breaks.
 
-    Rules on columns the table lacks, and on parents that aren't given, are
-    left out, so that a table may be checked before others are there.
+    With ``stored`` the rows are additions to the stored table of the name, and
+    parents may be in either set of tables. A rule whose columns or parent
+    table aren't there is a row of its own, without row_id. The table is read
+    three times, whatever the number of rules: for its keys, for the rows of
+    broken ones, and for all row rules.
     """
-    rules, df = CONSTRAINTS[name], tables[name]
-    has = lambda columns: set(columns) <= set(df.columns)
-    found = [("unique " + ", ".join(keys), checks.check_unique(df, list(keys))[1])
-             for keys in ((rules.key,), *rules.unique) if has(keys)]
+    rules, df, stored = CONSTRAINTS[name], tables[name], stored or {}
+    absent = [(f"{FOREIGN}{c}", f"table {parent} is not there") for c, parent in rules.parents.items() if parent not in tables and parent not in stored]
+    wanted = {FOREIGN + c: [c] for c in rules.parents} | {UNIQUE + ", ".join(k): list(k) for k in rules.unique} | {
+        r: ROW_CHECKS[r][0] for r in rules.rows} | {"required": list(rules.required)}
+    lacking = {rule: gaps for rule, cols in wanted.items() if (gaps := [c for c in cols if c not in df.columns])}
+    absent += [(rule, f"column {', '.join(gaps)} is not there") for rule, gaps in lacking.items()]
+    present = Rules(rules.key, tuple(k for k in rules.unique if UNIQUE + ", ".join(k) not in lacking))
+    foreign = [c for c, parent in rules.parents.items() if FOREIGN + c not in lacking and (parent in tables or parent in stored)]
+
+    entries = _exploded(df, rules.key, _unique_keys(present) + _foreign_keys(foreign))
+    by_key = entries.join(broken_keys(name, tables, stored, entries), ["rule", "key"], "left_semi").select("rule", "row_id", "reason")
     required = [c for c in (rules.key, *rules.required) if c in df.columns]
-    found.append(("required", checks.check_not_null(df, required)[1]))
-    found += [(f"foreign {key}", checks.check_foreign_key(df, key, tables[parent], key)[1])
-              for key, parent in rules.parents.items() if has([key]) and parent in tables]
-    columns = {"isbn": ["isbn10", "isbn13"], "publish_date": ["publish_date", "original_publish_date"], "rating": ["count"]}
-    found += [(rule, _row_checks(run_date)[rule](df)[1]) for rule in rules.rows if has(columns[rule])]
-    return reduce(DataFrame.unionByName, [
-        rejected.select(F.lit(name).alias("table_name"), F.lit(rule).alias("rule"),
-                        F.col(rules.key).cast("bigint").alias("row_id"), "reason") for rule, rejected in found])
+    reasons = [("required", checks.not_null_reason(required)), *[(r, ROW_CHECKS[r][1](run_date)) for r in rules.rows if r not in lacking]]
+    by_row = (df.select(F.col(rules.key).cast("bigint").alias("row_id"), F.inline(F.array(*[
+        F.struct(F.lit(rule).alias("rule"), reason.alias("reason")) for rule, reason in reasons])))
+        .filter(F.col("reason").isNotNull()).select("rule", "row_id", "reason"))
+    found = by_key.unionByName(by_row)
+    if absent:
+        rows = [(rule, None, reason) for rule, reason in absent]
+        found = found.unionByName(df.sparkSession.createDataFrame(rows, "rule string, row_id bigint, reason string"))
+    return found.select(F.lit(name).alias("table_name"), "rule", "row_id", "reason")
+
+
+def _judged(rejected: Iterable[DataFrame], strict: bool) -> DataFrame:
+    """All rejected rows; ``strict`` looks at one table after the other and raises at the first bad row."""
+    found = []
+    for rows in rejected:
+        bad = rows.first() if strict else None
+        if bad is not None:
+            raise RejectedRows(f"{bad['table_name']} {bad['row_id']}: {bad['reason']}")
+        found.append(rows)
+    return reduce(DataFrame.unionByName, found)
 
 
 def check_tables(tables: dict[str, DataFrame], run_date: dt.date, only: list[str] | None = None,
                  strict: bool = False) -> DataFrame:
     """Rejected rows of all known tables, or of ``only`` some; ``strict`` raises if there are any."""
     names = [n for n in CONSTRAINTS if n in tables and (only is None or n in only)]
-    rejected = reduce(DataFrame.unionByName, [check_table(n, tables, run_date) for n in names])
-    if strict:
-        bad = rejected.first()
-        if bad is not None:
-            raise RejectedRows(f"{bad['table_name']} {bad['row_id']}: {bad['reason']}")
-    return rejected
+    return _judged((check_table(n, tables, run_date) for n in names), strict)
+
+
+def check_additions(new: dict[str, DataFrame], stored: dict[str, DataFrame], run_date: dt.date, strict: bool = False) -> DataFrame:
+    """Rejected rows among those to be added; stored rows are only looked up, not checked again."""
+    return _judged((check_table(n, new, run_date, stored) for n in CONSTRAINTS if n in new), strict)

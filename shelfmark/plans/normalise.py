@@ -16,6 +16,8 @@ from shelfmark.schemas import REVIEW_TYPES
 
 AUTHOR_COLUMNS = ["primary_author_name", "author_2", "author_3", "author_4", "author_5"]
 ROLE_COLUMNS = [f"author_{i}_role" for i in range(1, 6)]
+TABLE_NAMES = ["author", "language", "genre", "role", "publisher", "edition", "format", "series", "book", "review_type",
+               "book_isbn", "author_isbn", "isbn_rating", "book_isbn_genre"]
 BLANK_AS_NULL = ["isbn10", "isbn13", "title_norm", *ROLE_COLUMNS, "language", "series_name_norm",
                  "description_norm", "edition_norm"]
 
@@ -81,7 +83,7 @@ def build_review_type(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(REVIEW_TYPES, "review_type_id bigint, review_type string")
 
 
-def build_book_isbn(staging: DataFrame, lookups: dict[str, DataFrame], pos: str = "_src_pos") -> DataFrame:
+def build_book_isbn(staging: DataFrame, lookups: dict[str, DataFrame], pos: str = "_src_pos", start_after: int = 0) -> DataFrame:
     """One row per staging row with an ISBN, lookup ids, dates, series and pages."""
     rows = staging.filter(F.col("isbn10").isNotNull() | F.col("isbn13").isNotNull()).select(
         pos, "isbn10", "isbn13", F.col("book_uid").alias("book_id"),
@@ -95,7 +97,7 @@ def build_book_isbn(staging: DataFrame, lookups: dict[str, DataFrame], pos: str
     for value, lookup in lookups.items():
         rows = rows.join(lookup, value, "left")
     # Numbering reads its rows twice, so the joins are written first.
-    return keys.assign_ids(settle(rows, "isbn-rows"), "book_isbn_id", [pos]).select(
+    return keys.assign_ids(settle(rows, "isbn-rows"), "book_isbn_id", [pos], start_after).select(
         "book_isbn_id", "isbn10", "isbn13", "book_id", "format_id", "edition_id", "publisher_id", "language_id",
         F.coalesce("is_boxset", F.lit(False)).alias("is_boxset"), "publish_date", "original_publish_date",
         "series_id", "series_num", "pages")
@@ -112,9 +114,8 @@ def linked(staging: DataFrame, link: DataFrame, pos: str = "_src_pos") -> DataFr
     return staging.join(link, pos)
 
 
-def build_author_isbn(staging: DataFrame, link: DataFrame, author: DataFrame, role: DataFrame,
-                      pos: str = "_src_pos") -> DataFrame:
-    """Contributors per ISBN; ids ascend by author slot.
+def contributors(staging: DataFrame, link: DataFrame, author: DataFrame, role: DataFrame, pos: str = "_src_pos") -> DataFrame:
+    """(book_isbn_id, author_id, role_id, _slot) of each contributor.
 
     Equal rows within a slot are one; over slots a repeated author is dropped
     only where the role is known, since a null role never equals another.
@@ -126,37 +127,62 @@ def build_author_isbn(staging: DataFrame, link: DataFrame, author: DataFrame, ro
     long = (long.join(author.select("full_name", "author_id"), "full_name")
             .join(role.select("role", "role_id"), "role", "left"))
     in_slot = long.select("book_isbn_id", "author_id", "role_id", "_slot").distinct()
-    unique = in_slot.withColumn("_null_role", F.when(F.col("role_id").isNull(), F.col("_slot"))).groupBy(
+    return in_slot.withColumn("_null_role", F.when(F.col("role_id").isNull(), F.col("_slot"))).groupBy(
         "book_isbn_id", "author_id", "role_id", "_null_role").agg(F.min("_slot").alias("_slot")).drop("_null_role")
-    order = F.shiftleft(F.col("_slot").cast("bigint"), 56) + F.col("book_isbn_id")
-    unique = settle(unique.withColumn("_order", order), "contributors")
-    return keys.assign_ids(unique, "author_isbn_id", ["_order", "author_id", "role_id"]).select(
+
+
+def numbered(rows: DataFrame, id_col: str, rank: str, name: str, then: list[str], start_after: int) -> DataFrame:
+    """Ids in order of a small rank, then ISBN, then further columns."""
+    order = F.shiftleft(F.col(rank).cast("bigint"), 56) + F.col("book_isbn_id")
+    return keys.assign_ids(settle(rows.withColumn("_order", order), name), id_col, ["_order", *then], start_after)
+
+
+def number_contributors(rows: DataFrame, start_after: int = 0) -> DataFrame:
+    return numbered(rows, "author_isbn_id", "_slot", "contributors", ["author_id", "role_id"], start_after).select(
         "author_isbn_id", "book_isbn_id", "author_id", "role_id")
 
 
-def build_isbn_rating(staging: DataFrame, link: DataFrame, pos: str = "_src_pos") -> DataFrame:
-    """Star counts as rows, null counts left out; ids ascend by review type."""
+def build_author_isbn(staging: DataFrame, link: DataFrame, author: DataFrame, role: DataFrame,
+                      pos: str = "_src_pos") -> DataFrame:
+    """Contributors per ISBN; ids ascend by author slot."""
+    return number_contributors(contributors(staging, link, author, role, pos))
+
+
+def ratings(staging: DataFrame, link: DataFrame, pos: str = "_src_pos") -> DataFrame:
+    """(book_isbn_id, review_type_id, count): star counts as rows, null counts left out."""
     types = {star: F.lit(i).cast("bigint") for i, star in enumerate(STARS, 1)}
     long = joins.unpivot(linked(staging, link, pos), ["book_isbn_id"], types, "review_type_id", "count")
-    long = long.groupBy("book_isbn_id", "review_type_id").agg(F.max("count").cast("int").alias("count"))
-    order = F.shiftleft(F.col("review_type_id"), 56) + F.col("book_isbn_id")
-    long = settle(long.withColumn("_order", order), "ratings")
-    return keys.assign_ids(long, "isbn_rating_id", ["_order"]).select(
+    return long.groupBy("book_isbn_id", "review_type_id").agg(F.max("count").cast("int").alias("count"))
+
+
+def number_ratings(rows: DataFrame, start_after: int = 0) -> DataFrame:
+    return numbered(rows, "isbn_rating_id", "review_type_id", "ratings", [], start_after).select(
         "isbn_rating_id", "book_isbn_id", "review_type_id", "count")
 
 
-def build_book_isbn_genre(staging: DataFrame, link: DataFrame, genre: DataFrame, pos: str = "_src_pos") -> DataFrame:
-    """Distinct (ISBN, genre) pairs; ids ascend by the genre's place in the list."""
+def build_isbn_rating(staging: DataFrame, link: DataFrame, pos: str = "_src_pos") -> DataFrame:
+    """Star counts per ISBN; ids ascend by review type."""
+    return number_ratings(ratings(staging, link, pos))
+
+
+def genre_pairs(staging: DataFrame, link: DataFrame, genre: DataFrame, pos: str = "_src_pos") -> DataFrame:
+    """(book_isbn_id, genre_id, _slot): distinct pairs with the genre's first place in the list."""
     long = (linked(staging, link, pos).select("book_isbn_id", F.posexplode(first_genres()).alias("_slot", "genre"))
             .filter(F.col("genre").isNotNull()))
-    pairs = (long.join(genre.select("genre", "genre_id"), "genre")
-             .groupBy("book_isbn_id", "genre_id").agg(F.min("_slot").alias("_slot")))
-    order = F.shiftleft(F.col("_slot").cast("bigint"), 56) + F.col("book_isbn_id")
-    pairs = settle(pairs.withColumn("_order", order), "genres")
-    return keys.assign_ids(pairs, "book_isbn_genre_id", ["_order", "genre_id"]).select(
+    return (long.join(genre.select("genre", "genre_id"), "genre")
+            .groupBy("book_isbn_id", "genre_id").agg(F.min("_slot").alias("_slot")))
+
+
+def number_genre_pairs(rows: DataFrame, start_after: int = 0) -> DataFrame:
+    return numbered(rows, "book_isbn_genre_id", "_slot", "genres", ["genre_id"], start_after).select(
         "book_isbn_genre_id", "book_isbn_id", "genre_id")
 
 
+def build_book_isbn_genre(staging: DataFrame, link: DataFrame, genre: DataFrame, pos: str = "_src_pos") -> DataFrame:
+    """Distinct (ISBN, genre) pairs; ids ascend by the genre's place in the list."""
+    return number_genre_pairs(genre_pairs(staging, link, genre, pos))
+
+
 def add_updated_at(tables: dict[str, DataFrame], run_ts: dt.datetime) -> dict[str, DataFrame]:
     return {name: df.withColumn("updated_at", F.lit(run_ts)) for name, df in tables.items()}
 

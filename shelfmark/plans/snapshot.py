@@ -29,22 +29,22 @@ def log_rows(table: str, diff: DataFrame, review_type: DataFrame | None, run_ts:
 def publish_snapshot(store: TableStore, tables: dict[str, DataFrame], run_ts: dt.datetime) -> None:
     """Replace tables by new snapshots of them.
 
-    Changed rows are stamped with the run. All tables are checked together
-    with the stored ones they refer to; a broken rule raises and changes
-    nothing. Snapshots and audit rows become current in one switch.
+    Old and new rows are joined once, and written once with what happened to
+    each: the stamps and the audit rows come from there. Changed rows are
+    stamped with the run. All tables are checked together with the stored ones
+    they refer to; a broken rule raises and changes nothing. Snapshots and audit
+    rows become current in one switch.
     """
-    staged = StagedTables(store)
+    staged, compared = StagedTables(store), {}
     for name, new in tables.items():
-        key = CONSTRAINTS[name].key
         old = store.read(name) if name in store else new.limit(0)
-        stamped = changes.touch_updated_at(old, new, key, run_ts) if "updated_at" in new.columns else new
-        staged.publish({name: stamped})
+        compared[name] = settle(changes.compare(old, new, CONSTRAINTS[name].key, run_ts), "compared")
+        staged.publish({name: changes.newest(compared[name], new.columns)})
     known = {name: staged.read(name) for name in CONSTRAINTS if name in staged}
     children = [name for name in known if set(CONSTRAINTS[name].parents.values()) & set(tables)]
     check_tables(known, run_ts.date(), only=[*tables, *children], strict=True)
-    for name in tables:
-        old = store.read(name) if name in store else known[name].limit(0)
-        logged = log_rows(name, changes.diff(old, known[name], CONSTRAINTS[name].key), known.get("review_type"), run_ts)
+    for name, rows in compared.items():
+        logged = log_rows(name, changes.changed(rows, CONSTRAINTS[name].key), known.get("review_type"), run_ts)
         if logged is not None:
             staged.append(*logged)
     staged.commit()

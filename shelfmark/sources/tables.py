@@ -88,10 +88,11 @@ class TableStore:
         """Replace whole tables."""
         self.switch({(table, WHOLE): [self.write(table, df)] for table, df in tables.items()})
 
-    def append(self, table: str, df: DataFrame) -> None:
-        """Add rows to an append-only table, such as a log."""
-        kept = self.paths().get((table, WHOLE), [])
-        self.switch({(table, WHOLE): [*kept, self.write(table, df)]})
+    def append(self, table: str, df: DataFrame) -> str:
+        """Add rows to an append-only table, such as a log; returns the path they are in."""
+        kept, path = self.paths().get((table, WHOLE), []), self.write(table, df)
+        self.switch({(table, WHOLE): [*kept, path]})
+        return path
 
 
 class StagedTables(TableStore):

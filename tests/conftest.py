@@ -1,21 +1,17 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
-from shelfmark.operators.settle import CHECKPOINT_DIR  # noqa: E402
 from shelfmark.session import local_session  # noqa: E402
 
 
 # Column expressions need a running session, also while test modules are imported.
 SESSION = local_session("4", "shelfmark-tests")
 SESSION.conf.set("spark.sql.shuffle.partitions", "2")
-if SESSION.conf.get(CHECKPOINT_DIR, None) is None:
-    SESSION.conf.set(CHECKPOINT_DIR, tempfile.mkdtemp(prefix="shelfmark-tests-"))
 
 
 @pytest.fixture(scope="session")

@@ -4,6 +4,7 @@ import datetime as dt
 import uuid
 
 import pytest
+from pyspark.sql import functions as F
 
 from shelfmark.operators.checks import RejectedRows
 from shelfmark.operators.settle import shared_folder
@@ -15,10 +16,14 @@ ISBN = ("book_isbn_id long, isbn10 string, isbn13 string, book_id long, format_i
 
 
 def tables(spark, isbns, books=((1, "a"), (2, "b")), ratings=((1, 1, 1, 5),)):
-    return {"book": spark.createDataFrame(list(books), "book_id long, title string"),
+    others = {name: f"{name}_id long, {value} string" for name, value in
+              [("edition", "edition"), ("publisher", "publisher"), ("language", "language"), ("series", "series_name")]}
+    isbns = spark.createDataFrame(isbns, ISBN).withColumns({f"{name}_id": F.lit(None).cast("long") for name in others})
+    return {name: spark.createDataFrame([], schema) for name, schema in others.items()} | {
+            "book": spark.createDataFrame(list(books), "book_id long, title string"),
             "format": spark.createDataFrame([(1, "cloth")], "format_id long, format string"),
             "review_type": spark.createDataFrame([(1, "5_star")], "review_type_id long, review_type string"),
-            "book_isbn": spark.createDataFrame(isbns, ISBN),
+            "book_isbn": isbns,
             "isbn_rating": spark.createDataFrame(list(ratings), "isbn_rating_id long, book_isbn_id long, review_type_id long, count int")}
 
 
@@ -43,6 +48,33 @@ def test_each_rule_finds_its_rows(spark):
         ("isbn_rating", "required", 2), ("isbn_rating", "rating", 1)])
 
 
+def test_what_is_not_there_is_reported(spark):
+    some = tables(spark, GOOD)
+    del some["format"]
+    some["book_isbn"] = some["book_isbn"].drop("publish_date")
+    assert rules(constraints.check_tables(some, RUN_TS.date())) == [("book_isbn", "foreign format_id", None), ("book_isbn", "publish_date", None)]
+
+
+def test_additions_are_checked_against_stored_keys(spark):
+    stored = tables(spark, GOOD)
+    new = {"book": spark.createDataFrame([(3, "c"), (2, "b")], "book_id long, title string"),
+           "book_isbn": tables(spark, [(3, None, "9780000000001", 3, 1, None, None), (4, None, "9780000000004", 9, None, None, None),
+                                       (5, None, "9780000000005", 3, 2, None, None)])["book_isbn"]}
+    assert rules(constraints.check_additions(new, stored, RUN_TS.date())) == [
+        ("book", "unique book_id", 2), ("book_isbn", "foreign book_id", 4), ("book_isbn", "foreign format_id", 5), ("book_isbn", "unique isbn13", 3)]
+    with pytest.raises(RejectedRows):
+        constraints.check_additions(new, stored, RUN_TS.date(), strict=True)
+
+
+def test_a_table_is_read_three_times_for_all_its_rules(spark, tmp_path):
+    some = tables(spark, GOOD)
+    some["book_isbn"].write.parquet(str(tmp_path / "isbns"))
+    some["book_isbn"] = spark.read.parquet(str(tmp_path / "isbns"))
+    plan = constraints.check_table("book_isbn", some, RUN_TS.date())._jdf.queryExecution().optimizedPlan().toString()
+    # The pass over the keys is written before; the other two are in the plan.
+    assert plan.count("Relation [book_isbn_id") <= 2
+
+
 @pytest.fixture
 def store(spark):
     store = TableStore(spark, f"{shared_folder(spark)}/oltp-{uuid.uuid4().hex}")
