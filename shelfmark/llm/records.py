@@ -17,6 +17,7 @@ import struct
 import uuid
 import zlib
 from collections.abc import Iterable, Iterator
+from itertools import filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -33,27 +34,21 @@ HEAD = struct.Struct("<QI")
 TAIL = struct.Struct("<I")
 OWN = struct.Struct("<qQQB")
 FRAME = HEAD.size + TAIL.size
-#: Pieces of text whose ids a Python worker remembers from before the last ones, and pieces encoded as one text.
-REMEMBERED = 300_000
+#: Bytes of pieces and ids a Python worker remembers in each of two generations (with what an entry takes beside them),
+#: letters of the longest piece it remembers, and pieces encoded as one text.
+REMEMBERED, ENTRY, LONGEST = 48 << 20, 220, 64
 TOGETHER = 200
 #: Bytes read at once where wanted records are neighbours.
 READ = 8 << 20
 #: Fixed value: Unicode's White_Space.
 SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-#: A single white space before other characters opens a new token of byte-level BPE, so these pieces are independent.
-PIECES = re.compile(f"[{SPACE}]?[^{SPACE}]+|[{SPACE}]+(?=[{SPACE}][^{SPACE}])|[{SPACE}]+")
-#: ASCII's marks but the apostrophe, which opens tokens such as 's.
-STOPS = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum() and c != "'")
-
-
-def letters_and_stops(piece: str) -> tuple[str, str] | None:
-    """A piece cut where its Latin letters end, if only stops follow: there a new token of byte-level BPE begins."""
-    letters = piece.rstrip(STOPS)
-    if len(letters) == len(piece) or not letters or max(letters) >= "\u0250":
-        return None
-    if letters.isalpha() or letters[1:].isalpha() and letters[0].isspace():
-        return letters, piece[len(letters):]
-    return None
+#: Latin letters, and ASCII's marks but the apostrophe, which opens tokens such as 's.
+LETTERS = "".join(c for c in map(chr, range(0x250)) if c.isalpha())
+STOPS = re.escape("".join(c for c in map(chr, range(33, 127)) if not c.isalnum() and c != "'"))
+#: A single white space before other characters opens a new token of byte-level BPE, and so does a mark after letters,
+#: so these pieces are independent: words, the stops after them, other runs between white space, and white space.
+PIECES = re.compile(f"[{SPACE}]?[{LETTERS}]+(?=[{STOPS}]*(?:[{SPACE}]|\\Z))|(?<=[{LETTERS}])[{STOPS}]+(?=[{SPACE}]|\\Z)"
+                    f"|[{SPACE}]?[^{SPACE}]+|[{SPACE}]+(?=[{SPACE}][^{SPACE}])|[{SPACE}]+")
 
 
 def masked(data: bytes) -> int:
@@ -96,6 +91,7 @@ class Encoder:
         self.end = np.array([end_id], self.kind).tobytes()
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
+        self.held = 0
 
     def _ask(self, texts: list[str]) -> Iterator[bytes]:
         """The library's ids of texts without special tokens; many at once, with a special token between them."""
@@ -115,34 +111,35 @@ class Encoder:
             return [text]
         return PIECES.findall(text)
 
-    def _recall(self, piece: str) -> bool:
-        """Whether a piece is remembered; what is only in the older half comes into the newer one."""
-        if piece in self.known:
-            return True
-        if piece in self.older:
-            self.known[piece] = self.older[piece]
-            return True
-        return False
-
-    def _learn(self, pieces: Iterable[str]) -> None:
-        """Remembers the ids of all pieces; letters and the stops after them are asked for apart."""
-        if len(self.known) > REMEMBERED:
-            self.older, self.known = self.known, {}
-        fresh = [p for p in pieces if not self._recall(p)]
-        halves = {p: h for p in fresh if (h := letters_and_stops(p))}
-        asked = {h for pair in halves.values() for h in pair} | {p for p in fresh if p not in halves}
-        asked = [p for p in asked if not self._recall(p)]
+    def _learn(self, pieces: set[str]) -> None:
+        """Ids of pieces that aren't known: from the older generation, else from the library."""
+        again = {p: self.older[p] for p in pieces if p in self.older}
+        asked = [p for p in pieces if p not in again]
         plain = [p for p in asked if not any(s in p for s in self.specials)]
-        self.known.update(zip(plain, self._ask(plain)))
+        again.update(zip(plain, self._ask(plain)))
         for whole in set(asked) - set(plain):
-            self.known[whole] = np.array(self.library.encode(whole, add_special_tokens=False).ids, self.kind).tobytes()
-        self.known.update((p, self.known[a] + self.known[b]) for p, (a, b) in halves.items())
+            again[whole] = np.array(self.library.encode(whole, add_special_tokens=False).ids, self.kind).tobytes()
+        self.known.update(again)
+        self.held += sum(len(p) + len(ids) + ENTRY for p, ids in again.items())
+
+    def _forget(self, pieces: set[str]) -> None:
+        """Drops long pieces, and the older generation once the newer one is full."""
+        for p in pieces:
+            if len(p) > LONGEST:
+                self.held -= len(p) + len(self.known.pop(p)) + ENTRY
+        if self.held > REMEMBERED:
+            self.older, self.known, self.held = self.known, {}, 0
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, with the end id."""
         pieces = [self._pieces(t) for t in texts]
-        self._learn(set().union(*pieces))
-        return [b"".join([*map(self.known.__getitem__, own), self.end]) for own in pieces]
+        fresh: set[str] = set()
+        for own in pieces:
+            fresh.update(filterfalse(self.known.__contains__, own))
+        self._learn(fresh)
+        out = [b"".join([*map(self.known.__getitem__, own), self.end]) for own in pieces]
+        self._forget(fresh)
+        return out
 
 
 _ENCODERS: dict[tuple, Encoder] = {}
