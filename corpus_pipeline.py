@@ -10,7 +10,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shelfmark.llm import bpe, likeness, mixing, neardup, quality, substring
+from shelfmark.llm import bpe, mixing, neardup, quality, substring
 from shelfmark.operators.settle import settle
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -21,9 +21,9 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     return quality.accepted(docs.select(COLUMNS), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
-def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates (0.8 or more of their five-word shingles): the smallest id."""
-    return neardup.one_of_each(docs.select(COLUMNS), components_of=likeness.near_duplicates)
+def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of linked SimHash fingerprints (3-word shingles, 3 bits): the smallest id."""
+    return neardup.one_of_each(docs.select(COLUMNS))
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,7 +44,7 @@ def bpe_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 STAGES = [
     ("quality_classifier", quality_classifier),
-    ("simhash_near_dedup", near_dedup),
+    ("simhash_near_dedup", simhash_near_dedup),
     ("substring_dedup", substring_dedup),
     ("mix_sources", mix_sources),
     ("bpe_encoding", bpe_encoding),
