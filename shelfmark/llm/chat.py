@@ -6,7 +6,10 @@ string, and taking that backslash out again gives the text back.
 
 A part is text, or an attachment: image, audio or document. The visitor turns
 a message's parts into text with one placeholder for each attachment, in order,
-and records what it refers to and how many tokens it will take.
+and records what it refers to and how many tokens it will take. Neighbouring
+text parts are one text before it is escaped, so that no control string comes
+about where two of them meet; a placeholder starts with ``<|`` as it stands, so
+no text reads back as one.
 """
 
 from __future__ import annotations
@@ -51,13 +54,32 @@ def _tokens(part: Column) -> Column:
 def visit(parts: Column) -> tuple[Column, Column]:
     """(escaped text with placeholders, attachments): a null list or part is nothing, a null text is empty."""
     there = F.filter(F.coalesce(parts, F.array().cast(PARTS)), lambda p: p.isNotNull())
-    body = F.array_join(F.transform(there, lambda p: F.when(_kind(p) == "text", escape(F.coalesce(p["text"], F.lit(""))))
-                                    .otherwise(F.concat(F.lit("<|"), _kind(p), F.lit("|>")))), "")
+    state = "struct<done:string,text:string>"
+
+    def step(s: Column, p: Column) -> Column:
+        placeholder = F.concat(F.lit("<|"), _kind(p), F.lit("|>"))
+        return F.when(_kind(p) == "text", F.struct(s["done"].alias("done"), F.concat(s["text"], F.coalesce(p["text"], F.lit(""))).alias("text"))).otherwise(
+            F.struct(F.concat(s["done"], escape(s["text"]), placeholder).alias("done"), F.lit("").alias("text"))).cast(state)
+
+    start = F.struct(F.lit("").alias("done"), F.lit("").alias("text")).cast(state)
+    body = F.aggregate(there, start, step, lambda s: F.concat(s["done"], escape(s["text"])))
     attachments = F.transform(F.filter(there, lambda p: _kind(p) != "text"), lambda p: F.struct(
         _kind(p).alias("type"), p["ref"].alias("ref"), _tokens(p).alias("tokens")))
     return body, attachments
 
 
+PLACEHOLDER = r"<\|(image|audio|document)\|>"
+
+
+def read_parts(body: Column) -> Column:
+    """The parts (type, text) of a formatted message: texts, joined where they were neighbours, and attachments without text."""
+    texts, kinds = F.split(body, PLACEHOLDER, -1), F.regexp_extract_all(body, F.lit(PLACEHOLDER), F.lit(1))
+    pairs = F.transform(F.arrays_zip(texts.alias("text"), kinds.alias("kind")), lambda x: F.array(
+        F.struct(F.lit("text").alias("type"), unescape(x["text"]).alias("text")),
+        F.struct(x["kind"].alias("type"), F.lit(None).cast("string").alias("text"))))
+    return F.filter(F.flatten(pairs), lambda p: F.when(p["type"] == "text", p["text"] != "").otherwise(p["type"].isNotNull()))
+
+
 def format_conversations(messages: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role",
                          parts_col: str = "parts", learn: str = "assistant") -> DataFrame:
     """One row for each conversation: its formatted text, and what is needed to read and train on it.
@@ -99,11 +121,15 @@ def format_conversations(messages: DataFrame, conv_col: str = "conv_id", turn_co
 
 
 def read_turns(formatted: Column) -> Column:
-    """The turns (role, text) of a formatted conversation; placeholders of attachments stay in the text."""
+    """The turns (role, text, parts) of a formatted conversation; ``text`` is that of the text parts alone."""
     pieces = F.split(formatted, r"<\|turn\|>", -1)
-    return F.transform(F.slice(pieces, F.lit(2), F.greatest(F.size(pieces) - 1, F.lit(0))), lambda p: F.struct(
-        unescape(F.substring_index(p, TEXT, 1)).alias("role"),
-        unescape(F.substring_index(F.substring_index(p, TEXT, -1), END, 1)).alias("text")))
+
+    def turn(p: Column) -> Column:
+        body = F.substring_index(F.substring_index(p, TEXT, -1), END, 1)
+        parts = read_parts(body)
+        text = F.when(body.rlike(PLACEHOLDER), F.array_join(F.filter(parts["text"], lambda x: x.isNotNull()), "")).otherwise(unescape(body))
+        return F.struct(unescape(F.substring_index(p, TEXT, 1)).alias("role"), text.alias("text"), parts.alias("parts"))
+    return F.transform(F.slice(pieces, F.lit(2), F.greatest(F.size(pieces) - 1, F.lit(0))), turn)
 
 
 def read_back(conversations: DataFrame, conv_col: str = "conv_id") -> DataFrame:

@@ -63,6 +63,34 @@ def test_attachments(spark):
     assert row.expanded_tokens == 2456 and row.loss_mask == [False, True, True]
 
 
+def test_parts_cut_anywhere_read_back(spark):
+    rng, rows = random.Random(9), []
+    controls = ["<|turn|>", "<|text|>", "<|end|>", "<|image|>", "<\\|audio|>", "x <|document|> y"]
+    for c, control in enumerate(controls):
+        for cut in range(len(control) + 1):
+            rows.append((len(rows), [("text", control[:cut]), ("text", control[cut:])]))
+    for _ in range(60):
+        whole = "".join(rng.choice(controls) for _ in range(3))
+        cuts = sorted(rng.sample(range(len(whole)), 4))
+        parts = [("text", whole[a:b]) for a, b in zip([0, *cuts], [*cuts, None])]
+        parts.insert(rng.randint(0, 5), ("image", None))
+        rows.append((len(rows), parts))
+    full = [(i, 0, "user", [(kind, text, None, None, None, None, None) for kind, text in parts]) for i, parts in rows]
+    df = spark.createDataFrame(full, f"conv_id long, turn int, role string, parts {chat.PARTS}")
+    read = chat.format_conversations(df).select("conv_id", chat.read_turns(F.col("formatted")).alias("turns")).collect()
+    got = {r.conv_id: r.turns for r in read}
+    for i, parts in rows:
+        want = []
+        for kind, text in parts:
+            if kind == "text" and want and want[-1][0] == "text":
+                want[-1] = ("text", want[-1][1] + text)
+            elif kind != "text" or text:
+                want.append((kind, text))
+        assert len(got[i]) == 1
+        assert [tuple(p) for p in got[i][0].parts] == [w for w in want if w != ("text", "")]
+        assert got[i][0].text == "".join(t or "" for _, t in parts)
+
+
 def test_scores_equal_the_sum_over_all_pairs():
     texts = pa.array(["some words words here, AND 12 more###", "", None, "x " * 300, "é"])
     f = quality.features(texts)
