@@ -4,7 +4,7 @@ Only windows that start at cover positions (modulo a period) are hashed and
 shuffled. In a cover every difference of two positions occurs, so any two equal
 passages of ``window`` words share an anchor of ``window - period + 1`` words
 at the same offset. Anchors that occur again are extended to the whole windows
-around them, which are compared by 128-bit hashes; every occurrence but the
+around them, which are compared by 80 bits of two hashes; every occurrence but the
 first (smallest id, then earliest start) is removed.
 """
 
@@ -18,7 +18,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from shelfmark.llm.common import NULL_ID, Windows, id_or_last, slices, split_words, word_hashes
+from shelfmark.llm.common import Windows, id_or_last, slices, split_words, word_hashes
+from shelfmark.operators.keys import assign_ids_sorted
+from shelfmark.operators.settle import settle
 
 #: Perfect difference sets, by period.
 COVERS = {1: (0,), 3: (0, 1), 7: (1, 2, 4), 13: (0, 1, 3, 9), 21: (3, 6, 7, 12, 14), 31: (1, 5, 11, 24, 25, 27)}
@@ -262,6 +264,23 @@ def repeated_starts(documents: DataFrame, id_col: str = "doc_id", text_col: str
     return texts, later
 
 
+def numbered(rows: DataFrame) -> DataFrame:
+    """The rows (id, text and others) with ids that stand for one text each.
+
+    Where every id has one row, nothing changes. Else the pairs of id and text
+    are numbered in order of id, then of a hash of the text, and the numbers
+    take the ids' place: rows of an id with different texts become documents of
+    their own, and null ids are as many as they have texts.
+    """
+    if rows.groupBy("id").count().filter("count > 1").isEmpty():
+        return rows
+    marked = rows.withColumns({"text_mark": F.xxhash64("text"), "text_check": F.hash("text")})
+    marks = ["id", "text_mark", "text_check"]
+    numbers = assign_ids_sorted(marked.select(*marks).distinct(), "number", marks)
+    return (marked.join(settle(numbers, "numbers"), marks).drop(*marks).withColumnRenamed("number", "id")
+            .select(*rows.columns))
+
+
 def remove_repeats(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW,
                    keep: tuple[str, ...] = ()) -> DataFrame:
     """Each document without the words of windows that also start earlier.
@@ -273,17 +292,17 @@ def remove_repeats(documents: DataFrame, id_col: str = "doc_id", text_col: str =
 
     A null text has no words and stays null; texts of fewer than ``window``
     words are never changed; an empty table gives an empty result. A null id
-    stands after all others. Rows that share an id are read as one document:
-    a word position that goes in one of them goes in each. Columns not in
+    stands after all others. Rows that share an id, or have none, are documents
+    of their own where their texts differ, in order of a hash of the text; equal
+    rows are one document and come back as often as they came. Columns not in
     ``keep`` are not read, whatever their names.
     """
-    names = [f"kept_column_{i}" for i in range(len(keep))]
-    plain = documents.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), *[F.col(c).alias(n) for c, n in zip(keep, names)])
+    names = ["own_id", *[f"kept_column_{i}" for i in range(len(keep))]]
+    plain = numbered(documents.select(id_or_last(id_col).alias("id"), F.col(text_col).alias("text"),
+                                      *[F.col(c).alias(n) for c, n in zip([id_col, *keep], names)]))
     texts, later = repeated_starts(plain, "id", "text", window, tuple(names))
     kinds = "".join(f"{n} {plain.schema[n].dataType.simpleString()}, " for n in names)
     cut = (texts.join(later, "id", "left").select("id", "text", "packed", *names)
            .mapInArrow(lambda b: _cut(b, window),
                        f"id long, {kinds}kept_text string, n_words long, n_removed long, kept_sha256 string"))
-    own_id = F.when(F.col("id") != NULL_ID, F.col("id")).cast(documents.schema[id_col].dataType)
-    return cut.select(own_id.alias(id_col), *[F.col(n).alias(c) for c, n in zip(keep, names)],
-                      "kept_text", "n_words", "n_removed", "kept_sha256")
+    return cut.select(*[F.col(n).alias(c) for c, n in zip([id_col, *keep], names)], "kept_text", "n_words", "n_removed", "kept_sha256")

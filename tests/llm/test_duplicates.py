@@ -7,6 +7,8 @@ import re
 import pytest
 import xxhash
 
+from pyspark.sql import functions as F
+
 from shelfmark.llm import neardup, substring
 from shelfmark.llm.components import components
 
@@ -70,6 +72,27 @@ def test_kept_text_keeps_its_white_space(spark):
     assert kept == {1: f"head\n\n{passage}", 2: "an  other\nline tail \n end"}
 
 
+def test_texts_that_share_an_id_are_documents_of_their_own(spark):
+    p, q, r = (" ".join(f"{c}{i}" for i in range(30)) for c in "pqr")
+    rows = [(1, p), (2, p), (2, q), (None, r), (None, q), (None, p), (None, "x " * 5), (None, None), (None, r)]
+    got = sorted(((x.doc_id, x.n_words, x.n_removed, x.kept_text) for x in substring.remove_repeats(documents(spark, rows)).collect()), key=repr)
+    assert got == sorted([(1, 30, 0, p), (2, 30, 30, ""), (2, 30, 0, q), (None, 30, 0, r), (None, 30, 0, r), (None, 30, 30, ""), (None, 30, 30, ""),
+                          (None, 5, 0, "x " * 5), (None, 0, 0, None)], key=repr)
+
+
+def test_a_third_of_the_ids_null(spark):
+    rng = random.Random(6)
+    rows = [(None if i % 3 == 0 else i, " ".join(rng.choices("abc", k=rng.randint(0, 60)))) for i in range(90)]
+    # A null id stands after all others; among those, texts stand by their hash: number them alike for brute force.
+    hashes = {r.text: (r.a, r.b) for r in documents(spark, rows).selectExpr("text", "xxhash64(text) AS a", "hash(text) AS b").collect()}
+    last = {t: 1000 + k for k, t in enumerate(sorted({t for i, t in rows if i is None}, key=hashes.get))}
+    want = brute_substring([(last[t] if i is None else i, t) for i, t in dict.fromkeys(rows)], 20)
+    got = {(last[t] if i is None else i): (n, gone, sha) for i, t, n, gone, sha in (
+        (r.doc_id, r.mark, r.n_words, r.n_removed, r.kept_sha256) for r in substring.remove_repeats(
+            documents(spark, rows).withColumn("mark", F.col("text")), keep=("mark",)).collect())}
+    assert got == want
+
+
 def test_rows_that_share_an_id_and_empty_tables(spark):
     text = " ".join(f"w{i}" for i in range(30))
     got = substring.remove_repeats(documents(spark, [(1, text), (1, text), (2, text)])).collect()
