@@ -102,12 +102,19 @@ def copies(documents: DataFrame, id_col: str = "doc_id", source_col: str = "sour
     expected number, rounded at random by its id. A source without words has
     target 0. Null sources are one source. No document is taken more than
     ``most`` times (rounded up). Draws depend on ids, sizes and the seed alone,
-    so reruns and other partitionings agree; equal rows share their luck only
-    as far as the pairs they meet. An empty table gives an empty result.
+    so reruns and other partitionings agree. Rows that share an id, or have
+    none, are documents of their own: their draws depend on their place in the
+    stored sizes too, so that any number of them is spread over groups. An empty
+    table gives an empty result.
     """
     id_type = documents.schema[id_col].dataType
-    rows = settle(documents.select(id_or_last(id_col).alias("id"), F.col(source_col).alias("source"),
-                                   n_words(F.col(text_col)).alias("size")), "sizes")
+    rows = settle(documents.select(id_or_last(id_col).alias("own_id"), F.col(source_col).alias("source"),
+                                   n_words(F.col(text_col)).alias("size")).withColumn("place", F.monotonically_increasing_id()), "sizes")
+    shared = settle(rows.groupBy("own_id").count().filter("count > 1").select("own_id", F.lit(True).alias("shared")), "shared-ids")
+    alone = F.col("own_id") if shared.isEmpty() else F.when(F.col("shared"), F.xxhash64("own_id", "place")).otherwise(F.col("own_id"))
+    if not shared.isEmpty():
+        rows = rows.join(shared, "own_id", "left")
+    rows = rows.select("own_id", "source", "size", alone.alias("id"))
     totals = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("documents"))
     wanted = targets(totals, weights, most).withColumn("source_", F.col("source")).drop("source")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
@@ -133,7 +140,7 @@ def copies(documents: DataFrame, id_col: str = "doc_id", source_col: str = "sour
     for more in decided[1:]:
         out = out.unionByName(more)
     n = (F.col("whole") + F.col("share")).cast("long")
-    return out.select(F.when(F.col("id") != NULL_ID, F.col("id")).cast(id_type).alias(id_col), "size", "source_size",
+    return out.select(F.when(F.col("own_id") != NULL_ID, F.col("own_id")).cast(id_type).alias(id_col), "size", "source_size",
                       F.col("target").cast("double").alias("target"), n.alias("copies"), (n * F.col("size")).alias("taken"))
 
 
@@ -141,10 +148,15 @@ def mixed(documents: DataFrame, id_col: str = "doc_id", source_col: str = "sourc
           weights: tuple[int, ...] = WEIGHTS, most: float = MOST_COPIES, seed: int = 7) -> DataFrame:
     """The documents, each as often as the mix takes it, with all their columns.
 
-    Of rows that share an id each is taken as often as the luckiest of them.
+    Rows that share an id, or have none, are documents of their own: the table
+    is then written once with a number for each row, and mixed by that.
     """
     id_name, n_name = column_name(documents, "mixed_id"), column_name(documents, "mixed_copies")
-    each = (copies(documents, id_col, source_col, text_col, weights, most, seed)
-            .groupBy(F.col(id_col).alias(id_name)).agg(F.max("copies").alias(n_name)).filter(F.col(n_name) > 0))
-    taken = documents.join(each, F.col(id_col).eqNullSafe(F.col(id_name)))
+    rows, by = documents, id_col
+    if not documents.groupBy(F.col(id_col).alias(id_name)).count().filter("count > 1").isEmpty():
+        by = column_name(documents, "mixed_row")
+        rows = settle(documents.withColumn(by, F.monotonically_increasing_id()), "rows")
+    each = (copies(rows, by, source_col, text_col, weights, most, seed)
+            .select(F.col(by).alias(id_name), F.col("copies").alias(n_name)).filter(F.col(n_name) > 0))
+    taken = rows.join(each, F.col(by).eqNullSafe(F.col(id_name)))
     return taken.withColumn(n_name, F.explode(F.sequence(F.lit(1), F.col(n_name).cast("int")))).select(*documents.columns)

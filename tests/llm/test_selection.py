@@ -159,3 +159,22 @@ def test_shards(spark, monkeypatch):
     again = sharding.shards_by_bytes(df.repartition(7)).collect()
     assert sorted(map(str, again)) == sorted(map(str, got))
     assert sharding.shards_by_bytes(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("group_rows", [16_384, 20])
+def test_rows_without_ids_of_their_own_are_mixed_one_by_one(spark, monkeypatch, group_rows):
+    monkeypatch.setattr(mixing, "GROUP_ROWS", group_rows)
+    monkeypatch.setattr(mixing, "FAN_IN", 3)
+    rows = [(i, text, source) for i, text, source in corpus(2, 300, ["a", "b"])]
+    rows += [(None, "five words are in here", "a") for _ in range(150)] + [(7, "x y", "b")] * 40
+    df = documents(spark, rows)
+    sizes = {}
+    for _, text, source in rows:
+        sizes[source] = sizes.get(source, 0) + len((text or "").split())
+    want, most = brute_targets(sizes), max(len((t or "").split()) for _, t, _ in rows)
+    each = mixing.copies(df).collect()
+    assert len(each) == len(rows) and sum(r.doc_id is None for r in each) == 150
+    for total in (sum(r.taken for r in each), sum(len((r.text or "").split()) for r in mixing.mixed(df).collect())):
+        assert abs(total - sum(want.values())) <= 2 * most
+    assert len({r.copies for r in each if r.doc_id is None and want["a"] % sizes["a"]}) == 2
+    assert mixing.mixed(df).columns == df.columns
