@@ -376,9 +376,11 @@ def _run(documents: DataFrame, path: str, keep: list[str], text_col: str, most:
         definition = f.read()
     name = send_lexicon(documents, definition, text_col, most)
     shared = documents.sparkSession.sparkContext.broadcast(definition)
-    rows = documents.select(*[F.col(c) for c in keep], F.col(text_col).alias("text"))
-    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
-    return rows.mapInArrow(lambda b: _encoded(b, shared, name, digests), f"{kept}, {types}")
+    names = [f"kept_column_{i}" for i in range(len(keep))]
+    rows = documents.select(*[F.col(c).alias(n) for c, n in zip(keep, names)], F.col(text_col).alias("text"))
+    kept = "".join(f"{f.name} {f.dataType.simpleString()}, " for f in rows.schema.fields[:-1])
+    made = rows.mapInArrow(lambda b: _encoded(b, shared, name, digests), f"{kept}{types}")
+    return made.select(*[F.col(n).alias(c) for c, n in zip(keep, names)], *made.columns[len(names):])
 
 
 def encode(documents: DataFrame, path: str, keep: list[str] = ["doc_id"], text_col: str = "text",  # noqa: B006
@@ -404,9 +406,11 @@ def decode(encoded: DataFrame, path: str, keep: list[str] = ["doc_id"], ids_col:
     """The columns ``keep`` and ``decoded``: the text of each list of ids; a null list is read as empty."""
     with open(path, encoding="utf-8") as f:
         shared = encoded.sparkSession.sparkContext.broadcast(f.read())
-    rows = encoded.select(*keep, F.col(ids_col).alias("ids"))
-    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
-    return rows.mapInArrow(lambda b: _decoded(b, shared), f"{kept}, decoded string")
+    names = [f"kept_column_{i}" for i in range(len(keep))]
+    rows = encoded.select(*[F.col(c).alias(n) for c, n in zip(keep, names)], F.col(ids_col).alias("ids"))
+    kept = "".join(f"{f.name} {f.dataType.simpleString()}, " for f in rows.schema.fields[:-1])
+    made = rows.mapInArrow(lambda b: _decoded(b, shared), f"{kept}decoded string")
+    return made.select(*[F.col(n).alias(c) for c, n in zip(keep, names)], "decoded")
 
 
 def round_trip(documents: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text",

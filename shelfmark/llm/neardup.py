@@ -9,7 +9,7 @@ and are checked in full.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Iterable, Iterator
 from itertools import repeat
 
 import numpy as np
@@ -142,6 +142,8 @@ def link_marks(marks: DataFrame) -> DataFrame:
         rows = out.filter("more").select(F.col("a").alias("mark"), F.col("b").alias("key"), "part")
         if rows.isEmpty():
             break
+    else:
+        raise ValueError("two keys of the near-duplicate search share a hash")
     links = found[0]
     for more in found[1:]:
         links = links.unionByName(more)
@@ -178,15 +180,13 @@ def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str
                     own("component").alias("component_id")))
 
 
-def one_of_each(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                components_of: Callable[..., DataFrame] = near_duplicates) -> DataFrame:
+def one_of_each(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
     """The documents that are the smallest id of their component, with all their columns.
 
-    ``components_of`` (documents, id_col, text_col) says what is linked.
     Of rows that share an id each stays or goes with it; rows of a null id
     stay only if no other id is in their component.
     """
-    classes = components_of(documents, id_col, text_col)
+    classes = near_duplicates(documents, id_col, text_col, shingle)
     name = column_name(documents, "kept")
     kept = classes.filter(F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias(name)).distinct()
     return documents.join(kept, F.col(id_col).eqNullSafe(F.col(name)), "left_semi")

@@ -190,7 +190,9 @@ def fit(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
               .select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("int").alias("label")).distinct()
               .orderBy(F.xxhash64("id"), "id", "label").limit(most))
     texts = documents.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    rows = texts.join(F.broadcast(wanted), "id").select("id", "label", "text").mapInArrow(_sampled, SAMPLED).toArrow()
+    # Of rows that share a sampled id the one whose text has the smallest hash stands for it.
+    chosen = texts.join(F.broadcast(wanted), "id").groupBy("id", "label").agg(F.min(F.struct(F.xxhash64("text").alias("mark"), "text")).alias("first"))
+    rows = chosen.select("id", "label", "first.text").mapInArrow(_sampled, SAMPLED).toArrow()
     rows = rows.take(pc.sort_indices(rows, [("id", "ascending"), ("label", "ascending")])).combine_chunks()
     counts = pc.list_value_length(rows["row"]).to_numpy().astype(np.int64)
     flat = lambda name: rows[name].combine_chunks().flatten().to_numpy()

@@ -9,6 +9,7 @@ import public_tokenizers
 import pyarrow as pa
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from shelfmark.llm import bpe, fingerprints, records
@@ -184,3 +185,26 @@ def test_records_are_read_in_any_order_and_checked(spark):
         damaged[i] ^= 4
         with pytest.raises(ValueError):
             records.unframe(damaged)
+
+
+def test_kept_columns_keep_their_names(spark):
+    df = spark.createDataFrame([(1, "a b", 5, 7)], "doc_id long, text string, n_tokens int, ids int")
+    path = public_tokenizers.path("word_bpe_49k.json")
+    encoded = bpe.encode(df, path, keep=["doc_id", "text"])
+    assert encoded.columns == ["doc_id", "text", "n_tokens", "ids"] and encoded.first().text == "a b"
+    # Two columns of one name, as asked for.
+    assert tuple(bpe.encode(df, path, keep=["doc_id", "n_tokens"]).first())[:2] == (1, 5)
+    assert bpe.decode(encoded.withColumn("decoded", F.lit("x")), path, keep=["doc_id", "text", "ids"]).columns == ["doc_id", "text", "ids", "decoded"]
+
+
+def test_long_unspaced_texts_are_not_remembered(spark, monkeypatch):
+    monkeypatch.setattr(records, "REMEMBERED", 20_000)
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as f:
+        encoder = records.Encoder(f.read(), 0)
+    rng = random.Random(2)
+    for _ in range(30):
+        texts = ["".join(rng.choices("abcdef漢é.,'", k=30_000)) for _ in range(3)] + [" ".join(rng.choices("abcdefgh", k=50)) for _ in range(20)]
+        got = encoder.encode(texts)
+        want = encoder.library.encode_batch(texts, add_special_tokens=False)
+        assert [np.frombuffer(g, encoder.kind).tolist() for g in got] == [[*w.ids, 0] for w in want]
+        assert encoder.held <= 20_000 and max(map(len, [*encoder.known, *encoder.older])) <= records.LONGEST
