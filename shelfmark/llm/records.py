@@ -36,7 +36,7 @@ OWN = struct.Struct("<qQQB")
 FRAME = HEAD.size + TAIL.size
 #: Bytes of pieces and ids a Python worker remembers in each of two generations (with what an entry takes beside them),
 #: letters of the longest piece it remembers, and pieces encoded as one text.
-REMEMBERED, ENTRY, LONGEST = 48 << 20, 220, 64
+REMEMBERED, ENTRY, LONGEST = 128 << 20, 220, 64
 TOGETHER = 200
 #: Bytes read at once where wanted records are neighbours.
 READ = 8 << 20

@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from shelfmark.llm.common import Windows, id_or_last, slices, split_words, word_hashes
+from shelfmark.llm.common import NULL_ID, Windows, id_or_last, slices, split_words, word_hashes
 from shelfmark.operators.keys import assign_ids_sorted
 from shelfmark.operators.settle import settle
 
@@ -265,20 +265,17 @@ def repeated_starts(documents: DataFrame, id_col: str = "doc_id", text_col: str
 
 
 def numbered(rows: DataFrame) -> DataFrame:
-    """The rows (id, text and others) with ids that stand for one text each.
+    """The rows (id, text and others) with numbers in the ids' place, and ``own_id``.
 
-    Where every id has one row, nothing changes. Else the pairs of id and text
-    are numbered in order of id, then of a hash of the text, and the numbers
-    take the ids' place: rows of an id with different texts become documents of
-    their own, and null ids are as many as they have texts.
+    Pairs of id and text are numbered in order of id, then of a hash of the
+    text, so that rows of an id with different texts become documents of their
+    own, and null ids are as many as they have texts.
     """
-    if rows.groupBy("id").count().filter("count > 1").isEmpty():
-        return rows
     marked = rows.withColumns({"text_mark": F.xxhash64("text"), "text_check": F.hash("text")})
     marks = ["id", "text_mark", "text_check"]
-    numbers = assign_ids_sorted(marked.select(*marks).distinct(), "number", marks)
-    return (marked.join(settle(numbers, "numbers"), marks).drop(*marks).withColumnRenamed("number", "id")
-            .select(*rows.columns))
+    numbers = settle(assign_ids_sorted(marked.select(*marks).distinct(), "number", marks), "numbers")
+    made = marked.join(numbers, marks).withColumnsRenamed({"id": "own_id", "number": "id"})
+    return made.select("id", *[c for c in rows.columns if c != "id"], "own_id")
 
 
 def remove_repeats(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW,
@@ -297,12 +294,17 @@ def remove_repeats(documents: DataFrame, id_col: str = "doc_id", text_col: str =
     rows are one document and come back as often as they came. Columns not in
     ``keep`` are not read, whatever their names.
     """
-    names = ["own_id", *[f"kept_column_{i}" for i in range(len(keep))]]
-    plain = numbered(documents.select(id_or_last(id_col).alias("id"), F.col(text_col).alias("text"),
-                                      *[F.col(c).alias(n) for c, n in zip([id_col, *keep], names)]))
+    names = [f"kept_column_{i}" for i in range(len(keep))]
+    plain = documents.select(id_or_last(id_col).alias("id"), F.col(text_col).alias("text"), *[F.col(c).alias(n) for c, n in zip(keep, names)])
+    own = "id"
+    if not plain.groupBy("id").count().filter("count > 1").isEmpty():
+        plain, own = numbered(plain), "own_id"
+        names = [*names, own]
     texts, later = repeated_starts(plain, "id", "text", window, tuple(names))
     kinds = "".join(f"{n} {plain.schema[n].dataType.simpleString()}, " for n in names)
     cut = (texts.join(later, "id", "left").select("id", "text", "packed", *names)
            .mapInArrow(lambda b: _cut(b, window),
                        f"id long, {kinds}kept_text string, n_words long, n_removed long, kept_sha256 string"))
-    return cut.select(*[F.col(n).alias(c) for c, n in zip([id_col, *keep], names)], "kept_text", "n_words", "n_removed", "kept_sha256")
+    own_id = F.when(F.col(own) != NULL_ID, F.col(own)).cast(documents.schema[id_col].dataType)
+    return cut.select(own_id.alias(id_col), *[F.col(n).alias(c) for c, n in zip(keep, names)],
+                      "kept_text", "n_words", "n_removed", "kept_sha256")
