@@ -398,9 +398,13 @@ def _(t):
     return changes.rating_log(diff, normalise.build_review_type(t.spark), RUN_TS)
 
 
+#: Keys in a range of the stored tables; small, so that small data have several.
+RANGE_ROWS = 2000
+
+
 def snapshot_store(t, tables: dict) -> TableStore:
-    store = TableStore(t.spark, f"{shared_folder(t.spark)}/oltp-{uuid.uuid4().hex}")
-    store.publish(tables)
+    store = TableStore(t.spark, f"{shared_folder(t.spark)}/oltp-{uuid.uuid4().hex}", part_rows=RANGE_ROWS)
+    store.publish(tables, {name: constraints.CONSTRAINTS[name].key for name in tables})
     return store
 
 
@@ -424,6 +428,28 @@ def _(t):
     return stored_book_logs(t).read("book")
 
 
+# A snapshot that changes some of the later books and adds a tenth: which ranges of keys keep their files.
+GROWN = {"old": """SELECT p_partkey AS book_id, p_name AS title FROM {part} WHERE p_partkey <= (SELECT max(p_partkey) * 0.9 FROM {part})""",
+         "new": """SELECT p_partkey AS book_id, CASE WHEN p_size = 1 AND p_partkey > (SELECT max(p_partkey) * 0.7 FROM {part}) THEN concat(p_name, ' ii')
+             ELSE p_name END AS title FROM {part}"""}
+GROWN_ROWS = 100
+
+
+@query("a1_ranges_kept", with_tables(GROWN, f"""
+SELECT CAST(floor((n.book_id - 1) / {GROWN_ROWS}.0) AS BIGINT) AS key_range, count(*) AS n_rows,
+ bool_and(o.book_id IS NOT NULL AND o.title = n.title) AS kept
+FROM new n LEFT JOIN old o ON o.book_id = n.book_id GROUP BY 1"""))
+def _(t):
+    store = TableStore(t.spark, f"{shared_folder(t.spark)}/grown-{uuid.uuid4().hex}", part_rows=GROWN_ROWS)
+    store.publish({"book": t.sql(GROWN["old"])}, {"book": "book_id"})
+    before = store.paths()
+    snapshot.publish_snapshot(store, {"book": t.sql(GROWN["new"])}, RUN_TS)
+    ranges = [(part, paths == before.get((name, part))) for (name, part), paths in store.paths().items() if name == "book"]
+    rows = store.read("book").withColumn("part", store.label("book", "book_id"))
+    return (rows.join(t.spark.createDataFrame(ranges, "part string, kept boolean"), "part")
+            .groupBy(F.split("part", "x")[0].cast("long").alias("key_range")).agg(F.count("*").alias("n_rows"), F.bool_and("kept").alias("kept")))
+
+
 # All 14 tables: ISBNs with editions and dates, some of them wrong.
 EDITION = "SELECT CAST(r_regionkey AS BIGINT) AS edition_id, concat('edition ', r_regionkey) AS edition FROM {region}"
 REVIEW_TYPE = """SELECT CAST(id AS BIGINT) AS review_type_id, name AS review_type

@@ -236,8 +236,9 @@ SELECT d.* REPLACE (CASE WHEN publisher = 'house brand#3' THEN DATE '2026-01-15'
 UNION ALL SELECT (SELECT max(book_dim_id) FROM d) + row_number() OVER (ORDER BY book_isbn_id), book_isbn_id, book_title, isbn_13,
  'house three', format, language, DATE '2026-01-15', NULL, true FROM d WHERE publisher = 'house brand#3'""").replace("\n\n, d AS", ",\nd AS", 1))
 def _(t):
-    store = TableStore(t.spark, f"{shared_folder(t.spark)}/mart-{uuid.uuid4().hex}")
-    store.publish({"publisher": books(t)["publisher"], "book_dim": warehouse.init_book_dim(books(t), dt.date(2025, 1, 1))})
+    store = TableStore(t.spark, f"{shared_folder(t.spark)}/mart-{uuid.uuid4().hex}", part_rows=2000)
+    store.publish({"publisher": books(t)["publisher"], "book_dim": warehouse.init_book_dim(books(t), dt.date(2025, 1, 1))},
+                  {"publisher": "publisher_id", "book_dim": "book_dim_id"})
     snapshot.store_publisher_rename(store, "house brand#3", "house three", RUN_TS)
     return TableStore(t.spark, store.root).read("book_dim")
 

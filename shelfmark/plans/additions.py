@@ -10,7 +10,7 @@ from shelfmark.functions import names
 from shelfmark.operators import changes, joins, keys, sets
 from shelfmark.operators.settle import settle
 from shelfmark.plans import normalise
-from shelfmark.plans.constraints import check_additions
+from shelfmark.plans.constraints import CONSTRAINTS, check_additions
 from shelfmark.plans.snapshot import log_rows
 from shelfmark.sources.tables import StagedTables, TableStore
 
@@ -132,7 +132,7 @@ def add_catalogue(store: TableStore, staging: DataFrame, run_ts: dt.datetime, po
     Only new rows are checked, against each other and the stored keys; one that
     breaks a rule raises and changes nothing. New rows, stamped with the run,
     and their audit rows become current in one switch. No stored file is
-    rewritten. A catalogue loaded twice adds nothing the second time.
+    rewritten, also in tables kept in ranges of keys. A catalogue loaded twice adds nothing the second time.
     """
     staged = StagedTables(store)
     stored = {name: store.read(name) for name in normalise.TABLE_NAMES}
@@ -141,7 +141,7 @@ def add_catalogue(store: TableStore, staging: DataFrame, run_ts: dt.datetime, po
         rows = settle(rows.withColumn("updated_at", F.lit(run_ts)).select(*stored[name].columns), name)
         if not rows.isEmpty():
             new[name] = rows
-            staged.append(name, rows)
+            staged.append(name, rows, CONSTRAINTS[name].key)
     if new:
         check_additions(new, stored, run_ts.date(), strict=True)
     for name, rows in new.items():

@@ -49,8 +49,8 @@ def delete_rows(store: TableStore, asked: dict[str, DataFrame], run_ts: dt.datet
     ``asked`` has, for a table, a frame with its key column. Tables are taken
     parents first. Rows that refer to a deleted row go with it or lose the
     reference, as the constraint catalogue says; a row that loses one is stamped
-    with the run. Deleted books, authors and ratings are logged. A table none of
-    whose rows are touched keeps its files. Everything becomes current in one
+    with the run. Deleted books, authors and ratings are logged. Ranges of keys,
+    and tables, none of whose rows are touched keep their files. Everything becomes current in one
     switch; keys that aren't there change nothing.
     """
     unknown = set(asked) - set(CONSTRAINTS)
@@ -75,6 +75,8 @@ def delete_rows(store: TableStore, asked: dict[str, DataFrame], run_ts: dt.datet
             kept = [F.when(lost(c), None).otherwise(F.col(c)).alias(c) if c in rules.parents else
                     F.when(F.size("_cleared") > 0, F.lit(run_ts)).otherwise(F.col(c)).alias(c) if c == "updated_at" else F.col(c)
                     for c in rows.columns]
-            staged.publish({name: marked.filter("NOT _doomed").select(*kept)})
+            touched = staged.parts_with(name, marked.filter("_doomed OR size(_cleared) > 0"), rules.key)
+            there = marked.filter(staged.label(name, rules.key).isin(touched))
+            staged.replace_parts(name, touched, there.filter("NOT _doomed").select(*kept), rules.key)
     staged.commit()
     return counts

@@ -9,13 +9,17 @@ from pyspark.sql import Column, DataFrame, functions as F
 from shelfmark.operators import keys
 from shelfmark.operators.aggregates import distinct_tuples, high_water_mark
 from shelfmark.operators.checks import check_not_null
+from shelfmark.operators.settle import settle
 from shelfmark.plans import warehouse
+from shelfmark.plans.constraints import CONSTRAINTS
 from shelfmark.schemas import ETL_LOG
-from shelfmark.sources.tables import WHOLE, StagedTables, TableStore
+from shelfmark.sources.tables import StagedTables, TableStore
 
 LOG, SALES, FACT, UNMATCHED = "etl_log", "synthetic_insert", "sales_fact", "synthetic_unmatched"
 # Paths of month parts without rows to load begin so.
 CLOSED = "closed-"
+#: Keys of the dimensions, which are kept in ranges of them.
+DIMENSIONS = {name: f"{name}_id" for name in ("month_year_dim", "author_dim", "book_dim", "nyt_bestseller_dim")}
 
 
 def month_part(month: int, year: int) -> str:
@@ -87,10 +91,10 @@ class MonthlyRun:
 
     def add_rows(self, table: str, fresh: DataFrame) -> int:
         """Write new rows beside a table's files; how many there are."""
-        path = self.store.write(table, fresh)
-        added = self.spark.read.parquet(path).count()
+        fresh = settle(fresh, table)
+        added = fresh.count()
         if added:
-            self.store.switch({(table, WHOLE): [*self.store.paths()[table, WHOLE], path]})
+            self.store.append(table, fresh, DIMENSIONS[table])
         return added
 
     def month_year_dim(self) -> int:
@@ -111,22 +115,32 @@ class MonthlyRun:
         return self.add_rows("nyt_bestseller_dim", warehouse.new_categories(dim, sales)) if rows else 0
 
     def author_dim(self) -> int:
-        """The log counts overwritten names as inserted, like added ones."""
-        last = self.last_run("update_author_dim", "load_author_dim")
-        author = self.store.read("author")
-        self.read = warehouse.changed_since(author, last).count()
+        """The log counts overwritten names as inserted, like added ones.
+
+        Only ranges of the dimension with a changed author are rewritten.
+        """
+        last, key = self.last_run("update_author_dim", "load_author_dim"), DIMENSIONS["author_dim"]
+        changed = self.store.read_since("author", last)
+        self.read = changed.count()
         if self.read:
             dim = self.store.read("author_dim")
-            self.store.publish({"author_dim": warehouse.update_author_dim(dim, author, last)})
+            parts = self.store.parts_with("author_dim", dim.join(changed, "author_id", "left_semi"), key)
+            renamed = warehouse.renamed_authors(self.store.read("author_dim", parts), changed)
+            fresh = settle(warehouse.new_authors(dim, changed, keys.max_id(self.store.read_last("author_dim"), key)), "author_dim")
+            if parts:
+                self.store.replace_parts("author_dim", parts, renamed.unionByName(fresh), key)
+            else:
+                self.store.append("author_dim", fresh, key)
         return self.read
 
     def book_dim(self) -> int:
         last = self.last_run("update_book_dim", "load_book_dim")
-        oltp = self.store_tables("book_isbn", "book", "publisher", "format", "language")
-        self.read = warehouse.changed_since(oltp["book_isbn"], last).count()
+        oltp = self.store_tables("book", "publisher", "format", "language") | {"book_isbn": self.store.read_since("book_isbn", last)}
+        self.read = oltp["book_isbn"].count()
         if not self.read:
             return 0
-        return self.add_rows("book_dim", warehouse.new_books(self.store.read("book_dim"), oltp, self.run_ts.date(), last))
+        top = keys.max_id(self.store.read_last("book_dim"), DIMENSIONS["book_dim"])
+        return self.add_rows("book_dim", warehouse.new_books(self.store.read("book_dim"), oltp, self.run_ts.date(), last, top))
 
     def store_tables(self, *names: str) -> dict[str, DataFrame]:
         return {name: self.store.read(name) for name in names}
@@ -188,7 +202,7 @@ def process_monthly_sales(store: TableStore, month: int, year: int, run_ts: dt.d
 
 def first_load(store: TableStore, oltp: dict[str, DataFrame], raw_sales: DataFrame, run_ts: dt.datetime) -> None:
     """Star schema from normalised tables and raw sales, staging rows, and the seed log."""
-    store.publish(oltp)
+    store.publish(oltp, {name: CONSTRAINTS[name].key for name in oltp if name in CONSTRAINTS})
     oltp = {name: store.read(name) for name in oltp}
     store.publish({"sales": warehouse.clean_sales(raw_sales, oltp)})
     sales = store.read("sales")
@@ -197,7 +211,7 @@ def first_load(store: TableStore, oltp: dict[str, DataFrame], raw_sales: DataFra
         "author_dim": warehouse.init_author_dim(oltp["author"]),
         "book_dim": warehouse.init_book_dim(oltp, run_ts.date()),
         "nyt_bestseller_dim": warehouse.init_nyt_dim(sales),
-    })
+    }, DIMENSIONS)
     star = {name: store.read(name) for name in ("month_year_dim", "author_dim", "book_dim", "nyt_bestseller_dim")}
     fact = warehouse.init_sales_fact(sales, star, oltp)
     store.publish({FACT: warehouse.fill_avg_rating(fact, star["book_dim"], oltp["isbn_rating"])})

@@ -131,13 +131,22 @@ def changed_since(df: DataFrame, last_run: dt.datetime | None) -> DataFrame:
 
 def update_author_dim(dim: DataFrame, author: DataFrame, last_run: dt.datetime | None) -> DataFrame:
     """Overwrite the names of changed authors and add new ones."""
-    changed = changed_since(author, last_run).select("author_id", F.col("full_name").alias("_name"))
-    renamed = dim.join(changed, "author_id", "left").select(
+    changed = changed_since(author, last_run)
+    return renamed_authors(dim, changed).unionByName(new_authors(dim, changed, keys.max_id(dim, "author_dim_id")))
+
+
+def renamed_authors(dim: DataFrame, changed: DataFrame) -> DataFrame:
+    names = changed.select("author_id", F.col("full_name").alias("_name"))
+    return dim.join(names, "author_id", "left").select(
         "author_dim_id", "author_id",
         F.when(F.col("_name").isNotNull(), F.col("_name")).otherwise(F.col("author_name")).alias("author_name"))
-    fresh = joins.missing_rows(changed.withColumnRenamed("_name", "author_name"), dim, ["author_id"])
-    numbered = keys.assign_ids(fresh, "author_dim_id", ["author_id"], keys.max_id(dim, "author_dim_id"))
-    return renamed.unionByName(numbered.select(renamed.columns))
+
+
+def new_authors(dim: DataFrame, changed: DataFrame, start_after: int) -> DataFrame:
+    """Changed authors that the dimension lacks, numbered after the highest id."""
+    named = changed.select("author_id", F.col("full_name").alias("author_name"))
+    numbered = keys.assign_ids(joins.missing_rows(named, dim, ["author_id"]), "author_dim_id", ["author_id"], start_after)
+    return numbered.select("author_dim_id", "author_id", "author_name")
 
 
 def init_nyt_dim(sales: DataFrame) -> DataFrame:
@@ -178,15 +187,17 @@ def init_book_dim(oltp: dict[str, DataFrame], run_date: dt.date) -> DataFrame:
     return keys.assign_ids(versions, "book_dim_id", ["book_isbn_id"]).select("book_dim_id", *BOOK_DIM)
 
 
-def new_books(dim: DataFrame, oltp: dict[str, DataFrame], run_date: dt.date, last_run: dt.datetime | None) -> DataFrame:
-    """Versions of ISBNs changed since the last run that have none yet."""
+def new_books(dim: DataFrame, oltp: dict[str, DataFrame], run_date: dt.date, last_run: dt.datetime | None,
+              start_after: int | None = None) -> DataFrame:
+    """Versions of ISBNs changed since the last run that have none yet; ids follow ``start_after``, else the dimension's highest."""
     changed = changed_since(oltp["book_isbn"], last_run)
-    return numbered_versions(dim, book_versions(joins.missing_rows(changed, dim, ["book_isbn_id"]), oltp, run_date))
+    return numbered_versions(dim, book_versions(joins.missing_rows(changed, dim, ["book_isbn_id"]), oltp, run_date), start_after)
 
 
-def numbered_versions(dim: DataFrame, versions: DataFrame) -> DataFrame:
+def numbered_versions(dim: DataFrame, versions: DataFrame, start_after: int | None = None) -> DataFrame:
     written = settle(versions, "book-versions")
-    return keys.assign_ids(written, "book_dim_id", ["book_isbn_id"], keys.max_id(dim, "book_dim_id")).select(dim.columns)
+    top = keys.max_id(dim, "book_dim_id") if start_after is None else start_after
+    return keys.assign_ids(written, "book_dim_id", ["book_isbn_id"], top).select(dim.columns)
 
 
 def update_book_dim(dim: DataFrame, oltp: dict[str, DataFrame], run_date: dt.date,
@@ -216,25 +227,26 @@ def expire(dim: DataFrame, marks: DataFrame, key: str, run_date: dt.date) -> Dat
     }).select(dim.columns)
 
 
-def scd2_publisher_rename(dim: DataFrame, renames: DataFrame, run_date: dt.date) -> DataFrame:
+def scd2_publisher_rename(dim: DataFrame, renames: DataFrame, run_date: dt.date, start_after: int | None = None) -> DataFrame:
     """New versions for the current books of renamed publishers.
 
     ``renames`` holds (publisher, new_publisher), one row per old name; a row
     that does not change the name is ignored. Exactly the versions this call
-    expires get a successor.
+    expires get a successor. ``start_after`` is the highest id in use, where
+    ``dim`` is but a part of the dimension.
     """
+    top = keys.max_id(dim, "book_dim_id") if start_after is None else start_after
     real = renames.filter(F.col("publisher") != F.col("new_publisher"))
     successors = (dim.filter("current_flag").join(real, "publisher").drop("publisher")
                   .withColumnRenamed("new_publisher", "publisher")
                   .withColumns({"effective_date": F.lit(run_date), "expire_date": F.lit(None).cast("date")}))
-    numbered = keys.assign_ids(successors.drop("book_dim_id"), "book_dim_id", ["book_isbn_id"],
-                               keys.max_id(dim, "book_dim_id"))
+    numbered = keys.assign_ids(successors.drop("book_dim_id"), "book_dim_id", ["book_isbn_id"], top)
     marks = real.select("publisher", F.lit(True).alias("_expired"))
     return expire(dim, marks, "publisher", run_date).unionByName(numbered.select(dim.columns))
 
 
-def rename_publisher(oltp_publisher: DataFrame, dim: DataFrame, old: str, new: str,
-                     run_ts: dt.datetime) -> tuple[DataFrame, DataFrame, DataFrame]:
+def rename_publisher(oltp_publisher: DataFrame, dim: DataFrame, old: str, new: str, run_ts: dt.datetime,
+                     start_after: int | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """One renamed publisher: new publisher table, new book dimension, log row."""
     renames = dim.sparkSession.createDataFrame([(old, new)], "publisher string, new_publisher string")
     hit = F.col("publisher") == old
@@ -244,7 +256,7 @@ def rename_publisher(oltp_publisher: DataFrame, dim: DataFrame, old: str, new: s
         publisher = publisher.withColumn("updated_at", stamped)
     versioned = dim.filter(F.col("current_flag") & hit).count() if old != new else 0
     log = etl_log_row(dim.sparkSession, run_ts, "oltp", "publisher_update", versioned, versioned)
-    return publisher, scd2_publisher_rename(dim, renames, run_ts.date()), log
+    return publisher, scd2_publisher_rename(dim, renames, run_ts.date(), start_after), log
 
 
 # Fact

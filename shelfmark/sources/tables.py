@@ -2,12 +2,43 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import re
 import uuid
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 WHOLE = ""
+STAMP = "updated_at"
+PART_ROWS = 1_000_000
+FOLDER = "_key_part"
+RANGE_LABEL = re.compile(r"(-?\d+|null)x(\d+)")
+
+
+def part_of(key: str, size: int) -> Column:
+    """Label of the part a key belongs to: ``size`` keys in a row, counted from 1. Null keys have a part of their own."""
+    number = F.floor((F.col(key).cast("bigint") - 1) / size)
+    return F.concat(F.coalesce(F.format_string("%08d", number), F.lit("null")), F.lit(f"x{size}"))
+
+
+def facts(columns: list[str]) -> list[Column]:
+    """Rows, two digests that don't depend on the rows' order, and the newest stamp in microseconds.
+
+    A row's hash covers names in order, nulls and values of all columns but the
+    stamp. Hashes are added up, so files' digests add up to their part's.
+    """
+    marks = [mark for c in sorted(columns) if c != STAMP for mark in (F.col(c).isNull(), F.col(c))]
+    sums = [F.sum(F.xxhash64(F.lit(seed), *marks).cast("decimal(20,0)")).cast("string") for seed in (1, 2)]
+    return [F.count("*").alias("rows"), F.array(*sums).alias("sums"), newest_stamp(columns).alias("newest")]
+
+
+def newest_stamp(columns: list[str]) -> Column:
+    return F.max(F.unix_micros(F.col(STAMP).cast("timestamp"))) if STAMP in columns else F.lit(None).cast("bigint")
+
+
+def added_up(digests: list[tuple[int, int, int]]) -> tuple[int, int, int]:
+    return tuple(sum(values) for values in zip(*digests)) if digests else (0, 0, 0)
 
 
 class TableStore:
@@ -17,17 +48,24 @@ class TableStore:
     several tables. So a job writes new paths first and then switches all of
     them with one manifest file; one that dies earlier has changed nothing.
     A table may be kept in parts, such as months, so that a load rewrites or
-    adds one part and leaves the others alone. One job writes at a time; the
-    manifest is read once and kept up to date by the job's own switches.
+    adds one part and leaves the others alone. Tables with a whole-number key
+    may be kept in ranges of ``part_rows`` keys; a range is one task's work and
+    one manifest row. The manifest also holds what is known of each path: a
+    digest of its rows, by which a part is known to be unchanged without being
+    read, and its newest stamp. One job writes at a time; the manifest is read
+    once and kept up to date by the job's own switches.
     """
 
-    MANIFEST = "version bigint, table string, part string, paths array<string>"
+    MANIFEST = ("version bigint, table string, part string, paths array<string>, "
+                "facts map<string, struct<rows: bigint, sums: array<string>, newest: bigint>>")
 
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, part_rows: int = PART_ROWS):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.part_rows = part_rows
         self._current: dict[tuple[str, str], list[str]] | None = None
         self._since: dict[tuple[str, str], int] = {}
+        self._facts: dict[str, tuple[int | None, list[str] | None, int | None]] = {}
         self._version = 0
 
     def _load(self) -> None:
@@ -38,10 +76,11 @@ class TableStore:
         except AnalysisException:
             return
         latest = manifest.groupBy("table", "part").agg(
-            F.max_by("paths", "version").alias("paths"), F.max("version").alias("version"))
-        for row in latest.collect():
+            F.max_by(F.struct("paths", "facts"), "version").alias("entry"), F.max("version").alias("version"))
+        for row in latest.select("table", "part", "version", "entry.*").collect():
             self._current[row["table"], row["part"]] = list(row["paths"])
             self._since[row["table"], row["part"]] = row["version"]
+            self._facts.update({path: tuple(known) for path, known in (row["facts"] or {}).items()})
             self._version = max(self._version, row["version"])
 
     def paths(self) -> dict[tuple[str, str], list[str]]:
@@ -55,13 +94,32 @@ class TableStore:
 
     def read(self, table: str, parts: list[str] | None = None) -> DataFrame:
         """The table, or only the given parts of it."""
-        current = [path for (name, part), paths in self.paths().items() for path in paths
-                   if name == table and (parts is None or part in parts)]
-        return self.spark.read.parquet(*current)
+        wanted = None if parts is None else set(parts)
+        return self._open(table, lambda part, path: wanted is None or part in wanted)
+
+    def read_since(self, table: str, since: dt.datetime | None) -> DataFrame:
+        """Rows stamped after a time, all rows without one. Paths whose newest stamp isn't after it aren't opened."""
+        if since is None:
+            return self.read(table)
+        limit = round(since.timestamp() * 1_000_000)
+
+        def after(part: str, path: str) -> bool:
+            if path not in self._facts:
+                return True
+            newest = self._facts[path][2]
+            return newest is not None and newest > limit
+
+        return self._open(table, after).filter(F.col(STAMP) > F.lit(since))
+
+    def _open(self, table: str, wanted) -> DataFrame:
+        """The table's paths that are wanted; none of them gives no rows."""
+        every = [(part, path) for (name, part), paths in self.paths().items() if name == table for path in paths]
+        chosen = [path for part, path in every if wanted(part, path)]
+        return self.spark.read.parquet(*chosen) if chosen or not every else self.spark.read.parquet(every[0][1]).filter(F.lit(False))
 
     def read_newest(self, table: str) -> DataFrame:
         """The rows added last to a table that only grows."""
-        parts = [key for key in self.paths() if key[0] == table]
+        parts = [key for key, paths in self.paths().items() if key[0] == table and paths]
         return self.spark.read.parquet(self.paths()[max(parts, key=self._since.get)][-1])
 
     def read_all(self) -> dict[str, DataFrame]:
@@ -72,36 +130,119 @@ class TableStore:
         path = f"{self.root}/{table}/{label}{uuid.uuid4().hex}"
         writer = df.write.mode("errorifexists")
         (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
+        if STAMP in df.columns and not partition_by:
+            newest = self.spark.read.schema(df.select(STAMP).schema).parquet(path).agg(newest_stamp([STAMP]).alias("newest")).first()
+            self._facts[path] = (None, None, newest["newest"])
         return path
 
+    # Ranges of keys
+
+    def range_size(self, table: str) -> int | None:
+        """Keys in a range of the table; None for one that isn't kept in ranges."""
+        for (name, part), paths in self.paths().items():
+            if name == table and paths and RANGE_LABEL.fullmatch(part):
+                return int(RANGE_LABEL.fullmatch(part)[2])
+        return None
+
+    def label(self, table: str, key: str) -> Column:
+        """Part of a row by its key; tables that aren't kept in ranges are one part."""
+        size = self.range_size(table)
+        return F.lit(WHOLE) if size is None else part_of(key, size)
+
+    def parts_with(self, table: str, rows: DataFrame, key: str) -> list[str]:
+        """Parts that hold the keys of the rows: one label a part reaches the driver."""
+        return sorted(r["part"] for r in rows.select(self.label(table, key).alias("part")).distinct().collect())
+
+    def read_last(self, table: str) -> DataFrame:
+        """The range with the highest keys, or the whole of a table that isn't kept in ranges."""
+        labels = [(RANGE_LABEL.fullmatch(part), part) for (name, part), paths in self.paths().items() if name == table and paths]
+        ranges = [(int(found[1]), part) for found, part in labels if found and found[1] != "null"]
+        return self.read(table, [max(ranges)[1]]) if ranges else self.read(table)
+
+    def differing_parts(self, table: str, new: DataFrame, key: str) -> list[str] | None:
+        """Parts whose rows differ from those of a whole new snapshot, by digest; None where that can't be told.
+
+        The snapshot is hashed and added up by part, before a shuffle of one row
+        a part and task; stored rows aren't read. Stamps don't count.
+        """
+        size, entries = self.range_size(table), {part: paths for (name, part), paths in self.paths().items() if name == table and paths}
+        if size is None or any(self._facts.get(path, (None,))[0] is None for paths in entries.values() for path in paths):
+            return None
+        if {(f.name, f.dataType) for f in self.read(table).schema} != {(f.name, f.dataType) for f in new.schema}:
+            return None
+        there = {part: added_up([self._digest(path) for path in paths]) for part, paths in entries.items()}
+        found = new.groupBy(part_of(key, size).alias("part")).agg(*facts(new.columns)).collect()
+        now = {r["part"]: (r["rows"], *map(int, r["sums"])) for r in found}
+        return sorted(part for part in there.keys() | now.keys() if there.get(part, (0, 0, 0)) != now.get(part, (0, 0, 0)))
+
+    def _digest(self, path: str) -> tuple[int, int, int]:
+        rows, sums, _ = self._facts[path]
+        return (rows, *map(int, sums)) if rows else (0, 0, 0)
+
+    def write_ranges(self, table: str, df: DataFrame, key: str) -> dict[str, str]:
+        """Write rows in ranges of keys, one file each; the new path of each part, and one without rows for an empty frame."""
+        size = self.range_size(table) or self.part_rows
+        root = f"{self.root}/{table}/{uuid.uuid4().hex}"
+        labelled = df.withColumn(FOLDER, part_of(key, size))
+        labelled.repartition(FOLDER).write.mode("errorifexists").partitionBy(FOLDER).parquet(root)
+        made = {}
+        for row in self.spark.read.schema(labelled.schema).parquet(root).groupBy(FOLDER).agg(*facts(df.columns)).collect():
+            path = made[row[FOLDER]] = f"{root}/{FOLDER}={row[FOLDER]}"
+            self._facts[path] = (row["rows"], list(row["sums"]), row["newest"])
+        if not made:
+            made[WHOLE] = self.write(table, df.limit(0))
+            self._facts[made[WHOLE]] = (0, None, None)
+        return made
+
+    def replace_parts(self, table: str, parts: list[str] | None, df: DataFrame, key: str) -> None:
+        """Put rows in the place of the given parts, of all parts for None; rows of other parts are added to those."""
+        entries = {part: paths for (name, part), paths in self.paths().items() if name == table}
+        replaced = set(entries if parts is None or WHOLE in parts else parts)
+        made = self.write_ranges(table, df, key)
+        changed = {part: [] for part in replaced if entries.get(part)}
+        for part, path in made.items():
+            changed[part] = [path] if part in replaced else [*entries.get(part, []), path]
+        self.switch({(table, part): paths for part, paths in changed.items()})
+
     def switch(self, parts: dict[tuple[str, str], list[str]]) -> None:
         """Make the given paths current, all at once."""
         self.paths()
-        rows = [(self._version + 1, table, part, paths) for (table, part), paths in parts.items()]
+        rows = [(self._version + 1, table, part, paths, {path: self._facts[path] for path in paths if path in self._facts})
+                for (table, part), paths in parts.items()]
         (self.spark.createDataFrame(rows, self.MANIFEST).coalesce(1)
          .write.mode("append").json(f"{self.root}/_manifest"))
         self._version += 1
         self._current.update(parts)
         self._since.update(dict.fromkeys(parts, self._version))
 
-    def publish(self, tables: dict[str, DataFrame]) -> None:
-        """Replace whole tables."""
-        self.switch({(table, WHOLE): [self.write(table, df)] for table, df in tables.items()})
+    def publish(self, tables: dict[str, DataFrame], keys: dict[str, str] | None = None) -> None:
+        """Replace whole tables; those with a key are kept in ranges of it."""
+        staged = StagedTables(self)
+        for table, df in tables.items():
+            if keys and table in keys:
+                staged.replace_parts(table, None, df, keys[table])
+            else:
+                others = {(name, part): [] for (name, part), paths in staged.paths().items() if name == table and paths}
+                staged.switch(others | {(table, WHOLE): [staged.write(table, df)]})
+        staged.commit()
 
-    def append(self, table: str, df: DataFrame) -> str:
-        """Add rows to an append-only table, such as a log; returns the path they are in."""
-        kept, path = self.paths().get((table, WHOLE), []), self.write(table, df)
-        self.switch({(table, WHOLE): [*kept, path]})
-        return path
+    def append(self, table: str, df: DataFrame, key: str | None = None) -> None:
+        """Add rows to a table that grows, such as a log; with its key, to the ranges of one that is kept in ranges."""
+        if key is not None and self.range_size(table) is not None:
+            self.replace_parts(table, [], df, key)
+        else:
+            kept, path = self.paths().get((table, WHOLE), []), self.write(table, df)
+            self.switch({(table, WHOLE): [*kept, path]})
 
 
 class StagedTables(TableStore):
     """A store's tables with changes that only this job sees until ``commit`` makes all of them current at once."""
 
     def __init__(self, store: TableStore):
-        super().__init__(store.spark, store.root)
+        super().__init__(store.spark, store.root, store.part_rows)
         self._store, self._changes = store, {}
         self._current, self._since, self._version = store.paths(), dict(store._since), store._version
+        self._facts = dict(store._facts)
 
     def switch(self, parts: dict[tuple[str, str], list[str]]) -> None:
         self._changes.update(parts)
@@ -110,6 +251,7 @@ class StagedTables(TableStore):
 
     def commit(self) -> None:
         if self._changes:
+            self._store._facts.update(self._facts)
             self._store.switch(self._changes)
             self._changes = {}
 
