@@ -399,18 +399,18 @@ def _(t):
 
 
 #: Keys in a range of the stored tables; small, so that small data have several.
-RANGE_ROWS = 2000
+RANGE_ROWS = 200_000
 
 
-def snapshot_store(t, tables: dict) -> TableStore:
-    store = TableStore(t.spark, f"{shared_folder(t.spark)}/oltp-{uuid.uuid4().hex}", part_rows=RANGE_ROWS)
+def snapshot_store(t, tables: dict, part_rows: int = RANGE_ROWS) -> TableStore:
+    store = TableStore(t.spark, f"{shared_folder(t.spark)}/oltp-{uuid.uuid4().hex}", part_rows=part_rows)
     store.publish(tables, {name: constraints.CONSTRAINTS[name].key for name in tables})
     return store
 
 
 def stored_book_logs(t) -> TableStore:
     old, new = snapshots(t, "book_id", "title")
-    store = snapshot_store(t, {"book": old})
+    store = snapshot_store(t, {"book": old}, part_rows=2000)
     snapshot.publish_snapshot(store, {"book": new}, RUN_TS)
     return store
 

@@ -202,7 +202,7 @@ def process_monthly_sales(store: TableStore, month: int, year: int, run_ts: dt.d
 
 def first_load(store: TableStore, oltp: dict[str, DataFrame], raw_sales: DataFrame, run_ts: dt.datetime) -> None:
     """Star schema from normalised tables and raw sales, staging rows, and the seed log."""
-    store.publish(oltp, {name: CONSTRAINTS[name].key for name in oltp if name in CONSTRAINTS})
+    store.publish(oltp, {name: CONSTRAINTS[name].key for name, rows in oltp.items() if name in CONSTRAINTS and CONSTRAINTS[name].key in rows.columns})
     oltp = {name: store.read(name) for name in oltp}
     store.publish({"sales": warehouse.clean_sales(raw_sales, oltp)})
     sales = store.read("sales")
