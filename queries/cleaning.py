@@ -449,6 +449,18 @@ def _(t):
     return keys.assign_ids(settle(loaded, "loaded"), "place", ["_src_pos"]).select("place", *CATALOGUE_COLUMNS)
 
 
+@query("s1_quoted_line_breaks", """
+SELECT row_number() OVER (ORDER BY doc_id) AS place, doc_id::VARCHAR AS doc_id, regexp_replace(text, '\\r\\n', chr(10), 'g') AS text, source FROM documents""")
+def _(t):
+    # Texts with line breaks, quotes and commas, written in order of id.
+    import uuid
+    path = f"{shared_folder(t.spark)}/texts-{uuid.uuid4().hex}"
+    options = {"header": True, "escape": '"', "quoteAll": True, "emptyValue": '""', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    t.documents.select("doc_id", "text", "source").orderBy("doc_id").write.options(**options).csv(path)
+    loaded = settle(files.read_quoted_csv(t.spark, path), "texts")
+    return keys.assign_ids(loaded, "place", ["_src_pos"]).select("place", "doc_id", "text", "source")
+
+
 @query("s2_write_staging", with_tables(cleaned_ctes(), "SELECT " + ", ".join(f'"{c}"' for c in STAGING_COLUMNS) + " FROM staging"))
 def _(t):
     import uuid

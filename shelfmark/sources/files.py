@@ -4,48 +4,55 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
-from shelfmark.operators.settle import settle
 from shelfmark.schemas import DROPPED_CATALOGUE_COLUMNS, SALES_COLUMNS
+from shelfmark.sources.quoted import records
 
 # Cells that stand for a missing value.
 MISSING = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>",
            "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null"]
 
-# Low bits of a row position: the row within its file.
+# Low bits of a row position: the line within its file.
 FILE_ROW_BITS = 36
+CSV = {"quote": '"', "escape": '"'}
 
 
 def read_text_csv(spark: SparkSession, path: str, line_breaks: bool = False) -> DataFrame:
     """CSV with header, every column text.
 
     Only the header line is looked at before the scan; no type is inferred.
-    With quoted line breaks a file can't be split: it is one task's work.
+    With quoted line breaks Spark takes a file as one task's work; see
+    ``read_quoted_csv`` for large ones.
     """
-    options = {"header": True, "multiLine": line_breaks, "quote": '"', "escape": '"', "encoding": "UTF-8"}
-    return spark.read.options(**options).csv(path, inferSchema=False)
+    return spark.read.options(**CSV, header=True, multiLine=line_breaks, encoding="UTF-8").csv(path, inferSchema=False)
 
 
-def load_catalogue(spark: SparkSession, path: str) -> DataFrame:
-    """Raw catalogue without the seven unused columns, and the row position.
+def read_quoted_csv(spark: SparkSession, path: str) -> DataFrame:
+    """CSV with header whose cells may hold line breaks, every column text, and the row position; files are split.
 
-    ``_src_pos`` follows the files by name, then the rows of each. The rows
-    are written once, with the order each task has read them in; a file's
-    number, from one row for each file, goes before it. Cells may hold line
-    breaks, so a large catalogue should come in many files.
+    ``_src_pos`` follows the files by name, then the rows of each: the file's
+    number, from one row for each file, before the number of the line a row
+    begins at. Column names are those of the first file; each file's first row
+    is its header. Rows with too few cells get nulls, further cells are left out.
     """
-    raw = read_text_csv(spark, path, line_breaks=True)
+    names = read_text_csv(spark, path, line_breaks=True).columns
+    rows = records(spark, path)
+    files = rows.groupBy("_file").agg(F.min("_place").alias("_first"), F.max("_place").alias("_last"))
+    files = files.filter("_last > _first").drop("_last")  # files of a header alone have no rows to number
+    files = files.withColumn("_number", F.row_number().over(Window.orderBy("_file")) - 1)
+    place = F.shiftleft(F.col("_number").cast("bigint"), FILE_ROW_BITS) + F.col("_place") - F.col("_first") - 1
+    cells = F.from_csv("_record", ", ".join(f"`{name.replace('`', '``')}` string" for name in names), CSV)
+    return (rows.join(files, "_file").filter(F.col("_place") > F.col("_first"))
+            .select(cells.alias("_cells"), place.alias("_src_pos")).select("_cells.*", "_src_pos"))
+
+
+def load_catalogue(spark: SparkSession, path: str) -> DataFrame:
+    """Raw catalogue without the seven unused columns, and the row position (``_src_pos``)."""
+    raw = read_quoted_csv(spark, path)
     absent = [c for c in DROPPED_CATALOGUE_COLUMNS if c not in raw.columns]
     if absent:
         raise ValueError(f"catalogue lacks the columns {absent}")
     kept = raw.drop(*DROPPED_CATALOGUE_COLUMNS)
-    cells = {c: F.when(~F.col(c).isin(*MISSING), F.col(c)) for c in kept.columns}
-    read = kept.withColumns(cells).select("*", F.col("_metadata.file_path").alias("_file"),
-                                          F.monotonically_increasing_id().alias("_row"))
-    rows = settle(read, "catalogue")
-    files = rows.groupBy("_file").agg(F.min("_row").alias("_first"))
-    files = files.withColumn("_number", F.row_number().over(Window.orderBy("_file")) - 1)
-    place = F.shiftleft(F.col("_number").cast("bigint"), FILE_ROW_BITS) + F.col("_row") - F.col("_first")
-    return rows.join(files, "_file").withColumn("_src_pos", place).select(*cells, "_src_pos")
+    return kept.withColumns({c: F.when(~F.col(c).isin(*MISSING), F.col(c)) for c in kept.columns if c != "_src_pos"})
 
 
 def load_sales(spark: SparkSession, path: str) -> DataFrame:
