@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from shelfmark.functions.names import all_authors
 from shelfmark.operators import aggregates, dedup, joins
 from shelfmark.operators.filters import holds
+from shelfmark.operators.settle import settle
+from shelfmark.operators.skew import key_sketch, spread_lookup
 from shelfmark.schemas import AUTHOR_SLOTS
 
 Tables = dict[str, DataFrame]
@@ -63,9 +65,13 @@ def genre_profile(with_genres: DataFrame) -> DataFrame:
 
 
 def contributors(t: Tables) -> DataFrame:
-    return (t["author_isbn"].join(t["author"].select("author_id", F.col("full_name").alias("author")), "author_id")
-            .join(t["book_isbn"].select("book_isbn_id", "isbn13"), "book_isbn_id")
-            .join(t["role"].select("role_id", "role"), "role_id", "left")
+    """Contributors by name; neither the author of all unknown names nor a common role is one task's work."""
+    bridge = t["author_isbn"]
+    sketch = key_sketch(bridge, ["author_id", "role_id"])
+    named = spread_lookup(bridge, t["author"].select("author_id", F.col("full_name").alias("author")), "author_id",
+                          "author_isbn_id", sketch, "inner")
+    placed = named.join(t["book_isbn"].select("book_isbn_id", "isbn13"), "book_isbn_id")
+    return (spread_lookup(placed, t["role"].select("role_id", "role"), "role_id", "author_isbn_id", sketch)
             .select("author_isbn_id", "author", "isbn13", "role"))
 
 
@@ -99,10 +105,12 @@ def without_series(book_isbn: DataFrame) -> DataFrame:
 
 
 def box_sets(t: Tables) -> DataFrame:
-    return (t["book_isbn"].filter("is_boxset").select("book_isbn_id", "book_id", "isbn13")
-            .join(t["book"].select("book_id", "title"), "book_id", "left")
-            .join(t["author_isbn"].select("book_isbn_id", "author_id"), "book_isbn_id", "left")
-            .join(t["author"].select("author_id", F.col("full_name").alias("primary_author")), "author_id", "left")
+    """Box sets with each contributor; they are written once, since their hot authors differ from those of all books."""
+    sets = settle(t["book_isbn"].filter("is_boxset").select("book_isbn_id", "book_id", "isbn13")
+                  .join(t["book"].select("book_id", "title"), "book_id", "left")
+                  .join(t["author_isbn"].select("book_isbn_id", "author_id"), "book_isbn_id", "left"), "box-sets")
+    authors = t["author"].select("author_id", F.col("full_name").alias("primary_author"))
+    return (spread_lookup(sets, authors, "author_id", "book_isbn_id", key_sketch(sets, ["author_id"]))
             .select("isbn13", "title", "primary_author"))
 
 
@@ -243,12 +251,14 @@ def latest_log_rows(log: DataFrame, n: int, *tie_break: str) -> DataFrame:
 
 
 def raw_sales_listing(sales: DataFrame, t: Tables) -> DataFrame:
-    """Raw sales with title, every contributor and the format."""
-    isbns = (t["book_isbn"].select("isbn13", "book_id", "book_isbn_id", "format_id")
-             .join(t["book"].select("book_id", "title"), "book_id", "left")
-             .join(t["author_isbn"].select("book_isbn_id", "author_id"), "book_isbn_id", "left")
-             .join(t["author"].select("author_id", "full_name"), "author_id", "left")
-             .join(t["format"].select("format_id", "format"), "format_id", "left"))
+    """Raw sales with title, every contributor and the format; hot authors and formats are spread before sales are joined."""
+    books = (t["book_isbn"].select("isbn13", "book_id", "book_isbn_id", "format_id")
+             .join(t["book"].select("book_id", "title"), "book_id", "left"))
+    formatted = spread_lookup(books, t["format"].select("format_id", "format"), "format_id", "book_isbn_id",
+                              key_sketch(t["book_isbn"], ["format_id"]))
+    credited = formatted.join(t["author_isbn"].select("book_isbn_id", "author_id"), "book_isbn_id", "left")
+    isbns = spread_lookup(credited, t["author"].select("author_id", "full_name"), "author_id", "book_isbn_id",
+                          key_sketch(t["author_isbn"], ["author_id"]))
     return sales.join(isbns.select("isbn13", "title", "full_name", "format"), "isbn13", "left")
 
 
