@@ -502,6 +502,47 @@ def _(t):
     return reports.top_authors(star(t))
 
 
+# Fact rows of the stored loads: the first one and two monthly runs.
+STORED_FACT = f"""(SELECT sales.*, book_dim_id, book_title, publisher, slots.*, avg_rating FROM sales JOIN book_dim ON isbn_13 = isbn13
+ JOIN slots USING (book_isbn_id) LEFT JOIN rating USING (book_isbn_id)
+ WHERE (year < {YEAR} AND author_dim_id_1 IS NOT NULL) OR (year = {YEAR} AND month IN ({MONTH}, {MONTH + 1}))) AS f"""
+
+
+def stored_sums(t) -> dict:
+    """The mart without its fact, so that reports have the sums of its loads alone."""
+    return {name: table for name, table in t.stored("mart", loaded_store).read_all().items() if name != monthly.FACT}
+
+
+@query("r11_stored_first_authors", over(f"""
+SELECT author_name, sum(total_sales) AS total_units_sold, {AVG_RATING} FROM {STORED_FACT} JOIN author_dim ON author_dim_id_1 = author_dim_id
+GROUP BY 1"""))
+def _(t):
+    return reports.sales_by_first_author(stored_sums(t))
+
+
+@query("r13_stored_top_books", over(f"""
+SELECT book_title, publisher, sum(total_sales) AS total_units_sold, sum(total_revenue) AS total_revenue, {AVG_RATING} FROM {STORED_FACT}
+GROUP BY 1, 2 ORDER BY total_units_sold DESC, book_title NULLS LAST, publisher NULLS LAST LIMIT 20"""))
+def _(t):
+    return reports.top_books(stored_sums(t))
+
+
+@query("r14_stored_trend", over(f"""
+SELECT year, month, sum(total_sales) AS total_units, sum(total_revenue) AS revenue, count(DISTINCT book_dim_id) AS unique_books_sold
+FROM {STORED_FACT} GROUP BY 1, 2"""))
+def _(t):
+    return reports.monthly_trend(stored_sums(t))
+
+
+@query("r15_stored_top_authors", over(f"""
+SELECT author_name, count(DISTINCT book_dim_id) AS unique_isbns, sum(total_sales) AS total_units_sold,
+ CAST(sum(total_sales) AS DOUBLE) / count(total_sales) AS avg_sales_per_book, {AVG_RATING}
+FROM {STORED_FACT} JOIN author_dim ON {IN_ANY_SLOT} GROUP BY 1 HAVING sum(total_sales) > 1000
+ORDER BY total_units_sold DESC, author_name LIMIT 20"""))
+def _(t):
+    return reports.top_authors(stored_sums(t))
+
+
 @query("r16_author_ratings", over(f"""
 SELECT book_title, CAST(round(CAST(sum(avg_rating) AS DECIMAL(18,6)) / count(avg_rating), 2) AS DECIMAL(4,2)) AS avg_rating, author_name FROM sales_fact JOIN book_dim USING (book_dim_id)
 JOIN author_dim ON {IN_ANY_SLOT} WHERE author_name = '{AUTHOR}' AND current_flag GROUP BY 1, 3"""))

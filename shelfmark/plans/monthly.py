@@ -11,6 +11,7 @@ from shelfmark.operators.aggregates import distinct_tuples, high_water_mark
 from shelfmark.operators.checks import check_not_null
 from shelfmark.operators.settle import settle
 from shelfmark.plans import warehouse
+from shelfmark.plans.sums import KEYS as SUMS, sums_of
 from shelfmark.plans.constraints import CONSTRAINTS
 from shelfmark.schemas import ETL_LOG
 from shelfmark.sources.tables import StagedTables, TableStore
@@ -146,9 +147,10 @@ class MonthlyRun:
         return {name: self.store.read(name) for name in names}
 
     def sales(self, month: int, year: int) -> int:
-        """Add the month's fact part and unmatched rows, and mark its sales as loaded.
+        """Add the month's fact part, its sums and unmatched rows, and mark its sales as loaded.
 
         Fact ids grow with every load, so the last load holds the highest one.
+        A store whose fact came without sums gets those of all its loads first.
         """
         part, paths = month_part(month, year), self.store.paths()
         if part not in open_months(self.store):
@@ -167,6 +169,11 @@ class MonthlyRun:
         parts = {(UNMATCHED, part): [*paths.get((UNMATCHED, part), []), lost], (SALES, part): [flagged]}
         if inserted:
             parts[FACT, part] = [*paths.get((FACT, part), []), fact]
+            added = self.spark.read.parquet(fact)
+            for table in SUMS:
+                known = [] if table in self.store or FACT not in self.store else [sums_of(self.store.read(FACT), table)]
+                written = [self.store.write(table, rows) for rows in (*known, sums_of(added, table))]
+                parts[table, part] = [*paths.get((table, part), []), *written]
         self.store.switch(parts)
         return inserted
 
@@ -216,6 +223,7 @@ def first_load(store: TableStore, oltp: dict[str, DataFrame], raw_sales: DataFra
     fact = warehouse.init_sales_fact(sales, star, oltp)
     store.publish({FACT: warehouse.fill_avg_rating(fact, star["book_dim"], oltp["isbn_rating"])})
     star[FACT] = store.read(FACT)
+    store.publish({table: sums_of(star[FACT], table) for table in SUMS})
     store_sales(store, warehouse.backfill_sales(star), closed=True)
     store.append(LOG, warehouse.seed_etl_log(star, run_ts))
 

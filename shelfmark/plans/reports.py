@@ -1,7 +1,8 @@
 """Reports over the normalised tables, the star schema and the logs.
 
 Sales reports add up per id before they join names, so the join sees one row
-per id and a best-selling author or book is no hot key.
+per id and a best-selling author or book is no hot key. Over a store that keeps
+sums of its loads they merge those and read no fact rows.
 """
 
 from __future__ import annotations
@@ -15,15 +16,12 @@ from shelfmark.operators import aggregates, dedup, joins
 from shelfmark.operators.filters import holds
 from shelfmark.operators.settle import settle
 from shelfmark.operators.skew import key_sketch, spread_lookup
+from shelfmark.plans.sums import BY_AUTHOR_BOOK, BY_BOOK, BY_FIRST_AUTHOR, sums
 from shelfmark.schemas import AUTHOR_SLOTS
 
 Tables = dict[str, DataFrame]
 
 
-def rating_sums() -> list[Column]:
-    return [F.sum("avg_rating").alias("_rating_sum"), F.count("avg_rating").alias("_rating_n")]
-
-
 def mean_rating() -> Column:
     """Average over partial sums; exact while it adds decimals."""
     return aggregates.mean_of(F.sum("_rating_sum"), F.sum("_rating_n")).alias("avg_rating")
@@ -140,9 +138,7 @@ def books_by_author(t: Tables, full_name: str) -> DataFrame:
 # Star schema
 
 def sales_by_first_author(t: Tables) -> DataFrame:
-    per_id = (t["sales_fact"].groupBy(F.col("author_dim_id_1").alias("author_dim_id"))
-              .agg(F.sum("total_sales").alias("_units"), *rating_sums()))
-    return (per_id.join(t["author_dim"].select("author_dim_id", "author_name"), "author_dim_id")
+    return (sums(t, BY_FIRST_AUTHOR).join(t["author_dim"].select("author_dim_id", "author_name"), "author_dim_id")
             .groupBy("author_name").agg(F.sum("_units").alias("total_units_sold"), mean_rating())
             .orderBy(F.desc_nulls_first("total_units_sold")))
 
@@ -154,10 +150,8 @@ def publisher_history(book_dim: DataFrame, name_part: str) -> DataFrame:
 
 def top_books(t: Tables, n: int = 20) -> DataFrame:
     """Best sellers over current versions; sales of expired versions drop out."""
-    per_book = t["sales_fact"].groupBy("book_dim_id").agg(
-        F.sum("total_sales").alias("_units"), F.sum("total_revenue").alias("_revenue"), *rating_sums())
     current = t["book_dim"].filter("current_flag").select("book_dim_id", "book_title", "publisher")
-    return (per_book.join(current, "book_dim_id").groupBy("book_title", "publisher")
+    return (sums(t, BY_BOOK, ["book_dim_id"]).join(current, "book_dim_id").groupBy("book_title", "publisher")
             .agg(F.sum("_units").alias("total_units_sold"), F.sum("_revenue").alias("total_revenue"), mean_rating())
             .orderBy(F.desc_nulls_first("total_units_sold"), F.asc_nulls_last("book_title"),
                      F.asc_nulls_last("publisher")).limit(n))
@@ -165,9 +159,7 @@ def top_books(t: Tables, n: int = 20) -> DataFrame:
 
 def monthly_trend(t: Tables) -> DataFrame:
     """Units, revenue and books sold per month; books are made distinct per month first."""
-    per_book = (t["sales_fact"].groupBy("month_year_dim_id", "book_dim_id")
-                .agg(F.sum("total_sales").alias("_units"), F.sum("total_revenue").alias("_revenue")))
-    per_month = per_book.groupBy("month_year_dim_id").agg(
+    per_month = sums(t, BY_BOOK).groupBy("month_year_dim_id").agg(
         F.sum("_units").alias("total_units"), F.sum("_revenue").alias("revenue"),
         F.count("book_dim_id").alias("unique_books_sold"))
     return (per_month.join(t["month_year_dim"], "month_year_dim_id")
@@ -179,11 +171,7 @@ def top_authors(t: Tables, n: int = 20, more_than: int = 1000) -> DataFrame:
 
     The fact shrinks to one row per (author, book) before names are joined.
     """
-    slots = joins.membership_rows(
-        t["sales_fact"].select("book_dim_id", "total_sales", "avg_rating", *AUTHOR_SLOTS), AUTHOR_SLOTS, "author_dim_id")
-    per_book = slots.groupBy("author_dim_id", "book_dim_id").agg(
-        F.sum("total_sales").alias("_units"), F.count("total_sales").alias("_sales_n"), *rating_sums())
-    named = per_book.join(t["author_dim"].select("author_dim_id", "author_name"), "author_dim_id")
+    named = sums(t, BY_AUTHOR_BOOK).join(t["author_dim"].select("author_dim_id", "author_name"), "author_dim_id")
     books = named.groupBy("author_name", "book_dim_id").agg(
         *[F.sum(c).alias(c) for c in ("_units", "_sales_n", "_rating_sum", "_rating_n")])
     return (books.groupBy("author_name")

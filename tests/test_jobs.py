@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from shelfmark.functions import text
 from shelfmark.operators import changes, checks, dedup, joins, keys, skew
 from shelfmark.operators.settle import settle, shared_folder
-from shelfmark.plans import cleaning, monthly, normalise, reports, warehouse
+from shelfmark.plans import cleaning, monthly, normalise, reports, sums, warehouse
 from shelfmark.schemas import CATALOGUE_COLUMNS, DROPPED_CATALOGUE_COLUMNS, MEASURES
 from shelfmark.sources import files
 from shelfmark.sources.tables import TableStore, column_names
@@ -203,6 +203,9 @@ def test_monthly_load(spark, store):
 
     monthly.process_monthly_sales(store, 1, 2026, RUN_TS + dt.timedelta(days=1))
     assert store.read("sales_fact").count() == 3
+    for table in sums.KEYS:
+        merged, want = sums.sums(store.read_all(), table), sums.sums_of(store.read("sales_fact"), table)
+        assert collect(merged, *want.columns) == collect(want, *want.columns)
 
     monthly.add_sales(store, incoming(spark, "9780000000002x"))
     monthly.process_monthly_sales(store, 1, 2026, RUN_TS + dt.timedelta(days=2))

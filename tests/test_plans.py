@@ -1,11 +1,13 @@
 """The plans Spark picks: what must not appear in them, and what must."""
 
+import uuid
+
 import pytest
 from pyspark.sql import Window, functions as F
 
 from shelfmark.operators import dedup, joins
-from shelfmark.operators.settle import settle
-from shelfmark.plans import reports, warehouse
+from shelfmark.operators.settle import settle, shared_folder
+from shelfmark.plans import reports, sums, warehouse
 from shelfmark.schemas import AUTHOR_SLOTS
 
 
@@ -90,3 +92,26 @@ def test_rank_filter_limits_contributors_per_task(spark, large):
                                            F.col("id").alias("author_id")))
     order = Window.partitionBy("book_isbn_id").orderBy("author_isbn_id")
     assert "WindowGroupLimit" in plan(bridge.withColumn("r", F.row_number().over(order)).filter("r <= 5"))
+
+
+def sums_reports(t):
+    return {"by author": reports.sales_by_first_author(t), "books": reports.top_books(t),
+            "trend": reports.monthly_trend(t), "authors": reports.top_authors(t, more_than=0)}
+
+
+def test_stored_sums_give_the_reports_without_the_fact(spark, fact, star):
+    """Loads of one month after the other, one month in two loads; every report equals that over the whole fact."""
+    loads = [fact.filter("sales_fact_id < 50"), *[fact.filter(f"sales_fact_id >= 50 AND month_year_dim_id = {m}") for m in range(3)]]
+    books = settle(spark.range(6).select(F.col("id").alias("book_dim_id"), F.concat(F.lit("t"), "id").alias("book_title"),
+                                         F.lit("p").alias("publisher"), (F.col("id") != 2).alias("current_flag")))
+    whole = {**star, "book_dim": books}
+    kept = {}
+    for table in sums.KEYS:
+        path = f"{shared_folder(spark)}/sums-{uuid.uuid4().hex}"
+        for load in loads:
+            sums.sums_of(load, table).write.mode("append").parquet(path)
+        kept[table] = spark.read.parquet(path)
+    want = sums_reports(whole)
+    for name, got in sums_reports({**whole, **kept}).items():
+        assert got.collect() == want[name].collect() != [], name
+        assert not set(got.inputFiles()) & set(fact.inputFiles())
