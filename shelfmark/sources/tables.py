@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 WHOLE = ""
 STAMP = "updated_at"
 PART_ROWS = 1_000_000
+#: Ranges a table may have over twice those its rows would fill.
+SPARE_PARTS = 16
 FOLDER = "_key_part"
 RANGE_LABEL = re.compile(r"(-?\d+|null)x(\d+)")
 
@@ -22,6 +24,21 @@ def part_of(key: str, size: int) -> Column:
     return F.concat(F.coalesce(F.format_string("%08d", number), F.lit("null")), F.lit(f"x{size}"))
 
 
+def width_of(df: DataFrame, key: str, part_rows: int) -> int:
+    """Keys in a range: ``part_rows``, doubled until the ranges that hold keys are about as many as the rows need.
+
+    Sparse keys so give few ranges, while far-off keys beside dense ones only
+    add ranges of their own. Ranges are counted by sketches, in one row.
+    """
+    cell = F.floor((F.col(key).cast("bigint") - 1) / part_rows)
+    doublings = range(max(1, 64 - part_rows.bit_length()))
+    found = df.groupBy(cell.alias("cell")).agg(F.count("*").alias("n")).agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
+        F.array(*[F.approx_count_distinct(F.shiftright("cell", i)) for i in doublings]).alias("ranges")).first()
+    enough = SPARE_PARTS + 2 * -(-found["rows"] // part_rows)
+    return part_rows << next((i for i in doublings if found["ranges"][i] <= enough), doublings[-1])
+
+
 def facts(columns: list[str]) -> list[Column]:
     """Rows, two digests that don't depend on the rows' order, and the newest stamp in microseconds.
 
@@ -49,8 +66,8 @@ class TableStore:
     them with one manifest file; one that dies earlier has changed nothing.
     A table may be kept in parts, such as months, so that a load rewrites or
     adds one part and leaves the others alone. Tables with a whole-number key
-    may be kept in ranges of ``part_rows`` keys; a range is one task's work and
-    one manifest row. The manifest also holds what is known of each path: a
+    may be kept in ranges of ``part_rows`` keys, or of more where keys are
+    sparse; a range is one manifest row. The manifest also holds what is known of each path: a
     digest of its rows, by which a part is known to be unchanged without being
     read, and its newest stamp. One job writes at a time; the manifest is read
     once and kept up to date by the job's own switches.
@@ -180,11 +197,14 @@ class TableStore:
         return (rows, *map(int, sums)) if rows else (0, 0, 0)
 
     def write_ranges(self, table: str, df: DataFrame, key: str) -> dict[str, str]:
-        """Write rows in ranges of keys, one file each; the new path of each part, and one without rows for an empty frame."""
-        size = self.range_size(table) or self.part_rows
+        """Write rows in ranges of keys; the new path of each part, and one without rows for an empty frame.
+
+        Large ranges are written by several tasks, as several files of one folder.
+        """
+        size = self.range_size(table) or width_of(df, key, self.part_rows)
         root = f"{self.root}/{table}/{uuid.uuid4().hex}"
         labelled = df.withColumn(FOLDER, part_of(key, size))
-        labelled.repartition(FOLDER).write.mode("errorifexists").partitionBy(FOLDER).parquet(root)
+        labelled.hint("rebalance", FOLDER).write.mode("errorifexists").partitionBy(FOLDER).parquet(root)
         made = {}
         for row in self.spark.read.schema(labelled.schema).parquet(root).groupBy(FOLDER).agg(*facts(df.columns)).collect():
             path = made[row[FOLDER]] = f"{root}/{FOLDER}={row[FOLDER]}"

@@ -185,3 +185,24 @@ def test_nothing_is_current_before_the_switch(spark, store):
     staged.commit()
     again = TableStore(spark, store.root)
     assert dict(titles(again))[1] == "x" and again.differing_parts("book", some(spark, b1="x"), "book_id") == []
+
+
+def test_sparse_keys_give_few_ranges(spark):
+    store = new_store(spark)
+    sparse = spark.range(1, 201).select((F.col("id") * 1_000_003).alias("book_id"), F.lit("t").alias("title"), F.lit(FIRST).alias("updated_at"))
+    store.publish({"book": sparse}, KEYS)
+    assert 10 <= len(parts(store)) <= 2 * 20 + 16 and store.read("book").exceptAll(sparse).count() == 0
+    again = TableStore(spark, store.root)
+    one = F.when(F.col("book_id") == 1_000_003, F.lit("x")).otherwise(F.col("title"))
+    (differing,) = again.differing_parts("book", sparse.withColumn("title", one), "book_id")
+    before = parts(again)
+    snapshot.publish_snapshot(again, {"book": sparse.withColumn("title", one)}, LATER)
+    assert {part for part, paths in parts(again).items() if paths != before[part]} == {differing}
+    assert again.read("book").count() == 200 and again.read("book_logs").count() == 1
+
+
+def test_a_few_far_keys_leave_dense_ranges_as_they_are(spark):
+    store = new_store(spark)
+    store.publish({"book": some(spark, 25).unionByName(books(spark, (10**15, "far", FIRST), (-(10**12), "low", FIRST), (None, "none", FIRST)))}, KEYS)
+    assert store.range_size("book") == 10 and len(parts(store)) == 6
+    assert store.read("book").count() == 28
