@@ -492,7 +492,8 @@ BREACHES = [
 
 
 def full_tables(t) -> dict:
-    return books(t) | {name: t.sql(FULL[name]) for name in ("edition", "review_type", "book_isbn")}
+    kept = {name: table for name, table in books(t).makers.items() if name != "book_isbn"}
+    return {name: make() for name, make in kept.items()} | {name: t.sql(FULL[name]) for name in ("edition", "review_type", "book_isbn")}
 
 
 @query("v_constraint_catalogue", with_tables({**FULL, "isbn_rating": RATING_CHANGES["new"]}, " UNION ALL ".join(BREACHES)))

@@ -7,6 +7,11 @@ rules know; the same SQL text runs in both engines.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Mapping
+from functools import partial
+
+from pyspark.sql import DataFrame
+
 from queries.registry import Inputs
 from shelfmark.operators.settle import settle
 
@@ -103,11 +108,15 @@ FROM {{orders}} JOIN {{part}} ON p_partkey = o_custkey
 """
 
 
-def stored_standin(inputs: Inputs, name: str, text: str, key: str):
-    """A stand-in as a table in several files, which is what a job would read."""
+def stored_standin(inputs: Inputs, name: str, text: str, key: str | None = None):
+    """A stand-in as a table in several files, which is what a job would read.
+
+    Rows that a join or a grouping has just shuffled are written as they come, those
+    of a mere scan are dealt out by a ``key``.
+    """
     def write(t: Inputs):
-        files = t.spark.sparkContext.defaultParallelism
-        return settle(t.sql(text).repartition(files, key), name)
+        files, rows = t.spark.sparkContext.defaultParallelism, t.sql(text)
+        return settle(rows if key is None else rows.repartition(files, key), name)
     return inputs.stored(name, write)
 
 
@@ -216,10 +225,36 @@ FROM (SELECT l_partkey AS k, CAST(min(l_shipdate) AS DATE) AS d, CAST(sum(l_quan
 """
 
 
-def books(inputs: Inputs) -> dict:
+class Made(Mapping):
+    """Tables by name, each made when it is first asked for."""
+
+    def __init__(self, makers: dict[str, Callable[[], DataFrame]]):
+        self.makers, self.made = makers, {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self.made:
+            self.made[name] = self.makers[name]()
+        return self.made[name]
+
+    def __contains__(self, name: object) -> bool:
+        return name in self.makers
+
+    def __iter__(self):
+        return iter(self.makers)
+
+    def __len__(self) -> int:
+        return len(self.makers)
+
+
+#: Grouped from the order lines, so shuffled already.
+GROUPED = ("author_isbn", "isbn_rating", "book_isbn_genre")
+
+
+def books(inputs: Inputs) -> Mapping[str, DataFrame]:
     """The normalised tables, as stand-ins."""
-    return {name: stored_standin(inputs, name, text, f"{name}_id") for name, text in BOOKS.items()}
+    return Made({name: partial(stored_standin, inputs, name, text, None if name in GROUPED else f"{name}_id")
+                 for name, text in BOOKS.items()})
 
 
 def raw_sales(inputs: Inputs):
-    return stored_standin(inputs, "raw_sales", RAW_SALES, "isbn13")
+    return stored_standin(inputs, "raw_sales", RAW_SALES)

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from functools import partial
 
 from pyspark.sql import functions as F
 
 from queries import duck
 from queries.normalised import RATING_CHANGES
 from queries.registry import query, with_tables
-from queries.standins import BOOKS, RAW_SALES, books, raw_sales
+from queries.standins import BOOKS, RAW_SALES, Made, books, raw_sales
 from shelfmark.operators import changes
 from shelfmark.operators.settle import settle, shared_folder
 from shelfmark.plans import monthly, normalise, reports, snapshot, warehouse
@@ -77,26 +78,28 @@ def cleaned_sales(t):
     return t.stored("sales", lambda t: settle(warehouse.clean_sales(raw_sales(t), books(t)), "sales"))
 
 
-def dims(t, oltp, sales) -> dict:
-    return {
-        "month_year_dim": settle(warehouse.init_month_year_dim(sales), "months"),
-        "author_dim": settle(warehouse.init_author_dim(oltp["author"]), "authors"),
-        "book_dim": settle(warehouse.init_book_dim(oltp, RUN_DATE), "books"),
-        "nyt_bestseller_dim": settle(warehouse.init_nyt_dim(sales), "categories"),
-    }
+def dims(t, oltp) -> Made:
+    return Made({
+        "month_year_dim": lambda: settle(warehouse.init_month_year_dim(cleaned_sales(t)), "months"),
+        "author_dim": lambda: settle(warehouse.init_author_dim(oltp["author"]), "authors"),
+        "book_dim": lambda: settle(warehouse.init_book_dim(oltp, RUN_DATE), "books"),
+        "nyt_bestseller_dim": lambda: settle(warehouse.init_nyt_dim(cleaned_sales(t)), "categories"),
+    })
 
 
-def star(t) -> dict:
+def star(t) -> Made:
     return t.stored("star", build_star)
 
 
-def build_star(t) -> dict:
-    """Dimensions and fact, each written once."""
-    oltp, sales = books(t), cleaned_sales(t)
-    made = dims(t, oltp, sales)
-    fact = warehouse.init_sales_fact(sales, made, oltp)
-    made["sales_fact"] = settle(warehouse.fill_avg_rating(fact, made["book_dim"], oltp["isbn_rating"]), "fact")
-    return made
+def build_star(t) -> Made:
+    """Dimensions and fact, each written once, when a query first asks for it."""
+    oltp = books(t)
+    made = dims(t, oltp)
+
+    def fact():
+        rows = warehouse.init_sales_fact(cleaned_sales(t), made, oltp)
+        return settle(warehouse.fill_avg_rating(rows, made["book_dim"], oltp["isbn_rating"]), "fact")
+    return Made({name: partial(made.__getitem__, name) for name in made} | {"sales_fact": fact})
 
 
 # Sales staging
@@ -248,7 +251,7 @@ def _(t):
 @query("h6_init_sales_fact", over("SELECT * EXCLUDE (avg_rating) FROM sales_fact"))
 def _(t):
     oltp, sales = books(t), cleaned_sales(t)
-    return warehouse.init_sales_fact(sales, dims(t, oltp, sales), oltp)
+    return warehouse.init_sales_fact(sales, dims(t, oltp), oltp)
 
 
 @query("h7_fill_avg_rating", over("SELECT * FROM sales_fact"))
@@ -299,7 +302,7 @@ def loaded_store(t) -> TableStore:
     store = TableStore(t.spark, f"{shared_folder(t.spark)}/mart-{uuid.uuid4().hex}")
     raw = raw_sales(t)
     used = ("author", "publisher", "format", "language", "book", "book_isbn", "author_isbn", "isbn_rating")
-    oltp = {name: table for name, table in books(t).items() if name in used}
+    oltp = {name: books(t)[name] for name in used}
     monthly.first_load(store, oltp, raw.filter(F.col("year").cast("int") < YEAR), LAST_RUN)
     monthly.add_sales(store, staged(t, categories=True).filter(F.col("year") >= YEAR))
     for days, month in enumerate((MONTH, MONTH, MONTH + 1)):

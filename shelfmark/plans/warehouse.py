@@ -342,10 +342,10 @@ def monthly_fact(sales: DataFrame, star: dict[str, DataFrame], oltp: dict[str, D
 def unmatched_sales(sales: DataFrame, star: dict[str, DataFrame], oltp: dict[str, DataFrame], month: int,
                     year: int, run_ts: dt.datetime) -> DataFrame:
     """A month's unloaded sales without a current book or without a contributor."""
-    rows = unloaded(sales, month, year)
+    rows, bridges = unloaded(sales, month, year), {name: oltp[name] for name in ("book_isbn", "author_isbn")}
     current = star["book_dim"].filter("current_flag").select(
         F.col("isbn_13").alias("isbn13"), F.lit(True).alias("_book")).distinct()
-    lost = rows.join(matched_books(star, only_sold(oltp, rows)).select("isbn13"), "isbn13", "left_anti")
+    lost = rows.join(matched_books(star, only_sold(bridges, rows)).select("isbn13"), "isbn13", "left_anti")
     notes = F.when(F.col("_book").isNull(), F.lit("no current book")).otherwise(F.lit("no contributor"))
     return (lost.join(current, "isbn13", "left")
             .select(*SALES_KEY, *MEASURES, "nyt_best_selling_category", notes.alias("notes"),
