@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import re
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -14,6 +15,8 @@ STAMP = "updated_at"
 PART_ROWS = 1_000_000
 #: Ranges a table may have over twice those its rows would fill.
 SPARE_PARTS = 16
+#: Tables written at the same time, so that small ones don't wait for one another.
+WRITERS = 4
 FOLDER = "_key_part"
 RANGE_LABEL = re.compile(r"(-?\d+|null)x(\d+)")
 
@@ -28,15 +31,22 @@ def width_of(df: DataFrame, key: str, part_rows: int) -> int:
     """Keys in a range: ``part_rows``, doubled until the ranges that hold keys are about as many as the rows need.
 
     Sparse keys so give few ranges, while far-off keys beside dense ones only
-    add ranges of their own. Ranges are counted by sketches, in one row.
+    add ranges of their own. Where the lowest and the highest key are not far
+    apart for the rows between them that is enough to tell; else ranges are
+    counted by sketches, in one row, for the widths between.
     """
-    cell = F.floor((F.col(key).cast("bigint") - 1) / part_rows)
-    doublings = range(max(1, 64 - part_rows.bit_length()))
-    found = df.groupBy(cell.alias("cell")).agg(F.count("*").alias("n")).agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
-        F.array(*[F.approx_count_distinct(F.shiftright("cell", i)) for i in doublings]).alias("ranges")).first()
-    enough = SPARE_PARTS + 2 * -(-found["rows"] // part_rows)
-    return part_rows << next((i for i in doublings if found["ranges"][i] <= enough), doublings[-1])
+    number = F.col(key).cast("bigint")
+    seen = df.agg(F.count("*").alias("rows"), F.min(number).alias("low"), F.max(number).alias("high")).first()
+    if seen["low"] is None:
+        return part_rows
+    enough = SPARE_PARTS + 2 * -(-seen["rows"] // part_rows)
+    low, high = ((seen[end] - 1) // part_rows for end in ("low", "high"))
+    surely = next(i for i in range(64) if (high >> i) - (low >> i) < enough)
+    if not surely:
+        return part_rows
+    cells = df.select(F.floor((number - 1) / part_rows).alias("cell")).distinct()
+    ranges = cells.agg(*[F.approx_count_distinct(F.shiftright("cell", i)) for i in range(surely)]).first()
+    return part_rows << next((i for i in range(surely) if ranges[i] <= enough), surely)
 
 
 def facts(columns: list[str]) -> list[Column]:
@@ -236,14 +246,18 @@ class TableStore:
         self._since.update(dict.fromkeys(parts, self._version))
 
     def publish(self, tables: dict[str, DataFrame], keys: dict[str, str] | None = None) -> None:
-        """Replace whole tables; those with a key are kept in ranges of it."""
+        """Replace whole tables, some at a time; those with a key are kept in ranges of it."""
         staged = StagedTables(self)
-        for table, df in tables.items():
+
+        def replace(table: str) -> None:
             if keys and table in keys:
-                staged.replace_parts(table, None, df, keys[table])
+                staged.replace_parts(table, None, tables[table], keys[table])
             else:
                 others = {(name, part): [] for (name, part), paths in staged.paths().items() if name == table and paths}
-                staged.switch(others | {(table, WHOLE): [staged.write(table, df)]})
+                staged.switch(others | {(table, WHOLE): [staged.write(table, tables[table])]})
+
+        with ThreadPoolExecutor(WRITERS) as pool:
+            list(pool.map(replace, tables))
         staged.commit()
 
     def append(self, table: str, df: DataFrame, key: str | None = None) -> None:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from shelfmark.operators.settle import shared_folder
 from shelfmark.plans import deletions, monthly, snapshot
+from shelfmark.sources import tables
 from shelfmark.sources.tables import WHOLE, StagedTables, TableStore
 
 FIRST, LATER = dt.datetime(2026, 1, 15, 12, 0), dt.datetime(2026, 2, 1)
@@ -206,3 +207,13 @@ def test_a_few_far_keys_leave_dense_ranges_as_they_are(spark):
     store.publish({"book": some(spark, 25).unionByName(books(spark, (10**15, "far", FIRST), (-(10**12), "low", FIRST), (None, "none", FIRST)))}, KEYS)
     assert store.range_size("book") == 10 and len(parts(store)) == 6
     assert store.read("book").count() == 28
+
+
+def test_dense_keys_need_no_sketches(spark, monkeypatch):
+    def sketch(*_):
+        raise AssertionError("ranges of dense keys are counted by their ends")
+
+    monkeypatch.setattr(tables.F, "approx_count_distinct", sketch)
+    dense = spark.range(1, 101).withColumnRenamed("id", "book_id")
+    assert tables.width_of(dense, "book_id", 10) == 10
+    assert tables.width_of(dense.filter("false"), "book_id", 10) == 10
