@@ -27,12 +27,21 @@ MEASURES = {
 
 
 def sums_of(fact: DataFrame, table: str, keys: list[str] | None = None) -> DataFrame:
-    """One row per key of a table of sums, from fact rows."""
+    """One row per key of a table of sums, from fact rows.
+
+    Fact rows of a book with the same authors add up before each of the authors
+    gets them, so a fact row is shuffled once, not once for each author.
+    """
+    wanted = keys or KEYS[table]
     if table == BY_FIRST_AUTHOR:
         fact = fact.withColumn("author_dim_id", F.col(AUTHOR_SLOTS[0]))
-    elif table == BY_AUTHOR_BOOK:
-        fact = membership_rows(fact, AUTHOR_SLOTS, "author_dim_id")
-    return fact.groupBy(*(keys or KEYS[table])).agg(*[add(column).alias(name) for name, (add, column) in MEASURES.items()])
+    grouped = ["book_dim_id", *AUTHOR_SLOTS] if table == BY_AUTHOR_BOOK else wanted
+    added = fact.groupBy(*grouped).agg(*[add(column).alias(name) for name, (add, column) in MEASURES.items()])
+    if table != BY_AUTHOR_BOOK:
+        return added
+    kinds = dict(added.dtypes)
+    return membership_rows(added, AUTHOR_SLOTS, "author_dim_id").groupBy(*wanted).agg(
+        *[F.sum(name).cast(kinds[name]).alias(name) for name in MEASURES])
 
 
 def sums(t: dict[str, DataFrame], table: str, keys: list[str] | None = None) -> DataFrame:

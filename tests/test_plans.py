@@ -115,3 +115,10 @@ def test_stored_sums_give_the_reports_without_the_fact(spark, fact, star):
     for name, got in sums_reports({**whole, **kept}).items():
         assert got.collect() == want[name].collect() != [], name
         assert not set(got.inputFiles()) & set(fact.inputFiles())
+
+
+def test_authors_get_their_share_of_sums_not_of_fact_rows(fact):
+    """Rows of a book with the same authors add up before they are copied for each author."""
+    lines = plan(sums.sums_of(fact, sums.BY_AUTHOR_BOOK)).splitlines()
+    explode = next(i for i, line in enumerate(lines) if "Generate" in line)
+    assert any("HashAggregate" in line for line in lines[explode:])
