@@ -41,14 +41,18 @@ def slots_lookup(fact: DataFrame, key: str, slots: dict[str, str], dim: DataFram
     """The same lookup for several columns: ``slots`` maps id column to new column.
 
     The dimension is joined once, on the exploded ids, and its values are
-    folded back by ``key``, however many slots there are.
+    folded back, however many slots there are. Rows that have the ``key`` and
+    all slots in common are looked up once, so a key many rows share keeps
+    the rows themselves out of the explode.
     """
-    pairs = F.array(*[F.struct(F.lit(name).alias("slot"), F.col(slot).alias(id_col))
-                      for slot, name in slots.items()])
-    long = fact.select(key, F.inline(pairs)).filter(F.col(id_col).isNotNull())
-    wide = (long.join(dim.select(id_col, value), id_col).groupBy(key)
-            .agg(*[F.max(F.when(F.col("slot") == name, F.col(value))).alias(name) for name in slots.values()]))
-    return fact.join(wide, key, "left")
+    same = fact.select(key, *slots).distinct()
+    pairs = F.array(*[F.struct(F.lit(name).alias("_slot"), F.col(slot).alias("_id")) for slot, name in slots.items()])
+    own = {c: f"_of_{c}" for c in (key, *slots)}
+    long = same.select(*[F.col(c).alias(o) for c, o in own.items()], F.inline(pairs)).filter(F.col("_id").isNotNull())
+    wide = (long.join(dim.select(F.col(id_col).alias("_id"), F.col(value).alias("_value")), "_id").groupBy(*own.values())
+            .agg(*[F.max(F.when(F.col("_slot") == name, F.col("_value"))).alias(name) for name in slots.values()]))
+    alike = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(o)) for c, o in own.items()])
+    return fact.join(wide, alike, "left").drop(*own.values())
 
 
 def pivot_ranks(df: DataFrame, keys: list[str], rank: str, value: str, names: list[str]) -> DataFrame:

@@ -202,9 +202,9 @@ def author_listings(t: Tables, author_name: str) -> DataFrame:
 
 
 def wide_fact(t: Tables) -> DataFrame:
-    """Fact rows with every name written out, authors in slot order."""
+    """Fact rows with every name written out, authors in slot order; the names of a book's authors are looked up once."""
     names = {slot: f"author_{i}" for i, slot in enumerate(AUTHOR_SLOTS, 1)}
-    fact = joins.slots_lookup(t["sales_fact"], "sales_fact_id", names, t["author_dim"], "author_dim_id", "author_name")
+    fact = joins.slots_lookup(t["sales_fact"], "book_dim_id", names, t["author_dim"], "author_dim_id", "author_name")
     return (fact.join(t["book_dim"].select("book_dim_id", "book_title", "publisher", "format", "language"),
                       "book_dim_id", "left")
             .join(t["month_year_dim"], "month_year_dim_id", "left")

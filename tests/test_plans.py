@@ -122,3 +122,14 @@ def test_authors_get_their_share_of_sums_not_of_fact_rows(fact):
     lines = plan(sums.sums_of(fact, sums.BY_AUTHOR_BOOK)).splitlines()
     explode = next(i for i, line in enumerate(lines) if "Generate" in line)
     assert any("HashAggregate" in line for line in lines[explode:])
+
+
+def test_names_of_slots_are_looked_up_once_for_rows_that_share_them(fact, star):
+    names = {slot: f"author_{i}" for i, slot in enumerate(AUTHOR_SLOTS, 1)}
+    rows = fact.withColumns({AUTHOR_SLOTS[0]: F.expr("nullif(sales_fact_id % 2, 0)"), "book_dim_id": F.expr("nullif(book_dim_id, 3)")})
+    by_row, by_book = [joins.slots_lookup(rows, key, names, star["author_dim"], "author_dim_id", "author_name")
+                       for key in ("sales_fact_id", "book_dim_id")]
+    assert by_book.columns == by_row.columns
+    assert sorted(by_book.collect(), key=lambda r: r["sales_fact_id"]) == sorted(by_row.collect(), key=lambda r: r["sales_fact_id"])
+    lines = plan(by_book).splitlines()
+    assert any("HashAggregate" in line for line in lines[next(i for i, line in enumerate(lines) if "Generate" in line):])
