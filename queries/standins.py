@@ -120,8 +120,16 @@ def stored_standin(inputs: Inputs, name: str, text: str, key: str | None = None)
     return inputs.stored(name, write)
 
 
+def from_orders(inputs: Inputs, name: str, text: str):
+    """A stand-in of one row per order; the orders are dealt out before their texts are made, which are much wider."""
+    def write(t: Inputs):
+        dealt = t.orders.repartition(t.spark.sparkContext.defaultParallelism, "o_orderkey")
+        return settle(t.spark.sql(text, orders=dealt, part=t.part), name)
+    return inputs.stored(name, write)
+
+
 def raw_books(inputs: Inputs):
-    return stored_standin(inputs, "raw_books", RAW_BOOKS, "_src_pos")
+    return from_orders(inputs, "raw_books", RAW_BOOKS)
 
 
 # A staging table, one row per order, with ISBNs of either kind, up to five
@@ -164,7 +172,7 @@ FROM {{orders}} JOIN {{part}} ON p_partkey = o_custkey
 
 
 def staging(inputs: Inputs):
-    return stored_standin(inputs, "staging", STAGING, "_src_pos")
+    return from_orders(inputs, "staging", STAGING)
 
 
 def for_duckdb(text: str) -> str:

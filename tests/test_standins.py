@@ -1,8 +1,10 @@
 """Queries make only the tables they read."""
 
+import uuid
+
 import pytest
 
-from queries import load_all, registry
+from queries import load_all, registry, standins
 from queries.registry import QUERIES, Inputs
 from queries.star import star
 from queries.standins import books
@@ -33,3 +35,16 @@ def test_tables_are_made_once(spark, made):
     assert books(t)["series"].inputFiles() == books(t)["series"].inputFiles()
     assert star(t)["book_dim"].inputFiles() == star(t)["book_dim"].inputFiles()
     assert set(star(t)) == {"month_year_dim", "author_dim", "book_dim", "nyt_bestseller_dim", "sales_fact"} and "genre" in books(t)
+
+
+def test_orders_are_dealt_out_before_their_texts_are_made(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(standins, "settle", lambda rows, name: seen.append(rows) or rows)
+    orders = spark.sql("SELECT id AS o_orderkey, id AS o_custkey, DATE '1998-05-01' AS o_orderdate FROM range(5)")
+    part = spark.sql("SELECT id AS p_partkey, 'n' AS p_name, 't' AS p_type, 'b' AS p_brand FROM range(5)")
+    inputs = Inputs(spark, f"no-such-folder-{uuid.uuid4().hex}")
+    inputs.orders, inputs.part = orders, part
+    assert standins.raw_books(inputs).count() == 5
+    text = seen[0]._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    dealt = next(i for i, line in enumerate(text) if "RepartitionByExpression" in line)
+    assert any("AS title" in line for line in text[:dealt]) and not any("AS title" in line for line in text[dealt:])
