@@ -17,7 +17,6 @@ import struct
 import uuid
 import zlib
 from collections.abc import Iterable, Iterator
-from itertools import filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -131,13 +130,17 @@ class Encoder:
             self.older, self.known, self.held = self.known, {}, 0
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text, with the end id."""
+        """The ids of each text, with the end id. Known pieces are looked up once, only the others again."""
         pieces = [self._pieces(t) for t in texts]
-        fresh: set[str] = set()
-        for own in pieces:
-            fresh.update(filterfalse(self.known.__contains__, own))
-        self._learn(fresh)
-        out = [b"".join([*map(self.known.__getitem__, own), self.end]) for own in pieces]
+        found = [[*map(self.known.get, own)] for own in pieces]
+        late = [[i for i, ids in enumerate(own) if ids is None] for own in found]
+        fresh = {own[i] for own, places in zip(pieces, late) for i in places}
+        if fresh:
+            self._learn(fresh)
+            for own, ids, places in zip(pieces, found, late):
+                for i in places:
+                    ids[i] = self.known[own[i]]
+        out = [b"".join([*ids, self.end]) for ids in found]
         self._forget(fresh)
         return out
 

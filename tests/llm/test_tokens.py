@@ -208,3 +208,12 @@ def test_long_unspaced_texts_are_not_remembered(spark, monkeypatch):
         want = encoder.library.encode_batch(texts, add_special_tokens=False)
         assert [np.frombuffer(g, encoder.kind).tolist() for g in got] == [[*w.ids, 0] for w in want]
         assert encoder.held <= 20_000 and max(map(len, [*encoder.known, *encoder.older])) <= records.LONGEST
+
+
+def test_known_pieces_are_looked_up_once(monkeypatch):
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as f:
+        encoder = records.Encoder(f.read(), 0)
+    texts = ["the quick brown fox, and so on", "", "the fox"]
+    first = encoder.encode(texts)
+    monkeypatch.setattr(encoder, "_learn", lambda pieces: pytest.fail("nothing is left to learn"))
+    assert encoder.encode(texts[::-1]) == first[::-1]
