@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import functions as F
 
@@ -14,7 +15,7 @@ from shelfmark.functions import genres
 from shelfmark.operators import changes, checks
 from shelfmark.operators.settle import settle, shared_folder
 from shelfmark.plans import additions, constraints, deletions, normalise, snapshot
-from shelfmark.sources.tables import TableStore
+from shelfmark.sources.tables import WRITERS, TableStore
 
 RUN_TS = dt.datetime(2026, 1, 15, 12, 0)
 BLANKS = ["isbn10", "isbn13", "title_norm", *[f"author_{i}_role" for i in range(1, 6)], "language", "series_name_norm",
@@ -493,7 +494,9 @@ BREACHES = [
 
 def full_tables(t) -> dict:
     kept = {name: table for name, table in books(t).makers.items() if name != "book_isbn"}
-    return {name: make() for name, make in kept.items()} | {name: t.sql(FULL[name]) for name in ("edition", "review_type", "book_isbn")}
+    with ThreadPoolExecutor(WRITERS) as pool:
+        made = dict(zip(kept, pool.map(lambda make: make(), kept.values())))
+    return made | {name: t.sql(FULL[name]) for name in ("edition", "review_type", "book_isbn")}
 
 
 @query("v_constraint_catalogue", with_tables({**FULL, "isbn_rating": RATING_CHANGES["new"]}, " UNION ALL ".join(BREACHES)))

@@ -87,10 +87,12 @@ def broken_keys(name: str, tables: dict[str, DataFrame], stored: dict[str, DataF
     """(rule, key) of the entries' keys that repeat, are stored already, or have no parent in either set of tables.
 
     Keys are counted first, so a hot key is tested once, and the tables they are
-    looked up in are cut down to these keys before anything else.
+    looked up in are cut down to these keys before anything else. Unique keys
+    are written only where they repeat or have to be looked up in stored rows.
     """
     rules = CONSTRAINTS[name]
-    counted = settle(entries.groupBy("rule", "key").agg(F.count("*").alias("n")), "keys")
+    counts = entries.groupBy("rule", "key").agg(F.count("*").alias("n"))
+    counted = settle(counts if name in stored else counts.filter(~F.col("rule").startswith(UNIQUE) | (F.col("n") > 1)), "keys")
     asked = counted.select("rule", "key")
     broken = counted.filter(F.col("rule").startswith(UNIQUE) & (F.col("n") > 1)).select("rule", "key")
     if name in stored:
@@ -123,7 +125,9 @@ def check_table(name: str, tables: dict[str, DataFrame], run_date: dt.date, stor
     foreign = [c for c, parent in rules.parents.items() if FOREIGN + c not in lacking and (parent in tables or parent in stored)]
 
     entries = _exploded(df, rules.key, _unique_keys(present) + _foreign_keys(foreign))
-    by_key = entries.join(broken_keys(name, tables, stored, entries), ["rule", "key"], "left_semi").select("rule", "row_id", "reason")
+    # Written, so that the rows are not shuffled for a few keys, or none.
+    broken = settle(broken_keys(name, tables, stored, entries), "broken")
+    by_key = entries.join(broken, ["rule", "key"], "left_semi").select("rule", "row_id", "reason")
     required = [c for c in (rules.key, *rules.required) if c in df.columns]
     reasons = [("required", checks.not_null_reason(required)), *[(r, ROW_CHECKS[r][1](run_date)) for r in rules.rows if r not in lacking]]
     by_row = (df.select(F.col(rules.key).cast("bigint").alias("row_id"), F.inline(F.array(*[

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 from graphlib import TopologicalSorter
 
 from pyspark.sql import DataFrame, functions as F
@@ -11,11 +13,17 @@ from shelfmark.operators import changes
 from shelfmark.operators.settle import settle
 from shelfmark.plans.constraints import CONSTRAINTS
 from shelfmark.plans.snapshot import log_rows
-from shelfmark.sources.tables import StagedTables, TableStore
+from shelfmark.sources.tables import WRITERS, StagedTables, TableStore
 
 
-def parents_first() -> list[str]:
-    return list(TopologicalSorter({name: sorted(set(rules.parents.values())) for name, rules in CONSTRAINTS.items()}).static_order())
+def parents_first() -> Iterator[list[str]]:
+    """Tables in generations: none refers to another of its own, or of a later one."""
+    order = TopologicalSorter({name: set(rules.parents.values()) for name, rules in CONSTRAINTS.items()})
+    order.prepare()
+    while order.is_active():
+        generation = sorted(order.get_ready())
+        yield generation
+        order.done(*generation)
 
 
 def mark_rows(name: str, rows: DataFrame, asked: DataFrame | None, gone: dict[str, DataFrame]) -> DataFrame:
@@ -47,7 +55,7 @@ def delete_rows(store: TableStore, asked: dict[str, DataFrame], run_ts: dt.datet
     """Delete rows by key from any of the tables; returns how many rows went from each table.
 
     ``asked`` has, for a table, a frame with its key column. Tables are taken
-    parents first. Rows that refer to a deleted row go with it or lose the
+    parents first, those that don't refer to one another side by side. Rows that refer to a deleted row go with it or lose the
     reference, as the constraint catalogue says; a row that loses one is stamped
     with the run. Deleted books, authors and ratings are logged. Ranges of keys,
     and tables, none of whose rows are touched keep their files. Everything becomes current in one
@@ -57,26 +65,32 @@ def delete_rows(store: TableStore, asked: dict[str, DataFrame], run_ts: dt.datet
     if unknown:
         raise KeyError(f"no such table: {', '.join(sorted(unknown))}")
     staged, gone, counts = StagedTables(store), {}, {}
-    for name in parents_first():
-        rules = CONSTRAINTS[name]
-        if name not in store or (name not in asked and not set(rules.parents.values()) & set(gone)):
-            continue
-        rows = store.read(name)
+
+    def take(name: str) -> None:
+        rules, rows = CONSTRAINTS[name], store.read(name)
         marked = settle(mark_rows(name, rows, asked.get(name), gone), "marked")
-        doomed, cleared = marked.agg(F.count_if("_doomed"), F.count_if(F.size("_cleared") > 0)).first()
+        by_part = marked.groupBy(staged.label(name, rules.key).alias("part")).agg(
+            F.count_if("_doomed").alias("doomed"), F.count_if(F.size("_cleared") > 0).alias("cleared")).collect()
+        touched = sorted(r["part"] for r in by_part if r["doomed"] or r["cleared"])
+        if not touched:
+            return
+        doomed = sum(r["doomed"] for r in by_part)
         if doomed:
             counts[name] = doomed
             gone[name] = marked.filter("_doomed").select(*rows.columns)
             logged = log_rows(name, as_deleted(gone[name], rules.key), store.read("review_type") if "review_type" in store else None, run_ts)
             if logged is not None:
                 staged.append(*logged)
-        if doomed or cleared:
-            lost = lambda c: F.array_contains("_cleared", c)
-            kept = [F.when(lost(c), None).otherwise(F.col(c)).alias(c) if c in rules.parents else
-                    F.when(F.size("_cleared") > 0, F.lit(run_ts)).otherwise(F.col(c)).alias(c) if c == "updated_at" else F.col(c)
-                    for c in rows.columns]
-            touched = staged.parts_with(name, marked.filter("_doomed OR size(_cleared) > 0"), rules.key)
-            there = marked.filter(staged.label(name, rules.key).isin(touched))
-            staged.replace_parts(name, touched, there.filter("NOT _doomed").select(*kept), rules.key)
+        lost = lambda c: F.array_contains("_cleared", c)
+        kept = [F.when(lost(c), None).otherwise(F.col(c)).alias(c) if c in rules.parents else
+                F.when(F.size("_cleared") > 0, F.lit(run_ts)).otherwise(F.col(c)).alias(c) if c == "updated_at" else F.col(c)
+                for c in rows.columns]
+        there = marked.filter(staged.label(name, rules.key).isin(touched))
+        staged.replace_parts(name, touched, there.filter("NOT _doomed").select(*kept), rules.key)
+
+    with ThreadPoolExecutor(WRITERS) as pool:
+        for generation in parents_first():
+            list(pool.map(take, [name for name in generation
+                                 if name in store and (name in asked or set(CONSTRAINTS[name].parents.values()) & set(gone))]))
     staged.commit()
     return counts

@@ -6,9 +6,11 @@ import datetime as dt
 import re
 import uuid
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructField, StructType
 
 WHOLE = ""
 STAMP = "updated_at"
@@ -16,7 +18,9 @@ PART_ROWS = 1_000_000
 #: Ranges a table may have over twice those its rows would fill.
 SPARE_PARTS = 16
 #: Tables written at the same time, so that small ones don't wait for one another.
-WRITERS = 4
+WRITERS = 8
+#: Bits of a row hash that are added up as one whole number.
+PIECE = 22
 FOLDER = "_key_part"
 RANGE_LABEL = re.compile(r"(-?\d+|null)x(\d+)")
 
@@ -24,7 +28,14 @@ RANGE_LABEL = re.compile(r"(-?\d+|null)x(\d+)")
 def part_of(key: str, size: int) -> Column:
     """Label of the part a key belongs to: ``size`` keys in a row, counted from 1. Null keys have a part of their own."""
     number = F.floor((F.col(key).cast("bigint") - 1) / size)
-    return F.concat(F.coalesce(F.format_string("%08d", number), F.lit("null")), F.lit(f"x{size}"))
+    digits = F.abs(number).cast("string")
+
+    def padded(width: int) -> Column:
+        return F.lpad(digits, F.greatest(F.length(digits), F.lit(width)), F.lit("0"))
+
+    label = F.when(number < 0, F.concat(F.lit("-"), padded(7))).otherwise(padded(8))
+    # As wide as the others, which is how stored manifests name it.
+    return F.concat(F.coalesce(label, F.lit("    null")), F.lit(f"x{size}"))
 
 
 def width_of(df: DataFrame, key: str, part_rows: int) -> int:
@@ -49,21 +60,35 @@ def width_of(df: DataFrame, key: str, part_rows: int) -> int:
     return part_rows << next((i for i in range(surely) if ranges[i] <= enough), surely)
 
 
-def facts(columns: list[str]) -> list[Column]:
-    """Rows, two digests that don't depend on the rows' order, and the newest stamp in microseconds.
+def facts(df: DataFrame, part: Column, columns: list[str]) -> DataFrame:
+    """By part: rows, two digests that don't depend on the rows' order, and the newest stamp in microseconds.
 
     A row's hash covers names in order, nulls and values of all columns but the
-    stamp. Hashes are added up, so files' digests add up to their part's.
+    stamp. Hashes are added up, so files' digests add up to their part's; they
+    are added up in pieces, as whole numbers, and put together by part.
     """
     marks = [mark for c in sorted(columns) if c != STAMP for mark in (F.col(c).isNull(), F.col(c))]
-    sums = [F.sum(F.xxhash64(F.lit(seed), *marks).cast("decimal(20,0)")).cast("string") for seed in (1, 2)]
-    return [F.count("*").alias("rows"), F.array(*sums).alias("sums"), newest_stamp(columns).alias("newest")]
+    stamp = F.unix_micros(F.col(STAMP).cast("timestamp")) if STAMP in columns else F.lit(None).cast("bigint")
+    hashed = df.select(part.alias("part"), stamp.alias("stamp"), *[F.xxhash64(F.lit(seed), *marks).alias(f"hash{seed}") for seed in (1, 2)])
+
+    def total(c: str) -> Column:
+        low, middle = (F.shiftright(c, shift).bitwiseAND(F.lit((1 << PIECE) - 1)) for shift in (0, PIECE))
+        pieces = [(F.shiftright(c, 2 * PIECE), 2 * PIECE), (middle, PIECE), (low, 0)]
+        return reduce(Column.__add__, [F.sum(piece).cast("decimal(20,0)") * F.lit(1 << shift).cast("decimal(14,0)") for piece, shift in pieces])
+
+    return hashed.groupBy("part").agg(F.count("*").alias("rows"), F.max("stamp").alias("newest"),
+                                      F.array(*[total(c).cast("string") for c in ("hash1", "hash2")]).alias("sums"))
 
 
 def newest_stamp(columns: list[str]) -> Column:
     return F.max(F.unix_micros(F.col(STAMP).cast("timestamp"))) if STAMP in columns else F.lit(None).cast("bigint")
 
 
+def columns_of(df: DataFrame) -> StructType:
+    """Names and types, as they are read back: any column may hold nulls."""
+    return StructType([StructField(f.name, f.dataType) for f in df.schema])
+
+
 def added_up(digests: list[tuple[int, int, int]]) -> tuple[int, int, int]:
     return tuple(sum(values) for values in zip(*digests)) if digests else (0, 0, 0)
 
@@ -93,6 +118,7 @@ class TableStore:
         self._current: dict[tuple[str, str], list[str]] | None = None
         self._since: dict[tuple[str, str], int] = {}
         self._facts: dict[str, tuple[int | None, list[str] | None, int | None]] = {}
+        self._schemas: dict[str, StructType] = {}
         self._version = 0
 
     def _load(self) -> None:
@@ -139,10 +165,18 @@ class TableStore:
         return self._open(table, after).filter(F.col(STAMP) > F.lit(since))
 
     def _open(self, table: str, wanted) -> DataFrame:
-        """The table's paths that are wanted; none of them gives no rows."""
+        """The table's paths that are wanted; none of them gives no rows.
+
+        Files are asked for their columns only if another job wrote some of them.
+        """
         every = [(part, path) for (name, part), paths in self.paths().items() if name == table for path in paths]
         chosen = [path for part, path in every if wanted(part, path)]
-        return self.spark.read.parquet(*chosen) if chosen or not every else self.spark.read.parquet(every[0][1]).filter(F.lit(False))
+        opened = chosen or [path for _, path in every[:1]]
+        written = [self._schemas.get(path) for path in opened]
+        alike = written and all(schema is not None and schema == written[0] for schema in written)
+        reader = self.spark.read.schema(written[0]) if alike else self.spark.read
+        rows = reader.parquet(*opened)
+        return rows if chosen or not every else rows.filter(F.lit(False))
 
     def read_newest(self, table: str) -> DataFrame:
         """The rows added last to a table that only grows."""
@@ -157,6 +191,8 @@ class TableStore:
         path = f"{self.root}/{table}/{label}{uuid.uuid4().hex}"
         writer = df.write.mode("errorifexists")
         (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
+        if not partition_by:
+            self._schemas[path] = columns_of(df)
         if STAMP in df.columns and not partition_by:
             newest = self.spark.read.schema(df.select(STAMP).schema).parquet(path).agg(newest_stamp([STAMP]).alias("newest")).first()
             self._facts[path] = (None, None, newest["newest"])
@@ -198,7 +234,7 @@ class TableStore:
         if {(f.name, f.dataType) for f in self.read(table).schema} != {(f.name, f.dataType) for f in new.schema}:
             return None
         there = {part: added_up([self._digest(path) for path in paths]) for part, paths in entries.items()}
-        found = new.groupBy(part_of(key, size).alias("part")).agg(*facts(new.columns)).collect()
+        found = facts(new, part_of(key, size), new.columns).collect()
         now = {r["part"]: (r["rows"], *map(int, r["sums"])) for r in found}
         return sorted(part for part in there.keys() | now.keys() if there.get(part, (0, 0, 0)) != now.get(part, (0, 0, 0)))
 
@@ -216,9 +252,10 @@ class TableStore:
         labelled = df.withColumn(FOLDER, part_of(key, size))
         labelled.hint("rebalance", FOLDER).write.mode("errorifexists").partitionBy(FOLDER).parquet(root)
         made = {}
-        for row in self.spark.read.schema(labelled.schema).parquet(root).groupBy(FOLDER).agg(*facts(df.columns)).collect():
-            path = made[row[FOLDER]] = f"{root}/{FOLDER}={row[FOLDER]}"
+        for row in facts(self.spark.read.schema(labelled.schema).parquet(root), F.col(FOLDER), df.columns).collect():
+            path = made[row["part"]] = f"{root}/{FOLDER}={row['part']}"
             self._facts[path] = (row["rows"], list(row["sums"]), row["newest"])
+            self._schemas[path] = columns_of(df)
         if not made:
             made[WHOLE] = self.write(table, df.limit(0))
             self._facts[made[WHOLE]] = (0, None, None)
@@ -276,7 +313,7 @@ class StagedTables(TableStore):
         super().__init__(store.spark, store.root, store.part_rows)
         self._store, self._changes = store, {}
         self._current, self._since, self._version = store.paths(), dict(store._since), store._version
-        self._facts = dict(store._facts)
+        self._facts, self._schemas = dict(store._facts), store._schemas
 
     def switch(self, parts: dict[tuple[str, str], list[str]]) -> None:
         self._changes.update(parts)

@@ -6,8 +6,8 @@ import uuid
 import pytest
 from pyspark.sql import functions as F
 
-from shelfmark.operators.settle import shared_folder
-from shelfmark.plans import deletions, monthly, snapshot
+from shelfmark.operators.settle import settle, shared_folder
+from shelfmark.plans import constraints, deletions, monthly, snapshot
 from shelfmark.sources import tables
 from shelfmark.sources.tables import WHOLE, StagedTables, TableStore
 
@@ -217,3 +217,44 @@ def test_dense_keys_need_no_sketches(spark, monkeypatch):
     dense = spark.range(1, 101).withColumnRenamed("id", "book_id")
     assert tables.width_of(dense, "book_id", 10) == 10
     assert tables.width_of(dense.filter("false"), "book_id", 10) == 10
+
+
+def test_generations_hold_no_table_with_its_parents():
+    seen = set()
+    for generation in deletions.parents_first():
+        for name in generation:
+            assert set(constraints.CONSTRAINTS[name].parents.values()) <= seen
+        seen |= set(generation)
+    assert seen == set(constraints.CONSTRAINTS)
+
+
+def test_own_files_are_read_without_asking_them_for_their_columns(spark, store):
+    spark.sparkContext.setJobGroup("reads", "reads of own files")
+    try:
+        rows = store.read("book", ["00000001x10"])
+        assert list(spark.sparkContext.statusTracker().getJobIdsForGroup("reads")) == []
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert sorted(r.book_id for r in rows.collect()) == list(range(11, 21))
+    assert rows.schema == TableStore(spark, store.root).read("book").schema
+
+
+def test_labels_and_digests_are_those_of_stored_manifests(spark):
+    keys = [1, 10, 11, -5, -(10**12), 10**15, None]
+    df = books(spark, *[(k, f"t{k}", FIRST) for k in keys for _ in range(3)])
+    number = F.floor((F.col("book_id") - 1) / 10)
+    label = F.concat(F.coalesce(F.format_string("%08d", number), F.lit("null")), F.lit("x10"))
+    assert df.filter(~label.eqNullSafe(tables.part_of("book_id", 10))).count() == 0
+    marks = [mark for c in ("book_id", "title") for mark in (F.col(c).isNull(), F.col(c))]
+    sums = [F.sum(F.xxhash64(F.lit(seed), *marks).cast("decimal(20,0)")).cast("string") for seed in (1, 2)]
+    want = df.groupBy(label.alias("part")).agg(F.array(*sums).alias("sums"))
+    got = tables.facts(df, tables.part_of("book_id", 10), df.columns)
+    assert sorted((r.part, tuple(r.sums)) for r in got.collect()) == sorted((r.part, tuple(r.sums)) for r in want.collect())
+
+
+def test_unique_keys_are_written_only_where_they_repeat(spark, monkeypatch):
+    written = {}
+    monkeypatch.setattr(constraints, "settle", lambda rows, name: written.setdefault(name, settle(rows, name)))
+    rejected = constraints.check_table("book", {"book": some(spark).unionByName(some(spark, 1))}, FIRST.date())
+    assert [(r.rule, r.row_id) for r in rejected.collect()] == [("unique book_id", 1)] * 2
+    assert written["keys"].count() == 1 and written["broken"].count() == 1

@@ -48,3 +48,15 @@ def test_orders_are_dealt_out_before_their_texts_are_made(spark, monkeypatch):
     text = seen[0]._jdf.queryExecution().optimizedPlan().toString().splitlines()
     dealt = next(i for i, line in enumerate(text) if "RepartitionByExpression" in line)
     assert any("AS title" in line for line in text[:dealt]) and not any("AS title" in line for line in text[dealt:])
+
+
+@pytest.mark.parametrize("name", ["author_isbn", "book_isbn_genre"])
+def test_keys_are_made_distinct_before_the_rows_are_made(spark, made, monkeypatch, name):
+    seen = []
+    monkeypatch.setattr(standins, "settle", lambda rows, name: seen.append(rows) or rows)
+    t = Inputs(spark, SMOKE)
+    rows = books(t)[name]
+    (grouped,) = [line for line in seen[0]._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Aggregate" in line]
+    assert grouped.split("]")[0].count("#") == 2
+    want = t.sql(standins.BOOKS[name])
+    assert rows.schema == want.schema and rows.count() == want.count() and rows.exceptAll(want).count() == 0
