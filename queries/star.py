@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from functools import partial
 
 from pyspark.sql import functions as F
@@ -16,7 +17,7 @@ from shelfmark.operators import changes
 from shelfmark.operators.settle import settle, shared_folder
 from shelfmark.plans import monthly, normalise, reports, snapshot, warehouse
 from shelfmark.schemas import AUTHOR_SLOTS, MEASURES
-from shelfmark.sources.tables import TableStore
+from shelfmark.sources.tables import WRITERS, TableStore
 
 RUN_TS = dt.datetime(2026, 1, 15, 12, 0)
 RUN_DATE = RUN_TS.date()
@@ -97,8 +98,7 @@ def build_star(t) -> Made:
     made = dims(t, oltp)
 
     def fact():
-        rows = warehouse.init_sales_fact(cleaned_sales(t), made, oltp)
-        return settle(warehouse.fill_avg_rating(rows, made["book_dim"], oltp["isbn_rating"]), "fact")
+        return settle(warehouse.init_sales_fact(cleaned_sales(t), made, oltp, oltp["isbn_rating"]), "fact")
     return Made({name: partial(made.__getitem__, name) for name in made} | {"sales_fact": fact})
 
 
@@ -161,15 +161,19 @@ def _(t):
     return warehouse.init_nyt_dim(cleaned_sales(t))
 
 
-def staged(t, *, categories: bool = False):
+def flagged(sales, *, categories: bool = False):
     """Sales staging in which the years before the load year count as loaded."""
-    sales = cleaned_sales(t).withColumn("loaded_to_warehouse", F.col("year") < YEAR)
+    sales = sales.withColumn("loaded_to_warehouse", F.col("year") < YEAR)
     if categories:
         listed = F.coalesce("nyt_best_selling_category", F.lit("Best Paperback"))
         sales = sales.withColumn("nyt_best_selling_category", listed)
     return sales
 
 
+def staged(t, *, categories: bool = False):
+    return flagged(cleaned_sales(t), categories=categories)
+
+
 @query("h8_update_month_year_dim", over(f"""
 SELECT row_number() OVER (ORDER BY year >= {YEAR}, year, month) AS month_year_dim_id, month, year FROM month_year_dim"""))
 def _(t):
@@ -298,13 +302,20 @@ def _(t):
 
 
 def loaded_store(t) -> TableStore:
-    """First load of the years before; then all other sales are added, the load month is run twice, then the next one."""
+    """First load of the years before; then all other sales are added, the load month is run twice, then the next one.
+
+    The first load cleans its years itself, so that only the others are cleaned
+    for the runs. The tables it starts from are made side by side.
+    """
     store = TableStore(t.spark, f"{shared_folder(t.spark)}/mart-{uuid.uuid4().hex}")
-    raw = raw_sales(t)
     used = ("author", "publisher", "format", "language", "book", "book_isbn", "author_isbn", "isbn_rating")
-    oltp = {name: books(t)[name] for name in used}
+    with ThreadPoolExecutor(WRITERS) as pool:
+        made, raw = books(t), pool.submit(raw_sales, t)
+        oltp = dict(zip(used, pool.map(made.__getitem__, used)))
+        raw = raw.result()
     monthly.first_load(store, oltp, raw.filter(F.col("year").cast("int") < YEAR), LAST_RUN)
-    monthly.add_sales(store, staged(t, categories=True).filter(F.col("year") >= YEAR))
+    later = settle(warehouse.clean_sales(raw.filter(F.col("year").cast("int") >= YEAR), oltp), "sales")
+    monthly.add_sales(store, flagged(later, categories=True))
     for days, month in enumerate((MONTH, MONTH, MONTH + 1)):
         monthly.process_monthly_sales(store, month, YEAR, RUN_TS + dt.timedelta(days=days))
     return store

@@ -39,7 +39,7 @@ def normalize_ratings_by_stars(df: DataFrame, source: str = "ratingsByStars") ->
 
 def strip_currency(c: Column) -> Column:
     """``$1,234.50`` to 1234.50; text that is no amount is an error."""
-    return F.regexp_replace(F.trim(c), "[$,]", "").cast("decimal(10,2)")
+    return F.translate(F.trim(c), "$,", "").cast("decimal(10,2)")
 
 
 def flag(c: Column, true_text: str) -> Column:

@@ -30,15 +30,16 @@ def month_part(month: int, year: int) -> str:
 def store_sales(store: TableStore, sales: DataFrame, closed: bool = False) -> None:
     """Write sales rows in month parts; the months touched are replaced.
 
-    One write for all months. The copies of year and month that name the
-    folders leave the columns in the files. ``closed`` tells that all rows are
+    One write for all months, whose names are read from its folders. The copies
+    of year and month that name them leave the columns in the files. ``closed`` tells that all rows are
     loaded already, so that no run opens these months again.
     """
-    months = [(r["month"], r["year"]) for r in sales.select("month", "year").distinct().collect()]
-    if not months:
-        return
     foldered = sales.withColumns({"part_year": F.col("year"), "part_month": F.col("month")})
     root = store.write(SALES, foldered, ["part_year", "part_month"], CLOSED if closed else "")
+    folders = store.spark.read.schema(foldered.schema).parquet(root).select("part_month", "part_year").distinct().collect()
+    months = [(r["part_month"], r["part_year"]) for r in folders]
+    if not months:
+        return
     store.switch({(SALES, month_part(month, year)): [f"{root}/part_year={year}/part_month={month}"]
                   for month, year in months})
 
@@ -220,8 +221,7 @@ def first_load(store: TableStore, oltp: dict[str, DataFrame], raw_sales: DataFra
         "nyt_bestseller_dim": warehouse.init_nyt_dim(sales),
     }, DIMENSIONS)
     star = {name: store.read(name) for name in ("month_year_dim", "author_dim", "book_dim", "nyt_bestseller_dim")}
-    fact = warehouse.init_sales_fact(sales, star, oltp)
-    store.publish({FACT: warehouse.fill_avg_rating(fact, star["book_dim"], oltp["isbn_rating"])})
+    store.publish({FACT: warehouse.init_sales_fact(sales, star, oltp, oltp["isbn_rating"])})
     star[FACT] = store.read(FACT)
     store.publish({table: sums_of(star[FACT], table) for table in SUMS})
     store_sales(store, warehouse.backfill_sales(star), closed=True)

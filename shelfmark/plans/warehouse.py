@@ -276,21 +276,26 @@ def with_category(rows: DataFrame, nyt_dim: DataFrame, how: str) -> DataFrame:
     return rows.join(categories, "nyt_best_selling_category", how)
 
 
-def init_sales_fact(sales: DataFrame, star: dict[str, DataFrame], oltp: dict[str, DataFrame]) -> DataFrame:
+def init_sales_fact(sales: DataFrame, star: dict[str, DataFrame], oltp: dict[str, DataFrame],
+                    isbn_rating: DataFrame | None = None) -> DataFrame:
     """First fact load: every sale with a current book, a contributor, a month and a category.
 
-    Ids ascend by month, then by book.
+    Ids ascend by month, then by book. With ``isbn_rating`` books get their
+    average rating before the sales are joined, so no fact row moves for it.
     """
     slots = author_slots(oltp["book_isbn"], oltp["author_isbn"], star["author_dim"])
     books = (star["book_dim"].filter("current_flag").select("book_dim_id", "book_isbn_id", "isbn_13")
              .join(slots.drop("isbn13"), "book_isbn_id"))
+    if isbn_rating is not None:
+        books = fill_avg_rating(books, star["book_dim"], isbn_rating)
+    rated = [] if isbn_rating is None else ["avg_rating"]
     rows = (sales.join(books, F.col("isbn13") == F.col("isbn_13"))
             .join(star["month_year_dim"], ["month", "year"]))
     rows = with_category(rows, star["nyt_bestseller_dim"], "inner")
     order = F.shiftleft(F.col("month_year_dim_id").cast("bigint"), 40) + F.col("book_dim_id")
-    rows = settle(rows.withColumn("_order", order), "fact")
-    return keys.assign_ids(rows, "sales_fact_id", ["_order"]).select(
-        "sales_fact_id", "month_year_dim_id", *AUTHOR_SLOTS, "book_dim_id", "nyt_bestseller_dim_id", *MEASURES)
+    columns = ["month_year_dim_id", *AUTHOR_SLOTS, "book_dim_id", "nyt_bestseller_dim_id", *MEASURES, *rated]
+    rows = settle(rows.select(order.alias("_order"), *columns), "fact")
+    return keys.assign_ids(rows, "sales_fact_id", ["_order"]).select("sales_fact_id", *columns)
 
 
 def fill_avg_rating(fact: DataFrame, book_dim: DataFrame, isbn_rating: DataFrame) -> DataFrame:
@@ -333,10 +338,9 @@ def monthly_fact(sales: DataFrame, star: dict[str, DataFrame], oltp: dict[str, D
     rows = (monthly.join(matched_books(star, sold), "isbn13")
             .join(F.broadcast(this_month), ["month", "year"])
             .join(ratings, "isbn13", "left"))
-    rows = settle(with_category(rows, star["nyt_bestseller_dim"], "left"), "fact")
-    return keys.assign_ids(rows, "sales_fact_id", ["book_dim_id", "isbn13"], start_after).select(
-        "sales_fact_id", "month_year_dim_id", *AUTHOR_SLOTS, "book_dim_id", "nyt_bestseller_dim_id", *MEASURES,
-        "avg_rating")
+    columns = ["month_year_dim_id", *AUTHOR_SLOTS, "book_dim_id", "nyt_bestseller_dim_id", *MEASURES, "avg_rating"]
+    rows = settle(with_category(rows, star["nyt_bestseller_dim"], "left").select("isbn13", *columns), "fact")
+    return keys.assign_ids(rows, "sales_fact_id", ["book_dim_id", "isbn13"], start_after).select("sales_fact_id", *columns)
 
 
 def unmatched_sales(sales: DataFrame, star: dict[str, DataFrame], oltp: dict[str, DataFrame], month: int,

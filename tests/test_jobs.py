@@ -214,6 +214,33 @@ def test_monthly_load(spark, store):
     assert again.paths() == store.paths()
 
 
+def test_stored_sales_are_made_once(spark, store):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for rows in batches:
+            seen.add(len(rows))
+            yield rows
+    sales = incoming(spark, "9780000000001", "9780000000002").withColumn("loaded_to_warehouse", F.lit(False))
+    monthly.store_sales(store, sales.mapInPandas(counted, sales.schema))
+    assert seen.value == 2 and monthly.open_months(store) == ["2026-01"]
+    before = store.paths()
+    monthly.store_sales(store, sales.limit(0))
+    assert store.paths() == before
+
+
+def test_fact_is_numbered_without_texts_and_moves_for_no_ratings(spark, store, monkeypatch):
+    t, written = oltp(spark), []
+    star = {name: store.read(name) for name in monthly.DIMENSIONS}
+    monkeypatch.setattr(warehouse, "settle", lambda rows, name: written.append(rows) or rows)
+    fact = warehouse.init_sales_fact(store.read("sales"), star, t, t["isbn_rating"])
+    assert not {"title", "full_name", "isbn13", "nyt_best_selling_category"} & set(written[0].columns)
+    assert "avg_rating" in written[0].columns
+    plain = warehouse.fill_avg_rating(warehouse.init_sales_fact(store.read("sales"), star, t), star["book_dim"], t["isbn_rating"])
+    assert fact.columns == plain.columns and fact.collect() == plain.collect() == store.read("sales_fact").collect()
+    assert fact.first()["avg_rating"] == Decimal("4.10")
+
+
 def test_failed_run_leaves_failure_rows(spark, store):
     monthly.add_sales(store, incoming(spark, "9780000000001", category=None))
     with pytest.raises(checks.RejectedRows):
