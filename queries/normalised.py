@@ -501,7 +501,7 @@ def full_tables(t) -> dict:
 
 @query("v_constraint_catalogue", with_tables({**FULL, "isbn_rating": RATING_CHANGES["new"]}, " UNION ALL ".join(BREACHES)))
 def _(t):
-    rejected = constraints.check_tables(full_tables(t) | {"isbn_rating": t.sql(RATING_CHANGES["new"])}, RUN_TS.date())
+    rejected = constraints.check_tables(full_tables(t) | {"isbn_rating": settle(t.sql(RATING_CHANGES["new"]), "ratings")}, RUN_TS.date())
     return rejected.groupBy("table_name", "rule").agg(F.count("*").alias("n"))
 
 
@@ -510,7 +510,7 @@ SELECT 'isbn_rating' AS table_name, 'unique book_isbn_id, review_type_id' AS rul
 UNION ALL SELECT 'isbn_rating', 'unique isbn_rating_id', isbn_rating_id FROM isbn_rating WHERE count < 150
 UNION ALL SELECT 'isbn_rating', 'foreign book_isbn_id', isbn_rating_id FROM isbn_rating WHERE count < 150"""))
 def _(t):
-    made, old = full_tables(t), t.sql(BOOKS["isbn_rating"])
+    made, old = full_tables(t), settle(t.sql(BOOKS["isbn_rating"]), "ratings")
     again = old.filter("count >= 150").withColumn("isbn_rating_id", F.col("isbn_rating_id") + 1_000_000_000)
     moved = old.filter("count < 150").withColumn("book_isbn_id", F.col("book_isbn_id") + 1_000_000_000)
     rejected = constraints.check_additions({"isbn_rating": again.unionByName(moved)}, made | {"isbn_rating": old}, RUN_TS.date())

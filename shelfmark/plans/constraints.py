@@ -83,15 +83,25 @@ def _exploded(df: DataFrame, key: str, entries: list[Column]) -> DataFrame:
     return df.select(F.col(key).cast("bigint").alias("row_id"), F.inline(F.array(*entries))).filter(F.col("key").isNotNull())
 
 
-def broken_keys(name: str, tables: dict[str, DataFrame], stored: dict[str, DataFrame], entries: DataFrame) -> DataFrame:
-    """(rule, key) of the entries' keys that repeat, are stored already, or have no parent in either set of tables.
+def _counted(df: DataFrame, columns: tuple[str, ...], entry: Column) -> DataFrame:
+    """(rule, key, n) of one rule. Values are counted as they are stored, and become text only then, once each."""
+    present = reduce(Column.__and__, [F.col(c).isNotNull() for c in columns])
+    return (df.filter(present).groupBy(*columns).agg(F.count("*").alias("n"))
+            .select(entry["rule"].alias("rule"), entry["key"].alias("key"), "n"))
+
+
+def broken_keys(name: str, tables: dict[str, DataFrame], stored: dict[str, DataFrame], unique: tuple[tuple[str, ...], ...],
+                foreign: list[str]) -> DataFrame:
+    """(rule, key) of the table's keys that repeat, are stored already, or have no parent in either set of tables.
 
     Keys are counted first, so a hot key is tested once, and the tables they are
     looked up in are cut down to these keys before anything else. Unique keys
     are written only where they repeat or have to be looked up in stored rows.
     """
-    rules = CONSTRAINTS[name]
-    counts = entries.groupBy("rule", "key").agg(F.count("*").alias("n"))
+    rules, df = CONSTRAINTS[name], tables[name]
+    keys = [(rules.key,), *unique]
+    counts = reduce(DataFrame.unionByName, [_counted(df, columns, entry) for columns, entry in [
+        *zip(keys, _unique_keys(Rules(rules.key, unique))), *zip([(c,) for c in foreign], _foreign_keys(foreign))]])
     counted = settle(counts if name in stored else counts.filter(~F.col("rule").startswith(UNIQUE) | (F.col("n") > 1)), "keys")
     asked = counted.select("rule", "key")
     broken = counted.filter(F.col("rule").startswith(UNIQUE) & (F.col("n") > 1)).select("rule", "key")
@@ -111,9 +121,9 @@ def check_table(name: str, tables: dict[str, DataFrame], run_date: dt.date, stor
 
     With ``stored`` the rows are additions to the stored table of the name, and
     parents may be in either set of tables. A rule whose columns or parent
-    table aren't there is a row of its own, without row_id. The table is read
-    three times, whatever the number of rules: for its keys, for the rows of
-    broken ones, and for all row rules.
+    table aren't there is a row of its own, without row_id. Of the table, each
+    key rule reads its own columns; all are read once more for the rows of
+    broken keys and for the row rules.
     """
     rules, df, stored = CONSTRAINTS[name], tables[name], stored or {}
     absent = [(f"{FOREIGN}{c}", f"table {parent} is not there") for c, parent in rules.parents.items() if parent not in tables and parent not in stored]
@@ -126,7 +136,7 @@ def check_table(name: str, tables: dict[str, DataFrame], run_date: dt.date, stor
 
     entries = _exploded(df, rules.key, _unique_keys(present) + _foreign_keys(foreign))
     # Written, so that the rows are not shuffled for a few keys, or none.
-    broken = settle(broken_keys(name, tables, stored, entries), "broken")
+    broken = settle(broken_keys(name, tables, stored, present.unique, foreign), "broken")
     by_key = entries.join(broken, ["rule", "key"], "left_semi").select("rule", "row_id", "reason")
     required = [c for c in (rules.key, *rules.required) if c in df.columns]
     reasons = [("required", checks.not_null_reason(required)), *[(r, ROW_CHECKS[r][1](run_date)) for r in rules.rows if r not in lacking]]

@@ -216,5 +216,7 @@ def normalise(staging: DataFrame, run_ts: dt.datetime, pos: str = "_src_pos", st
     tables["isbn_rating"] = build_isbn_rating(staging, link, pos)
     tables["book_isbn_genre"] = build_book_isbn_genre(staging, link, tables["genre"], pos)
     if strict:
+        # Checks read a table once for each key rule.
+        tables |= {name: settle(tables[name], name) for name in ("book", "author_isbn", "isbn_rating", "book_isbn_genre")}
         check_tables(tables, run_ts.date(), strict=True)
     return add_updated_at(tables, run_ts)

@@ -75,6 +75,15 @@ def test_a_table_is_read_three_times_for_all_its_rules(spark, tmp_path):
     assert plan.count("Relation [book_isbn_id") <= 2
 
 
+def test_keys_are_counted_as_stored_values(spark, monkeypatch):
+    written = {}
+    monkeypatch.setattr(constraints, "settle", lambda rows, name: written.setdefault(name, rows))
+    assert constraints.check_table("book_isbn", tables(spark, GOOD), RUN_TS.date()).collect() == []
+    plan = written["keys"]._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    grouped = {line.split("Aggregate [")[1].split("]")[0].split("#")[0] for line in plan if "Aggregate [" in line}
+    assert {"isbn13", "isbn10", "book_id"} <= grouped and not {"rule", "key"} & grouped
+
+
 @pytest.fixture
 def store(spark):
     store = TableStore(spark, f"{shared_folder(spark)}/oltp-{uuid.uuid4().hex}")
