@@ -4,12 +4,16 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 #: Folders of local sessions that name none, by application.
 _OWN: dict[str, str] = {}
+#: Frames written at the same time, so that small ones don't wait for one another.
+WRITERS = 8
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -34,3 +38,9 @@ def settle(df: DataFrame, name: str = "step") -> DataFrame:
     path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def settle_all(made: dict[str, Callable[[], DataFrame]]) -> dict[str, DataFrame]:
+    """Make and settle frames that don't read one another, some at a time."""
+    with ThreadPoolExecutor(WRITERS) as pool:
+        return dict(zip(made, pool.map(lambda name: settle(made[name](), name), made)))

@@ -3,16 +3,18 @@
 from __future__ import annotations
 
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
+from functools import partial
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from shelfmark.functions import names
 from shelfmark.operators import changes, joins, keys, sets
-from shelfmark.operators.settle import settle
+from shelfmark.operators.settle import settle, settle_all
 from shelfmark.plans import normalise
 from shelfmark.plans.constraints import CONSTRAINTS, check_additions
 from shelfmark.plans.snapshot import log_rows
-from shelfmark.sources.tables import StagedTables, TableStore
+from shelfmark.sources.tables import WRITERS, StagedTables, TableStore
 
 #: Tables of one name a row: table, its value, where staging has it.
 LOOKUPS = {"language": ("language", "language"), "publisher": ("publisher", "publisher_norm"), "edition": ("edition", "edition_norm"),
@@ -42,19 +44,20 @@ def first_contributors(stored: dict[str, DataFrame]) -> DataFrame:
     return first.join(stored["author"].select("author_id", "full_name"), "author_id").select("book_isbn_id", "full_name")
 
 
-def match_books(staging: DataFrame, stored: dict[str, DataFrame], pos: str) -> DataFrame:
+def match_books(staging: DataFrame, stored: dict[str, DataFrame], known: DataFrame, pos: str) -> DataFrame:
     """(book_uid, book_id) for every book of the staging rows.
 
-    A book is the stored one that has one of its ISBNs; else one with the same
-    title and first contributor; else it is new, and new ids continue by first
-    appearance. Of several stored books the smallest id is taken.
+    A book is the stored one that has one of its ISBNs, by the links ``known``;
+    else one with the same title and first contributor; else it is new, and new
+    ids continue by first appearance. Of several stored books the smallest id
+    is taken, before they are looked up: however many books share a title and
+    a contributor, a name meets one row.
     """
     rows = staging.select(pos, F.col("book_uid").alias("_uid"), F.col("title_norm").alias("_title"),
-                          normalise.blank_to_null(F.col("primary_author_name")).alias("_author"), "isbn10", "isbn13")
-    by_isbn = normalise.link_isbn(rows, stored["book_isbn"], pos).join(stored["book_isbn"].select("book_isbn_id", "book_id"), "book_isbn_id")
-    by_isbn = by_isbn.join(rows.select(pos, "_uid"), pos).select("_uid", "book_id", F.lit(0).alias("_rank"))
+                          normalise.blank_to_null(F.col("primary_author_name")).alias("_author"))
+    by_isbn = known.join(rows.select(pos, "_uid"), pos).select("_uid", "book_id", F.lit(0).alias("_rank"))
     named = (stored["book_isbn"].select("book_isbn_id", "book_id").join(stored["book"].select("book_id", "title"), "book_id")
-             .join(first_contributors(stored), "book_isbn_id", "left").select("title", "full_name", "book_id").distinct())
+             .join(first_contributors(stored), "book_isbn_id", "left").groupBy("title", "full_name").agg(F.min("book_id").alias("book_id")))
     same = F.col("_title").eqNullSafe(F.col("title")) & F.col("_author").eqNullSafe(F.col("full_name"))
     by_name = (rows.select("_uid", "_title", "_author").distinct().join(named, same)
                .select("_uid", "book_id", F.lit(1).alias("_rank")))
@@ -66,15 +69,6 @@ def match_books(staging: DataFrame, stored: dict[str, DataFrame], pos: str) -> D
     return known.unionByName(new.select("_uid", "book_id")).withColumnRenamed("_uid", "book_uid")
 
 
-def not_there(rows: DataFrame, existing: DataFrame, columns: list[str]) -> DataFrame:
-    """Rows whose key the table lacks; a null equals a null, so that a repeated load adds nothing."""
-    there = existing.select(*[F.col(c).alias(f"_there_{c}") for c in columns])
-    same: Column = F.lit(True)
-    for c in columns:
-        same = same & F.col(c).eqNullSafe(F.col(f"_there_{c}"))
-    return rows.join(there, same, "left_anti")
-
-
 def additions(staging: DataFrame, stored: dict[str, DataFrame], pos: str = "_src_pos") -> dict[str, DataFrame]:
     """The rows a further load adds to each table, with ids after the highest in use. Rows that are there stay as they are.
 
@@ -85,37 +79,50 @@ def additions(staging: DataFrame, stored: dict[str, DataFrame], pos: str = "_src
     """
     # Cleaned rows are read many times here.
     staging = settle(normalise.blanks_to_null(staging), "staging")
-    new = {name: settle(fresh_values(lookup_values(staging, name, pos), value, f"{name}_id", stored[name]), name)
-           for name, (value, _) in LOOKUPS.items()}
-    seen = sets.slot_values(staging, normalise.AUTHOR_COLUMNS, "full_name", pos).filter(F.col("full_name") != "")
-    authors = fresh_values(seen, "full_name", "author_id", stored["author"])
-    new["author"] = settle(authors.withColumns(names.person_name_parts(F.col("full_name"), letters_only=True)), "author")
-    new["role"] = settle(fresh_values(sets.slot_values(staging, normalise.ROLE_COLUMNS, "role", pos), "role", "role_id", stored["role"]), "role")
-    genre_values = sets.slot_array_values(staging, normalise.first_genres(), "genre", pos)
-    new["genre"] = settle(fresh_values(genre_values, "genre", "genre_id", stored["genre"]), "genre")
+
+    def lookup(name: str) -> DataFrame:
+        return fresh_values(lookup_values(staging, name, pos), LOOKUPS[name][0], f"{name}_id", stored[name])
+
+    def author() -> DataFrame:
+        seen = sets.slot_values(staging, normalise.AUTHOR_COLUMNS, "full_name", pos).filter(F.col("full_name") != "")
+        return fresh_values(seen, "full_name", "author_id", stored["author"]).withColumns(names.person_name_parts(F.col("full_name"), letters_only=True))
+
+    def role() -> DataFrame:
+        return fresh_values(sets.slot_values(staging, normalise.ROLE_COLUMNS, "role", pos), "role", "role_id", stored["role"])
+
+    def genre() -> DataFrame:
+        return fresh_values(sets.slot_array_values(staging, normalise.first_genres(), "genre", pos), "genre", "genre_id", stored["genre"])
+
+    def known_links() -> DataFrame:
+        return normalise.link_isbn(staging, stored["book_isbn"], pos, "book_id")
+
+    made = {"author": author, "genre": genre, "role": role, **{name: partial(lookup, name) for name in LOOKUPS}, "known": known_links}
+    new = settle_all(made)
+    known = new.pop("known")
 
     def whole(name: str, *columns: str) -> DataFrame:
         return stored[name].select(*columns).unionByName(new[name].select(*columns))
 
-    uids = settle(match_books(staging, stored, pos), "book-ids")
-    staging = settle(staging.withColumnRenamed("book_uid", "_uid").join(
-        uids.withColumnsRenamed({"book_uid": "_uid", "book_id": "book_uid"}), "_uid", "left").drop("_uid"), "staging")
-    books = normalise.build_book(staging.filter("book_uid IS NOT NULL"), pos)
+    uids = settle(match_books(staging, stored, known, pos), "book-ids").withColumnsRenamed({"book_uid": "_uid", "book_id": "book_uid"})
+
+    def with_ids(rows: DataFrame) -> DataFrame:
+        return rows.withColumnRenamed("book_uid", "_uid").join(uids, "_uid", "left").drop("_uid")
+
+    titled = with_ids(staging.select(pos, "book_uid", "title_norm"))
+    books = normalise.build_book(titled.filter("book_uid IS NOT NULL"), pos)
     new["book"] = joins.missing_rows(books, stored["book"], ["book_id"])
 
     lookups = {value: whole(name, f"{name}_id", value) for name, (value, _) in LOOKUPS.items()}
-    known = normalise.link_isbn(staging, stored["book_isbn"], pos).select(pos).distinct()
-    unknown = staging.join(known, pos, "left_anti")
+    unknown = with_ids(staging.join(known.select(pos).distinct(), pos, "left_anti"))
     new["book_isbn"] = settle(normalise.build_book_isbn(unknown, lookups, pos, keys.max_id(stored["book_isbn"], "book_isbn_id")), "book_isbn")
 
-    link = settle(normalise.link_isbn(staging, whole("book_isbn", "book_isbn_id", "isbn10", "isbn13"), pos), "link")
+    link = settle(known.select(pos, "book_isbn_id").unionByName(normalise.link_isbn(staging, new["book_isbn"], pos)), "link")
     authors, roles = whole("author", "author_id", "full_name"), whole("role", "role_id", "role")
-    contributors = normalise.contributors(staging, link, authors, roles, pos)
     new["author_isbn"] = normalise.number_contributors(
-        not_there(contributors, stored["author_isbn"], ["book_isbn_id", "author_id", "role_id"]), keys.max_id(stored["author_isbn"], "author_isbn_id"))
-    ratings = not_there(normalise.ratings(staging, link, pos), stored["isbn_rating"], ["book_isbn_id", "review_type_id"])
-    new["isbn_rating"] = normalise.number_ratings(ratings, keys.max_id(stored["isbn_rating"], "isbn_rating_id"))
-    pairs = not_there(normalise.genre_pairs(staging, link, whole("genre", "genre_id", "genre"), pos), stored["book_isbn_genre"], ["book_isbn_id", "genre_id"])
+        normalise.contributors(staging, link, authors, roles, pos, stored["author_isbn"]), keys.max_id(stored["author_isbn"], "author_isbn_id"))
+    new["isbn_rating"] = normalise.number_ratings(
+        normalise.ratings(staging, link, pos, stored["isbn_rating"]), keys.max_id(stored["isbn_rating"], "isbn_rating_id"))
+    pairs = normalise.genre_pairs(staging, link, whole("genre", "genre_id", "genre"), pos, stored["book_isbn_genre"])
     new["book_isbn_genre"] = normalise.number_genre_pairs(pairs, keys.max_id(stored["book_isbn_genre"], "book_isbn_genre_id"))
     return new
 
@@ -126,6 +133,10 @@ def as_inserted(rows: DataFrame, key: str) -> DataFrame:
     return rows.select(key, F.lit(changes.INSERT).alias("operation"), F.when(F.lit(False), compared).alias("old"), compared.alias("new"))
 
 
+def stamped(rows: DataFrame, columns: list[str], run_ts: dt.datetime) -> DataFrame:
+    return rows.withColumn("updated_at", F.lit(run_ts)).select(*columns)
+
+
 def add_catalogue(store: TableStore, staging: DataFrame, run_ts: dt.datetime, pos: str = "_src_pos") -> None:
     """Load a further cleaned catalogue into the stored tables.
 
@@ -136,16 +147,19 @@ def add_catalogue(store: TableStore, staging: DataFrame, run_ts: dt.datetime, po
     """
     staged = StagedTables(store)
     stored = {name: store.read(name) for name in normalise.TABLE_NAMES}
-    new = {}
-    for name, rows in additions(staging, stored, pos).items():
-        rows = settle(rows.withColumn("updated_at", F.lit(run_ts)).select(*stored[name].columns), name)
-        if not rows.isEmpty():
-            new[name] = rows
-            staged.append(name, rows, CONSTRAINTS[name].key)
+    made = settle_all({name: partial(stamped, rows, stored[name].columns, run_ts) for name, rows in additions(staging, stored, pos).items()})
+
+    def append(name: str) -> bool:
+        there = not made[name].isEmpty()
+        if there:
+            staged.append(name, made[name], CONSTRAINTS[name].key)
+        return there
+
+    with ThreadPoolExecutor(WRITERS) as pool:
+        new = {name: made[name] for name, there in zip(made, pool.map(append, made)) if there}
     if new:
         check_additions(new, stored, run_ts.date(), strict=True)
-    for name, rows in new.items():
-        logged = log_rows(name, as_inserted(rows, f"{name}_id"), stored["review_type"], run_ts)
-        if logged is not None:
-            staged.append(*logged)
+    logs = [log_rows(name, as_inserted(rows, f"{name}_id"), stored["review_type"], run_ts) for name, rows in new.items()]
+    with ThreadPoolExecutor(WRITERS) as pool:
+        list(pool.map(lambda logged: staged.append(*logged), [logged for logged in logs if logged is not None]))
     staged.commit()

@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Row, functions as F
 
 from shelfmark.operators import checks
 from shelfmark.operators.checks import RejectedRows
@@ -83,37 +83,71 @@ def _exploded(df: DataFrame, key: str, entries: list[Column]) -> DataFrame:
     return df.select(F.col(key).cast("bigint").alias("row_id"), F.inline(F.array(*entries))).filter(F.col("key").isNotNull())
 
 
-def _counted(df: DataFrame, columns: tuple[str, ...], entry: Column) -> DataFrame:
-    """(rule, key, n) of one rule. Values are counted as they are stored, and become text only then, once each."""
+def _counted(df: DataFrame, columns: tuple[str, ...], entry: Column, there: DataFrame | None = None) -> DataFrame:
+    """(rule, key, n) of one rule. Values are counted as they are stored, and become text only then, once each.
+
+    Keys of rows that are ``there`` already count with those of the table's rows.
+    """
     present = reduce(Column.__and__, [F.col(c).isNotNull() for c in columns])
-    return (df.filter(present).groupBy(*columns).agg(F.count("*").alias("n"))
-            .select(entry["rule"].alias("rule"), entry["key"].alias("key"), "n"))
+    if there is None:
+        counts = df.filter(present).groupBy(*columns).agg(F.count("*").alias("n"))
+    else:
+        alike = dict(df.select(*columns).dtypes) == dict(there.select(*columns).dtypes)
+        values = [F.col(c) if alike else F.col(c).cast("string").alias(c) for c in columns]
+        both = (df.filter(present).select(*values, F.lit(1).alias("_own"))
+                .unionByName(there.filter(present).select(*values, F.lit(0).alias("_own"))))
+        counts = both.groupBy(*columns).agg(F.count("*").alias("n"), F.max("_own").alias("_own")).filter("_own = 1")
+    return counts.select(entry["rule"].alias("rule"), entry["key"].alias("key"), "n")
+
+
+def _near(there: DataFrame, df: DataFrame, columns: list[str], bounds: Row) -> DataFrame:
+    """Rows that may have one of the keys: those between the lowest and the highest value that ``df`` has in the first column.
+
+    Ids of additions follow the stored ones, so files of stored rows are passed
+    over by their own bounds and move nothing. Columns of another type are not cut.
+    """
+    first, low, high = columns[0], bounds[f"low_{columns[0]}"], bounds[f"high_{columns[0]}"]
+    if dict(there.select(*columns).dtypes) != dict(df.select(*columns).dtypes):
+        return there
+    return there.filter(F.lit(False) if low is None else F.col(first).between(F.lit(low), F.lit(high)))
+
+
+def _orphans(df: DataFrame, column: str, entry: Column, parents: list[DataFrame]) -> DataFrame:
+    """(rule, key, n) of the column's values that no parent has. Distinct values are looked up, so a hot one is looked up once."""
+    counts = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("n"))
+    alike = all(p.schema[column].dataType == df.schema[column].dataType for p in parents)
+    for parent in parents:
+        value = F.col(column) if alike else F.col(column).cast("string")
+        known = parent.filter(F.col(column).isNotNull()).select(value.alias("_known"))
+        counts = counts.join(known, value == F.col("_known"), "left_anti")
+    return counts.select(entry["rule"].alias("rule"), entry["key"].alias("key"), "n")
 
 
 def broken_keys(name: str, tables: dict[str, DataFrame], stored: dict[str, DataFrame], unique: tuple[tuple[str, ...], ...],
                 foreign: list[str]) -> DataFrame:
     """(rule, key) of the table's keys that repeat, are stored already, or have no parent in either set of tables.
 
-    Keys are counted first, so a hot key is tested once, and the tables they are
-    looked up in are cut down to these keys before anything else. Unique keys
-    are written only where they repeat or have to be looked up in stored rows.
+    Keys are compared as they are stored, each rule for itself, and only broken
+    ones become text and are written. Stored rows are cut down to those that may
+    hold one of the keys before they move.
     """
     rules, df = CONSTRAINTS[name], tables[name]
     keys = [(rules.key,), *unique]
-    counts = reduce(DataFrame.unionByName, [_counted(df, columns, entry) for columns, entry in [
-        *zip(keys, _unique_keys(Rules(rules.key, unique))), *zip([(c,) for c in foreign], _foreign_keys(foreign))]])
-    counted = settle(counts if name in stored else counts.filter(~F.col("rule").startswith(UNIQUE) | (F.col("n") > 1)), "keys")
-    asked = counted.select("rule", "key")
-    broken = counted.filter(F.col("rule").startswith(UNIQUE) & (F.col("n") > 1)).select("rule", "key")
-    if name in stored:
-        there = _exploded(stored[name], rules.key, _unique_keys(rules)).select("rule", "key")
-        broken = broken.unionByName(there.join(asked, ["rule", "key"], "left_semi")).distinct()
-    parents = [t[parent].select(F.lit(FOREIGN + c).alias("rule"), F.col(CONSTRAINTS[parent].key).cast("string").alias("key"))
-               for c, parent in rules.parents.items() for t in (tables, stored) if parent in t]
-    if parents:
-        known = reduce(DataFrame.unionByName, parents).join(asked, ["rule", "key"], "left_semi")
-        broken = broken.unionByName(asked.filter(F.col("rule").startswith(FOREIGN)).join(known, ["rule", "key"], "left_anti"))
-    return broken
+    bounds = None
+    if stored:
+        asked = sorted({columns[0] for columns in keys} | set(foreign))
+        bounds = df.agg(*[end(c).alias(f"{label}_{c}") for c in asked for label, end in (("low", F.min), ("high", F.max))]).first()
+    counts = []
+    for columns, entry in zip(keys, _unique_keys(Rules(rules.key, unique))):
+        there = _near(stored[name], df, list(columns), bounds) if name in stored else None
+        counts.append(_counted(df, columns, entry, there).filter("n > 1"))
+    for column, entry in zip(foreign, _foreign_keys(foreign)):
+        parent = rules.parents[column]
+        known = {of: t[parent].select(F.col(CONSTRAINTS[parent].key).alias(column)) for of, t in (("new", tables), ("stored", stored)) if parent in t}
+        if "stored" in known:
+            known["stored"] = _near(known["stored"], df, [column], bounds)
+        counts.append(_orphans(df, column, entry, list(known.values())))
+    return settle(reduce(DataFrame.unionByName, counts), "keys").select("rule", "key")
 
 
 def check_table(name: str, tables: dict[str, DataFrame], run_date: dt.date, stored: dict[str, DataFrame] | None = None) -> DataFrame:

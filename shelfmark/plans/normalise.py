@@ -10,7 +10,7 @@ from shelfmark.functions import genres, names
 from shelfmark.functions.numbers import STARS
 from shelfmark.functions.text import blank_to_null
 from shelfmark.operators import dedup, joins, keys, sets
-from shelfmark.operators.settle import settle
+from shelfmark.operators.settle import settle, settle_all
 from shelfmark.plans.constraints import check_tables
 from shelfmark.schemas import REVIEW_TYPES
 
@@ -103,22 +103,36 @@ def build_book_isbn(staging: DataFrame, lookups: dict[str, DataFrame], pos: str
         "series_id", "series_num", "pages")
 
 
-def link_isbn(staging: DataFrame, book_isbn: DataFrame, pos: str = "_src_pos") -> DataFrame:
-    """(row position, book_isbn_id) where either ISBN is the same."""
+def link_isbn(staging: DataFrame, book_isbn: DataFrame, pos: str = "_src_pos", *also: str) -> DataFrame:
+    """(row position, book_isbn_id) where either ISBN is the same, and further columns of the ISBN's row."""
     sides = staging.select(pos, F.col("isbn10").alias("_s10"), F.col("isbn13").alias("_s13"))
-    isbns = book_isbn.select("book_isbn_id", "isbn10", "isbn13")
-    return joins.either_key_join(sides, isbns, [("_s10", "isbn10"), ("_s13", "isbn13")]).select(pos, "book_isbn_id")
+    isbns = book_isbn.select("book_isbn_id", "isbn10", "isbn13", *also)
+    return joins.either_key_join(sides, isbns, [("_s10", "isbn10"), ("_s13", "isbn13")]).select(pos, "book_isbn_id", *also)
 
 
 def linked(staging: DataFrame, link: DataFrame, pos: str = "_src_pos") -> DataFrame:
     return staging.join(link, pos)
 
 
-def contributors(staging: DataFrame, link: DataFrame, author: DataFrame, role: DataFrame, pos: str = "_src_pos") -> DataFrame:
-    """(book_isbn_id, author_id, role_id, _slot) of each contributor.
+def marked_there(rows: DataFrame, stored: DataFrame | None, columns: list[str]) -> DataFrame:
+    """The rows, and the keys of stored ones beside them: a grouping by the columns then tells which are there, a null like others."""
+    rows = rows.withColumn("_there", F.lit(False))
+    return rows if stored is None else rows.unionByName(stored.select(*columns, F.lit(True).alias("_there")), allowMissingColumns=True)
+
+
+def grouped_new(rows: DataFrame, stored: DataFrame | None, columns: list[str], *aggregates: Column) -> DataFrame:
+    """Rows grouped by the columns, without the groups that are stored: one shuffle for both."""
+    grouped = marked_there(rows, stored, columns).groupBy(*columns).agg(*aggregates, F.max("_there").alias("_there"))
+    return grouped.filter(~F.col("_there")).drop("_there")
+
+
+def contributors(staging: DataFrame, link: DataFrame, author: DataFrame, role: DataFrame, pos: str = "_src_pos",
+                 stored: DataFrame | None = None) -> DataFrame:
+    """(book_isbn_id, author_id, role_id, _slot) of each contributor that isn't stored.
 
     Equal rows within a slot are one; over slots a repeated author is dropped
-    only where the role is known, since a null role never equals another.
+    only where the role is known, since a null role never equals another. The
+    slots of an author and role are bits of one number.
     """
     people = F.array(*[F.struct(F.lit(slot).alias("_slot"), F.col(name).alias("full_name"), F.col(role_col).alias("role"))
                        for slot, (name, role_col) in enumerate(zip(AUTHOR_COLUMNS, ROLE_COLUMNS), 1)])
@@ -126,9 +140,12 @@ def contributors(staging: DataFrame, link: DataFrame, author: DataFrame, role: D
             .filter(F.col("full_name").isNotNull()))
     long = (long.join(author.select("full_name", "author_id"), "full_name")
             .join(role.select("role", "role_id"), "role", "left"))
-    in_slot = long.select("book_isbn_id", "author_id", "role_id", "_slot").distinct()
-    return in_slot.withColumn("_null_role", F.when(F.col("role_id").isNull(), F.col("_slot"))).groupBy(
-        "book_isbn_id", "author_id", "role_id", "_null_role").agg(F.min("_slot").alias("_slot")).drop("_null_role")
+    bits = long.select("book_isbn_id", "author_id", "role_id", F.expr("shiftleft(1, _slot)").alias("_bit"))
+    grouped = grouped_new(bits, stored, ["book_isbn_id", "author_id", "role_id"], F.bit_or("_bit").alias("_bits"))
+    slots = F.array_compact(F.array(*[F.when(F.col("_bits").bitwiseAND(1 << slot) != 0, F.lit(slot))
+                                      for slot in range(1, len(AUTHOR_COLUMNS) + 1)]))
+    kept = F.when(F.col("role_id").isNull(), slots).otherwise(F.slice(slots, 1, 1))
+    return grouped.select("book_isbn_id", "author_id", "role_id", F.explode(kept).alias("_slot"))
 
 
 def numbered(rows: DataFrame, id_col: str, rank: str, name: str, then: list[str], start_after: int) -> DataFrame:
@@ -148,11 +165,11 @@ def build_author_isbn(staging: DataFrame, link: DataFrame, author: DataFrame, ro
     return number_contributors(contributors(staging, link, author, role, pos))
 
 
-def ratings(staging: DataFrame, link: DataFrame, pos: str = "_src_pos") -> DataFrame:
-    """(book_isbn_id, review_type_id, count): star counts as rows, null counts left out."""
+def ratings(staging: DataFrame, link: DataFrame, pos: str = "_src_pos", stored: DataFrame | None = None) -> DataFrame:
+    """(book_isbn_id, review_type_id, count) that aren't stored: star counts as rows, null counts left out."""
     types = {star: F.lit(i).cast("bigint") for i, star in enumerate(STARS, 1)}
     long = joins.unpivot(linked(staging, link, pos), ["book_isbn_id"], types, "review_type_id", "count")
-    return long.groupBy("book_isbn_id", "review_type_id").agg(F.max("count").cast("int").alias("count"))
+    return grouped_new(long, stored, ["book_isbn_id", "review_type_id"], F.max("count").cast("int").alias("count"))
 
 
 def number_ratings(rows: DataFrame, start_after: int = 0) -> DataFrame:
@@ -165,12 +182,13 @@ def build_isbn_rating(staging: DataFrame, link: DataFrame, pos: str = "_src_pos"
     return number_ratings(ratings(staging, link, pos))
 
 
-def genre_pairs(staging: DataFrame, link: DataFrame, genre: DataFrame, pos: str = "_src_pos") -> DataFrame:
-    """(book_isbn_id, genre_id, _slot): distinct pairs with the genre's first place in the list."""
+def genre_pairs(staging: DataFrame, link: DataFrame, genre: DataFrame, pos: str = "_src_pos",
+                stored: DataFrame | None = None) -> DataFrame:
+    """(book_isbn_id, genre_id, _slot): distinct pairs that aren't stored, with the genre's first place in the list."""
     long = (linked(staging, link, pos).select("book_isbn_id", F.posexplode(first_genres()).alias("_slot", "genre"))
             .filter(F.col("genre").isNotNull()))
-    return (long.join(genre.select("genre", "genre_id"), "genre")
-            .groupBy("book_isbn_id", "genre_id").agg(F.min("_slot").alias("_slot")))
+    return grouped_new(long.join(genre.select("genre", "genre_id"), "genre").select("book_isbn_id", "genre_id", "_slot"), stored,
+                       ["book_isbn_id", "genre_id"], F.min("_slot").alias("_slot"))
 
 
 def number_genre_pairs(rows: DataFrame, start_after: int = 0) -> DataFrame:
@@ -190,22 +208,21 @@ def add_updated_at(tables: dict[str, DataFrame], run_ts: dt.datetime) -> dict[st
 def normalise(staging: DataFrame, run_ts: dt.datetime, pos: str = "_src_pos", strict: bool = False) -> dict[str, DataFrame]:
     """All 14 tables with ``updated_at``, for a first load.
 
-    Tables other tables read are written once; the bridges stay lazy. With
+    Tables other tables read are written once, side by side; the bridges stay lazy. With
     ``strict`` all of them are checked, and a row that breaks a rule raises.
     """
     staging = blanks_to_null(staging)
-    tables = {
-        "author": settle(build_author(staging, pos=pos), "author"),
-        "language": settle(build_lookup(staging, "language", "language", "language_id", keep_null=True, pos=pos), "language"),
-        "genre": settle(build_genre(staging, pos=pos), "genre"),
-        "role": settle(build_role(staging, pos=pos), "role"),
-        "publisher": settle(build_lookup(staging, "publisher_norm", "publisher", "publisher_id", pos=pos), "publisher"),
-        "edition": settle(build_lookup(staging, "edition_norm", "edition", "edition_id", pos=pos), "edition"),
-        "format": settle(build_lookup(staging, "bookFormat_norm", "format", "format_id", pos=pos), "format"),
-        "series": settle(build_lookup(staging, "series_name_norm", "series_name", "series_id", pos=pos), "series"),
-        "book": build_book(staging, pos),
-        "review_type": build_review_type(staging.sparkSession),
+    made = {
+        "author": lambda: build_author(staging, pos=pos),
+        "language": lambda: build_lookup(staging, "language", "language", "language_id", keep_null=True, pos=pos),
+        "genre": lambda: build_genre(staging, pos=pos),
+        "role": lambda: build_role(staging, pos=pos),
+        "publisher": lambda: build_lookup(staging, "publisher_norm", "publisher", "publisher_id", pos=pos),
+        "edition": lambda: build_lookup(staging, "edition_norm", "edition", "edition_id", pos=pos),
+        "format": lambda: build_lookup(staging, "bookFormat_norm", "format", "format_id", pos=pos),
+        "series": lambda: build_lookup(staging, "series_name_norm", "series_name", "series_id", pos=pos),
     }
+    tables = settle_all(made) | {"book": build_book(staging, pos), "review_type": build_review_type(staging.sparkSession)}
     values = {"format": "format", "edition": "edition", "publisher": "publisher", "language": "language",
               "series_name": "series"}
     lookups = {value: tables[table] for value, table in values.items()}

@@ -12,13 +12,13 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructField, StructType
 
+from shelfmark.operators.settle import WRITERS
+
 WHOLE = ""
 STAMP = "updated_at"
 PART_ROWS = 1_000_000
 #: Ranges a table may have over twice those its rows would fill.
 SPARE_PARTS = 16
-#: Tables written at the same time, so that small ones don't wait for one another.
-WRITERS = 8
 #: Bits of a row hash that are added up as one whole number.
 PIECE = 22
 FOLDER = "_key_part"

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shelfmark.operators.checks import RejectedRows
-from shelfmark.operators.settle import shared_folder
+from shelfmark.operators.settle import settle, shared_folder
 from shelfmark.plans import constraints, snapshot
 from shelfmark.sources.tables import TableStore
 
@@ -66,6 +66,20 @@ def test_additions_are_checked_against_stored_keys(spark):
         constraints.check_additions(new, stored, RUN_TS.date(), strict=True)
 
 
+def test_additions_move_no_stored_rows_that_cannot_have_their_keys(spark, monkeypatch):
+    stored = {"book": spark.createDataFrame([(i, f"t{i}") for i in range(1, 9)], "book_id int, title string"),
+              "book_isbn": tables(spark, GOOD)["book_isbn"]}
+    new = {"book": spark.createDataFrame([(8, "b"), (9, "c"), (9, "d")], "book_id int, title string")}
+    assert rules(constraints.check_additions(new, stored, RUN_TS.date())) == [("book", "unique book_id", r) for r in (8, 9, 9)]
+    isbns = {"book_isbn": tables(spark, [(7, None, "9780000000007", 8, None, None, None), (8, None, "9780000000008", 9, None, None, None)])["book_isbn"]}
+    plans = []
+    monkeypatch.setattr(constraints, "settle", lambda rows, name: plans.append(rows._jdf.queryExecution().optimizedPlan().toString()) or settle(rows, name))
+    assert [r for r in rules(constraints.check_additions(isbns, stored, RUN_TS.date())) if r[1].startswith("foreign book")] == [("book_isbn", "foreign book_id", 8)]
+    # Stored ISBNs are cut down to the range of the new ids before they are grouped.
+    (line,) = [line for line in plans[0].splitlines() if ">= 7" in line]
+    assert "<= 8" in line
+
+
 def test_a_table_is_read_three_times_for_all_its_rules(spark, tmp_path):
     some = tables(spark, GOOD)
     some["book_isbn"].write.parquet(str(tmp_path / "isbns"))

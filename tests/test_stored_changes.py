@@ -109,3 +109,33 @@ def test_deletes_of_nothing(spark, store):
     assert store.paths() == before
     with pytest.raises(KeyError):
         deletions.delete_rows(store, {"shelf": store.read("book")}, LATER)
+
+
+def test_books_of_one_name_are_looked_up_once(spark, monkeypatch):
+    books = range(1, 31)
+    stored = {"book_isbn": spark.createDataFrame([(i, i) for i in books], "book_isbn_id long, book_id long"),
+              "book": spark.createDataFrame([(i, "one") for i in books], "book_id long, title string"),
+              "author_isbn": spark.createDataFrame([(i, i, 1) for i in books], "author_isbn_id long, book_isbn_id long, author_id long"),
+              "author": spark.createDataFrame([(1, "ann lee")], "author_id long, full_name string")}
+    staging = spark.createDataFrame([(i, 100 + i, "one", "ann lee") for i in books] + [(99, 7, "two", None)],
+                                    "_src_pos long, book_uid long, title_norm string, primary_author_name string")
+    known = spark.createDataFrame([(2, 20, 20), (3, 31, 31)], "_src_pos long, book_isbn_id long, book_id long")
+    plans = []
+    monkeypatch.setattr(additions, "settle", lambda rows, name: plans.append(rows._jdf.queryExecution().optimizedPlan().toString()) or settle(rows, name))
+    got = {r.book_uid: r.book_id for r in additions.match_books(staging, stored, known, "_src_pos").collect()}
+    assert got == {100 + i: {2: 20, 3: 31}.get(i, 1) for i in books} | {7: 31}
+    # Each name has one row, the smallest id, before it is joined.
+    assert any("Aggregate [title" in line and "min(book_id" in line for line in plans[0].splitlines())
+
+
+def test_stored_contributors_are_left_out_while_they_are_grouped(spark):
+    columns = [*normalise.AUTHOR_COLUMNS, *normalise.ROLE_COLUMNS]
+    staging = spark.createDataFrame([(1, "a", "b", "a", "b", "c", "poet", None, "poet", None, None)],
+                                    "_src_pos long, " + ", ".join(f"{c} string" for c in columns))
+    link = spark.createDataFrame([(1, 5), (1, 6)], "_src_pos long, book_isbn_id long")
+    author = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "author_id long, full_name string")
+    role = spark.createDataFrame([(9, "poet")], "role_id long, role string")
+    stored = spark.createDataFrame([(6, 1, 9), (6, 3, None)], "book_isbn_id long, author_id long, role_id long")
+    rows = normalise.contributors(staging, link, author, role, stored=stored)
+    assert sorted((tuple(r) for r in rows.collect()), key=repr) == sorted(
+        [(5, 1, 9, 1), (5, 2, None, 2), (5, 2, None, 4), (5, 3, None, 5), (6, 2, None, 2), (6, 2, None, 4)], key=repr)
