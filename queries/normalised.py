@@ -12,7 +12,7 @@ from queries import duck
 from queries.registry import query, with_tables
 from queries.standins import BOOKS, STAGING, books, for_duckdb, staging
 from shelfmark.functions import genres
-from shelfmark.operators import changes, checks
+from shelfmark.operators import changes, checks, keys
 from shelfmark.operators.settle import settle, shared_folder
 from shelfmark.plans import additions, constraints, deletions, normalise, snapshot
 from shelfmark.sources.tables import WRITERS, TableStore
@@ -559,9 +559,15 @@ def _(t):
     return store.read("author_logs")
 
 
+def bridge_with_own_ids(bridge):
+    """Bridge rows whose id stands once: that of the stand-in leaves room for 100,000 suppliers, here all of them have room."""
+    room = max(100_000, keys.max_id(bridge, "author_id"))
+    return bridge.withColumn("author_isbn_id", F.col("book_isbn_id") * F.lit(room).cast("bigint") + F.col("author_id") - 1)
+
+
 def store_of_renamed_authors(t) -> TableStore:
     # Bridges whose id stands once, and roles that are there.
-    bridge = books(t)["author_isbn"].withColumn("role_id", F.lit(None).cast("bigint"))
+    bridge = bridge_with_own_ids(books(t)["author_isbn"]).withColumn("role_id", F.lit(None).cast("bigint"))
     store = snapshot_store(t, full_tables(t) | {"author": t.sql(AUTHOR_CHANGES["old"]), "author_isbn": bridge})
     snapshot.publish_snapshot(store, {"author": t.sql(AUTHOR_CHANGES["new"])}, RUN_TS)
     return store

@@ -4,7 +4,7 @@ import uuid
 
 import pytest
 
-from queries import load_all, registry, standins
+from queries import load_all, normalised, registry, standins
 from queries.registry import QUERIES, Inputs
 from queries.star import star
 from queries.standins import books
@@ -60,3 +60,14 @@ def test_keys_are_made_distinct_before_the_rows_are_made(spark, made, monkeypatc
     assert grouped.split("]")[0].count("#") == 2
     want = t.sql(standins.BOOKS[name])
     assert rows.schema == want.schema and rows.count() == want.count() and rows.exceptAll(want).count() == 0
+
+
+def test_ids_of_a_checked_bridge_stand_once_with_many_suppliers(spark):
+    def bridge(*pairs):
+        lines = spark.createDataFrame(pairs, "l_partkey long, l_suppkey long")
+        return spark.sql(standins.BOOKS["author_isbn"], lineitem=lines)
+
+    few, many = bridge((1, 99999), (2, 0)), bridge((1, 100000), (2, 0), (2, 99999))
+    assert many.select("author_isbn_id").distinct().count() == 2
+    assert normalised.bridge_with_own_ids(many).select("author_isbn_id").distinct().count() == 3
+    assert sorted(normalised.bridge_with_own_ids(few).drop("role_id").collect()) == sorted(few.drop("role_id").collect())
