@@ -166,8 +166,8 @@ def normalize_genres(df: DataFrame, source: str = "genres", target: str = "genre
 
 def genre_slots(genres: Column) -> Column:
     """Genre texts by position, quotes removed; a comma inside a genre splits it."""
-    parts = F.split(F.array_join(genres, ","), ",")
-    return F.transform(parts, lambda g: empty_to_null(F.trim(F.regexp_replace(g, "[\"']", ""))))
+    parts = F.split(F.translate(F.array_join(genres, ","), "\"'", ""), ",")
+    return F.transform(parts, lambda g: empty_to_null(F.trim(g)))
 
 
 def genre_columns(genres: Column, n: int = MAX_GENRES) -> dict[str, Column]:

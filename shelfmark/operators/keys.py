@@ -24,8 +24,9 @@ def assign_ids(df: DataFrame, id_col: str, order_by: list[str], start_after: int
     offsets = (bucketed.groupBy("_bucket").agg(F.count("*").alias("_rows"))
                .select("_bucket", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before")))
     inside = Window.partitionBy("_bucket").orderBy(*order_by)
+    # Ranked rows are sorted by bucket, so merging costs them nothing, and no broadcast has to wait for a busy cluster.
     return (bucketed.withColumn("_rank", F.row_number().over(inside))
-            .join(offsets, "_bucket")
+            .join(offsets.hint("merge"), "_bucket")
             .withColumn(id_col, F.col("_before") + F.col("_rank") + F.lit(start_after))
             .drop("_bucket", "_rank", "_before"))
 

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 #: Folders of local sessions that name none, by application.
 _OWN: dict[str, str] = {}
-#: Frames written at the same time, so that small ones don't wait for one another.
+#: Frames or tables written at the same time, so that small ones don't wait for one another.
 WRITERS = 8
 
 
@@ -40,7 +40,12 @@ def settle(df: DataFrame, name: str = "step") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def settle_all(made: dict[str, Callable[[], DataFrame]]) -> dict[str, DataFrame]:
-    """Make and settle frames that don't read one another, some at a time."""
+def side_by_side(made: dict[str, Callable[[], object]]) -> dict[str, object]:
+    """What each function makes, some at a time; for work that doesn't read one another's."""
     with ThreadPoolExecutor(WRITERS) as pool:
-        return dict(zip(made, pool.map(lambda name: settle(made[name](), name), made)))
+        return dict(zip(made, pool.map(lambda make: make(), made.values())))
+
+
+def settle_all(made: dict[str, Callable[[], DataFrame]]) -> dict[str, DataFrame]:
+    """Make and settle frames, some at a time."""
+    return side_by_side({name: lambda name=name, make=make: settle(make(), name) for name, make in made.items()})

@@ -3,18 +3,17 @@
 from __future__ import annotations
 
 import datetime as dt
-from concurrent.futures import ThreadPoolExecutor
 from functools import partial
 
 from pyspark.sql import DataFrame, functions as F
 
 from shelfmark.functions import names
 from shelfmark.operators import changes, joins, keys, sets
-from shelfmark.operators.settle import settle, settle_all
+from shelfmark.operators.settle import settle, settle_all, side_by_side
 from shelfmark.plans import normalise
 from shelfmark.plans.constraints import CONSTRAINTS, check_additions
 from shelfmark.plans.snapshot import log_rows
-from shelfmark.sources.tables import WRITERS, StagedTables, TableStore
+from shelfmark.sources.tables import StagedTables, TableStore
 
 #: Tables of one name a row: table, its value, where staging has it.
 LOOKUPS = {"language": ("language", "language"), "publisher": ("publisher", "publisher_norm"), "edition": ("edition", "edition_norm"),
@@ -133,10 +132,6 @@ def as_inserted(rows: DataFrame, key: str) -> DataFrame:
     return rows.select(key, F.lit(changes.INSERT).alias("operation"), F.when(F.lit(False), compared).alias("old"), compared.alias("new"))
 
 
-def stamped(rows: DataFrame, columns: list[str], run_ts: dt.datetime) -> DataFrame:
-    return rows.withColumn("updated_at", F.lit(run_ts)).select(*columns)
-
-
 def add_catalogue(store: TableStore, staging: DataFrame, run_ts: dt.datetime, pos: str = "_src_pos") -> None:
     """Load a further cleaned catalogue into the stored tables.
 
@@ -147,19 +142,14 @@ def add_catalogue(store: TableStore, staging: DataFrame, run_ts: dt.datetime, po
     """
     staged = StagedTables(store)
     stored = {name: store.read(name) for name in normalise.TABLE_NAMES}
-    made = settle_all({name: partial(stamped, rows, stored[name].columns, run_ts) for name, rows in additions(staging, stored, pos).items()})
+    made = additions(staging, stored, pos)
 
-    def append(name: str) -> bool:
-        there = not made[name].isEmpty()
-        if there:
-            staged.append(name, made[name], CONSTRAINTS[name].key)
-        return there
+    def add(name: str) -> DataFrame | None:
+        return staged.add(name, made[name].withColumn("updated_at", F.lit(run_ts)).select(*stored[name].columns), CONSTRAINTS[name].key)
 
-    with ThreadPoolExecutor(WRITERS) as pool:
-        new = {name: made[name] for name, there in zip(made, pool.map(append, made)) if there}
+    new = {name: rows for name, rows in side_by_side({name: partial(add, name) for name in made}).items() if rows is not None}
     if new:
         check_additions(new, stored, run_ts.date(), strict=True)
-    logs = [log_rows(name, as_inserted(rows, f"{name}_id"), stored["review_type"], run_ts) for name, rows in new.items()]
-    with ThreadPoolExecutor(WRITERS) as pool:
-        list(pool.map(lambda logged: staged.append(*logged), [logged for logged in logs if logged is not None]))
+    logs = {name: log_rows(name, as_inserted(rows, f"{name}_id"), stored["review_type"], run_ts) for name, rows in new.items()}
+    side_by_side({name: partial(staged.append, *logged) for name, logged in logs.items() if logged is not None})
     staged.commit()

@@ -166,10 +166,19 @@ def build_author_isbn(staging: DataFrame, link: DataFrame, author: DataFrame, ro
 
 
 def ratings(staging: DataFrame, link: DataFrame, pos: str = "_src_pos", stored: DataFrame | None = None) -> DataFrame:
-    """(book_isbn_id, review_type_id, count) that aren't stored: star counts as rows, null counts left out."""
-    types = {star: F.lit(i).cast("bigint") for i, star in enumerate(STARS, 1)}
-    long = joins.unpivot(linked(staging, link, pos), ["book_isbn_id"], types, "review_type_id", "count")
-    return grouped_new(long, stored, ["book_isbn_id", "review_type_id"], F.max("count").cast("int").alias("count"))
+    """(book_isbn_id, review_type_id, count) that aren't stored: star counts as rows, null counts left out.
+
+    Counts of an ISBN are grouped side by side and become rows only then; the
+    types it has in store are bits of one number.
+    """
+    types = dict(enumerate(STARS, 1))
+    rows = linked(staging, link, pos).select("book_isbn_id", *STARS, F.lit(0).alias("_stored"))
+    if stored is not None:
+        bit = F.coalesce(*[F.when(F.col("review_type_id") == i, F.lit(1 << i)) for i in types], F.lit(0))
+        rows = rows.unionByName(stored.select("book_isbn_id", bit.alias("_stored")), allowMissingColumns=True)
+    wide = rows.groupBy("book_isbn_id").agg(*[F.max(star).cast("int").alias(star) for star in STARS], F.bit_or("_stored").alias("_stored"))
+    new = wide.select("book_isbn_id", *[F.when(F.col("_stored").bitwiseAND(1 << i) == 0, F.col(star)).alias(star) for i, star in types.items()])
+    return joins.unpivot(new, ["book_isbn_id"], {star: F.lit(i).cast("bigint") for i, star in types.items()}, "review_type_id", "count")
 
 
 def number_ratings(rows: DataFrame, start_after: int = 0) -> DataFrame:

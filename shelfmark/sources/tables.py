@@ -265,7 +265,10 @@ class TableStore:
         """Put rows in the place of the given parts, of all parts for None; rows of other parts are added to those."""
         entries = {part: paths for (name, part), paths in self.paths().items() if name == table}
         replaced = set(entries if parts is None or WHOLE in parts else parts)
-        made = self.write_ranges(table, df, key)
+        self._put(table, replaced, self.write_ranges(table, df, key))
+
+    def _put(self, table: str, replaced: set[str], made: dict[str, str]) -> None:
+        entries = {part: paths for (name, part), paths in self.paths().items() if name == table}
         changed = {part: [] for part in replaced if entries.get(part)}
         for part, path in made.items():
             changed[part] = [path] if part in replaced else [*entries.get(part, []), path]
@@ -297,6 +300,19 @@ class TableStore:
             list(pool.map(replace, tables))
         staged.commit()
 
+    def add(self, table: str, df: DataFrame, key: str) -> DataFrame | None:
+        """Add rows as ``append`` does and read them back from their files; None for no rows, which change nothing.
+
+        The rows are made once, for the files that are kept.
+        """
+        ranged = self.range_size(table) is not None
+        made = self.write_ranges(table, df, key) if ranged else {WHOLE: self.write(table, df)}
+        rows = self.spark.read.schema(columns_of(df)).parquet(*made.values())
+        if (ranged and WHOLE in made) or rows.isEmpty():
+            return None
+        self._put(table, set(), made)
+        return rows
+
     def append(self, table: str, df: DataFrame, key: str | None = None) -> None:
         """Add rows to a table that grows, such as a log; with its key, to the ranges of one that is kept in ranges."""
         if key is not None and self.range_size(table) is not None:

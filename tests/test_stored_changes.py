@@ -139,3 +139,31 @@ def test_stored_contributors_are_left_out_while_they_are_grouped(spark):
     rows = normalise.contributors(staging, link, author, role, stored=stored)
     assert sorted((tuple(r) for r in rows.collect()), key=repr) == sorted(
         [(5, 1, 9, 1), (5, 2, None, 2), (5, 2, None, 4), (5, 3, None, 5), (6, 2, None, 2), (6, 2, None, 4)], key=repr)
+
+
+def test_stored_ratings_are_left_out_while_they_are_grouped(spark):
+    stars = ", ".join(f"`{star}` long" for star in normalise.STARS)
+    staging = spark.createDataFrame([(1, 5, None, 3, 2, 1), (2, 9, 4, None, 2, 0)], f"_src_pos long, {stars}")
+    link = spark.createDataFrame([(1, 5), (2, 5), (2, 6)], "_src_pos long, book_isbn_id long")
+    stored = spark.createDataFrame([(6, 1), (6, 5), (7, 2)], "book_isbn_id long, review_type_id long")
+    assert sorted(tuple(r) for r in normalise.ratings(staging, link, stored=stored).collect()) == [
+        (5, 1, 9), (5, 2, 4), (5, 3, 3), (5, 4, 2), (5, 5, 1), (6, 2, 4), (6, 4, 2)]
+    assert normalise.ratings(staging, link).schema["count"].dataType.simpleString() == "int"
+
+
+@pytest.mark.parametrize("keys", [{"book": "book_id"}, None])
+def test_added_rows_are_made_once(spark, keys):
+    store = TableStore(spark, f"{shared_folder(spark)}/added-{uuid.uuid4().hex}", part_rows=10)
+    store.publish({"book": spark.createDataFrame([(1, "a"), (11, "b")], "book_id long, title string")}, keys)
+    made = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            made.add(len(batch))
+            yield batch
+
+    new = spark.createDataFrame([(12, "c"), (21, "d")], "book_id long, title string").mapInPandas(counted, "book_id long, title string")
+    rows, before = store.add("book", new, "book_id"), store.paths()
+    assert sorted(map(tuple, rows.collect())) == [(12, "c"), (21, "d")] and made.value == 2
+    assert sorted(r.book_id for r in store.read("book").collect()) == [1, 11, 12, 21]
+    assert store.add("book", new.filter("book_id > 99"), "book_id") is None and store.paths() == before
