@@ -10,7 +10,7 @@ from shelfmark.operators.skew import salted_lookup
 BUCKET_BITS = 16
 
 
-def assign_ids(df: DataFrame, id_col: str, order_by: list[str], start_after: int = 0) -> DataFrame:
+def assign_ids(df: DataFrame, id_col: str, order_by: list[str], start_after: int = 0, merged: bool = False) -> DataFrame:
     """Dense ids after ``start_after`` in ``order_by`` order.
 
     The first order column must be a whole number few rows share, such as a
@@ -18,15 +18,16 @@ def assign_ids(df: DataFrame, id_col: str, order_by: list[str], start_after: int
     values; ids are the rank inside the bucket plus the rows of the buckets
     before it. Only the bucket sizes, one row per bucket, meet in one task.
     The rows are read twice, so settle them first if they are dear to make.
+    Ranked rows are sorted by bucket; ``merged`` merges them with the sizes, so
+    that beside other jobs no broadcast has to wait for a busy cluster.
     """
     bucketed = df.withColumn("_bucket", F.shiftright(F.col(order_by[0]).cast("bigint"), BUCKET_BITS))
     earlier = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (bucketed.groupBy("_bucket").agg(F.count("*").alias("_rows"))
                .select("_bucket", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before")))
     inside = Window.partitionBy("_bucket").orderBy(*order_by)
-    # Ranked rows are sorted by bucket, so merging costs them nothing, and no broadcast has to wait for a busy cluster.
     return (bucketed.withColumn("_rank", F.row_number().over(inside))
-            .join(offsets.hint("merge"), "_bucket")
+            .join(offsets.hint("merge") if merged else offsets, "_bucket")
             .withColumn(id_col, F.col("_before") + F.col("_rank") + F.lit(start_after))
             .drop("_bucket", "_rank", "_before"))
 

@@ -151,7 +151,7 @@ def contributors(staging: DataFrame, link: DataFrame, author: DataFrame, role: D
 def numbered(rows: DataFrame, id_col: str, rank: str, name: str, then: list[str], start_after: int) -> DataFrame:
     """Ids in order of a small rank, then ISBN, then further columns."""
     order = F.shiftleft(F.col(rank).cast("bigint"), 56) + F.col("book_isbn_id")
-    return keys.assign_ids(settle(rows.withColumn("_order", order), name), id_col, ["_order", *then], start_after)
+    return keys.assign_ids(settle(rows.withColumn("_order", order), name), id_col, ["_order", *then], start_after, merged=True)
 
 
 def number_contributors(rows: DataFrame, start_after: int = 0) -> DataFrame:
